@@ -5,16 +5,28 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import pieces
+from corpusloom.llm import curriculum, hilbert, pieces
 from corpusloom.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.shards(table(spark, sf_dir, "documents"), 40)
+
+
+def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curriculum.taken(curriculum.mix(table(spark, sf_dir, "documents"), most=3))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.encode(table(spark, sf_dir, "documents"), MODEL))
 
 
-QUERIES = {"op10_sentencepiece": op10_sentencepiece}
+QUERIES = {
+    "op2_hilbert_shards": op2_hilbert_shards,
+    "op3_curriculum_mix": op3_curriculum_mix,
+    "op10_sentencepiece": op10_sentencepiece,
+}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_curriculum_mix": curriculum.ORACLE}

@@ -6,9 +6,10 @@ be nothing, a repeated letter may be one. The Viterbi path under a trigram model
 through the noisy channel costs, is the restored word. The model's counts cover the letters of all documents given.
 
 Scoring. Features of a word are itself and its first 4, 5 and 6 letters. Over labelled rows, those are kept whose
-presence in toxic and clean documents differs beyond chance (log-likelihood ratio, below), in favour of toxic. A
-document's score is a logistic function of how many of its words have such a feature, fitted on the same rows. Labelled
-rows are a sample by hash of at most about ``LABELLED`` rows of either class; all of these are used at any size.
+presence in toxic and clean documents differs beyond chance (log-likelihood ratio, below) and that clean documents
+hardly have, as one word may decide. A document's score is a logistic function of how many of its words have such a
+feature, fitted on the same rows. Labelled rows are a sample by hash of about ``LABELLED`` rows of a class at most; near copies
+in this sample, in which all words of one toxic text would look toxic, are left out by MinHash.
 
 Null and empty texts score as texts without toxic words. Without any toxic or any clean label, scores are the share of toxic
 labels (0 if there are none). Repeated rows are scored alike; an empty table gives an empty table. Columns other than
@@ -24,13 +25,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled rows of either class that features are learned from.
-LABELLED = 8_000
-#: Features: least documents, least log-likelihood ratio, and the most that are kept, by this ratio.
-LEAST_DOCS, LEAST_RATIO, FEATURES = 6, 40.0, 4_000
+#: Clean and toxic labelled rows that features are learned from.
+LABELLED = (24_000, 8_000)
+#: Features: least documents, least log-likelihood ratio, largest share of clean documents, and the most that are kept.
+LEAST_DOCS, LEAST_RATIO, CLEAN_SHARE, FEATURES = 6, 30.0, 3e-4, 4_000
+#: MinHash values by which the sample is rid of near copies.
+HASHES = 6
 #: Toxic words of a document that count.
 MOST_WORDS = 8
 THRESHOLD = 0.3
@@ -196,21 +200,55 @@ def _logistic(counts: dict[tuple[int, int], int]) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model:
+def _least_shingles(text: str | None) -> list[int]:
+    """HASHES MinHash values of the five-word shingles of text; fewer words count as one."""
+    words = WORDS.findall((text or "").lower())
+    points = np.fromiter((hash_bytes(w) for w in words), dtype=np.uint64, count=len(words))
+    many = np.zeros(max(1, len(points) - 4), dtype=np.uint64)
+    for i in range(min(5, len(points))):
+        many = many * np.uint64(0x9E3779B97F4A7C15) + points[i : i + len(many)]
+    many ^= many >> np.uint64(29)
+    return [int((many * np.uint64(2 * k * 0x51ED2701 + 0x2545F4914F6CDD1D)).min() >> np.uint64(1)) for k in range(HASHES)]
+
+
+def hash_bytes(word: str) -> int:
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+
+
+def _without_copies(known: DataFrame) -> set[int]:
+    """Ids of sampled rows that share no MinHash value with a row of their class and smaller id; as bounded as the sample."""
+
+    def least(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame({"id": frame["doc_id"], "toxic": frame["toxic"], "least": [_least_shingles(t) for t in frame["text"]]})
+
+    kept, seen = set(), set()
+    for row in sorted(known.mapInPandas(least, "id long, toxic int, least array<long>").collect()):
+        keys = {(row["toxic"], i, x) for i, x in enumerate(row["least"])}
+        if not keys & seen:
+            kept.add(row["id"])
+        seen |= keys
+    return kept
+
+
+def fit(docs: DataFrame, labels: DataFrame, labelled: tuple[int, int] = LABELLED) -> Model:
     """Learn from the labels of rows that aren't held out."""
     rows = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)").filter(~held_out(F.col("doc_id")))
     sums = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bits = 1 << 24
-    limit = F.create_map(*[F.lit(int(x)) for k in (0, 1) for x in (k, min(1.0, labelled / max(1, sums.get(k, 0))) * bits)])
-    # about 2 * labelled narrow rows at most, so they can be broadcast at any size of the tables
+    limit = F.create_map(*[F.lit(int(x)) for k in (0, 1) for x in (k, min(1.0, labelled[k] / max(1, sums.get(k, 0))) * bits)])
+    # about sum(labelled) narrow rows at most, so they can be broadcast at any size of the tables
     sample = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(bits)) < F.element_at(limit, F.col("toxic")))
     known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    single = _without_copies(known)
     cost = costs(character_counts(docs))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         restorer, seen = Restorer(cost), (Counter(), Counter())
         for frame in frames:
-            for text, toxic in zip(frame["text"], frame["toxic"], strict=True):
+            for doc_id, text, toxic in zip(frame["doc_id"], frame["text"], frame["toxic"], strict=True):
+                if doc_id not in single:
+                    continue
                 words = set(WORDS.findall(restorer.restored(text)))
                 seen[toxic].update({f for w in words for f in features(w)})
                 seen[toxic][""] += 1  # documents
@@ -227,16 +265,14 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model:
         share = all_a / max(1.0, all_a + all_b)
         return Model(cost, [], math.log(max(share, 1e-9) / max(1 - share, 1e-9)), 0.0)
     best = (
-        by_class.filter((F.col("feature") != "") & (F.col("a") >= LEAST_DOCS))
+        by_class.filter((F.col("feature") != "") & (F.col("a") >= LEAST_DOCS) & (F.col("b") <= CLEAN_SHARE * all_b))
         .withColumn("ratio", _ratio(F.col("a"), F.col("b"), all_a, all_b))
         .filter(F.col("ratio") >= LEAST_RATIO)
         .orderBy(F.desc("ratio"), "feature")
         .limit(FEATURES)
         .collect()
     )
-    # a feature must be nearly sure by itself, as one word may decide
-    kept = [r["feature"] for r in best if r["a"] / all_a >= 20 * (r["b"] + 0.5) / all_b]
-    model = Model(cost, kept, 0.0, 0.0)
+    model = Model(cost, [r["feature"] for r in best], 0.0, 0.0)
 
     def tally(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import curriculum, hilbert, orderhash, pieces, toxicity
+from corpusloom.llm import curriculum, hilbert, langid, orderhash, pieces, toxicity
 from corpusloom.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -19,6 +19,11 @@ def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.taken(curriculum.mix(table(spark, sf_dir, "documents"), most=3))
 
 
+def op4_nearest_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -35,6 +40,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_hilbert_shards": op2_hilbert_shards,
     "op3_curriculum_mix": op3_curriculum_mix,
+    "op4_nearest_centroid_language": op4_nearest_centroid_language,
     "op6_toxicity": op6_toxicity,
     "op9_order_minhash": op9_order_minhash,
     "op10_sentencepiece": op10_sentencepiece,

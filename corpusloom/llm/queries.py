@@ -5,12 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import curriculum, hilbert, langid, orderhash, pieces, toxicity
+from corpusloom.llm import covertree, curriculum, hilbert, langid, mainhtml, orderhash, pieces, toxicity
 from corpusloom.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mainhtml.main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.shards(table(spark, sf_dir, "documents"), 40)
 
@@ -29,6 +33,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_cover_tree_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
+
+
 def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orderhash.against_neighbours(table(spark, sf_dir, "documents"))
 
@@ -38,10 +46,12 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_main_text": op1_html_main_text,
     "op2_hilbert_shards": op2_hilbert_shards,
     "op3_curriculum_mix": op3_curriculum_mix,
     "op4_nearest_centroid_language": op4_nearest_centroid_language,
     "op6_toxicity": op6_toxicity,
+    "op7_cover_tree_duplicates": op7_cover_tree_duplicates,
     "op9_order_minhash": op9_order_minhash,
     "op10_sentencepiece": op10_sentencepiece,
 }

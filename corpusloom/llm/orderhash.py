@@ -77,7 +77,7 @@ def numbered_kmers(text: str) -> np.ndarray:
 
 
 def fingerprint(text: str) -> np.ndarray:
-    """PLACES hashes of 32 bits."""
+    """PLACES hashes of 16 bits."""
     x = numbered_kmers(text)
     n = len(x)
     short = (x >> _U(32)).astype(np.uint32)
@@ -95,7 +95,7 @@ def fingerprint(text: str) -> np.ndarray:
         for place in np.sort(np.array(places), axis=0):
             value = _mixed(value, x[place])
         out[at : at + step] = value
-    return (out >> _U(32)).astype(np.uint32)
+    return (out >> _U(48)).astype(">u2")
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -119,8 +119,8 @@ def _compared(doc_id: object, text: str, print_: np.ndarray, after: str, after_p
         doc_id,
         len(text),
         digest,
-        print_.astype(">u4").tobytes().hex(),
-        other_print.astype(">u4").tobytes().hex(),
+        print_.tobytes(),
+        other_print.tobytes(),
         likeness(print_, other_print),
         likeness(print_, after_print),
     )
@@ -132,7 +132,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            prints = [fingerprint(t or "").astype(">u4").tobytes().hex() for t in frame["text"]]
+            prints = [fingerprint(t or "").tobytes().hex() for t in frame["text"]]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "fingerprint": prints})
 
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, fingerprint string")
@@ -142,7 +142,7 @@ def against_neighbours(docs: DataFrame) -> DataFrame:
     """The contract's columns: each document against its edited text and the next one by descending doc_id."""
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    result = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    result = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
     def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None  # the row that waits for its neighbour
@@ -182,8 +182,9 @@ def against_neighbours(docs: DataFrame) -> DataFrame:
     )
     # one number for each filled partition
     parts = sorted(r["part"] for r in walked.filter(F.col("role") == "head").select("part").collect())
+    hexed = [F.lower(F.hex(c)).alias(c) if "fingerprint" in c else F.col(c) for c in _COLUMNS]
     if not parts:
-        return walked.select(*_COLUMNS)
+        return walked.select(*hexed)
     after = F.create_map(*[F.lit(x) for pair in zip(parts, parts[1:] + parts[:1], strict=True) for x in pair])
     tails = walked.filter(F.col("role") == "tail").select("doc_id", "text", F.element_at(after, F.col("part")).alias("next_part"))
     heads = walked.filter(F.col("role") == "head").select(F.col("text").alias("after"), F.col("part").alias("next_part"))
@@ -194,4 +195,4 @@ def against_neighbours(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=_COLUMNS)
 
     ends = tails.join(heads, "next_part").select("doc_id", "text", "after").mapInPandas(last, result)
-    return walked.filter(F.col("role") == "done").select(*_COLUMNS).unionByName(ends)
+    return walked.filter(F.col("role") == "done").select(*_COLUMNS).unionByName(ends).select(*hexed)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import covertree, curriculum, hilbert, langid, mainhtml, orderhash, pieces, toxicity
+from corpusloom.llm import covertree, curriculum, hilbert, jaccard, langid, mainhtml, orderhash, pieces, toxicity
 from corpusloom.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -37,6 +37,10 @@ def op7_cover_tree_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_components(table(spark, sf_dir, "documents"), 80)
+
+
 def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orderhash.against_neighbours(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op4_nearest_centroid_language": op4_nearest_centroid_language,
     "op6_toxicity": op6_toxicity,
     "op7_cover_tree_duplicates": op7_cover_tree_duplicates,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_order_minhash": op9_order_minhash,
     "op10_sentencepiece": op10_sentencepiece,
 }

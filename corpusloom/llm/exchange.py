@@ -1,10 +1,11 @@
 """Counting packed tokens: how often each token of each pack occurs in all packs.
 
 A pack is one row that stands for many documents or strings: an id and the little-endian bytes of its tokens (unsigned integers
-of 4 or 8 bytes). Tokens travel packed by hash bucket, one row for each pack and bucket instead of one for each token, are
+of 8 bytes). Tokens travel packed by hash bucket, one row for each pack and bucket instead of one for each token, are
 sorted and counted by bucket, and their counts travel back the same way, in the pack's own order. A token that stands in
 very many packs is one token in each, and each pack sends it once for each time it holds it; buckets are even
-because they are cut by hash.
+because they are cut by hash. Tokens must be hashes: their upper half deals them out, and only the lower half
+travels, so that tokens that agree in bucket and lower half count as one. A count may be too large by that, never too small.
 """
 
 from __future__ import annotations
@@ -16,31 +17,29 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of tokens that one bucket holds, about.
+#: Bytes of packed tokens for each bucket, about.
 BUCKET_BYTES = 8 << 20
 
 
 def bucket_of(tokens: np.ndarray, buckets: int) -> np.ndarray:
-    mixed = tokens.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    return ((tokens >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
 
 def buckets_for(size: int) -> int:
     return max(12, -(-size // BUCKET_BYTES))
 
 
-def token_counts(packs: DataFrame, buckets: int, width: int, kept: tuple[str, ...] = ()) -> DataFrame:
-    """packs (pack, tokens, and the columns kept) with ``counts``, uint32 bytes aligned with its tokens of ``width`` bytes."""
-    kind = f"<u{width}"
+def token_counts(packs: DataFrame, buckets: int, kept: tuple[str, ...] = ()) -> DataFrame:
+    """packs (pack, tokens, and the columns kept) with ``counts``, uint32 bytes aligned with its tokens."""
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for pack, blob in zip(frame["pack"], frame["tokens"], strict=True):
-                tokens = np.frombuffer(blob, dtype=kind)
+                tokens = np.frombuffer(blob, dtype="<u8")
                 bucket = bucket_of(tokens, buckets)
                 order = np.argsort(bucket, kind="stable")
                 cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                ordered = tokens[order]
+                ordered = tokens[order].astype("<u4")
                 filled = np.flatnonzero(np.diff(cut))
                 yield pd.DataFrame({"bucket": filled, "pack": pack, "tokens": [ordered[cut[b] : cut[b + 1]].tobytes() for b in filled]})
 
@@ -48,7 +47,7 @@ def token_counts(packs: DataFrame, buckets: int, width: int, kept: tuple[str, ..
         at, held = None, []
 
         def out() -> pd.DataFrame:
-            parts = [np.frombuffer(blob, dtype=kind) for _, blob in held]
+            parts = [np.frombuffer(blob, dtype="<u4") for _, blob in held]
             _, where, n = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
             each = np.minimum(n, 0xFFFFFFFF).astype("<u4")[where]
             ends = np.cumsum([len(p) for p in parts])
@@ -79,7 +78,7 @@ def token_counts(packs: DataFrame, buckets: int, width: int, kept: tuple[str, ..
         for frame in frames:
             counts = []
             for blob, back in zip(frame["tokens"], frame["back"], strict=True):
-                tokens = np.frombuffer(blob, dtype=kind)
+                tokens = np.frombuffer(blob, dtype="<u8")
                 out = np.zeros(len(tokens), dtype="<u4")
                 if len(tokens):
                     order = np.argsort(bucket_of(tokens, buckets), kind="stable")

@@ -50,7 +50,7 @@ def lacking(n: np.ndarray, share: int) -> np.ndarray:
 def _packs(docs: DataFrame, part: int | None) -> DataFrame:
     """Packs of documents: pack, ids, sizes (of all), a and b (signatures), held (tokens each), tokens.
 
-    With part: tokens are the halves of the hashes in it, 4 bytes each; without, all hashes, 8 bytes each."""
+    With part: tokens are the hashes in it; without, all of them."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -68,7 +68,7 @@ def _packs(docs: DataFrame, part: int | None) -> DataFrame:
                     if part is None:
                         sent = found
                     else:
-                        sent = (found[(found >> np.uint64(56)) < part] >> np.uint64(8)).astype("<u4")
+                        sent = found[(found & np.uint64(255)) < part]
                     rows.append((doc_id, len(found), *signature(found), len(sent)))
                     tokens.append(sent.tobytes())
                     total += len(sent)
@@ -104,7 +104,7 @@ def linked_components(docs: DataFrame, share: int = SHARE) -> DataFrame:
                 own = alone[ends] - alone[ends - held]
                 yield pd.DataFrame({"doc_id": _longs(row.ids), "n": n, "a": _longs(row.a), "b": _longs(row.b), "may": (n > 0) & (own <= lacking(n, share))})
 
-    counted = token_counts(packs, buckets_for(size), 4, ("ids", "sizes", "a", "b", "held"))
+    counted = token_counts(packs, buckets_for(size), ("ids", "sizes", "a", "b", "held"))
     rows = written(counted.mapInPandas(may_link, "doc_id long, n long, a long, b long, may boolean"))
 
     # 2. one document for each set
@@ -116,7 +116,7 @@ def linked_components(docs: DataFrame, share: int = SHARE) -> DataFrame:
     # 3. connected under every order
     size = sets.agg(F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0))).first()[0]
     buckets = buckets_for(size)
-    ranked = written(token_counts(sets, buckets, 8, ("ids", "sizes", "a", "b", "held")))
+    ranked = written(token_counts(sets, buckets, ("ids", "sizes", "a", "b", "held")))
 
     def prefixes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """(order, bucket, tokens, owners): the first tokens of documents under each order that another document has, too."""

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusloom.llm import covertree, curriculum, hilbert, jaccard, langid, mainhtml, orderhash, pieces, toxicity
+from corpusloom.llm import covertree, curriculum, hilbert, jaccard, langid, mainhtml, orderhash, pieces, repeats, toxicity
 from corpusloom.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -28,6 +29,11 @@ def op4_nearest_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame
     return langid.predict(docs, langid.fit(docs))
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -54,6 +60,7 @@ QUERIES = {
     "op2_hilbert_shards": op2_hilbert_shards,
     "op3_curriculum_mix": op3_curriculum_mix,
     "op4_nearest_centroid_language": op4_nearest_centroid_language,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_cover_tree_duplicates": op7_cover_tree_duplicates,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,

@@ -149,6 +149,34 @@ def in_training_order(mixed: DataFrame) -> DataFrame:
     return copies.repartitionByRange(shuffle_width(mixed.sparkSession), "position", "doc_id").sortWithinPartitions("position", "doc_id")
 
 
+def training_rows(docs: DataFrame, most: int = 3) -> DataFrame:
+    """docs with all its columns, each row as often as the mix takes it, range-sorted by training time.
+
+    Rows that repeat a doc_id, source and size are told apart by their text."""
+    key = ["_doc", "_source", "_size"]
+    rows = docs.withColumns(
+        {
+            "_doc": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+            "_source": F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null")),
+            "_size": word_count(F.col("text")),
+        }
+    ).withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy("text")))
+    times = (
+        mix(docs, most)
+        .filter("copies > 0")
+        .select(
+            F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_doc"),
+            F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null")).alias("_source"),
+            F.col("size").alias("_size"),
+            "positions",
+        )
+        .withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy("positions")))
+    )
+    copies = rows.join(times, [*key, "_n"]).withColumn("_position", F.explode("positions"))
+    width = shuffle_width(docs.sparkSession)
+    return copies.repartitionByRange(width, "_position", "_doc").sortWithinPartitions("_position", "_doc").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def taken(mixed: DataFrame) -> DataFrame:
     """The contract's columns, range-sorted by the first position; what isn't taken comes last."""
     rows = mixed.select("doc_id", "size", "source_size", "target", "taken", F.round(F.try_element_at("positions", F.lit(1)), 9).alias("first_position"))

@@ -19,7 +19,7 @@ from __future__ import annotations
 import heapq
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -219,11 +219,12 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     return narrow.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
 
 
-def digests(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The contract's columns from those of encode()."""
+def digests(encoded: DataFrame, id_col: str = "doc_id", more: Sequence[str] = ()) -> DataFrame:
+    """The contract's columns from those of encode(), and more of them."""
     return encoded.select(
         F.col(id_col),
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+        *more,
     )

@@ -1,0 +1 @@
+"""Readers and writers of ledgers, configurations, archives and landed pages."""

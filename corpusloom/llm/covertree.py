@@ -29,16 +29,29 @@ from corpusloom.llm.common import shuffle_width, written
 from corpusloom.llm.components import components, local_roots
 
 #: Points of a tree; visitors are handled in batches of as many.
-PART = 2000
+PART = 3000
 #: Pivots, at most: what is broadcast is no more than these.
 PIVOTS = 8192
 RADII = (1.0, 0.5, 0.25, 0.125, 0.0625)
+#: The level at which visitors are told apart.
+NEAR_LEVEL = 2
 #: Distances carry rounding errors, so bounds give way by so much; pairs in between are decided by their cosine.
 SLIP = 1e-7
+#: As much for products in single precision.
+ROUGH = 1e-4
 
 
 def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(0, 2 - 2 * (a @ b.T)))
+    out = a @ b.T
+    out *= -2
+    out += 2
+    return np.sqrt(np.maximum(out, 0, out=out), out=out)
+
+
+def _outline(x: np.ndarray) -> np.ndarray:
+    """The first half of each point, and the length of the rest: products of outlines are no smaller than cosines."""
+    half = max(1, x.shape[1] // 2)
+    return np.concatenate((x[:, :half], np.linalg.norm(x[:, half:], axis=1, keepdims=True)), 1).astype(np.float32)
 
 
 class Tree:
@@ -46,6 +59,7 @@ class Tree:
 
     def __init__(self, x: np.ndarray, weight: np.ndarray):
         self.x, self.weight, n = x, weight, len(x)
+        self.tops: tuple | None = None
         apart = _apart(x, x)
         parent = np.zeros(n, dtype=np.int64)
         self.label, self.reach, self.sum = [], [], []
@@ -71,6 +85,19 @@ class Tree:
         self.reach.append(reach)
         self.sum.append(total)
 
+    def near(self, x: np.ndarray, limit: float) -> np.ndarray:
+        """Which of the points x may be within limit of a point of this tree."""
+        if self.tops is None:
+            # a level whose nodes reach less far than limit, so that few points seem near that aren't
+            top = np.unique(self.label[NEAR_LEVEL])
+            bound = 1 - (limit + 2 * SLIP + self.reach[NEAR_LEVEL][top]) ** 2 / 2
+            self.tops = top, bound, _outline(self.x[top]), (bound - ROUGH).astype(np.float32)
+        top, bound, outline, rough = self.tops
+        may = (_outline(x) @ outline.T >= rough).any(axis=1)
+        at = np.flatnonzero(may)
+        may[at] = (x[at] @ self.x[top].T >= bound).any(axis=1)
+        return may
+
     def children(self, level: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The centres at the next level below nodes, and how many each node has."""
         below = np.unique(self.label[level + 1])
@@ -92,7 +119,12 @@ def linked(a: Tree, b: Tree, threshold: float) -> tuple[np.ndarray, np.ndarray,
     edges: list[tuple[np.ndarray, np.ndarray]] = []
     inner: list[tuple[np.ndarray, np.ndarray]] = []  # of a, and of b further down, among themselves
     u, v = np.unique(a.label[0]), np.unique(b.label[0])
-    u, v = np.repeat(u, len(v)), np.tile(v, len(u))
+    # the tops are many in many dimensions: one matrix product leaves out nearly all of their pairs
+    near = a.x[u] @ b.x[v].T >= 1 - (limit + 2 * SLIP + a.reach[0][u][:, None] + b.reach[0][v][None, :]) ** 2 / 2
+    if same:
+        near &= u[:, None] <= v[None, :]
+    at = np.nonzero(near)
+    u, v = u[at[0]], v[at[1]]
     last = len(RADII)
     for level in range(last + 1):
         if same:
@@ -287,6 +319,10 @@ def _linked_points(points: DataFrame, n: int, dim: int, threshold: float) -> Dat
                         continue
                     for at in range(0, len(guests), PART):
                         some = guests.iloc[at : at + PART]
+                        # most guests are far from all top nodes of the tree, and need no tree of their own
+                        some = some[home.near(points_of(some), limit)]
+                        if not len(some):
+                            continue
                         tree = Tree(points_of(some), some["weight"].to_numpy())
                         links, more, u, v = linked(home, tree, threshold)
                         yield result(np.concatenate((ids, some["id"].to_numpy())), np.concatenate((links, more)), u, v)

@@ -10,7 +10,7 @@ travels, so that tokens that agree in bucket and lower half count as one. A coun
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,13 +29,17 @@ def buckets_for(size: int) -> int:
     return max(12, -(-size // BUCKET_BYTES))
 
 
-def token_counts(packs: DataFrame, buckets: int, kept: tuple[str, ...] = ()) -> DataFrame:
-    """packs (pack, tokens, and the columns kept) with ``counts``, uint32 bytes aligned with its tokens."""
+def own_tokens(row: object) -> np.ndarray:
+    return np.frombuffer(row.tokens, dtype="<u8")
+
+
+def token_counts(packs: DataFrame, buckets: int, tokens_of: Callable[[object], np.ndarray] = own_tokens) -> DataFrame:
+    """For each pack: ``back``, the counts of its tokens by bucket, which ``placed`` puts in their order."""
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for pack, blob in zip(frame["pack"], frame["tokens"], strict=True):
-                tokens = np.frombuffer(blob, dtype="<u8")
+            for row in frame.itertuples():
+                tokens, pack = tokens_of(row), row.pack
                 bucket = bucket_of(tokens, buckets)
                 order = np.argsort(bucket, kind="stable")
                 cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -64,26 +68,19 @@ def token_counts(packs: DataFrame, buckets: int, kept: tuple[str, ...] = ()) ->
             yield out()
 
     counted = (
-        packs.select("pack", "tokens")
-        .mapInPandas(send, "bucket int, pack long, tokens binary")
+        packs.mapInPandas(send, "bucket int, pack long, tokens binary")
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
         .mapInPandas(count, "bucket int, pack long, counts binary")
     )
     # one struct for each bucket of a pack, so at most ``buckets`` of them
-    back = counted.groupBy("pack").agg(F.collect_list(F.struct("bucket", "counts")).alias("back"))
-    schema = "pack long, tokens binary, counts binary" + "".join(f", {c} {packs.schema[c].dataType.simpleString()}" for c in kept)
+    return counted.groupBy("pack").agg(F.collect_list(F.struct("bucket", "counts")).alias("back"))
 
-    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            counts = []
-            for blob, back in zip(frame["tokens"], frame["back"], strict=True):
-                tokens = np.frombuffer(blob, dtype="<u8")
-                out = np.zeros(len(tokens), dtype="<u4")
-                if len(tokens):
-                    order = np.argsort(bucket_of(tokens, buckets), kind="stable")
-                    out[order] = np.concatenate([np.frombuffer(b["counts"], dtype="<u4") for b in sorted(back, key=lambda b: b["bucket"])])
-                counts.append(out.tobytes())
-            yield frame.drop(columns="back").assign(counts=counts)[[f.split()[0] for f in schema.split(", ")]]
-
-    return packs.select("pack", "tokens", *kept).join(back, "pack", "left").mapInPandas(place, schema)
+
+def placed(tokens: np.ndarray, back: list | None, buckets: int) -> np.ndarray:
+    """The counts of tokens, in their order."""
+    out = np.zeros(len(tokens), dtype="<u4")
+    if len(tokens):
+        order = np.argsort(bucket_of(tokens, buckets), kind="stable")
+        out[order] = np.concatenate([np.frombuffer(b["counts"], dtype="<u4") for b in sorted(back, key=lambda b: b["bucket"])])
+    return out

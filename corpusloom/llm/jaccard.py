@@ -28,9 +28,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import checkpoint, shuffle_width, written
+from corpusloom.llm.common import bucketed, checkpoint, shuffle_width, written
 from corpusloom.llm.components import components, local_roots
-from corpusloom.llm.exchange import bucket_of, buckets_for, token_counts
+from corpusloom.llm.exchange import bucket_of, buckets_for, placed, token_counts
+from corpusloom.llm.packs import longs, packed, texts_of
 from corpusloom.llm.shingles import mixed, shingle_sets, signature
 
 SHARE = 80
@@ -38,8 +39,8 @@ SHARE = 80
 PART = 104
 #: Seeds of the token orders.
 ORDERS = (1, 2)
-#: Tokens of a pack of documents, and documents of a tile.
-PACK, TILE = 400_000, 1500
+#: Documents of a tile.
+TILE = 1500
 
 
 def lacking(n: np.ndarray, share: int) -> np.ndarray:
@@ -47,42 +48,12 @@ def lacking(n: np.ndarray, share: int) -> np.ndarray:
     return n - -(-n * share // 100)
 
 
-def _packs(docs: DataFrame, part: int | None) -> DataFrame:
-    """Packs of documents: pack, ids, sizes (of all), a and b (signatures), held (tokens each), tokens.
+def _sets_of(texts: list[bytes]) -> list[np.ndarray]:
+    return [found for at in range(0, len(texts), 200) for found in shingle_sets(texts[at : at + 200])]
 
-    With part: tokens are the hashes in it; without, all of them."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        number, rows, tokens, total = TaskContext.get().partitionId() << 24, [], [], 0
-
-        def out() -> pd.DataFrame:
-            ids, sizes, a, b, held = (np.array(c, dtype="<i8") for c in zip(*rows, strict=True))
-            return pd.DataFrame({"pack": [number], "ids": [ids.tobytes()], "sizes": [sizes.tobytes()], "a": [a.tobytes()], "b": [b.tobytes()], "held": [held.tobytes()], "tokens": [b"".join(tokens)]})
-
-        for frame in frames:
-            for at in range(0, len(frame), 200):
-                some = frame.iloc[at : at + 200]
-                for doc_id, found in zip(some["doc_id"], shingle_sets(some["text"].tolist()), strict=True):
-                    if part is None:
-                        sent = found
-                    else:
-                        sent = found[(found & np.uint64(255)) < part]
-                    rows.append((doc_id, len(found), *signature(found), len(sent)))
-                    tokens.append(sent.tobytes())
-                    total += len(sent)
-                    if total >= PACK or len(rows) >= 50_000:
-                        yield out()
-                        number, rows, tokens, total = number + 1, [], [], 0
-        if rows:
-            yield out()
-
-    return docs.mapInPandas(run, "pack long, ids binary, sizes binary, a binary, b binary, held binary, tokens binary")
-
-
-def _longs(blob: bytes) -> np.ndarray:
-    return np.frombuffer(blob, dtype="<i8")
+def _in_part(row: object) -> list[np.ndarray]:
+    return [found[(found & np.uint64(255)) < PART] for found in _sets_of(texts_of(row))]
 
 
 def linked_components(docs: DataFrame, share: int = SHARE) -> DataFrame:
@@ -92,38 +63,53 @@ def linked_components(docs: DataFrame, share: int = SHARE) -> DataFrame:
     named = texts.filter("doc_id is not null")
 
     # 1. who may link at all
-    packs = written(_packs(named, PART))
-    size = packs.agg(F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0))).first()[0]
+    packs, total = packed(named)
+    parts = buckets_for(total * 27 // 100)  # six bytes a word, of which PART travels in four bytes
 
     def may_link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples():
-                n, held = _longs(row.sizes), _longs(row.held)
-                alone = np.concatenate(([0], np.cumsum(np.frombuffer(row.counts, dtype="<u4") == 1)))
+                found = _sets_of(texts_of(row))
+                sent = [x[(x & np.uint64(255)) < PART] for x in found]
+                n = np.array([len(x) for x in found], dtype=np.int64)
+                held = np.array([len(x) for x in sent], dtype=np.int64)
+                a, b = zip(*map(signature, found), strict=True)
+                alone = np.concatenate(([0], np.cumsum(placed(np.concatenate(sent), row.back, parts) == 1)))
                 ends = np.cumsum(held)
-                own = alone[ends] - alone[ends - held]
-                yield pd.DataFrame({"doc_id": _longs(row.ids), "n": n, "a": _longs(row.a), "b": _longs(row.b), "may": (n > 0) & (own <= lacking(n, share))})
+                may = (n > 0) & (alone[ends] - alone[ends - held] <= lacking(n, share))
+                yield pd.DataFrame({"doc_id": longs(row.ids), "n": n, "a": a, "b": b, "may": may, "pack": row.pack, "at": np.arange(len(n))})
 
-    counted = token_counts(packs, buckets_for(size), ("ids", "sizes", "a", "b", "held"))
-    rows = written(counted.mapInPandas(may_link, "doc_id long, n long, a long, b long, may boolean"))
+    counted = packs.select("pack", "lengths", "texts")
+    counted = packs.select("pack", "ids", "lengths", "texts").join(token_counts(counted, parts, lambda row: np.concatenate(_in_part(row))), "pack", "left")
+    rows = written(counted.mapInPandas(may_link, "doc_id long, n long, a long, b long, may boolean, pack long, at int"))
 
     # 2. one document for each set
-    classes = written(rows.filter("may").groupBy("n", "a", "b").agg(F.min("doc_id").alias("rep")))
-    reps = classes.select(F.col("rep").alias("doc_id"), "n", "a", "b")
-    # a repeated doc_id may name several texts: the signature picks the right one below
-    sets = written(_packs(named.join(reps.select("doc_id").distinct(), "doc_id", "left_semi").distinct(), None))
+    first = F.min(F.struct("doc_id", "pack", "at")).alias("first")
+    classes = written(rows.filter("may").groupBy("n", "a", "b").agg(first).select("n", "a", "b", F.col("first.doc_id").alias("rep"), "first.pack", "first.at"))
+    chosen = classes.groupBy("pack").agg(F.sort_array(F.collect_list("at")).alias("chosen"))
+
+    def gather(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.itertuples():
+                texts, at = texts_of(row), np.array(row.chosen, dtype=np.int64)
+                found = _sets_of([texts[i] for i in at])
+                held = np.array([len(x) for x in found], dtype="<i8")
+                yield pd.DataFrame({"pack": [row.pack], "ids": [longs(row.ids)[at].tobytes()], "held": [held.tobytes()], "tokens": [np.concatenate(found).tobytes()]})
+
+    sets = packs.select("pack", "ids", "lengths", "texts").join(chosen, "pack").mapInPandas(gather, "pack long, ids binary, held binary, tokens binary")
+    sets = bucketed(sets, "pack")
 
     # 3. connected under every order
-    size = sets.agg(F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0))).first()[0]
-    buckets = buckets_for(size)
-    ranked = written(token_counts(sets, buckets, ("ids", "sizes", "a", "b", "held")))
+    buckets = buckets_for(sets.agg(F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0))).first()[0] // 2)
+    ranked = sets.join(token_counts(sets.select("pack", "tokens"), buckets), "pack", "left")
 
     def prefixes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """(order, bucket, tokens, owners): the first tokens of documents under each order that another document has, too."""
         for frame in frames:
             for row in frame.itertuples():
-                ids, held = _longs(row.ids), _longs(row.held)
-                tokens, counts = np.frombuffer(row.tokens, dtype="<u8"), np.frombuffer(row.counts, dtype="<u4")
+                ids, held = longs(row.ids), longs(row.held)
+                tokens = np.frombuffer(row.tokens, dtype="<u8")
+                counts = placed(tokens, row.back, buckets)
                 owner = np.repeat(np.arange(len(ids)), held)
                 first = lacking(held, share) + 1
                 rarity = np.frexp(counts.astype(np.float64))[1] * (counts > 1)
@@ -186,9 +172,9 @@ def linked_components(docs: DataFrame, share: int = SHARE) -> DataFrame:
     def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples():
-                held = _longs(row.held) * 8
+                held = longs(row.held) * 8
                 ends = np.cumsum(held)
-                yield pd.DataFrame({"doc_id": _longs(row.ids), "shingles": [row.tokens[e - h : e] for e, h in zip(ends, held, strict=True)]})
+                yield pd.DataFrame({"doc_id": longs(row.ids), "shingles": [row.tokens[e - h : e] for e, h in zip(ends, held, strict=True)]})
 
     # 4. exact overlaps
     def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -3,7 +3,7 @@
 A byte of a document goes if a string of ``LENGTH`` bytes that covers it also starts in a document with a smaller doc_id.
 Which strings of 50 bytes (windows) are repeats is found in steps, each of which only spares work:
 
-1. Texts are packed into rows of about 4 MB, a table bucketed by pack, so that what is found elsewhere joins it without
+1. Texts are packed into rows of about 2 MB, a table bucketed by pack, so that what is found elsewhere joins it without
    moving texts again. In each window the 24-gram with the least hash is its anchor. Equal windows have equal anchors at equal
    places, so a window whose anchor no other document has isn't repeated. Anchors are counted over all packs.
 2. The windows that share one anchor make a context, the bytes that these windows cover. Contexts are known by 128 bits of
@@ -20,23 +20,24 @@ null doc_id lose nothing and are nobody's earlier document. An empty table gives
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import written
-from corpusloom.llm.exchange import buckets_for, token_counts
+from corpusloom.llm.exchange import buckets_for, placed, token_counts
+from corpusloom.llm.packs import longs, packed
 from corpusloom.llm.shingles import mixed
 
-LENGTH, GRAM = 50, 24
-PACK_BYTES = 4 << 20
-#: Bytes of a bucket of the table of packs, of a suffix array, and contexts of one anchor that stay together.
-TABLE_BYTES, SHARD_BYTES, TOGETHER = 24 << 20, 1 << 20, 20_000
+LENGTH, GRAM, SIDE = 50, 24, 13
+SLICE_BYTES = 1 << 18
+#: Bytes of a suffix array, and contexts of one anchor that stay together.
+SHARD_BYTES, TOGETHER = 1 << 20, 20_000
 _U = np.uint64
 _A, _B = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
 ALONE, REPEATED, OPEN, SPREAD = 0, 1, 2, 3
@@ -51,24 +52,37 @@ def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of the GRAM bytes from each position on."""
+def gram_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of the GRAM bytes from each position on, and one of eight bytes."""
     h1 = data.astype(np.uint64) + _U(1)
     h2 = _joined(h1[:-1], h1[1:])
     h4 = _joined(h2[:-2], h2[2:])
     h8 = _joined(h4[:-4], h4[4:])
     h16 = _joined(h8[:-8], h8[8:])
-    return mixed(_joined(h16[: len(data) - GRAM + 1], h8[16 : 16 + len(data) - GRAM + 1]))
+    return mixed(_joined(h16[: len(data) - GRAM + 1], h8[16 : 16 + len(data) - GRAM + 1])), h8
 
 
 def anchors(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
     """For texts one after another in data: runs of windows with one anchor.
 
-    Gives the first window's start, the number of windows, the text's number, the anchor's hash, the context's hash."""
+    Gives the first window's start, the number of windows, the text's number, the anchor's hash, the context's hash, and a
+    hash of the SIDE bytes before the anchor and of those after it. (All windows hold the anchor, and SIDE bytes before or after
+    it.) Texts are worked through some at a time, so that what is held besides stays small."""
+    ends = np.cumsum(lengths)
+    cut = np.unique(np.concatenate(([0], np.flatnonzero(np.diff(ends // SLICE_BYTES)) + 1, [len(lengths)])))
+    parts = []
+    for a, b in zip(cut[:-1], cut[1:], strict=True):
+        at = int(ends[a] - lengths[a])
+        first, many, text, *hashes = _anchors(data[at : int(ends[b - 1])], lengths[a:b])
+        parts.append((first + at, many, text + a, *hashes))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else _anchors(data[:0], lengths)
+
+
+def _anchors(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
     none = np.zeros(0, dtype=np.int64)
     if len(data) < LENGTH:
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
-    h = gram_hashes(data)
+        return none, none, none, *[none.astype(np.uint64)] * 4
+    h, h8 = gram_hashes(data)
     bits = _U(max(24, len(h).bit_length()))
     low = (_U(1) << bits) - _U(1)
     least = (h & ~low) | np.arange(len(h), dtype=np.uint64)
@@ -91,7 +105,12 @@ def anchors(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
     context = h[first] * _A + h[first + GRAM] * _B
     context = mixed(context) + h[np.minimum(first + 2 * GRAM, tail)] * _A
     context = mixed(context) + h[tail] * _B + (many * 64 + (at - first)).astype(np.uint64)
-    return first, many, text[first], h[at], mixed(context)
+    context = mixed(context)
+    # a side that the context doesn't reach SIDE bytes of is like no other
+    left = np.where(at - first >= SIDE, _joined(h8[np.maximum(at - SIDE, 0)], h8[np.maximum(at - 8, 0)]), context)
+    after = np.minimum(at + GRAM, len(h8) - 1)
+    right = np.where(end - at - GRAM >= SIDE, _joined(h8[after], h8[np.minimum(after + SIDE - 8, len(h8) - 1)]), context)
+    return first, many, text[first], h[at], context, left, right
 
 
 # ---------------------------------------------------------------- suffix arrays
@@ -131,29 +150,41 @@ def suffix_array(data: np.ndarray, depth: int = LENGTH) -> np.ndarray:
 
 
 def common_prefixes(data: np.ndarray, order: np.ndarray, depth: int = LENGTH) -> np.ndarray:
-    """Kasai: how much each suffix has in common with the one before it in order, counted up to depth."""
-    n, text = len(data), data.tobytes()
-    place = np.empty(n, dtype=np.int64)
-    place[order] = np.arange(n)
-    before = np.append(order, -1)[place - 1].tolist()
-    place = place.tolist()
-    out, k, j = np.zeros(n, dtype=np.int64), 0, -1
-    for i in range(n):
-        # one less than the text position before had, if the order, cut at depth, has the two the same way round here
-        if j < 0 or j + 1 >= n or place[j + 1] > place[i]:
-            k = 0
-        j = before[i]
-        if j < 0:
-            continue
-        most = min(depth, n - max(i, j))
-        if k < most and text[i : i + most] == text[j : j + most]:
-            k = most
-        else:
-            while k < most and text[i + k] == text[j + k]:
-                k += 1
-        out[i] = k
-        k = max(0, k - 1)
-    return out[order]
+    """Kasai: how much each suffix has in common with the one before it in order, counted up to depth.
+
+    Where a text position has the same neighbour as the position before, both one further on, it has one less in common, unless
+    that had nothing. So of such a run only the first is compared, eight bytes at a time and as far as the run needs it, and
+    then the first one past the place where they differ; all runs go along together."""
+    n = len(data)
+    before = np.empty(n, dtype=np.int64)
+    before[order] = np.concatenate(([-1], order[:-1]))
+    padded = np.concatenate((data, np.zeros(depth + 8, dtype=np.uint8))).astype(np.uint64)
+    word = np.zeros(n + depth, dtype=np.uint64)
+    for i in range(8):
+        word = word << _U(8) | padded[i : i + n + depth]
+    out = np.zeros(n, dtype=np.int64)
+    first = np.flatnonzero(np.concatenate(([True], (before[1:] != before[:-1] + 1) | (before[:-1] < 0))))
+    run = np.diff(np.append(first, n))
+    while len(first):
+        a, b = first, before[first]
+        far = np.where(b >= 0, np.minimum(run + depth, n - np.maximum(a, b)), 0)
+        common = np.zeros(len(first), dtype=np.int64)
+        going = np.flatnonzero(far > 0)
+        while len(going):
+            off = word[a[going] + common[going]] ^ word[b[going] + common[going]]
+            same = np.full(len(going), 8)
+            for k in range(8):
+                same -= off >= _U(1 << (8 * k))
+            common[going] += same
+            going = going[(same == 8) & (common[going] < far[going])]
+        common = np.minimum(common, far)
+        # positions up to the place where they differ
+        known = np.minimum(run, common + 1)
+        at = np.repeat(first - (np.cumsum(known) - known), known) + np.arange(known.sum())
+        out[at] = np.repeat(common, known) - (at - np.repeat(first, known))
+        rest = run > known
+        first, run = (first + known)[rest], (run - known)[rest]
+    return np.clip(out, 0, depth)[order]
 
 
 def shard_windows(contexts: list[bytes], owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -196,49 +227,11 @@ def merged_least(shards: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray
 # ---------------------------------------------------------------- the job
 
 
-def _packed(docs: DataFrame) -> tuple[DataFrame, int]:
-    """The table of packs (pack, ids, lengths, texts, rest) and the bytes of all texts. rest holds the other columns."""
-    spark = docs.sparkSession
-    total = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
-    ordered = docs.select("doc_id", "text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        number = TaskContext.get().partitionId() << 24
-        for batch in batches:
-            texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
-            rest = batch.select([i for i in range(batch.num_columns) if i != 1])
-            start, size = 0, 0
-            for i, text in enumerate(texts):
-                size += len(text)
-                if size >= PACK_BYTES or i == len(texts) - 1:
-                    some = texts[start : i + 1]
-                    ids = rest.column(0).slice(start, i + 1 - start).cast(pa.int64())
-                    sink = pa.BufferOutputStream()
-                    with pa.ipc.new_stream(sink, rest.schema) as stream:
-                        stream.write_batch(rest.slice(start, i + 1 - start))
-                    # a null id comes after all others, where it takes nothing from them
-                    known = np.array([x if x is not None else np.iinfo(np.int64).max for x in ids.to_pylist()], dtype="<i8")
-                    row = {"pack": [number], "ids": [known.tobytes()], "lengths": [np.array([len(t) for t in some], dtype="<i8").tobytes()], "texts": [b"".join(some)], "rest": [sink.getvalue().to_pybytes()]}
-                    yield pa.RecordBatch.from_pydict(row, schema=pa.schema([("pack", pa.int64()), *((c, pa.binary()) for c in ("ids", "lengths", "texts", "rest"))]))
-                    number, start, size = number + 1, i + 1, 0
-
-    packs = ordered.mapInArrow(run, "pack long, ids binary, lengths binary, texts binary, rest binary")
-    name = f"corpusloom_{uuid.uuid4().hex}"
-    packs.write.bucketBy(max(12, -(-total // TABLE_BYTES)), "pack").option("compression", "zstd").saveAsTable(name)
-    return spark.table(name), total
-
-
-def _longs(blob: bytes) -> np.ndarray:
-    return np.frombuffer(blob, dtype="<i8")
-
-
 def _anchored(row: object) -> tuple[np.ndarray, ...]:
     """anchors() of a pack, without those of documents without an id."""
-    first, many, text, f, c = anchors(np.frombuffer(row.texts, dtype=np.uint8), _longs(row.lengths))
-    named = _longs(row.ids)[text] < np.iinfo(np.int64).max
-    return first[named], many[named], text[named], f[named], c[named]
+    found = anchors(np.frombuffer(row.texts, dtype=np.uint8), longs(row.lengths))
+    named = longs(row.ids)[found[2]] < np.iinfo(np.int64).max
+    return tuple(x[named] for x in found)
 
 
 def _dealt(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -262,14 +255,14 @@ def _by_key(frames: Iterator[pd.DataFrame], key: str) -> Iterator[tuple[int, lis
         yield at, held
 
 
-def _removed(docs: DataFrame) -> DataFrame:
-    """Packs with ``cover``, a bit for each byte of texts that is to go."""
-    packs, total = _packed(docs)
+def _judged(docs: DataFrame) -> tuple[DataFrame, Callable[[object], np.ndarray]]:
+    """Packs with all that was found of them, and a function that says of such a row which bytes are to go."""
+    packs, total = packed(docs)
 
     # 1. anchors that stand in several places
-    def grams_of(row: object) -> tuple[np.ndarray, np.ndarray]:
-        """The pack's different anchors, and which of them several of its documents have."""
-        _, _, text, f, _ = _anchored(row)
+    def grams_of(found_: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+        """A pack's different anchors, and which of them several of its documents have."""
+        text, f = found_[2], found_[3]
         order = np.lexsort((text, f))
         f, text = f[order], text[order]
         new = np.concatenate(([True], f[1:] != f[:-1])) if len(f) else np.zeros(0, dtype=bool)
@@ -277,27 +270,23 @@ def _removed(docs: DataFrame) -> DataFrame:
         several = text[start] != text[np.append(start[1:], len(f)) - 1] if len(f) else new
         return f[start], several
 
-    def tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples():
-                found, _ = grams_of(row)
-                yield pd.DataFrame({"pack": [row.pack], "tokens": [found.tobytes()]})
-
     anchor_bytes = total // 3
     buckets = buckets_for(anchor_bytes)
-    found = written(packs.select("pack", "ids", "lengths", "texts").mapInPandas(tokens, "pack long, tokens binary"))
-    counted = token_counts(found, buckets).select("pack", "tokens", "counts")
+    own = packs.select("pack", "ids", "lengths", "texts")
+    counted = token_counts(own, buckets, lambda row: grams_of(_anchored(row))[0])
+
+    def anchor_bucket(f: np.ndarray) -> np.ndarray:
+        return ((f >> _U(33)) % _U(buckets)).astype(np.int64)
 
     # 2. contexts: what stays of each pack, and what it sends
     def contexts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples():
-                first, many, text, f, c = _anchored(row)
-                known, counts = np.frombuffer(row.tokens, dtype="<u8"), np.frombuffer(row.counts, dtype="<u4")
-                _, several = grams_of(row)
-                shared = ((counts > 1) | several)[np.searchsorted(known, f)] if len(f) else np.zeros(0, dtype=bool)
-                first, many, f, c = first[shared], many[shared], f[shared], c[shared]
-                doc = _longs(row.ids)[text[shared]]
+                first, many, text, f, c, left, right = found_ = _anchored(row)
+                known, several = grams_of(found_)
+                shared = ((placed(known, row.back, buckets) > 1) | several)[np.searchsorted(known, f)] if len(f) else np.zeros(0, dtype=bool)
+                first, many, f, c, left, right = (x[shared] for x in (first, many, f, c, left, right))
+                doc = longs(row.ids)[text[shared]]
                 order = np.lexsort((doc, c, f))
                 fo, co, do = f[order], c[order], doc[order]
                 new = np.concatenate(([True], (fo[1:] != fo[:-1]) | (co[1:] != co[:-1]))) if len(fo) else np.zeros(0, dtype=bool)
@@ -308,20 +297,22 @@ def _removed(docs: DataFrame) -> DataFrame:
                 # a later document of this pack has all of it from an earlier one of this pack
                 later = doc > least[entry] if len(fo) else np.zeros(0, dtype=bool)
                 yield pd.DataFrame(
-                    {"bucket": [-1], "pack": [row.pack], "x": [np.stack((first, many, entry, later.astype(np.int64))).astype("<i8").tobytes()], "y": [least.astype("<i8").tobytes()]}
+                    {"bucket": [-1], "pack": [row.pack], "x": [np.stack((first, many, entry, later.astype(np.int64))).astype("<i4").tobytes()], "y": [np.stack((least, fo[start].astype(np.int64))).astype("<i8").tobytes()]}
                 )
-                bucket = ((fo[start] >> _U(33)) % _U(buckets)).astype(np.int64)
-                for b, some in _dealt(bucket, buckets):
+                sides = [(x[order][start] >> _U(32)).astype("<u4") for x in (left, right)]
+                for b, some in _dealt(anchor_bucket(fo[start]), buckets):
                     at = start[some]
-                    yield pd.DataFrame({"bucket": [b], "pack": [row.pack], "x": [np.stack((fo[at], co[at], do[at].astype(np.uint64), some.astype(np.uint64))).astype("<u8").tobytes()], "y": [b""]})
+                    x = np.stack((fo[at], co[at], do[at].astype(np.uint64))).astype("<u8")
+                    yield pd.DataFrame({"bucket": [b], "pack": [row.pack], "x": [x.tobytes()], "y": [np.stack([side[some] for side in sides]).tobytes()]})
 
     shape = "bucket int, pack long, x binary, y binary"
-    sent = written(packs.select("pack", "ids", "lengths", "texts").join(counted, "pack").mapInPandas(contexts, shape))
+    sent = written(own.join(counted, "pack", "left").mapInPandas(contexts, shape))
 
     def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, rows in _by_key(frames, "bucket"):
-            parts = [np.frombuffer(r.x, dtype="<u8").reshape(4, -1) for r in rows]
-            f, c, doc, entry = np.concatenate(parts, axis=1)
+            parts = [np.frombuffer(r.x, dtype="<u8").reshape(3, -1) for r in rows]
+            f, c, doc = np.concatenate(parts, axis=1)
+            sides = np.concatenate([np.frombuffer(r.y, dtype="<u4").reshape(2, -1) for r in rows], axis=1).astype(np.uint64)
             doc = doc.astype(np.int64)
             order = np.lexsort((doc, c, f))
             fo, co, do = f[order], c[order], doc[order]
@@ -330,29 +321,38 @@ def _removed(docs: DataFrame) -> DataFrame:
             start = np.flatnonzero(new)
             least = do[start][np.cumsum(new) - 1]
             of_f = np.cumsum(new_f) - 1
-            different = np.bincount(of_f[start])[of_f]
-            status = np.where(least < do, REPEATED, np.where(different < 2, ALONE, np.where(different <= TOGETHER, OPEN, SPREAD)))
+            # two contexts of one anchor may have windows in common if they are alike on one side of it
+            alike = np.zeros(len(start), dtype=bool)
+            for side in sides:
+                key = mixed(side[order][start]) + of_f[start].astype(np.uint64) * _A
+                _, which, n = np.unique(key, return_inverse=True, return_counts=True)
+                alike |= n[which] > 1
+            different = np.bincount(of_f[start][alike], minlength=of_f[-1] + 1)[of_f]
+            alike = alike[np.cumsum(new) - 1]
+            status = np.where(least < do, REPEATED, np.where(~alike, ALONE, np.where(different <= TOGETHER, OPEN, SPREAD)))
             back = np.empty(len(f), dtype=np.uint8)
             back[order] = status
             at = 0
             for r, part in zip(rows, parts, strict=True):
                 n = part.shape[1]
-                yield pd.DataFrame({"pack": [r.pack], "x": [entry[at : at + n].astype("<u4").tobytes()], "y": [back[at : at + n].tobytes()], "open": [int((back[at : at + n] >= OPEN).sum())]})
+                yield pd.DataFrame({"bucket": [r.bucket], "pack": [r.pack], "y": [back[at : at + n].tobytes()], "open": [int((back[at : at + n] >= OPEN).sum())]})
                 at += n
 
     judged = written(
-        sent.filter("bucket >= 0").repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(judge, "pack long, x binary, y binary, open long")
+        sent.filter("bucket >= 0").repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(judge, "bucket int, pack long, y binary, open long")
     )
     many_open = judged.agg(F.coalesce(F.sum("open"), F.lit(0))).first()[0]
     shards = max(12, -(-many_open * 64 // (4 * SHARD_BYTES)))
     state = sent.filter("bucket < 0").select("pack", F.col("x").alias("runs"), F.col("y").alias("least"))
-    verdicts = judged.groupBy("pack").agg(F.collect_list(F.struct("x", "y")).alias("verdicts"))
+    verdicts = judged.groupBy("pack").agg(F.collect_list(F.struct("bucket", "y")).alias("verdicts"))
 
     def status_of(row: object) -> tuple[np.ndarray, ...]:
-        first, many, entry, later = np.frombuffer(row.runs, dtype="<i8").reshape(4, -1)
-        status = np.zeros(len(row.least) // 8, dtype=np.uint8)
-        for v in row.verdicts if row.verdicts is not None else ():
-            status[np.frombuffer(v["x"], dtype="<u4")] = np.frombuffer(v["y"], dtype=np.uint8)
+        first, many, entry, later = np.frombuffer(row.runs, dtype="<i4").reshape(4, -1).astype(np.int64)
+        status = np.zeros(len(row.least) // 16, dtype=np.uint8)
+        if len(status):
+            by_bucket = {v["bucket"]: v["y"] for v in row.verdicts}
+            for b, some in _dealt(anchor_bucket(longs(row.least).reshape(2, -1)[1].astype(np.uint64)), buckets):
+                status[some] = np.frombuffer(by_bucket[b], dtype=np.uint8)
         return first, many, entry, later.astype(bool), status
 
     # 3. surroundings that differ, window by window
@@ -365,17 +365,17 @@ def _removed(docs: DataFrame) -> DataFrame:
                     continue
                 where = np.full(len(status), -1)
                 where[entry[::-1]] = np.arange(len(entry))[::-1]
-                least = _longs(row.least)
-                data = np.frombuffer(row.texts, dtype=np.uint8)
-                h = gram_hashes(data)
+                least, anchor = longs(row.least).reshape(2, -1)
                 spread = status[open_] == SPREAD
                 # a whole context by its anchor, which is what its windows have in common; or each window by itself
                 whole, single = open_[~spread], open_[spread]
                 start, n = first[where[whole]], many[where[whole]]
-                s1 = np.repeat(first[where[single]], many[where[single]]) + (np.arange(many[where[single]].sum()) - np.repeat(np.cumsum(many[where[single]]) - many[where[single]], many[where[single]]))
-                key = np.concatenate((_anchor_at(h, start), _joined(h[s1], h[s1 + LENGTH - GRAM])))
+                parts = many[where[single]]
+                s1 = np.repeat(first[where[single]] - (np.cumsum(parts) - parts), parts) + np.arange(parts.sum())
+                by_window = [xxhash.xxh64_intdigest(row.texts[x : x + LENGTH]) for x in s1.tolist()]
+                key = np.concatenate((anchor[whole].astype(np.uint64), np.array(by_window, dtype=np.uint64)))
                 start, n = np.concatenate((start, s1)), np.concatenate((n, np.ones(len(s1), dtype=np.int64)))
-                owner = np.concatenate((whole, np.repeat(single, many[where[single]])))
+                owner = np.concatenate((whole, np.repeat(single, parts)))
                 offset = start - first[where[owner]]
                 for b, some in _dealt((mixed(key) % _U(shards)).astype(np.int64), shards):
                     pieces = [row.texts[s : s + m + LENGTH - 1] for s, m in zip(start[some].tolist(), n[some].tolist(), strict=True)]
@@ -415,63 +415,49 @@ def _removed(docs: DataFrame) -> DataFrame:
     )
     hits = compared.groupBy("pack").agg(F.collect_list("x").alias("hits"))
 
-    def cover(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for row in frame.itertuples():
-                first, many, entry, later, status = status_of(row)
-                change = np.zeros(len(row.texts) + 1, dtype=np.int64)
-                whole = later | (status[entry] == REPEATED) if len(entry) else later
-                np.add.at(change, first[whole], 1)
-                np.add.at(change, first[whole] + many[whole] + LENGTH - 1, -1)
-                if row.hits is not None and len(row.hits):
-                    owner, at = np.concatenate([np.frombuffer(x, dtype="<i8").reshape(2, -1) for x in row.hits], axis=1)
-                    # every place of the context in its first document
-                    order = np.argsort(entry, kind="stable")
-                    low, high = np.searchsorted(entry[order], owner), np.searchsorted(entry[order], owner, side="right")
-                    n = high - low
-                    run = order[np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-                    start = first[run] + np.repeat(at, n)
-                    np.add.at(change, start, 1)
-                    np.add.at(change, start + LENGTH, -1)
-                out.append(np.packbits(np.cumsum(change[:-1]) > 0).tobytes())
-            yield frame[["pack", "ids", "lengths", "texts", "rest"]].assign(cover=out)
-
-    full = packs.join(state, "pack").join(verdicts, "pack", "left").join(hits, "pack", "left")
-    return full.mapInPandas(cover, "pack long, ids binary, lengths binary, texts binary, rest binary, cover binary")
-
-
-def _anchor_at(h: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """The hash of the anchor of the windows at start, found as anchors() does."""
-    bits = _U(max(24, len(h).bit_length()))
-    low = (_U(1) << bits) - _U(1)
-    around = start[:, None] + np.arange(LENGTH - GRAM + 1)[None, :]
-    if not len(start):
-        return h[:0]
-    least = ((h[around] & ~low) | around.astype(np.uint64)).min(axis=1)
-    return h[(least & low).astype(np.int64)]
+    def gone(row: object) -> np.ndarray:
+        """Which bytes of a pack's texts are to go."""
+        first, many, entry, later, status = status_of(row)
+        change = np.zeros(len(row.texts) + 1, dtype=np.int32)
+        whole = later | (status[entry] == REPEATED)
+        np.add.at(change, first[whole], 1)
+        np.add.at(change, first[whole] + many[whole] + LENGTH - 1, -1)
+        if row.hits is not None and len(row.hits):
+            owner, at = np.concatenate([np.frombuffer(x, dtype="<i8").reshape(2, -1) for x in row.hits], axis=1)
+            # every place of the context in its first document
+            order = np.argsort(entry, kind="stable")
+            low, high = np.searchsorted(entry[order], owner), np.searchsorted(entry[order], owner, side="right")
+            n = high - low
+            run = order[np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            start = first[run] + np.repeat(at, n)
+            np.add.at(change, start, 1)
+            np.add.at(change, start + LENGTH, -1)
+        return np.cumsum(change[:-1], dtype=np.int32) > 0
+
+    return packs.join(state, "pack").join(verdicts, "pack", "left").join(hits, "pack", "left"), gone
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept (binary, the bytes that stay)."""
 
+    packs, gone = _judged(docs.select("doc_id", "text"))
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples():
-                ids, length = _longs(row.ids), _longs(row.lengths)
-                removed, spans, kept = _cut(row)
+                ids, length = longs(row.ids), longs(row.lengths)
+                removed, spans, kept = _cut(row, gone(row))
                 yield pd.DataFrame(
                     {"doc_id": pd.array(ids, dtype="Int64"), "n_bytes": length, "n_removed": removed, "n_spans": spans, "kept": kept}
                 ).assign(doc_id=lambda d, ids=ids: d["doc_id"].mask(ids == np.iinfo(np.int64).max))
 
-    return _removed(docs.select("doc_id", "text")).mapInPandas(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return packs.mapInPandas(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
-def _cut(row: object) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def _cut(row: object, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """For each text of a pack: bytes removed, runs of them, and what is kept."""
-    length = _longs(row.lengths)
+    length = longs(row.lengths)
     data = np.frombuffer(row.texts, dtype=np.uint8)
-    gone = np.unpackbits(np.frombuffer(row.cover, dtype=np.uint8), count=len(data)).astype(bool)
     ends = np.cumsum(length)
     starts = ends - length
     begins = gone & ~np.concatenate(([False], gone[:-1]))
@@ -485,14 +471,15 @@ def _cut(row: object) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """docs with all its columns, and the repeated bytes cut out of text; characters that are cut in two go wholly."""
     columns = docs.columns
+    packs, gone = _judged(docs)
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames:
             for row in pd.DataFrame(batch.to_pydict()).itertuples():
                 rest = pa.ipc.open_stream(row.rest).read_all().combine_chunks()
-                _, _, kept = _cut(row)
+                _, _, kept = _cut(row, gone(row))
                 text = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
                 arrays = [text if c == "text" else rest.column(c).combine_chunks() for c in columns]
                 yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    return _removed(docs).mapInArrow(run, docs.schema)
+    return packs.mapInArrow(run, docs.schema)

@@ -26,9 +26,10 @@ def _inverse(odd: int) -> int:
 _INVERSE = _U(_inverse(int(_BASE)))
 
 
-def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+def shingle_sets(texts: list[str | bytes | None]) -> list[np.ndarray]:
     """For each text its distinct shingles, sorted; the whole sequence of fewer than WIDTH words is one."""
-    data = b" ".join((t or "").encode("utf-8", "surrogatepass").translate(_BYTES).replace(b"\0", b"\1\1") + b" \0" for t in texts)
+    coded = (t if isinstance(t, bytes) else (t or "").encode("utf-8", "surrogatepass") for t in texts)
+    data = b" ".join(t.translate(_BYTES).replace(b"\0", b"\1\1") + b" \0" for t in coded)
     raw = np.frombuffer(b" " + data + b" ", dtype=np.uint8)
     inside = raw != 32
     start, end = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1, np.flatnonzero(inside[:-1] & ~inside[1:]) + 1

@@ -5,7 +5,7 @@ their names, classes and ids; a tag costs something. The weights are log odds of
 on the small labelled pages below (``LABELLED``); an element that these know as boilerplate keeps its words negative whatever
 surrounds it. One linear scan finds the contiguous run of items with the largest sum. Inside this run, the blocks that
 score negative by themselves (an advert in an article) are left out; so that a long one can't part an article in two, a
-boilerplate block costs no more than ``BRIDGE``.
+boilerplate block costs no more than ``BRIDGE``, and ``INSIDE`` where an element around it holds main text.
 
 Scripts, styles and comments are no words. White space inside a block becomes one space, character references are decoded,
 blocks are joined by a line feed. Null and empty pages and pages without positive words have the empty text. Malformed
@@ -43,7 +43,7 @@ INLINE = frozenset(
 #: A block that is open ends with the start of another one.
 ENDS_ITSELF = frozenset("p li dt dd tr td th option".split())
 
-WORD, NEUTRAL, TAG_COST, BRIDGE, SURE = 1.0, 0.25, 0.05, 4.0, 1.0
+WORD, NEUTRAL, TAG_COST, BRIDGE, INSIDE, SURE = 1.0, 0.25, 0.05, 4.0, 0.5, 1.0
 MOST = 3.0
 
 #: Labelled pages: words in elements with the attribute data-main are main text unless a data-rest comes between.
@@ -142,7 +142,8 @@ def extract(html: str | None) -> str:
                 _, least, most = open_[-1] if open_ else ("", 0.0, 0.0)
                 words = joined.count(" ") + 1
                 each = least if least <= -SURE else WORD if most >= SURE else NEUTRAL
-                blocks.append([joined, max(words * each, -BRIDGE) if each < 0 else words * each, cost])
+                least_score = -INSIDE if most >= SURE else -BRIDGE
+                blocks.append([joined, max(words * each, least_score) if each < 0 else words * each, cost])
                 cost = 0.0
 
     for kind, name, attributes, data in items(html):

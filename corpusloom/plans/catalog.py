@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import detectors as D
 from corpusloom.functions import packing as P
 from corpusloom.functions import text as T
-from corpusloom.operators import gates, ledger, pages, similarity
+from corpusloom.operators import gates, ledger, pages, similarity, translate
 
 
 
@@ -326,6 +326,12 @@ def tfidf_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.aligned(anchors, paragraphs).withColumn("similarity", F.round("similarity", 6))
 
 
+def translate_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents cut into pieces, through a translator that changes nothing, and put together again."""
+    units = _table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("source"))
+    return translate.translated(units, ["doc_id"], [translate.echo]).select("doc_id", T.sha(T.known(F.col("translation"))).alias("translation_sha256"))
+
+
 def bin_pack_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.parts(_table(spark, sf_dir, "documents"), "source", "doc_id", "n_chars", 50_000)
 
@@ -351,7 +357,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         assemble_units, missing_units, overlay_corrections, override_violations, fallback_coalesce, longest_ledger, conflict_units, duplicate_keys,
         roster_partition, prefix_children, terminal_pages, natural_title_order, best_candidate, source_scoring, end_marker_skip, marker_groups,
         ledger_latest, retry_pending, ledger_digest, gate_rollup, ngram_copy, link_scrape, resume_check, shard_plan, shard_jobs, unchanged_similarity,
-        repeated_adjacent, collapse_repeats, segments, page_units, tfidf_align, bin_pack_parts, incremental_overlay,
+        repeated_adjacent, collapse_repeats, segments, page_units, tfidf_align, translate_roundtrip, bin_pack_parts, incremental_overlay,
     )
 } | {
     "normalized_key": _documents(lambda: T.sha(T.normalized(_text())).alias("key")),

@@ -184,5 +184,6 @@ ORACLES = {
     "gate_rollup": "WITH e AS (SELECT d.source AS rank, CASE WHEN l.quality = 1 THEN 'PASS' ELSE 'FAIL' END AS state, l.toxic = 0 AS bound, CASE WHEN d.doc_id % 2 = 0 THEN 'even' ELSE 'odd' END AS gate FROM documents d JOIN labels l USING (doc_id)), g AS (SELECT rank, gate, CASE WHEN bool_and(state = 'PASS') THEN 'PASS' ELSE 'FAIL' END AS state, bool_or(bound) AS bound FROM e GROUP BY rank, gate) SELECT rank, count(DISTINCT CASE WHEN state = 'PASS' AND bound THEN gate END) AS n_passed, CASE WHEN bool_and(state = 'PASS' AND bound) AND count(DISTINCT CASE WHEN state = 'PASS' AND bound THEN gate END) = 2 THEN 'PASS' ELSE 'FAIL' END AS state FROM g GROUP BY rank",
     "ngram_copy": f"WITH d AS (SELECT doc_id AS id, {tokens('text')} AS t FROM documents), b AS (SELECT item_id AS id, {tokens('text')} AS t FROM benchmark), dg AS (SELECT DISTINCT id, array_to_string(t[i:i + 4], ' ') AS g FROM d, LATERAL (SELECT unnest(generate_series(1, len(t) - 4)) AS i) s), bg AS (SELECT DISTINCT id, array_to_string(t[i:i + 4], ' ') AS g FROM b, LATERAL (SELECT unnest(generate_series(1, len(t) - 4)) AS i) s) SELECT dg.id AS doc_id, bg.id AS item_id, count(*) AS grams FROM dg JOIN bg USING (g) GROUP BY 1, 2",
     "link_scrape": "SELECT page_id, len(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) AS n_links, array_to_string(list_distinct_ordered, ',') AS links FROM (SELECT page_id, html, regexp_extract_all(html, 'href=\"([^\"]*)\"', 1) AS list_distinct_ordered FROM pages)",
+    "translate_roundtrip": f"WITH c AS (SELECT doc_id, regexp_replace({stripped('text')}, '[ \\t]+', ' ', 'g') AS t FROM documents) SELECT doc_id, sha256(CASE WHEN length(t) <= 700 THEN t ELSE trim(regexp_replace(t, '\\s+', ' ', 'g')) END) AS translation_sha256 FROM c",
     "resume_check": f"WITH {PAIRS}, a AS (SELECT rank * 1000 + ordinal AS id, sha256(source) AS h FROM bound WHERE rank % 9 <> 0), b AS (SELECT rank * 1000 + ordinal AS id, sha256(CASE WHEN ordinal % 4 = 1 THEN trim(source) || '.' ELSE source END) AS h FROM bound WHERE rank % 10 <> 0) SELECT coalesce(a.id, b.id) AS id FROM a FULL JOIN b ON a.id = b.id WHERE a.h IS DISTINCT FROM b.h",
 }

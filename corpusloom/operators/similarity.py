@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from corpusloom.functions.text import known, normalized, sentences, spaced, stripped
+from corpusloom.operators.lineage import kept
 
 
 @F.pandas_udf(DoubleType())
@@ -113,17 +114,18 @@ def tfidf(texts: DataFrame, group: str, key: str, text: str) -> DataFrame:
     grams = texts.select(group, key, F.explode(char_grams(F.col(text))).alias("gram"))
     tf = grams.groupBy(group, key, "gram").agg(F.count("*").alias("tf"))
     n = texts.groupBy(group).agg(F.count("*").alias("n"))
-    df = tf.groupBy(group, "gram").agg(F.count("*").alias("df"))
-    raw = tf.join(df, [group, "gram"]).join(n, group).withColumn("raw", F.col("tf") * (F.ln((F.lit(1) + F.col("n")) / (F.lit(1) + F.col("df"))) + 1))
-    length = raw.groupBy(group, key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
-    return raw.join(length, [group, key]).select(group, key, "gram", (F.col("raw") / F.col("length")).alias("weight"))
+    df = F.count("*").over(Window.partitionBy(group, "gram"))
+    idf = F.ln((F.lit(1) + F.col("n")) / (F.lit(1) + F.col("df"))) + 1
+    raw = tf.withColumn("df", df).join(n, group).withColumn("raw", F.col("tf") * idf)
+    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(group, key)))
+    return raw.select(group, key, "gram", (F.col("raw") / length).alias("weight"))
 
 
 def aligned(anchors: DataFrame, paragraphs: DataFrame, group: str = "chapter", top: int = 3, pull: float = 0.12) -> DataFrame:
     """For each anchor (group, key, text, fraction) the best ``top`` paragraphs (group, key, text, fraction) of its group, by
     the cosine of their n-grams less ``pull`` times how far apart they stand."""
     both = anchors.select(group, F.concat(F.lit("a"), "key").alias("key"), "text").unionByName(paragraphs.select(group, F.concat(F.lit("p"), "key").alias("key"), "text"))
-    weights = tfidf(both, group, "key", "text")
+    weights = kept(tfidf(both, group, "key", "text"))  # both sides of the join below read it
     a = weights.filter(F.col("key").startswith("a")).select(group, F.substring("key", 2, 1 << 20).alias("anchor"), "gram", F.col("weight").alias("wa"))
     p = weights.filter(F.col("key").startswith("p")).select(group, F.substring("key", 2, 1 << 20).alias("paragraph"), "gram", F.col("weight").alias("wp"))
     cosine = a.join(p, [group, "gram"]).groupBy(group, "anchor", "paragraph").agg(F.sum(F.col("wa") * F.col("wp")).alias("similarity"))

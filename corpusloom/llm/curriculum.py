@@ -170,9 +170,11 @@ def training_rows(docs: DataFrame, most: int = 3) -> DataFrame:
             F.col("size").alias("_size"),
             "positions",
         )
-        .withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy("positions")))
+        .groupBy(*key)
+        .agg(F.sort_array(F.collect_list("positions")).alias("_lists"))
     )
-    copies = rows.join(times, [*key, "_n"]).withColumn("_position", F.explode("positions"))
+    # numbered and joined by the same columns, so that texts move once for both
+    copies = rows.join(times, key).withColumn("_position", F.explode(F.try_element_at("_lists", F.col("_n"))))
     width = shuffle_width(docs.sparkSession)
     return copies.repartitionByRange(width, "_position", "_doc").sortWithinPartitions("_position", "_doc").select(*[F.col(f"`{c}`") for c in docs.columns])
 

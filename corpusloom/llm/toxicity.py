@@ -1,9 +1,11 @@
 """Toxicity of texts whose words may be disguised: restore first, then score.
 
-Restoring. Stretches that look disguised (signs for letters as in "1d10t", letters with gaps as in "i d i o t",
-letters drawn out as in "idiooot") become character lattices: a sign may stand for any of its letters, a gap may
-be nothing, a repeated letter may be one. The Viterbi path under a trigram model of characters, plus what each step
-through the noisy channel costs, is the restored word. The model's counts cover the letters of all documents given.
+Restoring. Stretches that may be disguised (letters and signs for letters as in "1d10t" or "a$$", three or more single
+letters or signs with gaps as in "i d i o t" or "f/o/o/l", words with a letter twice in a row as in "idiooot" or
+"iddiioott") become character lattices: a sign may stand for any of its letters, or for itself after the last letter, a gap
+may be nothing, a repeated letter may be one, however it is written. The Viterbi path under a trigram model of characters,
+plus what each step through the noisy channel costs, is the restored word, so that "fool", "f00l" and "f o o l" become one
+word. Signs without any letter between them or gaps are taken for numbers. The model's counts cover the letters of all documents given.
 
 Scoring. Features of a word are itself and its first 4, 5 and 6 letters. Over labelled rows, those are kept whose
 presence in toxic and clean documents differs beyond chance (log-likelihood ratio, below) and that clean documents
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+import string
 from collections import Counter
 from collections.abc import Iterator
 
@@ -46,18 +49,24 @@ SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g",
          "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "¢": "c"}
 #: What a step through the channel costs, as a negative log probability.
 SIGN_COST, DROP_REPEAT, DROP_GAP, KEEP_GAP = 1.0, 0.5, 0.1, 3.0
-GAPS = " .-_*\t"
+#: A sign that isn't a letter costs as much as a gap that is kept; in gaps wider than most of a stretch, blank and nothing change places.
+KEEP_SIGN = KEEP_GAP
+#: White space, marks of zero width, and punctuation that isn't a sign.
+GAPS = "".join(c for c in string.punctuation if c not in SIGNS) + string.whitespace + "\xa0\xad\u2002\u2003\u2009\u200b\u200c\u200d\u202f\u2060\u3000\ufeff·•…‐‑‒–—‘’“”«»"
 
 _LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿœ"
 _OTHER, SIZE = len(_LETTERS) + 1, 64
 _CODE = {c: i + 1 for i, c in enumerate(_LETTERS)}
 WORDS = re.compile(r"[^\W\d_]+")
-_SIGN = "0-9@$!|€£¢"
+_LETTER, _SIGN, _GAP = r"[^\W\d_]", f"[{re.escape(''.join(SIGNS))}]", f"[{re.escape(GAPS)}]"
+_EITHER = rf"(?:{_LETTER}|{_SIGN})"
 DISGUISED = re.compile(
-    rf"(?<!\w)(?:[^\W\d_]*(?:[{_SIGN}]+[^\W\d_]+)+[{_SIGN}]{{0,2}}(?![\w@])"
-    rf"|(?:[^\W_][{re.escape(GAPS)}]){{2,40}}[^\W_](?!\w)"
-    r"|[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*(?!\w))"
+    r"(?<![^\W_])(?:"
+    rf"{_EITHER}(?:{_GAP}++{_EITHER}(?![^\W_])){{2,40}}+"
+    rf"|(?:{_LETTER}++{_SIGN}|{_SIGN}++{_LETTER}){_EITHER}*+"
+    rf"|{_LETTER}*?({_LETTER})\1{_LETTER}*+)"
 )
+_PARTS = re.compile(rf"{_GAP}+|.")
 
 
 def _coded(text: str) -> np.ndarray:
@@ -111,30 +120,32 @@ class Restorer:
         """The likeliest word behind a lower-case stretch."""
         cost = self.cost
         paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        parts = _PARTS.findall(stretch)
+        letters = [i for i, part in enumerate(parts) if part not in SIGNS and part[0] not in GAPS]
+        last = letters[-1] if letters else len(parts)
+        widths = Counter(len(part) for part in parts if part[0] in GAPS)
+        usual = min(widths, key=lambda n: (-widths[n], n), default=0)
         before = ""
-        for char in stretch:
-            steps: list[tuple[str, float]] = []
-            if char in GAPS:
-                steps = [("", DROP_GAP), (" ", KEEP_GAP)]
-            elif char in SIGNS:
-                steps = [(letter, SIGN_COST) for letter in SIGNS[char]]
-            else:
-                steps = [(char, 0.0)]
-            if char == before and char not in GAPS:
-                steps.append(("", DROP_REPEAT))
+        for i, part in enumerate(parts):
+            gap, sign = part[0] in GAPS, part in SIGNS
+            paid = SIGN_COST if sign else 0.0
+            drop, keep = (KEEP_GAP, DROP_GAP) if len(part) > usual else (DROP_GAP, KEEP_GAP)
+            steps = [] if gap else [(letter, _CODE.get(letter, _OTHER)) for letter in SIGNS.get(part, part)]
             into: dict[tuple[int, int], tuple[float, str]] = {}
             for (a, b), (so_far, out) in paths.items():
-                for letter, paid in steps:
-                    if not letter:
-                        state, total = (a, b), so_far + paid
-                    else:
-                        c = _CODE.get(letter, _OTHER if letter != " " else 0)
-                        state, total = (b, c), so_far + paid + cost[a][b][c]
+                ways = [((b, c), so_far + paid + cost[a][b][c], letter) for letter, c in steps]
+                if gap:
+                    ways = [((a, b), so_far + drop, ""), ((b, 0), so_far + keep + cost[a][b][0], " ")]
+                elif b and any(c == b for _, c in steps) and (b != _OTHER or part == before):
+                    ways.append(((a, b), so_far + paid + DROP_REPEAT, ""))
+                if sign and i > last:  # once a word has ended, more exclamation marks cost nothing
+                    ways.append(((b, 0), so_far + KEEP_SIGN + cost[a][b][0], part) if b else ((a, b), so_far + (part != "!") * KEEP_SIGN, part))
+                for state, total, letter in ways:
                     if state not in into or total < into[state][0]:
                         into[state] = (total, out + letter)
             paths = into
-            before = char
-        return min((total + cost[a][b][0], out) for (a, b), (total, out) in paths.items())[1]
+            before = before if gap else part
+        return min((total + (cost[a][b][0] if b else 0.0), out) for (a, b), (total, out) in paths.items())[1]
 
     def _of(self, match: re.Match) -> str:
         stretch = match[0]

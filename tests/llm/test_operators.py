@@ -233,6 +233,28 @@ def test_toxicity(spark, odd):
     assert toxicity.score(empty(spark), model).count() == 0
 
 
+def restorer(sentence):
+    """A restorer whose model has read one sentence many times."""
+    codes = toxicity._coded(f"  {sentence}  ".lower() * 50)
+    three = codes[:-2] * toxicity.SIZE**2 + codes[1:-1] * toxicity.SIZE + codes[2:]
+    counts = np.bincount(three, minlength=toxicity.SIZE**3).reshape((toxicity.SIZE,) * 3)
+    return toxicity.Restorer(toxicity.costs(counts.astype(float)))
+
+
+def test_disguises_are_seen():
+    found = restorer("you are a stupid idiot and a fool or an ass")
+    for disguised, word in [
+        ("s+upid", "stupid"), ("idio7", "idiot"), ("$ t u p i d", "stupid"), ("i/d/i/o/t", "idiot"), ("i  d  i  o  t", "idiot"), ("i, d, 1, o, 7", "idiot"),
+        ("iddiioott", "idiot"), ("stupiid", "stupid"), ("_1d10t_", "_idiot_"), ("y o u   a r e   s t u p i d", "you are stupid"),
+    ]:
+        assert found.restored(disguised) == word
+    # a word, and the same with its letters as signs or with gaps, become one
+    for word, ways in [("fool", ["f o o l", "f/o/o/l", "f  o  o  l", "f00l", "fo0l"]), ("ass", ["a$$", "a55", "a s $"])]:
+        assert {found.restored(w) for w in ways} == {found.restored(word)}
+    for plain in ("stupid!", "an idiot!!!", "1990", "12 34 56", "日本語"):
+        assert found.restored(plain) == plain
+
+
 # 7 ------------------------------------------------------------------------------------------------
 
 

@@ -43,6 +43,8 @@ MOST_WORDS = 8
 THRESHOLD = 0.3
 #: Texts whose characters are counted together; their codes take some 80 bytes a character.
 AT_ONCE = 200
+#: Longer stretches are restored anew each time, so that what is remembered stays small.
+LONG = 256
 
 #: The signs that stand for letters.
 SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -62,7 +64,7 @@ _LETTER, _SIGN, _GAP = r"[^\W\d_]", f"[{re.escape(''.join(SIGNS))}]", f"[{re.esc
 _EITHER = rf"(?:{_LETTER}|{_SIGN})"
 DISGUISED = re.compile(
     r"(?<![^\W_])(?:"
-    rf"{_EITHER}(?:{_GAP}++{_EITHER}(?![^\W_])){{2,40}}+"
+    rf"{_EITHER}(?:{_GAP}++{_EITHER}(?![^\W_])){{2,}}+"
     rf"|(?:{_LETTER}++{_SIGN}|{_SIGN}++{_LETTER}){_EITHER}*+"
     rf"|{_LETTER}*?({_LETTER})\1{_LETTER}*+)"
 )
@@ -119,10 +121,10 @@ class Restorer:
     def viterbi(self, stretch: str) -> str:
         """The likeliest word behind a lower-case stretch."""
         cost = self.cost
-        paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        # a path is its last letter and the path before, so that a step costs the same at any length
+        paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         parts = _PARTS.findall(stretch)
-        letters = [i for i, part in enumerate(parts) if part not in SIGNS and part[0] not in GAPS]
-        last = letters[-1] if letters else len(parts)
+        last = next((i for i in range(len(parts) - 1, -1, -1) if parts[i] not in SIGNS and parts[i][0] not in GAPS), len(parts))
         widths = Counter(len(part) for part in parts if part[0] in GAPS)
         usual = min(widths, key=lambda n: (-widths[n], n), default=0)
         before = ""
@@ -131,7 +133,7 @@ class Restorer:
             paid = SIGN_COST if sign else 0.0
             drop, keep = (KEEP_GAP, DROP_GAP) if len(part) > usual else (DROP_GAP, KEEP_GAP)
             steps = [] if gap else [(letter, _CODE.get(letter, _OTHER)) for letter in SIGNS.get(part, part)]
-            into: dict[tuple[int, int], tuple[float, str]] = {}
+            into: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (so_far, out) in paths.items():
                 ways = [((b, c), so_far + paid + cost[a][b][c], letter) for letter, c in steps]
                 if gap:
@@ -142,18 +144,25 @@ class Restorer:
                     ways.append(((b, 0), so_far + KEEP_SIGN + cost[a][b][0], part) if b else ((a, b), so_far + (part != "!") * KEEP_SIGN, part))
                 for state, total, letter in ways:
                     if state not in into or total < into[state][0]:
-                        into[state] = (total, out + letter)
+                        into[state] = (total, (out, letter) if letter else out)
             paths = into
             before = before if gap else part
-        return min((total + (cost[a][b][0] if b else 0.0), out) for (a, b), (total, out) in paths.items())[1]
+        _, path = min(((total + (cost[a][b][0] if b else 0.0), out) for (a, b), (total, out) in paths.items()), key=lambda x: x[0])
+        letters = []
+        while path:
+            path, letter = path
+            letters.append(letter)
+        return "".join(reversed(letters))
 
     def _of(self, match: re.Match) -> str:
         stretch = match[0]
+        if len(stretch) > LONG:
+            return self.viterbi(stretch)
         found = self.known.get(stretch)
         if found is None:
             if len(self.known) > 200_000:
                 self.known.clear()
-            found = self.known[stretch] = self.viterbi(stretch[:256]) + stretch[256:]
+            found = self.known[stretch] = self.viterbi(stretch)
         return found
 
     def restored(self, text: str | None) -> str:

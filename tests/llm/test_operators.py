@@ -255,6 +255,15 @@ def test_disguises_are_seen():
         assert found.restored(plain) == plain
 
 
+def test_whole_stretches_are_restored():
+    found = restorer("you are a stupid idiot and a fool")
+    assert found.restored("i" * 300 + "diot") == found.restored("idio" + "t" * 100_000) == "idiot"
+    assert found.restored("1d10t" * 100) == found.restored("idiot" * 99 + "idi0t")
+    assert found.restored("   ".join(["s t u p i d"] * 5_000)) == " ".join(["stupid"] * 5_000)
+    spaced = found.restored(" ".join("youareastupididiot" * 9))
+    assert spaced.count("stupid") == spaced.count("idiot") == 9
+
+
 # 7 ------------------------------------------------------------------------------------------------
 
 

@@ -11,7 +11,9 @@ Scoring. Features of a word are itself and its first 4, 5 and 6 letters. Over la
 presence in toxic and clean documents differs beyond chance (log-likelihood ratio, below) and that clean documents
 hardly have, as one word may decide. A document's score is a logistic function of how many of its words have such a
 feature, fitted on the same rows. Labelled rows are a sample by hash of about ``LABELLED`` rows of a class at most; near copies
-in this sample, in which all words of one toxic text would look toxic, are left out by MinHash.
+in this sample, in which all words of one toxic text would look toxic, are left out: rows alike a kept row of their class
+and smaller id in ``ALIKE`` of their five-word shingles or more, as ``HASHES`` MinHash values tell. A model's ``rows`` says how many
+clean and toxic rows were sampled and how many of them stayed.
 
 Null and empty texts score as texts without toxic words. Without any toxic or any clean label, scores are the share of toxic
 labels (0 if there are none). Repeated rows are scored alike; an empty table gives an empty table. Columns other than
@@ -25,6 +27,7 @@ import re
 import string
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -36,8 +39,8 @@ from pyspark.sql import functions as F
 LABELLED = (24_000, 8_000)
 #: Features: least documents, least log-likelihood ratio, largest share of clean documents, and the most that are kept.
 LEAST_DOCS, LEAST_RATIO, CLEAN_SHARE, FEATURES = 6, 30.0, 3e-4, 4_000
-#: MinHash values by which the sample is rid of near copies.
-HASHES = 6
+#: MinHash values by which the sample is rid of near copies, values that are looked up together, and the share of equal ones that makes a copy.
+HASHES, BAND, ALIKE = 128, 4, 0.8
 #: Toxic words of a document that count.
 MOST_WORDS = 8
 THRESHOLD = 0.3
@@ -183,6 +186,8 @@ class Model:
     def __init__(self, cost: np.ndarray, kept: list[str], bias: float, slope: float):
         self.cost, self.kept, self.bias, self.slope = cost, frozenset(kept), bias, slope
         self.restorer: Restorer | None = None
+        #: Per class: rows sampled, and those of them that are no near copies.
+        self.rows: dict[int, tuple[int, int]] = {}
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"restorer": None}
@@ -223,35 +228,54 @@ def _logistic(counts: dict[tuple[int, int], int]) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def _least_shingles(text: str | None) -> list[int]:
-    """HASHES MinHash values of the five-word shingles of text; fewer words count as one."""
+_FACTORS = np.random.default_rng(6).integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _least_shingles(text: str | None) -> np.ndarray:
+    """HASHES MinHash values, of 32 bits, of the five-word shingles of text; fewer words count as one."""
     words = WORDS.findall((text or "").lower())
     points = np.fromiter((hash_bytes(w) for w in words), dtype=np.uint64, count=len(words))
     many = np.zeros(max(1, len(points) - 4), dtype=np.uint64)
     for i in range(min(5, len(points))):
         many = many * np.uint64(0x9E3779B97F4A7C15) + points[i : i + len(many)]
     many ^= many >> np.uint64(29)
-    return [int((many * np.uint64(2 * k * 0x51ED2701 + 0x2545F4914F6CDD1D)).min() >> np.uint64(1)) for k in range(HASHES)]
+    least = np.full(HASHES, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for start in range(0, len(many), 1024):
+        np.minimum(least, (many[start : start + 1024, None] * _FACTORS).min(axis=0), out=least)
+    # the highest bits of a minimum are mostly zeros, so the ones below count as well
+    return ((least * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
 
 
+@lru_cache(1 << 17)
 def hash_bytes(word: str) -> int:
     return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
 
 
-def _without_copies(known: DataFrame) -> set[int]:
-    """Ids of sampled rows that share no MinHash value with a row of their class and smaller id; as bounded as the sample."""
+def _without_copies(known: DataFrame) -> tuple[set[int], dict[int, tuple[int, int]]]:
+    """Ids of sampled rows that are no near copies of a kept row of their class and smaller id; and per class, how many rows
+    were sampled and kept. As bounded as the sample."""
 
     def least(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"id": frame["doc_id"], "toxic": frame["toxic"], "least": [_least_shingles(t) for t in frame["text"]]})
-
-    kept, seen = set(), set()
-    for row in sorted(known.mapInPandas(least, "id long, toxic int, least array<long>").collect()):
-        keys = {(row["toxic"], i, x) for i, x in enumerate(row["least"])}
-        if not keys & seen:
+            yield pd.DataFrame({"id": frame["doc_id"], "toxic": frame["toxic"], "least": [_least_shingles(t).tobytes() for t in frame["text"]]})
+
+    kept = set()
+    values: list[np.ndarray] = []
+    places: dict[tuple[int, int, bytes], list[int]] = {}
+    rows = sorted(known.mapInPandas(least, "id long, toxic int, least binary").collect())
+    for row in rows:
+        own, width = bytes(row["least"]), 4 * BAND
+        bands = [(row["toxic"], i, own[i : i + width]) for i in range(0, len(own), width)]
+        mine = np.frombuffer(own, dtype=np.uint32)
+        near = sorted({p for band in bands for p in places.get(band, ())})
+        copy = bool(near) and bool(((np.stack([values[p] for p in near]) == mine).mean(axis=1) >= ALIKE).any())
+        if not copy:
             kept.add(row["id"])
-        seen |= keys
-    return kept
+            for band in bands:
+                places.setdefault(band, []).append(len(values))
+            values.append(mine)
+    sampled, stay = Counter(row["toxic"] for row in rows), Counter(row["toxic"] for row in rows if row["id"] in kept)
+    return kept, {k: (sampled[k], stay[k]) for k in (0, 1)}
 
 
 def fit(docs: DataFrame, labels: DataFrame, labelled: tuple[int, int] = LABELLED) -> Model:
@@ -263,7 +287,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: tuple[int, int] = LABELLED
     # about sum(labelled) narrow rows at most, so they can be broadcast at any size of the tables
     sample = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(bits)) < F.element_at(limit, F.col("toxic")))
     known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    single = _without_copies(known)
+    single, sampled = _without_copies(known)
     cost = costs(character_counts(docs))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -274,7 +298,6 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: tuple[int, int] = LABELLED
                     continue
                 words = set(WORDS.findall(restorer.restored(text)))
                 seen[toxic].update({f for w in words for f in features(w)})
-                seen[toxic][""] += 1  # documents
         for toxic, found in enumerate(seen):
             yield pd.DataFrame({"feature": list(found), "toxic": toxic, "n": list(found.values())})
 
@@ -282,13 +305,14 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: tuple[int, int] = LABELLED
         F.coalesce(F.sum(F.when(F.col("toxic") == 1, F.col("n"))), F.lit(0)).cast("double").alias("a"),
         F.coalesce(F.sum(F.when(F.col("toxic") == 0, F.col("n"))), F.lit(0)).cast("double").alias("b"),
     )
-    totals = by_class.filter(F.col("feature") == "").first()
-    all_a, all_b = (totals["a"], totals["b"]) if totals else (0.0, 0.0)
+    all_a, all_b = float(sampled[1][1]), float(sampled[0][1])
     if not all_a or not all_b:
         share = all_a / max(1.0, all_a + all_b)
-        return Model(cost, [], math.log(max(share, 1e-9) / max(1 - share, 1e-9)), 0.0)
+        model = Model(cost, [], math.log(max(share, 1e-9) / max(1 - share, 1e-9)), 0.0)
+        model.rows = sampled
+        return model
     best = (
-        by_class.filter((F.col("feature") != "") & (F.col("a") >= LEAST_DOCS) & (F.col("b") <= CLEAN_SHARE * all_b))
+        by_class.filter((F.col("a") >= LEAST_DOCS) & (F.col("b") <= CLEAN_SHARE * all_b))
         .withColumn("ratio", _ratio(F.col("a"), F.col("b"), all_a, all_b))
         .filter(F.col("ratio") >= LEAST_RATIO)
         .orderBy(F.desc("ratio"), "feature")
@@ -296,6 +320,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: tuple[int, int] = LABELLED
         .collect()
     )
     model = Model(cost, [r["feature"] for r in best], 0.0, 0.0)
+    model.rows = sampled
 
     def tally(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()

@@ -264,6 +264,24 @@ def test_whole_stretches_are_restored():
     assert spaced.count("stupid") == spaced.count("idiot") == 9
 
 
+def test_only_near_copies_leave_the_sample(spark):
+    rng = random.Random(5)
+
+    def words(n):
+        return ["".join(rng.choices("abcdefghij", k=6)) for _ in range(n)]
+
+    passage = words(60)  # a third of each text: alike in a fifth of all shingles
+    rows = [(i, " ".join(words(60) + passage + words(60)), i % 2) for i in range(80)]
+    first = rows[0][1].split()
+    rows += [(100 + i, " ".join(first[:-3] + words(3)), 0) for i in range(20)]  # near copies of the first
+    rows += [(200, rows[0][1], 1), (201, "", 0), (202, None, 0)]
+    chain = words(300)  # each is like the one before, but the first and the last have nothing in common
+    rows += [(300 + i, " ".join(chain[i * 25 : i * 25 + 100]), 0) for i in range(9)]
+    kept, counts = toxicity._without_copies(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    assert kept == {*range(80), 200, 201, *range(300, 309)}
+    assert counts == {0: (40 + 20 + 2 + 9, 40 + 1 + 9), 1: (41, 41)}
+
+
 # 7 ------------------------------------------------------------------------------------------------
 
 

@@ -113,14 +113,14 @@ def sentence_seen_before(target: Column) -> Column:
     return F.size(F.array_distinct(long)) < F.size(long)
 
 
-def hard_flags_repair(source: Column, target: Column, language: str) -> Column:
-    """What blocks a release after repair."""
+def hard_flags_repair(source: Column, target: Column, language: str, repeated: Column | None = None) -> Column:
+    """What blocks a release after repair. repeated: operators.similarity.repeated_span of target, for near-equal sentences, too."""
     off = (F.length(known(source)) >= 90) & ((ratio(source, target) < 0.30) | (ratio(source, target) > 2.75))
     return named(
         ("empty", empty(target)),
         ("source_script_spillover", script_count(target, language) > 0),
         ("severe_length_anomaly", off),
-        ("decoder_repetition", sentence_seen_before(target)),
+        ("decoder_repetition", sentence_seen_before(target) if repeated is None else repeated),
     )
 
 

@@ -16,7 +16,7 @@ from corpusloom.functions.books import copied_heading
 from corpusloom.functions.packing import bounded_segments, source_segments
 from corpusloom.functions.text import known, stripped
 from corpusloom.operators.lineage import kept
-from corpusloom.operators.similarity import collapsed, unchanged_similarity
+from corpusloom.operators.similarity import collapsed, repeated_span, unchanged_similarity
 
 Translator = Callable[[Sequence[str], dict], Sequence[str]]
 #: Length limits and parameters of the attempts after one another, for units that no attempt has cleared.
@@ -63,7 +63,7 @@ def best(candidates: DataFrame, key: Sequence[str], language: str) -> DataFrame:
     """Of candidates (key, source, kind, candidate, translation) the one without hard flags and with the least score, else the first."""
     s, t = F.col("source"), F.col("translation")
     like = unchanged_similarity(s, t, F.col("kind"))
-    scored = candidates.withColumn("score", D.score(s, t, F.col("kind"), language, like)).withColumn("clear", F.size(D.hard_flags_repair(s, t, language)) == 0)
+    scored = candidates.withColumn("score", D.score(s, t, F.col("kind"), language, like)).withColumn("clear", F.size(D.hard_flags_repair(s, t, language, repeated_span(t))) == 0)
     chosen = F.min(F.struct((~F.col("clear")).alias("bad"), "score", "candidate", "translation", "source", "kind")).alias("b")
     return scored.groupBy(*key).agg(chosen).select(*key, "b.source", "b.kind", "b.candidate", "b.translation", "b.score", (~F.col("b.bad")).alias("clear"))
 

@@ -44,7 +44,7 @@ def _flags() -> Column:
 def pair_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, t = _sides()
     return pairs(spark, sf_dir).select(
-        "rank", "ordinal", F.array_join(_flags(), ",").alias("flags"), F.array_join(D.hard_flags_repair(s, t, "en"), ",").alias("hard_flags"), F.round(D.ratio(s, t), 6).alias("length_ratio")
+        "rank", "ordinal", F.array_join(_flags(), ",").alias("flags"), F.array_join(D.hard_flags_repair(s, t, "en", similarity.repeated_span(t)), ",").alias("hard_flags"), F.round(D.ratio(s, t), 6).alias("length_ratio")
     )
 
 
@@ -54,12 +54,12 @@ def flag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hard_flags_targeted(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, t = _sides()
-    return pairs(spark, sf_dir).select("rank", "ordinal", F.array_join(D.hard_flags_targeted(s, t, loops=False), ",").alias("flags"))
+    return pairs(spark, sf_dir).select("rank", "ordinal", F.array_join(D.hard_flags_targeted(s, t), ",").alias("flags"))
 
 
 def release_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, t = _sides()
-    rows = pairs(spark, sf_dir).select("rank", D.translation_risk(s, t).alias("risk"), (F.size(D.hard_flags_repair(s, t, "en")) > 0).alias("bad"))
+    rows = pairs(spark, sf_dir).select("rank", D.translation_risk(s, t).alias("risk"), (F.size(D.hard_flags_repair(s, t, "en", similarity.repeated_span(t))) > 0).alias("bad"))
     sums = rows.groupBy("rank").agg(F.count("*").alias("units"), F.count_if("risk").alias("flagged"), F.count_if("bad").alias("hard"))
     return sums.withColumn("status", D.status(F.col("flagged"), F.col("hard")))
 
@@ -204,7 +204,9 @@ def best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(2).alias("candidate"), F.concat(t, F.lit(" "), t).alias("text")),
     )
     rows = pairs(spark, sf_dir).withColumn("c", F.explode(made)).select("rank", "ordinal", "kind", "source", "c.candidate", "c.text")
-    scored = rows.withColumn("score", D.score(F.col("source"), F.col("text"), F.col("kind"), "en")).withColumn("clear", F.size(D.hard_flags_repair(F.col("source"), F.col("text"), "en")) == 0)
+    s, x, kind = F.col("source"), F.col("text"), F.col("kind")
+    hard = D.hard_flags_repair(s, x, "en", similarity.repeated_span(x))
+    scored = rows.withColumn("score", D.score(s, x, kind, "en", similarity.unchanged_similarity(s, x, kind))).withColumn("clear", F.size(hard) == 0)
     best = F.min(F.struct((~F.col("clear")).alias("bad"), "score", "candidate")).alias("b")
     return scored.groupBy("rank", "ordinal").agg(best).select("rank", "ordinal", "b.candidate", (~F.col("b.bad")).alias("clear"), F.round("b.score", 6).alias("score"))
 

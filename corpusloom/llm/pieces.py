@@ -8,7 +8,9 @@ the piece before and mark its end as failed in a bit field, so that no position
 pieces are compatible is found by merging their joined text again, once for each pair.
 
 No piece of the model holds a blank mark after another character, so merges never pass the start of a run of
-blanks, and what runs from one such start to the next is encoded on its own and remembered.
+blanks. Pieces of blanks alone have the worst score of all, so a word with one blank before it is merged as if no other blank
+were there; it is encoded on its own and remembered while its partition lasts. The blanks before that, and the last one too if it
+stays alone, merge from the left to the longest piece that there is of them. A model that isn't like this is refused.
 
 Nulls count as empty texts and have no ids. A literal U+2581 is a blank, as for the library. Repeated rows
 give repeated results; an empty table gives an empty table; columns other than the two named are ignored.
@@ -17,7 +19,6 @@ give repeated results; an empty table gives an empty table; columns other than t
 from __future__ import annotations
 
 import heapq
-import re
 from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -28,8 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLANK = "▁"
-#: Stretches that a worker remembers in each of two generations, and the longest of them in characters.
-REMEMBERED, REMEMBERED_CHARS = 400_000, 48
+#: Words that a task remembers in each of two generations, the longest of them in characters, and pairs of pieces; some 70 MB in all.
+REMEMBERED, REMEMBERED_CHARS, PAIRS = 120_000, 48, 200_000
+#: Texts that are given back together.
+AT_ONCE = 1000
 
 
 class Pieces:
@@ -53,8 +56,18 @@ class Pieces:
         self.score = {self.text[i]: model.get_score(i) for i in plain}
         if any(BLANK in piece.lstrip(BLANK) for piece in self.id_of):
             raise ValueError("a piece of this model holds a blank after another character")
+        blanks = sorted((piece for piece in self.id_of if not piece.strip(BLANK)), key=len, reverse=True)
+        worst = min(self.score.values())
+        others = (score for piece, score in self.score.items() if len(piece) > 1 and piece.strip(BLANK))
+        if any(self.score[piece] > worst for piece in blanks) or min(others, default=0.0) <= worst:
+            raise ValueError("blanks of this model don't merge last")
+        if blanks[-1:] != [BLANK] or any(piece.startswith(BLANK * 2) and piece.strip(BLANK) for piece in self.id_of):
+            raise ValueError("a word of this model has more blanks than one, or none")
+        self.blanks = [(len(piece), self.id_of[piece]) for piece in blanks]
+        self.blank = array("i", [self.id_of[BLANK]]).tobytes()
         self.finder = ahocorasick.Automaton()
-        reachable = {piece for piece in self.id_of if self.merged(piece) == [piece]}
+        # pieces of more blanks than one are left to their own rule
+        reachable = {piece for piece in self.id_of if not piece.startswith(BLANK * 2) and self.merged(piece) == [piece]}
         for piece in reachable:
             self.finder.add_word(piece, piece)
         self.finder.make_automaton()
@@ -65,9 +78,12 @@ class Pieces:
         }
         self.fits: dict[tuple[str, str], bool] = {}
         self.chars = {piece for piece in self.id_of if len(piece) == 1}
-        self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
-        self.known: dict[str, tuple[bytes, str]] = {}
-        self.before: dict[str, tuple[bytes, str]] = {}
+        #: What each id stands for, in UTF-8.
+        self.raw = [piece.encode("utf-8") for piece in self.text]
+        for b, i in enumerate(self.byte_ids):
+            self.raw[i] = bytes((b,))
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """Merge the characters of text pair by pair: the best score first, of equal ones the leftmost."""
@@ -99,7 +115,7 @@ class Pieces:
     def compatible(self, left: str, right: str) -> bool:
         found = self.fits.get((left, right))
         if found is None:
-            if len(self.fits) > 2_000_000:
+            if len(self.fits) >= PAIRS:
                 self.fits.clear()
             # a piece of its own never splits again; else merge once more and see
             both = left + right
@@ -141,59 +157,71 @@ class Pieces:
         return out
 
     def stretch(self, text: str) -> list[str]:
-        """Encode a run of blanks with what follows it up to the next blank; unknown characters stand alone."""
+        """Encode a word with unknown characters, which stand alone."""
         out: list[str] = []
         run: list[str] = []
         for char in text:
             if char in self.id_of:
                 run.append(char)
             else:
-                out += self.solved("".join(run))
+                out += self.backtracked("".join(run))
                 out.append(char)
                 run = []
-        return out + self.solved("".join(run))
+        return out + self.backtracked("".join(run))
 
-    def solved(self, text: str) -> list[str]:
-        # runs of blanks are pieces of one and the same score, where which pair merges first is a matter of place
-        return self.merged(text) if text.startswith(BLANK * 2) else self.backtracked(text)
-
-    def coded(self, text: str) -> tuple[bytes, str]:
-        """The ids of a stretch as int32 bytes, and the text that these ids decode to."""
-        if self.chars.issuperset(text):
-            found = self.solved(text)
-            return array("i", [self.id_of[piece] for piece in found]).tobytes(), "".join(found).replace(BLANK, " ")
+    def coded(self, word: str) -> bytes:
+        """The ids of a blank and the word after it, as int32 bytes."""
+        text = BLANK + word
         ids: list[int] = []
-        for piece in self.stretch(text):
+        for piece in self.backtracked(text) if self.chars.issuperset(text) else self.stretch(text):
             if (i := self.id_of.get(piece)) is not None:
                 ids.append(i)
             else:
                 ids += [self.byte_ids[b] for b in piece.encode("utf-8")]
-        return array("i", ids).tobytes(), self.plain(ids)
+        found = array("i", ids).tobytes()
+        if len(word) <= REMEMBERED_CHARS:
+            if len(self.known) >= REMEMBERED:
+                self.before, self.known = self.known, {}
+            self.known[word] = found
+        return found
+
+    def run_of(self, n: int) -> bytes:
+        """The ids of n blanks: the leftmost two merge first, so each piece grows as far as it can."""
+        ids = array("i")
+        for length, i in self.blanks:
+            ids.extend([i] * (n // length))
+            n %= length
+        return ids.tobytes()
 
-    def plain(self, ids: list[int]) -> str:
-        """What ids stand for, with blanks in place of their marks."""
-        out = bytearray()
-        for i in ids:
-            out += bytes((self.byte_of[i],)) if i in self.byte_of else self.text[i].encode("utf-8")
-        return out.decode("utf-8", "replace").replace(BLANK, " ")
+    def decode(self, ids: bytes) -> str:
+        """The text that ids, as int32 bytes, stand for; the blank put before a text goes again."""
+        raw = self.raw
+        return b"".join([raw[i] for i in array("i", ids)]).decode("utf-8", "replace").replace(BLANK, " ")[1:]
 
-    def encode(self, text: str | None) -> tuple[bytes, str]:
-        """The ids of text as int32 bytes and the text decoded from them; the blank put before a text goes again."""
+    def encode(self, text: str | None) -> bytes:
+        """The ids of text, as int32 bytes."""
         if not text:
-            return b"", ""
-        known, ids, plain = self.known, [], []
-        for part in re.findall(f"{BLANK}+[^{BLANK}]*", BLANK + text.replace(" ", BLANK)):
-            found = known.get(part)
-            if found is None:
-                found = self.before.get(part) or self.coded(part)
-                if len(part) <= REMEMBERED_CHARS:
-                    if len(known) >= REMEMBERED:
-                        self.before, self.known = known, {}
-                        known = self.known
-                    known[part] = found
-            ids.append(found[0])
-            plain.append(found[1])
-        return b"".join(ids), "".join(plain)[1:]
+            return b""
+        ids: list[bytes] = []
+        blanks = 0
+        for word in text.replace(BLANK, " ").split(" "):
+            if not word:
+                blanks += 1
+                continue
+            found = self.known.get(word) or self.before.get(word) or self.coded(word)
+            if blanks:
+                if found.startswith(self.blank):
+                    blanks, found = blanks + 1, found[len(self.blank) :]
+                ids.append(self.run_of(blanks))
+                blanks = 0
+            ids.append(found)
+        if blanks:
+            ids.append(self.run_of(blanks))
+        return b"".join(ids)
+
+    def forget(self) -> None:
+        """Give up what is remembered, as workers outlive their tasks."""
+        self.known, self.before, self.fits = {}, {}, {}
 
 
 @lru_cache(maxsize=2)
@@ -207,13 +235,16 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = pieces(model_path)
-        for batch in batches:
-            coded = [coder.encode(x) for x in batch.column(1).to_pylist()]
-            ends = np.cumsum([0, *(len(x[0]) // 4 for x in coded)])
-            values = np.frombuffer(b"".join(x[0] for x in coded), dtype="<i4")
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
-            plain = pa.array([x[1] for x in coded], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, plain], names=[id_col, "ids", "decoded"])
+        for large in batches:
+            for at in range(0, large.num_rows, AT_ONCE):
+                batch = large.slice(at, AT_ONCE)
+                coded = [coder.encode(x) for x in batch.column(1).to_pylist()]
+                ends = np.cumsum([0, *(len(x) // 4 for x in coded)])
+                values = np.frombuffer(b"".join(coded), dtype="<i4")
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+                plain = pa.array([coder.decode(x) for x in coded], pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column(0), ids, plain], names=[id_col, "ids", "decoded"])
+        coder.forget()
 
     narrow = docs.select(F.col(id_col), F.col(text_col))
     return narrow.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")

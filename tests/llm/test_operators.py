@@ -417,10 +417,28 @@ def library():
 @given(st.one_of(st.text(max_size=60), st.text(alphabet=" ▁abethino'\n\tÉß日 ﻿𝔘<>0x1.,", max_size=60)))
 def test_pieces_are_the_librarys(library, text):
     text = text.encode("utf-8", "ignore").decode()
-    ids, plain = pieces.pieces(MODEL).encode(text)
-    want = library.encode(text)
+    coder = pieces.pieces(MODEL)
+    ids, want = coder.encode(text), library.encode(text)
     assert np.frombuffer(ids, dtype="<i4").tolist() == want
-    assert plain == library.decode(want)
+    assert coder.decode(ids) == library.decode(want)
+
+
+@pytest.mark.parametrize("after", ["", "a", "the", "日", "'", "\n"])
+def test_runs_of_blanks(library, after):
+    for n in range(70):
+        text = "q" + " " * n + after
+        assert np.frombuffer(pieces.pieces(MODEL).encode(text), dtype="<i4").tolist() == library.encode(text)
+
+
+def test_what_is_remembered_is_bounded(library, monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 5)
+    monkeypatch.setattr(pieces, "PAIRS", 5)
+    coder = pieces.Pieces(MODEL)
+    for text in ("one two three four five six seven eight nine ten one two", "three eleven twelve one"):
+        assert np.frombuffer(coder.encode(text), dtype="<i4").tolist() == library.encode(text)
+        assert len(coder.known) <= 5 and len(coder.before) <= 5 and len(coder.fits) <= 5
+    coder.forget()
+    assert not coder.known and not coder.before and not coder.fits
 
 
 def test_pieces_of_tables(spark, library, odd):
@@ -465,3 +483,82 @@ def test_pipeline(spark, docs):
 def test_rows_without_words(spark):
     table = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string").withColumn("source", F.lit("a"))
     assert [r["taken"] for r in curriculum.mix(table).collect()] == [0, 0]
+
+
+def test_learning_from_few_and_repeated_rows(spark):
+    """More partitions than rows, one doc_id on very many rows, null doc_ids: whatever is left is learned from."""
+    few = spark.createDataFrame([(1, "a fool of a man", "en"), (3, "ein guter Tag", "de"), (4, "x", None)], "doc_id long, text string, lang string").repartition(9)
+    labels = spark.createDataFrame([(1, 1), (3, 0), (3, 0), (None, 1), (77, 1)], "doc_id long, toxic int").repartition(9)
+    model = toxicity.fit(few, labels)
+    assert model.rows == {0: (1, 1), 1: (1, 1)} and toxicity.score(few, model).count() == 3
+    assert {r["lang_pred"] for r in langid.predict(few, langid.fit(few)).filter("doc_id <> 4").collect()} == {"en", "de"}
+    same = spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("the same text "), (F.col("id") % 2).cast("string")).alias("text"), F.lit("en").alias("lang"))
+    assert len(langid.fit(same).langs) in (1, 2)
+    assert toxicity.fit(same, labels).rows == {0: (0, 0), 1: (1, 1)}
+    nameless = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text number "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    model = langid.fit(nameless)
+    assert set(model.langs) == {"en"} and langid.predict(nameless, model).filter("lang_pred = 'en' and not held_out").count() == 3000
+
+
+def test_nearest_centroid_is_brute_force(spark, docs):
+    model = langid.fit(docs)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, model).collect()}
+    for r in docs.select("doc_id", "text").toPandas().itertuples():
+        if not r.text or not any(c.isalpha() for c in r.text):
+            assert got[r.doc_id] == ("und", 0.0)
+            continue
+        count = Counter()
+        data = f" {r.text.lower()} ".encode()
+        data = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in data)
+        for i in range(len(data) - 2):
+            if (gram := data[i : i + 3]) != b"   ":
+                count[((gram[0] << 16 | gram[1] << 8 | gram[2]) * 2654435761 & 0xFFFFFFFF) >> 20] += 1
+        x = np.zeros(langid.BINS)
+        for k, n in count.items():
+            x[k] = np.log1p(n) * model.idf[k]
+        cos = model.centroids @ (x / np.linalg.norm(x))
+        assert got[r.doc_id][0] == model.langs[int(cos.argmax())] and abs(got[r.doc_id][1] - cos.max()) < 1e-5
+
+
+def every_path(found, stretch):
+    """The likeliest word by brute force: every way through the channel, each written out."""
+    parts = toxicity._PARTS.findall(stretch)
+    last = next((i for i in range(len(parts) - 1, -1, -1) if parts[i] not in toxicity.SIGNS and parts[i][0] not in toxicity.GAPS), len(parts))
+    widths = Counter(len(p) for p in parts if p[0] in toxicity.GAPS)
+    usual = min(widths, key=lambda n: (-widths[n], n), default=0)
+    code, cost = toxicity._CODE, found.cost
+    best = []
+
+    def walk(i, a, b, total, out):
+        if i == len(parts):
+            best.append((total + (cost[a][b][0] if b else 0.0), out))
+            return
+        part = parts[i]
+        if part[0] in toxicity.GAPS:
+            drop, keep = (toxicity.KEEP_GAP, toxicity.DROP_GAP) if len(part) > usual else (toxicity.DROP_GAP, toxicity.KEEP_GAP)
+            walk(i + 1, a, b, total + drop, out)
+            walk(i + 1, b, 0, total + keep + cost[a][b][0], out + " ")
+            return
+        paid = toxicity.SIGN_COST if part in toxicity.SIGNS else 0.0
+        letters = toxicity.SIGNS.get(part, part)
+        for letter in letters:
+            walk(i + 1, b, code[letter], total + paid + cost[a][b][code[letter]], out + letter)
+        if b and any(code[x] == b for x in letters):
+            walk(i + 1, a, b, total + paid + toxicity.DROP_REPEAT, out)
+        if part in toxicity.SIGNS and i > last:
+            if b:
+                walk(i + 1, b, 0, total + toxicity.KEEP_SIGN + cost[a][b][0], out + part)
+            else:
+                walk(i + 1, a, b, total + (part != "!") * toxicity.KEEP_SIGN, out + part)
+
+    walk(0, 0, 0, 0.0, "")
+    return best
+
+
+@pytest.mark.parametrize("stretch", ["1d10t", "s+up1d!", "f o o l", "f/o/o/l", "iddiioo", "a$$!!", "i  d  1 o", "foo1", "$$+u"])
+def test_viterbi_is_the_best_of_all_paths(stretch):
+    found = restorer("you are a stupid idiot and a fool or an ass")
+    ways = every_path(found, stretch)
+    least = min(total for total, _ in ways)
+    got = min((total for total, out in ways if out == found.viterbi(stretch)), default=None)
+    assert got == pytest.approx(least, abs=1e-4)

@@ -2,8 +2,9 @@
 
 Bytes of the lower-case text, with everything but letters as a blank, are taken by threes and hashed to ``BINS`` bins. A
 vector holds log(1 + count) * idf, scaled to length 1; idf comes from all documents that may be learned from. Each
-language's vectors are clustered (spherical k-means) into ``CENTROIDS`` centroids, on a sample by hash of about ``SAMPLE``
-of its documents at most; a task clusters one language's sample. A text gets the language of the centroid with the largest
+language's vectors are clustered (spherical k-means) into ``CENTROIDS`` centroids, on a sample of about ``SAMPLE``
+of its documents at most: those with the least hashes of doc_id and text, the least one always, and rows that are equal in
+both count once; a task clusters one language's sample. A text gets the language of the centroid with the largest
 cosine, which is also its score (ties: the language that comes first by code point). A text farther from its centroid
 than ``SLACK`` times the distance within which nearly all of the centroid's own documents lie is marked as rejected.
 
@@ -29,6 +30,8 @@ ROUNDS = 12
 LEAST_SHARE = 0.02
 SLACK = 1.5
 UNKNOWN = "und"
+#: The largest hash, of 63 bits.
+_MOST = (1 << 63) - 1
 _LETTER = re.compile(r"[^\W\d_]")
 _BLANK = np.array([i if i >= 128 or chr(i).isalpha() else 32 for i in range(256)], dtype=np.uint32)
 
@@ -100,45 +103,51 @@ def fit(docs: DataFrame) -> Model:
         F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
     )
 
+    rows = rows.withColumn("hash", F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1))
+
     def seen(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        docs_with, per_lang = np.zeros(BINS, dtype=np.int64), {}
+        docs_with, per_lang, least = np.zeros(BINS, dtype=np.int64), {}, {}
         for frame in frames:
             for start in range(0, len(frame), 256):
                 docs_with += (counts(frame["text"].iloc[start : start + 256].tolist()) > 0).sum(0)
-            for lang, n in frame["lang"].value_counts().items():
-                per_lang[lang] = per_lang.get(lang, 0) + n
-        yield pd.DataFrame({"bin": np.arange(BINS), "lang": None, "n": docs_with})
+            for lang, hashes in frame.groupby("lang")["hash"]:
+                per_lang[lang] = per_lang.get(lang, 0) + len(hashes)
+                least[lang] = min(least.get(lang, _MOST), int(hashes.min()))
         if per_lang:
-            yield pd.DataFrame({"bin": -1, "lang": list(per_lang), "n": list(per_lang.values())})
+            yield pd.DataFrame({"bin": np.arange(BINS), "lang": "", "n": docs_with, "least": _MOST})
+            yield pd.DataFrame({"bin": -1, "lang": list(per_lang), "n": list(per_lang.values()), "least": list(least.values())})
 
-    sums = rows.select("text", "lang").mapInPandas(seen, "bin int, lang string, n long").groupBy("bin", "lang").agg(F.sum("n").alias("n")).collect()
-    docs_with, per_lang = np.zeros(BINS), {}
+    sums = (
+        rows.select("text", "lang", "hash").mapInPandas(seen, "bin int, lang string, n long, least long").groupBy("bin", "lang").agg(F.sum("n").alias("n"), F.min("least").alias("least")).collect()
+    )
+    docs_with, per_lang, limits = np.zeros(BINS), {}, {}
     for row in sums:
         if row["bin"] >= 0:
             docs_with[row["bin"]] = row["n"]
         else:
             per_lang[row["lang"]] = row["n"]
+            limits[row["lang"]] = max(row["least"], min(_MOST, _MOST // row["n"] * SAMPLE))
     total = sum(per_lang.values())
     idf = (np.log((1 + total) / (1 + docs_with)) + 1).astype(np.float32)
     if not per_lang:
         return Model(idf, [], np.zeros((0, BINS), dtype=np.float32), np.zeros(0))
 
-    bits = 1 << 24
-    share = F.create_map(*[F.lit(x) for lang, n in per_lang.items() for x in (lang, int(min(1.0, SAMPLE / n) * bits))])
-    sample = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(bits)) < F.element_at(share, F.col("lang")))
+    limit = F.create_map(*[F.lit(x) for lang, most in limits.items() for x in (lang, most)])
+    sample = rows.filter(F.col("hash") <= F.element_at(limit, F.col("lang"))).dropDuplicates(["lang", "hash"])
 
     def vector(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            x = vectors(frame["text"].tolist(), idf).astype(np.float32)
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype(str), "lang": frame["lang"], "x": [v.tobytes() for v in x]})
+            if len(frame):
+                x = vectors(frame["text"].tolist(), idf).astype(np.float32)
+                yield pd.DataFrame({"hash": frame["hash"], "lang": frame["lang"], "x": [v.tobytes() for v in x]})
 
     def cluster(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("doc_id")
+        frame = frame.sort_values("hash")
         c, reach = _clustered(np.stack([np.frombuffer(v, dtype=np.float32) for v in frame["x"]]))
         return pd.DataFrame({"lang": frame["lang"].iloc[0], "c": [v.astype(np.float32).tobytes() for v in c], "reach": reach})
 
     found = (
-        sample.mapInPandas(vector, "doc_id string, lang string, x binary")
+        sample.mapInPandas(vector, "hash long, lang string, x binary")
         .groupBy("lang")
         .applyInPandas(cluster, "lang string, c binary, reach double")
         .collect()

@@ -15,6 +15,11 @@ in this sample, in which all words of one toxic text would look toxic, are left
 and smaller id in ``ALIKE`` of their five-word shingles or more, as ``HASHES`` MinHash values tell. A model's ``rows`` says how many
 clean and toxic rows were sampled and how many of them stayed.
 
+The bounds above are counted in distinct pairs of doc_id and label, with one document each: labels with a null doc_id teach nothing,
+repeated ones count once, and of documents with one doc_id the one with the least hash of its text counts. What ``FEATURES`` leaves
+out (the features that tell least) and ``MOST_WORDS`` (more toxic words of a document than these add nothing) are limits of the
+classifier, not of what it reads.
+
 Null and empty texts score as texts without toxic words. Without any toxic or any clean label, scores are the share of toxic
 labels (0 if there are none). Repeated rows are scored alike; an empty table gives an empty table. Columns other than
 doc_id and text (labels: doc_id and toxic) are ignored.
@@ -27,7 +32,6 @@ import re
 import string
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -35,6 +39,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import written
+
 #: Clean and toxic labelled rows that features are learned from.
 LABELLED = (24_000, 8_000)
 #: Features: least documents, least log-likelihood ratio, largest share of clean documents, and the most that are kept.
@@ -46,8 +52,8 @@ MOST_WORDS = 8
 THRESHOLD = 0.3
 #: Texts whose characters are counted together; their codes take some 80 bytes a character.
 AT_ONCE = 200
-#: Longer stretches are restored anew each time, so that what is remembered stays small.
-LONG = 256
+#: Longer stretches are restored anew each time, and no more than so many are remembered by a task, some 10 MB.
+LONG, REMEMBERED = 64, 40_000
 
 #: The signs that stand for letters.
 SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -98,8 +104,8 @@ def character_counts(docs: DataFrame) -> np.ndarray:
                 codes = _coded("  ".join(t for t in frame["text"].iloc[start : start + AT_ONCE] if t).lower())
                 if len(codes) > 2:
                     total += np.bincount(codes[:-2] * SIZE**2 + codes[1:-1] * SIZE + codes[2:], minlength=SIZE**3)
-        found = np.flatnonzero(total)
-        yield pd.DataFrame({"three": found, "n": total[found]})
+        if len(found := np.flatnonzero(total)):
+            yield pd.DataFrame({"three": found, "n": total[found]})
 
     sums = docs.select("text").mapInPandas(count, "three long, n long").groupBy("three").agg(F.sum("n").alias("n"))
     counts = np.zeros(SIZE**3)
@@ -163,7 +169,7 @@ class Restorer:
             return self.viterbi(stretch)
         found = self.known.get(stretch)
         if found is None:
-            if len(self.known) > 200_000:
+            if len(self.known) >= REMEMBERED:
                 self.known.clear()
             found = self.known[stretch] = self.viterbi(stretch)
         return found
@@ -234,7 +240,8 @@ _FACTORS = np.random.default_rng(6).integers(0, 1 << 63, HASHES, dtype=np.uint64
 def _least_shingles(text: str | None) -> np.ndarray:
     """HASHES MinHash values, of 32 bits, of the five-word shingles of text; fewer words count as one."""
     words = WORDS.findall((text or "").lower())
-    points = np.fromiter((hash_bytes(w) for w in words), dtype=np.uint64, count=len(words))
+    hashes = {w: xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in set(words)}
+    points = np.fromiter((hashes[w] for w in words), dtype=np.uint64, count=len(words))
     many = np.zeros(max(1, len(points) - 4), dtype=np.uint64)
     for i in range(min(5, len(points))):
         many = many * np.uint64(0x9E3779B97F4A7C15) + points[i : i + len(many)]
@@ -246,18 +253,14 @@ def _least_shingles(text: str | None) -> np.ndarray:
     return ((least * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
 
 
-@lru_cache(1 << 17)
-def hash_bytes(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-
-
 def _without_copies(known: DataFrame) -> tuple[set[int], dict[int, tuple[int, int]]]:
     """Ids of sampled rows that are no near copies of a kept row of their class and smaller id; and per class, how many rows
     were sampled and kept. As bounded as the sample."""
 
     def least(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"id": frame["doc_id"], "toxic": frame["toxic"], "least": [_least_shingles(t).tobytes() for t in frame["text"]]})
+            if len(frame):
+                yield pd.DataFrame({"id": frame["doc_id"], "toxic": frame["toxic"], "least": [_least_shingles(t).tobytes() for t in frame["text"]]})
 
     kept = set()
     values: list[np.ndarray] = []
@@ -280,13 +283,15 @@ def _without_copies(known: DataFrame) -> tuple[set[int], dict[int, tuple[int, in
 
 def fit(docs: DataFrame, labels: DataFrame, labelled: tuple[int, int] = LABELLED) -> Model:
     """Learn from the labels of rows that aren't held out."""
-    rows = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)").filter(~held_out(F.col("doc_id")))
+    rows = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)").filter(~held_out(F.col("doc_id"))).distinct()
     sums = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    bits = 1 << 24
-    limit = F.create_map(*[F.lit(int(x)) for k in (0, 1) for x in (k, min(1.0, labelled[k] / max(1, sums.get(k, 0))) * bits)])
+    bits = 1 << 40
+    limit = F.create_map(*[F.lit(x).cast("long") for k in (0, 1) for x in (k, int(min(1.0, labelled[k] / max(1, sums.get(k, 0))) * bits))])
     # about sum(labelled) narrow rows at most, so they can be broadcast at any size of the tables
-    sample = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(bits)) < F.element_at(limit, F.col("toxic")))
-    known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    sample = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(bits)) < F.element_at(limit, F.col("toxic").cast("long")))
+    # of documents that share a doc_id the least by hash stands for the label; which one that is, is known before texts move
+    least = F.min(F.struct(F.xxhash64("text"), "text")).alias("least")
+    known = written(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(least).select("doc_id", "toxic", F.col("least.text").alias("text")))
     single, sampled = _without_copies(known)
     cost = costs(character_counts(docs))
 
@@ -299,7 +304,8 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: tuple[int, int] = LABELLED
                 words = set(WORDS.findall(restorer.restored(text)))
                 seen[toxic].update({f for w in words for f in features(w)})
         for toxic, found in enumerate(seen):
-            yield pd.DataFrame({"feature": list(found), "toxic": toxic, "n": list(found.values())})
+            if found:  # a frame without rows has columns without a kind
+                yield pd.DataFrame({"feature": list(found), "toxic": toxic, "n": list(found.values())})
 
     by_class = known.mapInPandas(count, "feature string, toxic int, n long").groupBy("feature").agg(
         F.coalesce(F.sum(F.when(F.col("toxic") == 1, F.col("n"))), F.lit(0)).cast("double").alias("a"),
@@ -326,7 +332,8 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: tuple[int, int] = LABELLED
         seen: Counter = Counter()
         for frame in frames:
             seen.update((min(model.words(t), MOST_WORDS), y) for t, y in zip(frame["text"], frame["toxic"], strict=True))
-        yield pd.DataFrame([(x, y, n) for (x, y), n in seen.items()], columns=["x", "y", "n"])
+        if seen:
+            yield pd.DataFrame([(x, y, n) for (x, y), n in seen.items()], columns=["x", "y", "n"])
 
     tallied = known.mapInPandas(tally, "x int, y int, n long").groupBy("x", "y").agg(F.sum("n").alias("n")).collect()
     model.bias, model.slope = _logistic({(r["x"], r["y"]): r["n"] for r in tallied})

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import bucketed
 
-#: Bytes of a pack, and of a bucket of the table.
-PACK_BYTES, TABLE_BYTES = 2 << 20, 24 << 20
+#: Bytes of a pack, and of a bucket of the table; and rows of a pack.
+PACK_BYTES, TABLE_BYTES, PACK_ROWS = 2 << 20, 24 << 20, 1 << 17
 
 
 def longs(blob: bytes) -> np.ndarray:
@@ -24,10 +24,17 @@ def texts_of(row: object) -> list[bytes]:
     return [row.texts[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
+def known_column(columns: list[str]) -> str:
+    """The name of rest's column that says which texts aren't null; no other column has it."""
+    return "text" + "_known" * (1 + sum(c.lower().startswith("text_known") for c in columns))
+
+
 def packed(docs: DataFrame) -> tuple[DataFrame, int]:
-    """The table of packs (pack, ids, lengths, texts, rest) and the bytes of all texts. rest holds the other columns."""
+    """The table of packs (pack, ids, lengths, texts, rest) and the bytes of all texts. rest holds the other columns, and
+    ``known_column``."""
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
-    ordered = docs.select("doc_id", "text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    known = F.col("text").isNotNull().alias(known_column(docs.columns))
+    ordered = docs.select("doc_id", "text", *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")], known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -39,7 +46,7 @@ def packed(docs: DataFrame) -> tuple[DataFrame, int]:
             start, size = 0, 0
             for i, text in enumerate(texts):
                 size += len(text)
-                if size >= PACK_BYTES or i == len(texts) - 1:
+                if size >= PACK_BYTES or i == len(texts) - 1 or i + 1 - start == PACK_ROWS:
                     some = texts[start : i + 1]
                     ids = rest.column(0).slice(start, i + 1 - start).cast(pa.int64())
                     sink = pa.BufferOutputStream()

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import known, normalized, sentences, squeezed, stripped, tokens
@@ -67,16 +68,34 @@ def named(*flags: tuple[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in flags]))
 
 
-def omission(source: Column, target: Column) -> Column:
+class Forms(NamedTuple):
+    """Columns that several detectors read: how many sentences the source has, and the target's sentences, folded."""
+
+    source_sentences: Column
+    target_norms: Column
+
+
+def prepared(pairs: DataFrame, source: str = "source", target: str = "translation") -> tuple[DataFrame, Forms]:
+    """pairs with the forms of its texts as columns, so that sentences are cut once for all detectors."""
+    norms = F.transform(sentences(known(F.col(target))), normalized)
+    found = pairs.withColumns({"_source_sentences": F.size(sentences(known(F.col(source)))), "_target_norms": norms})
+    return found, Forms(F.col("_source_sentences"), F.col("_target_norms"))
+
+
+def forms_of(source: Column, target: Column) -> Forms:
+    return Forms(F.size(sentences(known(source))), F.transform(sentences(known(target)), normalized))
+
+
+def omission(source: Column, target: Column, forms: Forms | None = None) -> Column:
     """Likely dropped prose: fewer sentences than a source of two or more, or much shorter."""
-    n = F.size(sentences(known(source)))
-    fewer = (n >= 2) & (F.size(sentences(known(target))) < n)
+    n, norms = forms or forms_of(source, target)
+    fewer = (n >= 2) & (F.size(norms) < n)
     return (F.length(known(source)) >= 90) & (fewer | (ratio(source, target) < 0.62))
 
 
-def adjacent_repeat(target: Column) -> Column:
+def adjacent_repeat(target: Column, forms: Forms | None = None) -> Column:
     """A sentence of more than 35 characters that is the same as the one before it."""
-    norm = F.transform(sentences(known(target)), normalized)
+    norm = forms.target_norms if forms else F.transform(sentences(known(target)), normalized)
     n = F.greatest(F.size(norm) - 1, F.lit(0))
     return F.exists(F.zip_with(F.slice(norm, 1, n), F.slice(norm, 2, n), lambda a, b: (a == b) & (F.length(b) > 35)), lambda x: x)
 
@@ -90,12 +109,12 @@ def halves_repeat(target: Column) -> Column:
     return (F.length(text) > 100) & (left != "") & (left == right)
 
 
-def repetition(source: Column, target: Column) -> Column:
-    return adjacent_repeat(target) | halves_repeat(target) | (ratio(source, target) > 1.75)
+def repetition(source: Column, target: Column, forms: Forms | None = None) -> Column:
+    return adjacent_repeat(target, forms) | halves_repeat(target) | (ratio(source, target) > 1.75)
 
 
-def translation_risk(source: Column, target: Column) -> Column:
-    return omission(source, target) | repetition(source, target)
+def translation_risk(source: Column, target: Column, forms: Forms | None = None) -> Column:
+    return omission(source, target, forms) | repetition(source, target, forms)
 
 
 def script_count(x: Column, language: str) -> Column:
@@ -144,13 +163,13 @@ def hard_flags_targeted(source: Column, target: Column, loops: bool = True) -> C
     )
 
 
-def score(source: Column, target: Column, kind: Column, language: str, similarity: Column | None = None) -> Column:
+def score(source: Column, target: Column, kind: Column, language: str, similarity: Column | None = None, forms: Forms | None = None) -> Column:
     """A candidate's badness. similarity: to the source, 0 where that isn't asked for."""
     r = ratio(source, target)
     like = F.lit(0.0) if similarity is None else similarity
     value = (
         2500.0 * script_count(target, language)
-        + F.when((kind != "heading") & translation_risk(source, target), 1200.0).otherwise(0.0)
+        + F.when((kind != "heading") & translation_risk(source, target, forms), 1200.0).otherwise(0.0)
         + F.when((F.lit(language).isin("en", "fr", "de")) & (like >= 0.72), 900.0 + 500.0 * like).otherwise(0.0)
         + F.when(r < 0.48, (0.48 - r) * 1500.0).otherwise(0.0)
         + F.when(r > 1.85, (r - 1.85) * 900.0).otherwise(0.0)
@@ -180,12 +199,50 @@ def decoder_loop(target: Column) -> Column:
 
 def source_residue(target: Column, target_tokens: Column, language: str, into: str = "it") -> Column:
     """Cyrillic or Greek letters, or four or more function words of the source language, and more of them than of the target's."""
-    own, other = F.array(*map(F.lit, function_words(into))), F.array(*map(F.lit, function_words(language)))
-    ours = F.size(F.filter(target_tokens, lambda w: F.array_contains(own, w)))
-    theirs = F.size(F.filter(target_tokens, lambda w: F.array_contains(other, w) & ~F.array_contains(own, w)))
+    own, other = function_words(into), function_words(language)
+    alien = [w for w in dict.fromkeys(other) if w not in set(own)]
+    # membership of literals, which is looked up in a hash set
+    ours = F.size(F.filter(target_tokens, lambda w: w.isin(*own)))
+    theirs = F.size(F.filter(target_tokens, lambda w: w.isin(*alien)))
     return F.regexp_like(known(target), F.lit("[А-Яа-яЁёΑ-ωΆ-ώ]")) | ((theirs >= 4) & (theirs > ours))
 
 
+#: Tokens of a copied phrase, at least and at most, and function words of the source's language in it, at least.
+COPIED, COPIED_WORDS = (5, 18), 2
+
+
+def source_copy(source_tokens: Column, target_tokens: Column, language: str) -> Column:
+    """A phrase of 5 to 18 tokens that both have, with two function words or more of the source's language in it."""
+    least, most = COPIED
+
+    def phrases(t: Column, size: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(t) - size + 1), lambda i: F.array_join(F.slice(t, i, size), " "))
+
+    def shared(size: Column) -> Column:
+        telling = F.filter(
+            F.sequence(F.lit(1), F.size(source_tokens) - size + 1),
+            lambda i: F.size(F.filter(F.slice(source_tokens, i, size), lambda w: w.isin(*function_words(language)))) >= COPIED_WORDS,
+        )
+        own = F.transform(telling, lambda i: F.array_join(F.slice(source_tokens, i, size), " "))
+        return F.arrays_overlap(own, phrases(target_tokens, size))
+
+    long = (F.size(source_tokens) >= least) & (F.size(target_tokens) >= least)
+    # without a shared phrase of the least size there is no longer one
+    any_ = F.when(long, F.arrays_overlap(phrases(source_tokens, F.lit(least)), phrases(target_tokens, F.lit(least)))).otherwise(False)
+    sizes = F.sequence(F.lit(least), F.least(F.lit(most), F.size(source_tokens), F.size(target_tokens)))
+    return F.when(any_, F.exists(sizes, shared)).otherwise(False)
+
+
+def unmatched_repetition(source_repeat: Column, target_repeat: Column) -> Column:
+    """A block said again at once in the target, three times or of four tokens at least, and clearly more than in the source.
+
+    Both are structs of operators.similarity.repeated_adjacent."""
+    times = F.greatest(source_repeat["count"], F.lit(1))
+    more = (target_repeat["count"] > times) | (target_repeat["score"] >= source_repeat["score"] + 4)
+    strong = (target_repeat["count"] >= 3) | (target_repeat["size"] >= 4)
+    return (target_repeat["count"] > 0) & more & strong
+
+
 def token_length_anomaly(source_tokens: Column, target_tokens: Column) -> Column:
     r = F.size(target_tokens) / F.greatest(F.lit(1), F.size(source_tokens))
     return (F.size(source_tokens) >= 8) & ((r > 2.5) | (r < 0.35))

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import unicodedata
+from html import unescape
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Abbreviations whose full stop ends no sentence. (Forms with an inner stop can't match and aren't listed.)
 ABBREVIATIONS = (
@@ -17,6 +22,9 @@ NOT_WORD = r"[^\p{L}\p{N}_]+"
 #: Letters and digits of a token, with an inner apostrophe.
 TOKEN = r"[0-9A-Za-zÀ-ÖØ-öø-ÿĀ-žΑ-ωΆ-ώА-яЁё]+(?:['’][0-9A-Za-zÀ-ÖØ-öø-ÿĀ-žΑ-ωΆ-ώА-яЁё]+)?"
 
+#: Classes of paragraphs by the kind of a unit.
+PARAGRAPH_CLASSES = {"heading": "subhead", "continuation": "continued"}
+
 MASK = rf"(^|[^\p{{L}}])((?i:{'|'.join(ABBREVIATIONS)})|\p{{Lu}})\."
 BOUNDARY = rf"([.!?…]+[{CLOSERS}]*){BLANK}+([{OPENERS}])"
 
@@ -57,6 +65,37 @@ def tokens(x: Column) -> Column:
     return F.transform(F.regexp_extract_all(x, F.lit(TOKEN), F.lit(0)), lambda t: F.replace(fold(t), F.lit("’"), F.lit("'")))
 
 
+@F.pandas_udf(StringType())
+def _composed(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", unescape(t)))
+
+
+@F.pandas_udf(StringType())
+def _bare(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t).casefold() if not unicodedata.combining(c)))
+
+
+def composed(x: Column) -> Column:
+    """Character references decoded, compatible forms as one (NFKC), quotes straight, white space as one blank; null is empty.
+
+    Plain ASCII without references has nothing to decode, so Python sees the other texts only."""
+    text = known(x)
+    other = F.regexp_like(text, F.lit(r"[^\x00-\x7F]|&"))
+    whole = F.coalesce(_composed(F.when(other, text)), text)
+    return F.trim(F.regexp_replace(F.translate(whole, "’‘“”", "''\"\""), r"(?U)\s+", " "))
+
+
+def bare(x: Column) -> Column:
+    """Folded, and without the marks that letters carry (NFKD)."""
+    other = F.regexp_like(x, F.lit(r"[^\x00-\x7F]"))
+    return F.coalesce(_bare(F.when(other, x)), F.lower(x))
+
+
+def words(x: Column) -> Column:
+    """The tokens of the composed text."""
+    return tokens(composed(x))
+
+
 def sha(x: Column) -> Column:
     return F.sha2(x, 256)
 
@@ -87,9 +126,10 @@ def escaped(x: Column) -> Column:
 
 
 def paragraph_html(kind: Column, text: Column) -> Column:
-    """A unit as XHTML: a heading, or a paragraph whose line ends are breaks."""
+    """A unit as an XHTML paragraph whose line ends are breaks; its class says if it is a heading or goes on from the one before."""
     body = F.replace(escaped(text), F.lit("\n"), F.lit("<br/>"))
-    return F.when(kind == "heading", F.concat(F.lit("<h2>"), body, F.lit("</h2>"))).otherwise(F.concat(F.lit("<p>"), body, F.lit("</p>")))
+    named = F.coalesce(*[F.when(kind == k, F.lit(f'<p class="{c}">')) for k, c in PARAGRAPH_CLASSES.items()], F.lit("<p>"))
+    return F.concat(named, body, F.lit("</p>"))
 
 
 def quoted(x: Column) -> Column:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.packing import bins
 from corpusloom.functions.text import sha
+from corpusloom.operators.lineage import kept
+
+#: Stands for the group of rows whose group is null.
+_NO_NAME = "\0"
 
 
 def rolled_up(evidence: DataFrame, required: Sequence[str], group: str = "rank") -> DataFrame:
@@ -60,11 +65,66 @@ def digest(rows: DataFrame, text: Column, order: Column, group: Sequence[str] =
 def parts(files: DataFrame, group: str, order: str, size: str, limit: int) -> DataFrame:
     """files (group, order, size) with ``part``, from 1: packed in order, a new part where the next file would pass limit.
 
-    A group is the list of files of one collection, which is folded in one place."""
-    listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("s"))))
-    folded = files.groupBy(group).agg(listed.alias("l"))
-    placed = F.arrays_zip(F.transform("l", lambda x: x["o"]).alias("o"), F.transform("l", lambda x: x["s"]).alias("s"), bins(F.transform("l", lambda x: x["s"]), limit).alias("p"))
-    return folded.select(group, F.explode(placed).alias("f")).select(group, F.col("f.o").alias(order), F.col("f.s").alias(size), F.col("f.p").alias("part"))
+    The rows are range-sorted, so that a group of any size lies on many tasks. What a task needs to know of those before it is how
+    full their last part is. Tasks begin with a guess (empty) and tell how they end; the guesses are replaced by what the task
+    before told until nothing changes. Parts that begin at different rows soon begin at the same ones, so few rounds do;
+    a round reads three columns and brings one row per task to the driver."""
+    spark = files.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = files.select(F.col(group), F.col(order), F.col(size).cast("long").alias(size))
+    placed = kept(rows.repartitionByRange(width, group, order).sortWithinPartitions(group, order).withColumn("_task", F.spark_partition_id()))
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in (group, order)}
+
+    def packed(entry: dict[int, tuple[str, int, int]], tell: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            now = None
+            for frame in frames:
+                numbers = np.zeros(len(frame), dtype=np.int64)
+                names = frame[group].astype(str).where(frame[group].notna(), _NO_NAME)
+                for i, (task, name, one) in enumerate(zip(frame["_task"], names, frame[size].fillna(0).astype("int64").tolist(), strict=True)):
+                    if now is None:
+                        now = list(entry.get(task, (None, 0, 1)))
+                    if name != now[0]:
+                        now = [name, 0, 1]
+                    if now[1] > 0 and now[1] + one > limit:
+                        now[1:] = [0, now[2] + 1]
+                    now[1] += one
+                    numbers[i] = now[2]
+                if not tell:
+                    yield frame[[group, order, size]].assign(part=numbers)
+            if tell and now is not None:
+                yield pd.DataFrame({"task": [int(task)], "name": [now[0]], "held": [now[1]], "part": [now[2]]})
+
+        return run
+
+    entry: dict[int, tuple[str, int, int]] = {}
+    while True:
+        told = placed.mapInPandas(packed(entry, True), "task int, name string, held long, part long").collect()
+        found = {r["task"]: (r["name"], r["held"], r["part"]) for r in told}
+        after, before = {}, None
+        for task in sorted(found):
+            if before is not None:
+                after[task] = before
+            before = found[task]
+        if after == entry:
+            break
+        entry = after
+    return placed.mapInPandas(packed(entry, False), f"`{group}` {kinds[group]}, `{order}` {kinds[order]}, `{size}` long, part long").withColumn("part", F.col("part").cast("int"))
+
+
+def part_sizes(packed: DataFrame, group: str, size: str) -> DataFrame:
+    """Per part: its files and their size."""
+    return packed.groupBy(group, "part").agg(F.count("*").alias("files"), F.sum(size).alias("size"))
+
+
+def public_domain(death_year: Column, before: int = 1956) -> Column:
+    """Whether an author died long enough ago; unknown years don't count."""
+    return F.coalesce(death_year < before, F.lit(False))
+
+
+def self_hashed(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """rows with ``record_sha256``: the hash of their canonical JSON text, taken before this column is there."""
+    return rows.withColumn("record_sha256", sha(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})))
 
 
 def scored_candidates(candidates: DataFrame, title: Column, author: Column, language: Column) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import sha
+from corpusloom.functions.text import normalized, padded, sha, slug
 
 
 def bound(units: DataFrame) -> DataFrame:
@@ -124,3 +124,110 @@ def marker_groups(rows: DataFrame, marker: Column, group: Sequence[str], order:
     """rows with ``grp``: rows from one marker to the next; those before the first marker belong to the first group."""
     so_far = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return rows.withColumn("grp", F.greatest(F.sum(marker.cast("int")).over(so_far), F.lit(1)))
+
+
+def with_expected_groups(grouped: DataFrame, expected: int, group: Sequence[str]) -> DataFrame:
+    """Of marker_groups' rows those of groups that have as many parts as expected; any other grouping is given up."""
+    whole = Window.partitionBy(*group)
+    return grouped.withColumn("_most", F.max("grp").over(whole)).filter(F.col("_most") == expected).drop("_most")
+
+
+def last_corrections(rows: DataFrame, key: Sequence[str] = ("rank", "unit_id"), file: str = "file") -> DataFrame:
+    """Corrections read from several files: of each unit the one in the last file by name."""
+    return latest(rows, key, [F.col(file)])
+
+
+def merged_corrections(rows: DataFrame, key: Sequence[str] = ("rank", "unit_id"), file: str = "file") -> DataFrame:
+    """Corrections of several files as one, with the ``files`` that each comes from; ``clash`` where a unit stands in more than one."""
+    columns = [c for c in rows.columns if c not in (*key, file)]
+    found = F.min(F.struct(F.col(file), *columns)).alias("_first")
+    files = F.sort_array(F.collect_set(file)).alias("files")
+    return rows.groupBy(*key).agg(found, files).select(*key, *[F.col(f"_first.{c}").alias(c) for c in columns], "files", (F.size("files") > 1).alias("clash"))
+
+
+def shard_reports(units: DataFrame, size: int, group: str = "rank") -> DataFrame:
+    """Per shard of ``size`` units by ordinal from 0: its units, the first and the last of them, and how many have a translation."""
+    done = F.count_if(F.coalesce(F.col("translation"), F.lit("")) != "")
+    return (
+        units.withColumn("shard", F.floor(F.col("ordinal") / size).cast("int"))
+        .groupBy(group, "shard")
+        .agg(F.count("*").alias("n_units"), F.min_by("unit_id", "ordinal").alias("first_unit"), F.max_by("unit_id", "ordinal").alias("last_unit"), done.alias("translated"))
+        .withColumn("status", F.when(F.col("translated") == F.col("n_units"), "PASS").otherwise("FAIL"))
+    )
+
+
+def prepared_jobs(configs: DataFrame, plans: DataFrame, bundles: DataFrame) -> DataFrame:
+    """A job for each shard of each configured rank that has a plan and a bundle; the first of several by path counts.
+
+    configs (rank, slug, path), plans (rank, shard_count, path), bundles (rank, path)."""
+    plan = plans.groupBy("rank").agg(F.min_by("shard_count", "path").alias("shard_count"))
+    bundle = bundles.groupBy("rank").agg(F.min("path").alias("bundle"))
+    found = configs.withColumnRenamed("path", "config").join(plan, "rank").join(bundle, "rank")
+    jobs = found.select(padded(F.col("rank"), 3).alias("rank"), "config", slug(F.col("slug")).alias("key"), "bundle", F.explode(F.sequence(F.lit(0), F.col("shard_count") - 1)).alias("shard"))
+    return jobs.withColumn("shard_padded", padded(F.col("shard"), 4))
+
+
+def unprepared(configs: DataFrame, plans: DataFrame, bundles: DataFrame) -> DataFrame:
+    """(rank, violation): configured ranks without a plan or a bundle."""
+    no_plan = configs.join(plans, "rank", "left_anti").select("rank", F.lit("no_plan").alias("violation"))
+    return no_plan.unionByName(configs.join(bundles, "rank", "left_anti").select("rank", F.lit("no_bundle").alias("violation")))
+
+
+def seeded(units: DataFrame, titles: DataFrame) -> DataFrame:
+    """units whose headings that say the work's original title have its translated title: titles (rank, original_title, title)."""
+    known = titles.select("rank", normalized(F.col("original_title")).alias("_original"), F.col("title").alias("_title"))
+    says = (F.col("kind") == "heading") & (normalized(F.col("source")) == F.col("_original"))
+    return units.join(F.broadcast(known), "rank", "left").withColumn("translation", F.when(says, F.col("_title")).otherwise(F.col("translation"))).drop("_original", "_title")
+
+
+def in_ranks(rows: DataFrame, ranks: DataFrame, key: str = "rank") -> DataFrame:
+    """The rows of the ranks asked for."""
+    return rows.join(ranks.select(key).distinct(), key, "left_semi")
+
+
+def progress(units: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Per group: units, those translated, and the characters that are still to be paid for."""
+    done = F.coalesce(F.col("translation"), F.lit("")) != ""
+    left = F.coalesce(F.sum(F.when(~done, F.length("source"))), F.lit(0)).cast("long")
+    return units.groupBy(*group).agg(F.count("*").alias("units"), F.count_if(done).alias("translated"), left.alias("chars_left"))
+
+
+def within_quota(chars: Column, used: Column, limit: Column) -> Column:
+    """Whether what is left to translate fits what a service still allows."""
+    return used + chars <= limit
+
+
+def first_of(rows: DataFrame, group: Sequence[str], column: str, n: int) -> DataFrame:
+    """Per group its rows counted, and the first ``n`` values of a column in order, as evidence of what a report is about.
+
+    No group is collected whole: a row's place is found before, and n are kept."""
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(column))
+    kept = rows.select(*group, column).withColumn("_place", place)
+    return kept.groupBy(*group).agg(F.count("*").alias("n"), F.sort_array(F.collect_list(F.when(F.col("_place") <= n, F.col(column)))).alias("first"))
+
+
+def numbered_files(rows: DataFrame, order: Column, group: str = "rank") -> DataFrame:
+    """rows with ``file``: the group and the row's place in it, as a file name."""
+    place = F.row_number().over(Window.partitionBy(group).orderBy(order))
+    return rows.withColumn("file", F.concat(padded(F.col(group), 3), F.lit("-"), padded(place, 3), F.lit(".html")))
+
+
+def retried(ledger: DataFrame, attempts: DataFrame, key: str = "url") -> DataFrame:
+    """A ledger (key, status, ...) after another attempt at its rows that aren't recovered; rows that are stay as they are."""
+    a = attempts.select(key, F.col("status").alias("_status"), F.col("sha256").alias("_sha256"))
+    again = F.col("status") != "RECOVERED"
+    return (
+        ledger.join(a, key, "left")
+        .withColumn("sha256", F.when(again & (F.col("_status") == "RECOVERED"), F.col("_sha256")).otherwise(F.col("sha256")))
+        .withColumn("status", F.when(again, F.coalesce("_status", "status")).otherwise(F.col("status")))
+        .drop("_status", "_sha256")
+    )
+
+
+def with_images(units: DataFrame, images: DataFrame, group: str = "rank") -> DataFrame:
+    """units with ``image``: the n-th unit of a work that marks an illustration takes the work's n-th image (group, place, name)."""
+    marks = F.regexp_like("source", F.lit(r"(?i)^\s*\[\s*Illustration\s*:"))
+    order = Window.partitionBy(group).orderBy("chapter", "ordinal").rowsBetween(Window.unboundedPreceding, 0)
+    placed = units.withColumn("_marks", marks).withColumn("_place", F.when(F.col("_marks"), F.sum(F.col("_marks").cast("int")).over(order)))
+    given = images.select(group, F.col("place").cast("long").alias("_place"), F.col("name").alias("image"))
+    return placed.join(given, [group, "_place"], "left").drop("_marks", "_place")

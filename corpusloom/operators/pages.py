@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from html import escape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -12,6 +14,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from corpusloom.functions.packing import split_long_block
 from corpusloom.functions.text import normalized, roman_value, unit_id
+from corpusloom.operators.lineage import kept
 
 # What is no prose, and what a block is.
 NOISE_TAGS = {"style", "script"}
@@ -84,11 +87,11 @@ def page_units(pages: DataFrame, group: str, order: str, least: int = 180, end_m
     """Units of pages (group, order, title, blocks): a heading and the pieces of its blocks, pages under ``least`` characters left out.
 
     (group, chapter, ordinal, unit_id, kind, source)."""
-    kept = F.filter("blocks", lambda b: ~F.startswith(F.regexp_replace(b, r"\s+", " "), F.lit(RIGHTS_TEMPLATE)))
+    cleared = F.filter("blocks", lambda b: ~F.startswith(F.regexp_replace(b, r"\s+", " "), F.lit(RIGHTS_TEMPLATE)))
     leaf = F.replace(F.substring_index("title", "/", -1), F.lit("_"), F.lit(" "))
     takes_first = (F.lower(leaf) == "до") & (F.size("blocks") > 0)
     rest = F.when(takes_first, F.slice("blocks", 2, F.greatest(F.size("blocks") - 1, F.lit(0)))).otherwise(F.col("blocks"))
-    headed = pages.withColumn("blocks", kept).withColumn("heading", F.when(takes_first, F.try_element_at("blocks", F.lit(1))).otherwise(leaf)).withColumn("blocks", rest)
+    headed = pages.withColumn("blocks", cleared).withColumn("heading", F.when(takes_first, F.try_element_at("blocks", F.lit(1))).otherwise(leaf)).withColumn("blocks", rest)
     repeats = (F.size("blocks") > 0) & (normalized(F.try_element_at("blocks", F.lit(1))) == normalized(F.col("heading")))
     found = headed.withColumn("blocks", F.when(repeats, F.slice("blocks", 2, F.greatest(F.size("blocks") - 1, F.lit(0)))).otherwise(F.col("blocks")))
     if end_marker:
@@ -147,11 +150,158 @@ def title_number(title: Column) -> Column:
     return F.coalesce(word, roman_value(leaf), F.when(digits != "", digits.try_cast("bigint")))
 
 
-def in_title_order(titles: DataFrame, title: str = "title", group: str | None = None) -> DataFrame:
-    """titles with ``place``: numbered ones by number and leaf, then the others by leaf."""
+def in_title_order(titles: DataFrame, title: str = "title", group: str | None = None, ties: tuple[str, ...] = ()) -> DataFrame:
+    """titles with ``place``: numbered ones by number and leaf, then the others by leaf; ``ties`` decide between equal titles.
+
+    Without a group the table is range-sorted and numbered by the counts of its parts, not in one task."""
     leaf = F.replace(F.lower(F.substring_index(F.col(title), "/", -1)), F.lit("ё"), F.lit("е"))
-    order = Window.partitionBy(*([group] if group else [])).orderBy(title_number(F.col(title)).asc_nulls_last(), leaf, F.col(title))
-    return titles.withColumn("place", F.row_number().over(order))
+    order = [title_number(F.col(title)).asc_nulls_last(), leaf.asc(), F.col(title).asc(), *[F.col(c).asc() for c in ties]]
+    if group:
+        return titles.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    names = [f"_order{i}" for i in range(len(order))]
+    keys = [title_number(F.col(title)), leaf, F.col(title), *[F.col(c) for c in ties]]
+    by = [F.col(names[0]).asc_nulls_last(), *[F.col(n).asc() for n in names[1:]]]
+    width = int(titles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = titles.withColumns(dict(zip(names, keys, strict=True)))
+    # what is sorted is kept, as the counts of its parts must be those of the rows that are numbered
+    placed = kept(keyed.repartitionByRange(width, *by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()).drop(*names))
+    counts = placed.groupBy(F.shiftright("_at", 33).alias("_part")).agg(F.count("*").alias("_n"))
+    starts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    numbered = placed.withColumn("_part", F.shiftright("_at", 33)).join(F.broadcast(starts.drop("_n")), "_part")
+    return numbered.withColumn("place", F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_at", "_part", "_before")
+
+
+def crawled(titles: DataFrame, links: DataFrame, roots: DataFrame, most_depth: int = 4, most_pages: int = 240) -> DataFrame:
+    """(root, title, depth, place): the landed pages that a crawl from each root visits, in its order.
+
+    titles (title), links (title, target, position), roots (root). A page's children are the pages right under it that it, or its
+    root, links to: first those that it links to itself, in order, then the root's others. Pages at most_depth aren't opened, and
+    after most_pages pages of a root the crawl ends, parents before children, children in order."""
+    known = links.join(titles.select(F.col("title").alias("target")).distinct(), "target", "left_semi")
+    direct = F.regexp_extract("target", "^(.*)/[^/]+$", 1)
+    level = roots.select("root", F.col("root").alias("title"), F.lit(0).alias("depth"), F.array(F.lit(0).cast("long")).alias("path"))
+    found = level
+    for depth in range(1, most_depth + 1):
+        own = level.join(known.withColumn("_parent", direct).filter(F.col("_parent") == F.col("title")).drop("_parent"), "title")
+        own = own.select("root", F.col("target").alias("title"), "path", F.struct(F.lit(0).alias("by"), F.col("position").cast("long").alias("at")).alias("rank"))
+        of_root = known.select(F.col("title").alias("root"), "target", F.col("position").cast("long").alias("at"), direct.alias("title"))
+        more = level.filter(F.col("title") != F.col("root")).join(of_root, ["root", "title"])
+        more = more.select("root", F.col("target").alias("title"), "path", F.struct(F.lit(1).alias("by"), "at").alias("rank"))
+        # each child once, where it comes first
+        first = own.unionByName(more).groupBy("root", "title").agg(F.min(F.struct("path", "rank")).alias("m"))
+        place = F.row_number().over(Window.partitionBy("root", "m.path").orderBy("m.rank", "title"))
+        level = kept(first.select("root", "title", F.lit(depth).alias("depth"), F.concat("m.path", F.array(place.cast("long"))).alias("path")))
+        found = found.unionByName(level)
+    order = Window.partitionBy("root").orderBy("path")
+    return found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most_pages).select("root", "title", "depth", "place")
+
+
+def without_first_blocks(pages: DataFrame, n: int, order: str = "place") -> DataFrame:
+    """pages whose first page (of place 1) has lost its first n blocks."""
+    rest = F.slice("blocks", F.lit(n + 1), F.greatest(F.size("blocks") - n, F.lit(0)))
+    return pages.withColumn("blocks", F.when(F.col(order) == 1, rest).otherwise(F.col("blocks")))
+
+
+class _Chapters(HTMLParser):
+    """The divisions of class chapter: their headings, the markup and text of what stands in them, and their images."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.open: list[str] = []
+        self.chapter_at: int | None = None
+        self.chapters: list[dict] = []
+        self.node: dict | None = None
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        given = dict(attrs)
+        if tag == "div" and self.chapter_at is None and "chapter" in (given.get("class") or "").split():
+            self.chapter_at = len(self.open)
+            self.chapters.append({"nodes": [], "images": []})
+        elif self.chapter_at is not None:
+            if tag == "img":
+                before = [n for n in self.chapters[-1]["nodes"] if n["tag"] == "p" and n is not self.node]
+                self.chapters[-1]["images"].append((given.get("src") or "", len(before), "".join(before[-1]["text"]).strip() if before else ""))
+            if self.node is None and len(self.open) == self.chapter_at + 1 and tag not in VOID_TAGS:
+                self.node = {"tag": tag, "depth": len(self.open), "markup": [], "text": []}
+                self.chapters[-1]["nodes"].append(self.node)
+            if self.node is not None:
+                # only what the text needs stays of the attributes
+                kept_ = "".join(f' {k}="{escape(v or "")}"' for k, v in attrs if k in KEPT_ATTRIBUTES)
+                self.node["markup"].append(f"<{tag}{kept_}>")
+        if tag not in VOID_TAGS:
+            self.open.append(tag)
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag not in self.open:
+            return
+        while self.open:
+            last = self.open.pop()
+            if self.node is not None:
+                self.node["markup"].append(f"</{last}>")
+                if len(self.open) == self.node["depth"]:
+                    self.node = None
+            if self.chapter_at is not None and len(self.open) == self.chapter_at:
+                self.chapter_at = None
+            if last == tag:
+                return
+
+    def handle_data(self, data: str) -> None:
+        if self.node is not None:
+            self.node["markup"].append(escape(data, quote=False))
+            self.node["text"].append(data)
+
+
+#: Attributes that a chapter's markup keeps.
+KEPT_ATTRIBUTES = ("class", "id", "href")
+
+
+def _chapters(html: str | None) -> list[dict]:
+    parser = _Chapters()
+    parser.feed(html or "")
+    parser.close()
+    return [c for c in parser.chapters if any(n["tag"] in ("h2", "h3") for n in c["nodes"])]
+
+
+def html_chapters(documents: DataFrame, pinned: DataFrame) -> DataFrame:
+    """Paragraphs of documents (url, html) by chapter: url, chapter, number (its heading), ordinal, role, source_html, source, source_sha256.
+
+    A document whose hash isn't the pinned one (url, sha256) is an error, and so is one that isn't pinned."""
+    changed = F.raise_error(F.concat(F.lit("SOURCE_CHANGED "), F.col("url")))
+    own = F.sha2("html", 256)
+    checked = documents.join(F.broadcast(pinned.select("url", F.col("sha256").alias("_pinned"))), "url", "left").select(
+        "url", F.when(own.eqNullSafe(F.col("_pinned")), F.col("html")).otherwise(changed.cast("string")).alias("html")
+    )
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for url, html in zip(frame["url"], frame["html"], strict=True):
+                for i, chapter in enumerate(_chapters(html)):
+                    heads = [n for n in chapter["nodes"] if n["tag"] == "h2"]
+                    if not heads:
+                        continue
+                    nodes = [n for n in chapter["nodes"] if n["tag"] not in ("h2", "hr") and "".join(n["text"]).strip()]
+                    for k, n in enumerate(nodes):
+                        row = {"url": url, "chapter": i + 1, "number": "".join(heads[0]["text"]).strip(), "ordinal": k, "role": "heading" if n["tag"] == "h3" else "body"}
+                        yield pd.DataFrame([row | {"source_html": "".join(n["markup"]), "source": "".join(n["text"])}])
+
+    found = checked.mapInPandas(run, "url string, chapter int, number string, ordinal int, role string, source_html string, source string")
+    return found.withColumn("source_sha256", F.sha2("source_html", 256))
+
+
+def image_anchors(documents: DataFrame) -> DataFrame:
+    """Images of chapters: url, chapter, asset (the file's name without its ending), anchor (the text of the paragraph before), fraction
+    (that paragraph's place among the chapter's paragraphs; 0 without one)."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for url, html in zip(frame["url"], frame["html"], strict=True):
+                for i, chapter in enumerate(_chapters(html)):
+                    paragraphs = sum(n["tag"] == "p" for n in chapter["nodes"])
+                    for src, before, anchor in chapter["images"]:
+                        asset = re.sub(r"\.[^.]*$", "", src.rsplit("/", 1)[-1])
+                        yield pd.DataFrame({"url": [url], "chapter": [i + 1], "asset": [asset], "anchor": [anchor], "fraction": [before / paragraphs if paragraphs else 0.0]})
+
+    return documents.select("url", "html").mapInPandas(run, "url string, chapter int, asset string, anchor string, fraction double")
 
 
 def sources_of(html: Column, attribute: str = "src") -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
 
-from corpusloom.functions.text import known, normalized, sentences, spaced, stripped
+from corpusloom.functions.text import bare, known, normalized, sentences, spaced, stripped
 from corpusloom.operators.lineage import kept
 
 
@@ -34,9 +34,10 @@ def _near_repeat(values: pd.Series) -> pd.Series:
     return pd.Series([v is not None and found(list(v)) for v in values])
 
 
-def repeated_span(target: Column) -> Column:
-    """A sentence of 35 characters or more that is equal or nearly equal to one before it."""
-    long = F.filter(F.transform(sentences(known(target)), normalized), lambda s: F.length(s) >= 35)
+def repeated_span(target: Column, norms: Column | None = None) -> Column:
+    """A sentence of 35 characters or more that is equal or nearly equal to one before it. norms: the target's folded sentences, if known."""
+    found = F.transform(sentences(known(target)), normalized) if norms is None else norms
+    long = F.filter(found, lambda s: F.length(s) >= 35)
     return _near_repeat(F.when(F.size(long) > 1, long))
 
 
@@ -66,27 +67,50 @@ def _chunks(x: Column) -> Column:
     return F.filter(F.transform(parts, stripped), lambda p: p != "")
 
 
+#: Characters of a clause that may end another one, words that may stand in another one in order, and
+#: how like clauses of up to four words, and longer ones, must be.
+ENDING_CHARS, ORDERED_WORDS, SHORT_CLAUSE, SHORT_LIKE, LONG_LIKE = 14, 3, 4, 0.80, 0.88
+
+
+def _ends_the_other(a: str, b: str) -> bool:
+    """The shorter clause, of enough characters, is how the longer one ends."""
+    short, long = (a, b) if len(a) <= len(b) else (b, a)
+    return len(short) >= ENDING_CHARS and long.endswith(short)
+
+
+def _stands_in_order(a: list[str], b: list[str]) -> bool:
+    """All words of the clause of fewer words, if they are enough, stand in the other one in the same order."""
+    short, long = (a, b) if len(a) <= len(b) else (b, a)
+    if len(short) < ORDERED_WORDS:
+        return False
+    at = 0
+    for word in long:
+        at += at < len(short) and word == short[at]
+    return at == len(short)
+
+
+def _alike(a: str, b: str, most_words: int) -> bool:
+    return SequenceMatcher(None, a, b).ratio() >= (SHORT_LIKE if most_words <= SHORT_CLAUSE else LONG_LIKE)
+
+
+def says_again(a: str, b: str) -> bool:
+    """Whether folded clause b says a again; empty clauses say nothing."""
+    if not a or not b:
+        return False
+    words_a, words_b = a.split(), b.split()
+    return a == b or _ends_the_other(a, b) or _stands_in_order(words_a, words_b) or _alike(a, b, max(len(words_a), len(words_b)))
+
+
 @F.pandas_udf(StringType())
 def _collapsed(chunks: pd.Series, norms: pd.Series, n_source: pd.Series) -> pd.Series:
-    def again(a: str, b: str) -> bool:
-        aw, bw = a.split(), b.split()
-        short, long = sorted((aw, bw), key=len) if len(aw) != len(bw) else (aw, bw)
-        rest = iter(long)
-        return bool(a and b) and (
-            a == b
-            or (min(len(a), len(b)) >= 14 and (a.endswith(b) or b.endswith(a)))
-            or (len(short) >= 3 and all(w in rest for w in short))
-            or SequenceMatcher(None, a, b).ratio() >= (0.80 if max(len(aw), len(bw)) <= 4 else 0.88)
-        )
-
     out = []
     for parts, norm, n in zip(chunks, norms, n_source, strict=True):
         kept: list[int] = []
         for i in range(len(parts)):
-            if not (kept and len(parts) > n and any(again(norm[k], norm[i]) for k in kept)):
+            if not (len(parts) > n and any(says_again(norm[k], norm[i]) for k in kept)):
                 kept.append(i)
         out.append(" ".join(parts[i] for i in kept))
-    return pd.Series(out)
+    return pd.Series(out, dtype=object)
 
 
 def collapsed(source: Column, target: Column) -> Column:
@@ -97,7 +121,7 @@ def collapsed(source: Column, target: Column) -> Column:
 
 def char_grams(x: Column, least: int = 3, most: int = 5) -> Column:
     """Character n-grams inside blank-padded words; a word no longer than n is one gram, and has no longer ones."""
-    padded = F.transform(F.filter(F.split(F.lower(known(x)), r"\s+"), lambda w: w != ""), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
+    padded = F.transform(F.filter(F.split(bare(known(x)), r"\s+"), lambda w: w != ""), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
 
     def grams(word: Column) -> Column:
         n = F.length(word)
@@ -136,3 +160,20 @@ def aligned(anchors: DataFrame, paragraphs: DataFrame, group: str = "chapter", t
     )
     best = Window.partitionBy(group, "anchor").orderBy(F.round(-F.col("adjusted"), 9), "fp")
     return near.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= top).select(group, "anchor", "paragraph", "similarity", "place")
+
+
+def token_grams(rows: DataFrame, key: str, tokens: Column, size: int) -> DataFrame:
+    """(key, gram): each run of ``size`` tokens of a row, once."""
+    grams = F.transform(F.sequence(F.lit(1), F.size("_t") - size + 1), lambda i: F.array_join(F.slice("_t", i, F.lit(size)), " "))
+    return rows.select(key, tokens.alias("_t")).filter(F.size("_t") >= size).select(key, F.explode(F.array_distinct(grams)).alias("gram"))
+
+
+#: Grams up to which a side is broadcast, some 60 bytes each.
+FEW_GRAMS = 1_000_000
+
+
+def shared_grams(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """(left_key, right_key, grams): how many grams (key, gram) two rows have in common. A right side of at most FEW_GRAMS grams is
+    counted first and broadcast; a larger one is summed up by gram, so that a gram that very many rows hold is split by AQE."""
+    few = right.limit(FEW_GRAMS + 1).count() <= FEW_GRAMS
+    return left.join(F.broadcast(right) if few else right, "gram").groupBy(left_key, right_key).agg(F.count("*").alias("grams"))

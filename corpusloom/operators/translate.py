@@ -62,8 +62,10 @@ def pending(units: DataFrame) -> DataFrame:
 def best(candidates: DataFrame, key: Sequence[str], language: str) -> DataFrame:
     """Of candidates (key, source, kind, candidate, translation) the one without hard flags and with the least score, else the first."""
     s, t = F.col("source"), F.col("translation")
+    formed, forms = D.prepared(candidates)
     like = unchanged_similarity(s, t, F.col("kind"))
-    scored = candidates.withColumn("score", D.score(s, t, F.col("kind"), language, like)).withColumn("clear", F.size(D.hard_flags_repair(s, t, language, repeated_span(t))) == 0)
+    hard = D.hard_flags_repair(s, t, language, repeated_span(t, forms.target_norms))
+    scored = formed.withColumn("score", D.score(s, t, F.col("kind"), language, like, forms)).withColumn("clear", F.size(hard) == 0)
     chosen = F.min(F.struct((~F.col("clear")).alias("bad"), "score", "candidate", "translation", "source", "kind")).alias("b")
     return scored.groupBy(*key).agg(chosen).select(*key, "b.source", "b.kind", "b.candidate", "b.translation", "b.score", (~F.col("b.bad")).alias("clear"))
 

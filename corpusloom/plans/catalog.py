@@ -6,17 +6,18 @@ the conversation the rank, and the turn the ordinal.
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom.functions import books
 from corpusloom.functions import detectors as D
 from corpusloom.functions import packing as P
 from corpusloom.functions import text as T
 from corpusloom.operators import gates, ledger, pages, similarity, translate
-
+from corpusloom.operators.lineage import shared_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,20 +37,25 @@ def _sides() -> tuple[Column, Column]:
     return F.col("source"), F.col("translation")
 
 
-def _flags() -> Column:
+def _flags(forms: D.Forms) -> Column:
+    s, t = _sides()
+    return D.named(("empty", D.empty(t)), ("omission", D.omission(s, t, forms)), ("repetition", D.repetition(s, t, forms)))
+
+
+def _hard(forms: D.Forms) -> Column:
     s, t = _sides()
-    return D.named(("empty", D.empty(t)), ("omission", D.omission(s, t)), ("repetition", D.repetition(s, t)))
+    return D.hard_flags_repair(s, t, "en", similarity.repeated_span(t, forms.target_norms))
 
 
 def pair_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, t = _sides()
-    return pairs(spark, sf_dir).select(
-        "rank", "ordinal", F.array_join(_flags(), ",").alias("flags"), F.array_join(D.hard_flags_repair(s, t, "en", similarity.repeated_span(t)), ",").alias("hard_flags"), F.round(D.ratio(s, t), 6).alias("length_ratio")
-    )
+    rows, forms = D.prepared(pairs(spark, sf_dir))
+    return rows.select("rank", "ordinal", F.array_join(_flags(forms), ",").alias("flags"), F.array_join(_hard(forms), ",").alias("hard_flags"), F.round(D.ratio(s, t), 6).alias("length_ratio"))
 
 
 def flag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.flag_counts(pairs(spark, sf_dir).withColumn("flags", _flags()))
+    rows, forms = D.prepared(pairs(spark, sf_dir))
+    return ledger.flag_counts(rows.withColumn("flags", _flags(forms)))
 
 
 def hard_flags_targeted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +65,8 @@ def hard_flags_targeted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def release_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, t = _sides()
-    rows = pairs(spark, sf_dir).select("rank", D.translation_risk(s, t).alias("risk"), (F.size(D.hard_flags_repair(s, t, "en", similarity.repeated_span(t))) > 0).alias("bad"))
+    formed, forms = D.prepared(pairs(spark, sf_dir))
+    rows = formed.select("rank", D.translation_risk(s, t, forms).alias("risk"), (F.size(_hard(forms)) > 0).alias("bad"))
     sums = rows.groupBy("rank").agg(F.count("*").alias("units"), F.count_if("risk").alias("flagged"), F.count_if("bad").alias("hard"))
     return sums.withColumn("status", D.status(F.col("flagged"), F.col("hard")))
 
@@ -82,9 +89,10 @@ def token_length_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unit_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = _table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("block", "body"))
-    pieces = blocks.select("doc_id", "block", F.length(T.stripped(F.col("body"))).alias("size"), F.posexplode(T.sentences(F.col("body"))).alias("piece", "source"))
+    # of the block no more is kept than its kind asks for
+    pieces = blocks.select("doc_id", "block", F.substring(T.stripped(F.col("body")), 1, 141).alias("start"), F.posexplode(T.sentences(F.col("body"))).alias("piece", "source"))
     units = pieces.withColumn("ordinal", F.row_number().over(Window.partitionBy("doc_id").orderBy("block", "piece")).cast("long"))
-    kind = F.when(F.col("piece") > 0, "continuation").when((F.col("ordinal") <= 3) & (F.col("size") < 140), "heading").otherwise("paragraph")
+    kind = books.kind(F.col("piece"), F.col("ordinal") - 1, F.col("start"))
     return units.select("doc_id", "ordinal", T.unit_id(F.lit(1), F.col("ordinal")).alias("unit_id"), kind.alias("kind"), T.sha(F.col("source")).alias("source_sha256"))
 
 
@@ -106,9 +114,9 @@ def _text() -> Column:
 
 
 def _shaken(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of most pairs, some of them of another source."""
-    rows = pairs(spark, sf_dir).filter("rank % 5 <> 0")
-    return rows.select("rank", "ordinal", T.sha(F.when(F.col("ordinal") % 7 == 0, F.concat("source", F.lit("!"))).otherwise(F.col("source"))).alias("source_sha256"), "translation")
+    """Records of all pairs, some of them of another source."""
+    other = (F.col("ordinal") % 7 == 0) | (F.col("rank") % 5 == 0)
+    return pairs(spark, sf_dir).select("rank", "ordinal", T.sha(F.when(other, F.concat("source", F.lit("!"))).otherwise(F.col("source"))).alias("source_sha256"), "translation")
 
 
 _KEY = ("rank", "ordinal", "source_sha256")
@@ -125,8 +133,9 @@ def missing_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def overlay_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pairs(spark, sf_dir)
-    old = F.when(F.col("ordinal") % 2 == 0, T.sha(F.col("source"))).otherwise(T.sha(F.concat(F.lit("old"), "source")))
-    fixes = rows.filter("rank % 3 = 0").select("rank", "ordinal", old.alias("source_sha256"), F.concat(F.lit("new "), "translation").alias("translation"))
+    same = (F.col("ordinal") % 2 == 0) & (F.col("rank") % 3 == 0)
+    old = F.when(same, T.sha(F.col("source"))).otherwise(T.sha(F.concat(F.lit("old"), "source")))
+    fixes = rows.select("rank", "ordinal", old.alias("source_sha256"), F.concat(F.lit("new "), "translation").alias("translation"))
     done = ledger.overlaid(ledger.bound(rows), fixes, ("rank", "ordinal"))
     return done.select("rank", "ordinal", "corrected", T.sha(F.col("translation")).alias("translation_sha256"))
 
@@ -135,10 +144,11 @@ def override_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pairs(spark, sf_dir)
     sha = T.sha(F.col("source")).alias("source_sha256")
     changed = T.sha(F.when(F.col("ordinal") % 3 == 0, F.concat("source", F.lit(" "))).otherwise(F.col("source"))).alias("source_sha256")
+    # the second list names the unit before an odd one again, the third one units that aren't there
     overrides = (
-        rows.filter("rank % 4 = 0").select("rank", "ordinal", changed)
-        .unionByName(rows.filter("rank % 8 = 0").select("rank", "ordinal", sha))
-        .unionByName(rows.filter("rank % 6 = 0").select("rank", (F.col("ordinal") + 1000).alias("ordinal"), sha))
+        rows.select("rank", "ordinal", changed)
+        .unionByName(rows.select("rank", (F.col("ordinal") - F.col("ordinal") % 2).alias("ordinal"), sha))
+        .unionByName(rows.select("rank", (F.col("ordinal") + 1000).alias("ordinal"), sha))
     )
     return ledger.override_violations(ledger.bound(rows), overrides, ("rank", "ordinal"))
 
@@ -180,7 +190,7 @@ def _host() -> Column:
 
 def prefix_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     titles = _titles(spark, sf_dir)
-    roots = titles.filter("page_id % 2 = 0").select(F.regexp_extract("title", "^(.*)/[^/]+$", 1).alias("title"))
+    roots = titles.select(F.regexp_extract("title", "^(.*)/[^/]+$", 1).alias("title"))
     return pages.children(titles, roots).select("parent", "title")
 
 
@@ -191,9 +201,7 @@ def terminal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def natural_title_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     titles = _titles(spark, sf_dir).withColumn("host", _host()).withColumn("title", F.col("url"))
-    leaf = F.lower(F.substring_index("title", "/", -1))
-    order = Window.partitionBy("host").orderBy(pages.title_number(F.col("title")).asc_nulls_last(), leaf, "url", "page_id")
-    return titles.select("page_id", F.row_number().over(order).cast("long").alias("place"))
+    return pages.in_title_order(titles, "title", "host", ("page_id",)).select("page_id", F.col("place").cast("long").alias("place"))
 
 
 def best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,12 +211,8 @@ def best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(1).alias("candidate"), F.substring(t, F.lit(1), F.floor(F.length(t) / 2).cast("int")).alias("text")),
         F.struct(F.lit(2).alias("candidate"), F.concat(t, F.lit(" "), t).alias("text")),
     )
-    rows = pairs(spark, sf_dir).withColumn("c", F.explode(made)).select("rank", "ordinal", "kind", "source", "c.candidate", "c.text")
-    s, x, kind = F.col("source"), F.col("text"), F.col("kind")
-    hard = D.hard_flags_repair(s, x, "en", similarity.repeated_span(x))
-    scored = rows.withColumn("score", D.score(s, x, kind, "en", similarity.unchanged_similarity(s, x, kind))).withColumn("clear", F.size(hard) == 0)
-    best = F.min(F.struct((~F.col("clear")).alias("bad"), "score", "candidate")).alias("b")
-    return scored.groupBy("rank", "ordinal").agg(best).select("rank", "ordinal", "b.candidate", (~F.col("b.bad")).alias("clear"), F.round("b.score", 6).alias("score"))
+    rows = pairs(spark, sf_dir).withColumn("c", F.explode(made)).select("rank", "ordinal", "kind", "source", "c.candidate", F.col("c.text").alias("translation"))
+    return translate.best(rows, ["rank", "ordinal"], "en").select("rank", "ordinal", "candidate", "clear", F.round("score", 6).alias("score"))
 
 
 def source_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,15 +261,10 @@ def gate_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.rolled_up(evidence, ["even", "odd"]).select("rank", "n_passed", "state")
 
 
-def _grams(rows: DataFrame, key: str, size: int = 5) -> DataFrame:
-    t = T.tokens(F.col("text"))
-    grams = F.transform(F.sequence(F.lit(1), F.size("t") - size + 1), lambda i: F.array_join(F.slice("t", i, F.lit(size)), " "))
-    return rows.select(key, t.alias("t")).filter(F.size("t") >= size).select(key, F.explode(F.array_distinct(grams)).alias("gram"))
-
-
 def ngram_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, items = _grams(_table(spark, sf_dir, "documents"), "doc_id"), _grams(_table(spark, sf_dir, "benchmark"), "item_id")
-    return docs.join(items, "gram").groupBy("doc_id", "item_id").agg(F.count("*").alias("grams"))
+    docs = similarity.token_grams(_table(spark, sf_dir, "documents"), "doc_id", T.tokens(_text()), 5)
+    items = similarity.token_grams(_table(spark, sf_dir, "benchmark"), "item_id", T.tokens(_text()), 5)
+    return similarity.shared_grams(docs, items, "doc_id", "item_id")
 
 
 def link_scrape(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,9 +274,10 @@ def link_scrape(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resume_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pairs(spark, sf_dir).withColumn("id", F.col("rank") * 1000 + F.col("ordinal"))
-    before = rows.filter("rank % 9 <> 0").select("id", T.sha(F.col("source")).alias("source_sha256"))
+    # every ninth rank is there under other ids
+    before = rows.select((F.col("id") + F.when(F.col("rank") % 9 == 0, 500).otherwise(0)).alias("id"), T.sha(F.col("source")).alias("source_sha256"))
     changed = F.when(F.col("ordinal") % 4 == 1, F.concat(F.trim("source"), F.lit("."))).otherwise(F.col("source"))
-    return ledger.resumable(before, rows.filter("rank % 10 <> 0").select("id", T.sha(changed).alias("source_sha256")))
+    return ledger.resumable(before, rows.select("id", T.sha(changed).alias("source_sha256")))
 
 
 def shard_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,8 +342,7 @@ def incremental_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a stream of ledger records; the last state of each user when all have been read."""
     from corpusloom.streaming.overlay import overlay, record_stream
 
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
-    place = f"{shared}/overlay-{spark.sparkContext.applicationId}-{id(object())}"
+    place = f"{shared_folder(spark)}/overlay-{uuid.uuid4().hex}"
     schema = _table(spark, sf_dir, "events").schema.simpleString()[len("struct<") : -1].replace(":", " ")
     stream = record_stream(spark, f"{sf_dir}/events*.parquet", schema)
     query = overlay(stream.select("user_id", "ts", "event_id", "event_type"), f"{place}/state", f"{place}/checkpoint", ["user_id"], ["ts", "event_id"])

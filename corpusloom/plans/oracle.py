@@ -123,10 +123,17 @@ def pairs(select: str) -> str:
     return f"WITH {PAIRS} SELECT {select} FROM bound"
 
 
+def roman_of(signs: str) -> str:
+    """The value of signs from the right: one below the largest so far is taken off."""
+    return f"list_sum(list_transform({signs}, lambda v, i: CASE WHEN i > 1 AND v < list_max(({signs})[1:i - 1]) THEN -v ELSE v END))::BIGINT"
+
+
 def number_of(leaf: str) -> str:
     words = " ".join(f"WHEN regexp_matches({leaf}, {q('(^|[^' + chr(92) + 'p{L}' + chr(92) + 'p{N}_])' + w + '($|[^' + chr(92) + 'p{L}' + chr(92) + 'p{N}_])')}) THEN {v}" for w, v in ORDINAL_WORDS)
     digits = f"regexp_extract({leaf}, '\\d+')"
-    return f"coalesce(CASE {words} END, CASE WHEN {digits} <> '' THEN try_cast({digits} AS BIGINT) END)"
+    signs = f"list_transform(string_split(reverse({leaf}), ''), lambda c: CASE c WHEN 'i' THEN 1 WHEN 'v' THEN 5 WHEN 'x' THEN 10 WHEN 'l' THEN 50 WHEN 'c' THEN 100 WHEN 'd' THEN 500 ELSE 1000 END)"
+    roman = f"CASE WHEN regexp_full_match({leaf}, '[ivxlcdm]+') THEN {roman_of(signs)} END"
+    return f"coalesce(CASE {words} END, {roman}, CASE WHEN {digits} <> '' THEN try_cast({digits} AS BIGINT) END)"
 
 
 S, T = "source", "translation"
@@ -162,16 +169,16 @@ ORACLES = {
     "hash_binding": f"WITH {PAIRS} SELECT rank, ordinal, sha256(source) AS source_sha256, sha256(translation) AS translation_sha256 FROM bound",
     "shard_plan": "SELECT source, count(*) AS unit_count, 64 AS shard_size, ceil(count(*) / 64.0)::INT AS shard_count FROM documents GROUP BY source",
     "shard_jobs": "WITH p AS (SELECT source, ceil(count(*) / 8.0)::INT AS n FROM documents GROUP BY source) SELECT source, s.shard::INT AS shard, lpad(s.shard::VARCHAR, greatest(4, length(s.shard::VARCHAR))::INT, '0') AS shard_padded FROM p, LATERAL (SELECT unnest(generate_series(0, n - 1)) AS shard) s",
-    "assemble_units": f"WITH {PAIRS}, r AS (SELECT rank, ordinal, sha256(CASE WHEN ordinal % 7 = 0 THEN source || '!' ELSE source END) AS h, translation FROM bound WHERE rank % 5 <> 0) SELECT b.rank, b.ordinal, r.translation IS NOT NULL AS found, sha256(coalesce(r.translation, '')) AS translation_sha256 FROM bound b LEFT JOIN r ON b.rank = r.rank AND b.ordinal = r.ordinal AND sha256(b.source) = r.h",
-    "missing_units": f"WITH {PAIRS}, r AS (SELECT rank, ordinal, sha256(CASE WHEN ordinal % 7 = 0 THEN source || '!' ELSE source END) AS h FROM bound WHERE rank % 5 <> 0) SELECT b.rank, b.ordinal FROM bound b WHERE NOT EXISTS (SELECT 1 FROM r WHERE b.rank = r.rank AND b.ordinal = r.ordinal AND sha256(b.source) = r.h)",
-    "overlay_corrections": f"WITH {PAIRS}, c AS (SELECT rank, ordinal, CASE WHEN ordinal % 2 = 0 THEN sha256(source) ELSE sha256('old' || source) END AS h, 'new ' || translation AS t FROM bound WHERE rank % 3 = 0) SELECT b.rank, b.ordinal, c.h IS NOT NULL AND c.h = sha256(b.source) AS corrected, sha256(CASE WHEN c.h = sha256(b.source) THEN c.t ELSE b.translation END) AS translation_sha256 FROM bound b LEFT JOIN c ON b.rank = c.rank AND b.ordinal = c.ordinal",
-    "override_violations": f"WITH {PAIRS}, o AS (SELECT rank, ordinal, sha256(CASE WHEN ordinal % 3 = 0 THEN source || ' ' ELSE source END) AS h FROM bound WHERE rank % 4 = 0 UNION ALL SELECT rank, ordinal, sha256(source) FROM bound WHERE rank % 8 = 0 UNION ALL SELECT rank, ordinal + 1000, sha256(source) FROM bound WHERE rank % 6 = 0), j AS (SELECT o.*, b.source FROM o LEFT JOIN bound b ON o.rank = b.rank AND o.ordinal = b.ordinal) SELECT rank, ordinal, 'source_changed' AS violation FROM j WHERE source IS NOT NULL AND sha256(source) <> h UNION ALL SELECT rank, ordinal, 'unit_missing' FROM j WHERE source IS NULL UNION ALL SELECT rank, ordinal, 'duplicate_override' FROM o GROUP BY rank, ordinal HAVING count(*) > 1",
+    "assemble_units": f"WITH {PAIRS}, r AS (SELECT rank, ordinal, sha256(CASE WHEN ordinal % 7 = 0 OR rank % 5 = 0 THEN source || '!' ELSE source END) AS h, translation FROM bound) SELECT b.rank, b.ordinal, r.translation IS NOT NULL AS found, sha256(coalesce(r.translation, '')) AS translation_sha256 FROM bound b LEFT JOIN r ON b.rank = r.rank AND b.ordinal = r.ordinal AND sha256(b.source) = r.h",
+    "missing_units": f"WITH {PAIRS}, r AS (SELECT rank, ordinal, sha256(CASE WHEN ordinal % 7 = 0 OR rank % 5 = 0 THEN source || '!' ELSE source END) AS h FROM bound) SELECT b.rank, b.ordinal FROM bound b WHERE NOT EXISTS (SELECT 1 FROM r WHERE b.rank = r.rank AND b.ordinal = r.ordinal AND sha256(b.source) = r.h)",
+    "overlay_corrections": f"WITH {PAIRS}, c AS (SELECT rank, ordinal, CASE WHEN ordinal % 2 = 0 AND rank % 3 = 0 THEN sha256(source) ELSE sha256('old' || source) END AS h, 'new ' || translation AS t FROM bound) SELECT b.rank, b.ordinal, c.h IS NOT NULL AND c.h = sha256(b.source) AS corrected, sha256(CASE WHEN c.h = sha256(b.source) THEN c.t ELSE b.translation END) AS translation_sha256 FROM bound b LEFT JOIN c ON b.rank = c.rank AND b.ordinal = c.ordinal",
+    "override_violations": f"WITH {PAIRS}, o AS (SELECT rank, ordinal, sha256(CASE WHEN ordinal % 3 = 0 THEN source || ' ' ELSE source END) AS h FROM bound UNION ALL SELECT rank, ordinal - ordinal % 2, sha256(source) FROM bound UNION ALL SELECT rank, ordinal + 1000, sha256(source) FROM bound), j AS (SELECT o.*, b.source FROM o LEFT JOIN bound b ON o.rank = b.rank AND o.ordinal = b.ordinal) SELECT rank, ordinal, 'source_changed' AS violation FROM j WHERE source IS NOT NULL AND sha256(source) <> h UNION ALL SELECT rank, ordinal, 'unit_missing' FROM j WHERE source IS NULL UNION ALL SELECT rank, ordinal, 'duplicate_override' FROM o GROUP BY rank, ordinal HAVING count(*) > 1",
     "fallback_coalesce": "WITH p AS (SELECT o_custkey AS rank, o_orderkey AS unit FROM orders WHERE o_orderstatus = 'F') SELECT rank, count(*) AS units, min(origin) AS origin FROM (SELECT rank, unit, 'primary' AS origin FROM p UNION ALL SELECT o_custkey, o_orderkey, 'fallback' FROM orders WHERE o_orderstatus <> 'F' AND o_custkey NOT IN (SELECT rank FROM p)) GROUP BY rank",
     "longest_ledger": "WITH c AS (SELECT l_suppkey AS rank, l_returnflag AS path, count(*) AS n FROM lineitem GROUP BY 1, 2), b AS (SELECT *, row_number() OVER (PARTITION BY rank ORDER BY n DESC, path) AS r FROM c) SELECT rank, path, n AS units FROM b WHERE r = 1",
     "conflict_units": "SELECT l_orderkey AS rank, l_suppkey AS unit_id, count(DISTINCT l_returnflag) AS n_translations FROM lineitem GROUP BY 1, 2 HAVING count(DISTINCT l_returnflag) > 1",
     "duplicate_keys": "SELECT l_orderkey, l_partkey, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
     "roster_partition": "WITH s AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderpriority LIKE '1%'), x AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderpriority LIKE '5%'), a AS (SELECT c_custkey AS k FROM customer) SELECT k AS c_custkey, 'in_both' AS violation FROM s WHERE k IN (SELECT k FROM x) UNION ALL SELECT k, 'in_none' FROM a WHERE k NOT IN (SELECT k FROM s UNION ALL SELECT k FROM x) UNION ALL SELECT k, 'unknown' FROM (SELECT k FROM s UNION SELECT k FROM x) WHERE k NOT IN (SELECT k FROM a)",
-    "prefix_children": "WITH t AS (SELECT DISTINCT regexp_replace(url, '^https?://', '') AS title FROM pages), p AS (SELECT title, regexp_extract(title, '^(.*)/[^/]+$', 1) AS parent FROM t) SELECT parent, title FROM p WHERE parent <> '' AND parent IN (SELECT regexp_extract(regexp_replace(url, '^https?://', ''), '^(.*)/[^/]+$', 1) FROM pages WHERE page_id % 2 = 0)",
+    "prefix_children": "WITH t AS (SELECT DISTINCT regexp_replace(url, '^https?://', '') AS title FROM pages), p AS (SELECT title, regexp_extract(title, '^(.*)/[^/]+$', 1) AS parent FROM t) SELECT parent, title FROM p WHERE parent <> '' AND parent IN (SELECT regexp_extract(regexp_replace(url, '^https?://', ''), '^(.*)/[^/]+$', 1) FROM pages)",
     "terminal_pages": "WITH t AS (SELECT DISTINCT regexp_replace(url, '^https?://', '') AS title FROM pages UNION SELECT DISTINCT regexp_extract(regexp_replace(url, '^https?://', ''), '^[^/]+', 0) FROM pages) SELECT title FROM t WHERE NOT EXISTS (SELECT 1 FROM t b WHERE starts_with(b.title, t.title || '/'))",
     "natural_title_order": f"WITH t AS (SELECT page_id, regexp_extract(url, '[^/]*$') AS leaf, regexp_extract(regexp_replace(url, '^https?://', ''), '^[^/]+', 0) AS host, url FROM pages) SELECT page_id, row_number() OVER (PARTITION BY host ORDER BY {number_of('lower(leaf)')} ASC NULLS LAST, lower(leaf), url, page_id) AS place FROM t",
     "best_candidate": f"WITH {PAIRS}, c AS (SELECT rank, ordinal, kind, source, 0 AS cand, translation AS t FROM bound UNION ALL SELECT rank, ordinal, kind, source, 1, substring(translation, 1, length(translation) // 2) FROM bound UNION ALL SELECT rank, ordinal, kind, source, 2, translation || ' ' || translation FROM bound), s AS (SELECT rank, ordinal, cand, CASE WHEN {empty('t')} THEN 1000000.0::DOUBLE ELSE CASE WHEN {omission(S, 't')} OR {repetition(S, 't')} THEN 1200.0::DOUBLE ELSE 0 END + CASE WHEN {ratio(S, 't')} < 0.48::DOUBLE THEN (0.48::DOUBLE - {ratio(S, 't')}) * 1500 ELSE 0 END + CASE WHEN {ratio(S, 't')} > 1.85::DOUBLE THEN ({ratio(S, 't')} - 1.85::DOUBLE) * 900 ELSE 0 END END AS score, {hard_flags_repair(S, 't')} = '' AS clear FROM c), r AS (SELECT *, row_number() OVER (PARTITION BY rank, ordinal ORDER BY clear DESC, score, cand) AS n FROM s) SELECT rank, ordinal, cand AS candidate, clear, round(score, 6) AS score FROM r WHERE n = 1",
@@ -185,5 +192,5 @@ ORACLES = {
     "ngram_copy": f"WITH d AS (SELECT doc_id AS id, {tokens('text')} AS t FROM documents), b AS (SELECT item_id AS id, {tokens('text')} AS t FROM benchmark), dg AS (SELECT DISTINCT id, array_to_string(t[i:i + 4], ' ') AS g FROM d, LATERAL (SELECT unnest(generate_series(1, len(t) - 4)) AS i) s), bg AS (SELECT DISTINCT id, array_to_string(t[i:i + 4], ' ') AS g FROM b, LATERAL (SELECT unnest(generate_series(1, len(t) - 4)) AS i) s) SELECT dg.id AS doc_id, bg.id AS item_id, count(*) AS grams FROM dg JOIN bg USING (g) GROUP BY 1, 2",
     "link_scrape": "SELECT page_id, len(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) AS n_links, array_to_string(list_distinct_ordered, ',') AS links FROM (SELECT page_id, html, regexp_extract_all(html, 'href=\"([^\"]*)\"', 1) AS list_distinct_ordered FROM pages)",
     "translate_roundtrip": f"WITH c AS (SELECT doc_id, regexp_replace({stripped('text')}, '[ \\t]+', ' ', 'g') AS t FROM documents) SELECT doc_id, sha256(CASE WHEN length(t) <= 700 THEN t ELSE trim(regexp_replace(t, '\\s+', ' ', 'g')) END) AS translation_sha256 FROM c",
-    "resume_check": f"WITH {PAIRS}, a AS (SELECT rank * 1000 + ordinal AS id, sha256(source) AS h FROM bound WHERE rank % 9 <> 0), b AS (SELECT rank * 1000 + ordinal AS id, sha256(CASE WHEN ordinal % 4 = 1 THEN trim(source) || '.' ELSE source END) AS h FROM bound WHERE rank % 10 <> 0) SELECT coalesce(a.id, b.id) AS id FROM a FULL JOIN b ON a.id = b.id WHERE a.h IS DISTINCT FROM b.h",
+    "resume_check": f"WITH {PAIRS}, a AS (SELECT rank * 1000 + ordinal + CASE WHEN rank % 9 = 0 THEN 500 ELSE 0 END AS id, sha256(source) AS h FROM bound), b AS (SELECT rank * 1000 + ordinal AS id, sha256(CASE WHEN ordinal % 4 = 1 THEN trim(source) || '.' ELSE source END) AS h FROM bound) SELECT coalesce(a.id, b.id) AS id FROM a FULL JOIN b ON a.id = b.id WHERE a.h IS DISTINCT FROM b.h",
 }

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import io
+import posixpath
 import zipfile
+from collections.abc import Iterator
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -70,6 +73,62 @@ def epubs(units: DataFrame, books: DataFrame) -> DataFrame:
     return safe.groupBy("rank").applyInPandas(archive, f"rank {books.schema['rank'].dataType.simpleString()}, content binary")
 
 
+#: The least bytes, width and height of an image that is kept.
+LEAST_BYTES, LEAST_SIDE = 1200, 180
+
+
+def _sides(data: bytes) -> tuple[int, int] | None:
+    """Width and height of a PNG, GIF or JPEG file by its header."""
+    if data.startswith(b"\x89PNG\r\n\x1a\n") and len(data) >= 24:
+        return int.from_bytes(data[16:20]), int.from_bytes(data[20:24])
+    if data[:6] in (b"GIF87a", b"GIF89a") and len(data) >= 10:
+        return int.from_bytes(data[6:8], "little"), int.from_bytes(data[8:10], "little")
+    if data.startswith(b"\xff\xd8"):
+        at = 2
+        while at + 9 < len(data) and data[at] == 0xFF:
+            kind = data[at + 1]
+            if 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC):
+                return int.from_bytes(data[at + 7 : at + 9]), int.from_bytes(data[at + 5 : at + 7])
+            at += 2 + int.from_bytes(data[at + 2 : at + 4])
+    return None
+
+
+def images(files: DataFrame) -> DataFrame:
+    """Images that EPUB files (asset, content) list, without covers and small ones: asset, place (from 1), name, media_type, member,
+    width, height, content, sha256. An archive without a container or a package has none."""
+
+    def listed(z: zipfile.ZipFile) -> Iterator[tuple[str, str, str]]:
+        names = set(z.namelist())
+        root = ElementTree.fromstring(z.read("META-INF/container.xml")).find(".//{*}rootfile")
+        if root is None or root.get("full-path", "") not in names:
+            return
+        for item in ElementTree.fromstring(z.read(root.get("full-path"))).iterfind(".//{*}manifest/{*}item"):
+            href = item.get("href", "")
+            member = posixpath.normpath(posixpath.join(posixpath.dirname(root.get("full-path")), href))
+            cover = "cover-image" in item.get("properties", "") or "cover" in href.casefold()
+            if item.get("media-type", "").startswith("image/") and not cover and member in names:
+                yield href, item.get("media-type"), member
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for asset, content in zip(frame["asset"], frame["content"], strict=True):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    if "META-INF/container.xml" not in z.namelist():
+                        continue
+                    place = 0
+                    for href, media, member in listed(z):
+                        data = z.read(member)
+                        sides = _sides(data)
+                        if len(data) < LEAST_BYTES or sides is None or min(sides) < LEAST_SIDE:
+                            continue
+                        place += 1
+                        name = f"historical-{place:03d}{posixpath.splitext(href)[1].lower() or '.jpg'}"
+                        yield pd.DataFrame({"asset": [asset], "place": [place], "name": [name], "media_type": [media], "member": [member], "width": [sides[0]], "height": [sides[1]], "content": [data]})
+
+    found = files.select("asset", "content").mapInPandas(run, "asset string, place int, name string, media_type string, member string, width int, height int, content binary")
+    return found.withColumn("sha256", F.sha2("content", 256))
+
+
 def container_violations(members: DataFrame) -> DataFrame:
     """(asset, violation) of archives (asset, path, position, stored, content, safe) that are no sound EPUB containers."""
     first = F.col("position") == 0

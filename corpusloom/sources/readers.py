@@ -11,6 +11,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.operators.ledger import conflicts
+
+# Fields of ledgers and configurations.
 ALIGNMENT = "unit_id STRING, chapter INT, kind STRING, source STRING, translation STRING, source_sha256 STRING, translation_sha256 STRING"
 CONFIG = (
     "rank INT, italian_title STRING, original_title STRING, author STRING, source_language STRING, source_language_label STRING, expected_chapters INT, "
@@ -39,6 +42,35 @@ def source_bundle(spark: SparkSession, path: str) -> DataFrame:
     return numbered.select("rank", "ordinal", "u.unit_id", "u.chapter", "u.kind", "u.source")
 
 
+def corrections(spark: SparkSession, path: str) -> DataFrame:
+    """Corrections of files ``corrections-*.json`` below path: file, rank, unit_id, source_sha256, translation, translation_sha256.
+
+    Of units that stand in several files operators.ledger.last_corrections takes the last."""
+    entry = "STRUCT<source_sha256: STRING, translation: STRING, translation_sha256: STRING>"
+    files = spark.read.schema(f"corrections MAP<STRING, MAP<STRING, {entry}>>").option("recursiveFileLookup", "true").option("pathGlobFilter", "corrections-*.json").json(path, multiLine=True)
+    ranks = files.select(F.col("_metadata.file_path").alias("file"), F.explode("corrections").alias("rank", "units"))
+    return ranks.select("file", F.col("rank").cast("int").alias("rank"), F.explode("units").alias("unit_id", "c")).select("file", "rank", "unit_id", "c.*")
+
+
+def overrides(spark: SparkSession, path: str, rank: int | None = None) -> DataFrame:
+    """Entries of an override file: rank, unit_id, source_sha256, translation; those of one rank if it is named."""
+    entry = "STRUCT<rank: INT, unit_id: STRING, source_sha256: STRING, translation: STRING>"
+    found = spark.read.schema(f"overrides ARRAY<{entry}>").json(path, multiLine=True).select(F.explode("overrides").alias("o")).select("o.*")
+    return found if rank is None else found.filter(F.col("rank") == rank)
+
+
+def shard_alignments(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Records of all shards' ledgers (``043_shard_0001_alignment.jsonl``) once for each translation, and the units that have several."""
+    rows = alignments(spark, path).filter(F.regexp_like("path", F.lit(r"_shard_\d+_alignment\.jsonl$")))
+    return rows.dropDuplicates(["rank", "unit_id", "source_sha256", "translation_sha256"]), conflicts(rows)
+
+
+def rank_violations(bundles: DataFrame, expected: DataFrame) -> DataFrame:
+    """(path, rank): bundles (path, rank) whose rank isn't the one that is expected of their path (path, rank)."""
+    own = bundles.select("path", "rank").distinct()
+    return own.join(expected.select("path", F.col("rank").alias("_rank")), "path").filter(~F.col("rank").eqNullSafe(F.col("_rank"))).select("path", "rank")
+
+
 def gzipped_base64_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON documents that are gzipped and written in base64, one a file."""
 
@@ -58,6 +90,7 @@ def plain_texts(spark: SparkSession, path: str) -> DataFrame:
 
 def between_marks(text: str = "text") -> dict:
     """Columns ``body`` (between the start and the end mark of a landed book, null without both) and ``marked``."""
+    # fixed values: the two marks
     start = r"(?im)^\*\*\* START OF (?:THE|THIS) PROJECT GUTENBERG EBOOK.*?\*\*\*[ \t]*$"
     end = r"(?im)^\*\*\* END OF (?:THE|THIS) PROJECT GUTENBERG EBOOK.*?\*\*\*[ \t]*$"
     after = F.regexp_replace(text, rf"(?s)\A.*?{start}", "\u0001")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import padded
 from corpusloom.operators.ledger import bound
 
 
@@ -14,6 +17,39 @@ def write_alignment(units: DataFrame, path: str) -> None:
     rows.repartitionByRange("rank", "ordinal").sortWithinPartitions("rank", "ordinal").write.partitionBy("rank").json(path)
 
 
+def write_alignment_files(units: DataFrame, path: str) -> None:
+    """One ledger for each rank, under the name that readers.alignments knows it by (``043_alignment.jsonl``), in a folder of its own.
+
+    A rank is one file by its format; its lines are sorted by Spark, and only moved to their name afterwards."""
+    rows = bound(units)
+    columns = [c for c in ("unit_id", "chapter", "kind", "source", "translation", "source_sha256", "translation_sha256") if c in rows.columns]
+    lines = rows.select(padded(F.col("rank"), 3).alias("_rank"), "ordinal", F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
+    lines.repartition("_rank").sortWithinPartitions("_rank", "ordinal").select("_rank", "value").write.partitionBy("_rank").text(path)
+    _rename(units.sparkSession, path, "_rank=", lambda rank: f"{rank}_alignment.jsonl")
+
+
+def correction_files(rows: DataFrame, path: str, name: str) -> None:
+    """Corrections (rank, unit_id, ...) as one JSON file ``name``.json of units by rank. As large as a release's corrections."""
+    fields = [c for c in rows.columns if c not in ("rank", "unit_id")]
+    ranks = rows.groupBy(F.col("rank").cast("string").alias("rank")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("unit_id", F.struct(*fields))))).alias("units"))
+    by_rank = F.array_sort(F.collect_list(F.struct("rank", "units")), lambda a, b: F.when(a["rank"] < b["rank"], -1).when(a["rank"] > b["rank"], 1).otherwise(0))
+    whole = ranks.agg(F.map_from_entries(by_rank).alias("corrections"))
+    whole.select(F.lit(name).alias("_name"), F.to_json(F.struct("corrections")).alias("value")).write.partitionBy("_name").text(path)
+    _rename(rows.sparkSession, path, "_name=", lambda n: f"{n}.json")
+
+
+def _rename(spark: SparkSession, path: str, prefix: str, named: Callable[[str], str]) -> None:
+    """Give the one file of each folder of a partition its name, by the file system that path is on."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for entry in files.listStatus(folder):
+        if entry.isDirectory() and entry.getPath().getName().startswith(prefix):
+            for part in files.listStatus(entry.getPath()):
+                if part.getPath().getName().startswith("part-"):
+                    value = entry.getPath().getName()[len(prefix) :]
+                    files.rename(part.getPath(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(entry.getPath(), named(value)))
+
+
 def bundles(units: DataFrame) -> DataFrame:
     """(rank, document): a book's units by chapter as one JSON document."""
     unit = F.struct("ordinal", F.struct("unit_id", "chapter", "kind", "source").alias("u"))
@@ -22,6 +58,13 @@ def bundles(units: DataFrame) -> DataFrame:
     return books.select("rank", F.to_json(F.struct("rank", "chapters")).alias("document"))
 
 
+def write_bundle_files(units: DataFrame, path: str) -> None:
+    """One bundle for each rank (``043_source_bundle.json``), in a folder of its own."""
+    found = bundles(units).select(padded(F.col("rank"), 3).alias("_rank"), F.col("document").alias("value"))
+    found.repartition("_rank").write.partitionBy("_rank").text(path)
+    _rename(units.sparkSession, path, "_rank=", lambda rank: f"{rank}_source_bundle.json")
+
+
 def corrections(rows: DataFrame) -> DataFrame:
     """(rank, document): corrections of a rank by unit."""
     fields = [c for c in rows.columns if c not in ("rank", "unit_id")]

@@ -25,7 +25,7 @@ def test_epub(spark, tmp_path):
         for name in z.namelist()[1:]:
             ET.fromstring(z.read(name))
         text = z.read("OEBPS/chapter-001.xhtml").decode()
-    assert "<h2>I &lt;one&gt;</h2><p>a &amp; b<br/>c</p>" in text
+    assert '<p class="subhead">I &lt;one&gt;</p><p>a &amp; b<br/>c</p>' in text
     (tmp_path / "7.epub").write_bytes(found[7])
     with zipfile.ZipFile(tmp_path / "bad.epub", "w", zipfile.ZIP_DEFLATED) as z:
         z.writestr("mimetype", "application/epub+zip")

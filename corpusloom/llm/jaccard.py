@@ -43,6 +43,8 @@ SHARE = 80
 PART = 104
 #: Bits of a row's number in its pack, more than PACK_ROWS has.
 AT_BITS = 18
+#: Places in which a group's first document meets the others.
+SALTS = 64
 #: Seeds of the token orders.
 ORDERS = (1, 2)
 #: Documents and shingles of a tile, at most; a smaller block has tiles of SMALL_TILE until they are SPREAD, so that it is dealt out, too.
@@ -237,9 +239,12 @@ def _grouped(docs: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
     )
     sums = linked.filter("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("others"))
     groups_of = components(linked.filter("v is not null").select("u", "v"))
-    known = classes.join(groups_of, "node", "left").join(sums, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    known = known.join(known.groupBy("component").agg(F.min("first").alias("leader")), "component")
-    known = known.select("n", "a", "b", "leader", (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    # a group may hold a third of all classes, so what names it is met in SALTS places
+    grouped = classes.select("node", "first").join(groups_of, "node")
+    leaders = grouped.groupBy("component").agg(F.min("first").alias("leader")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    led = grouped.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(leaders, ["component", "salt"]).select("node", "leader")
+    known = classes.join(led, "node", "left").join(sums, "node", "left")
+    known = known.select("n", "a", "b", F.coalesce("leader", "first").alias("leader"), (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
     leads = F.col("leader").isNull() | ((F.col("leader.pack") == F.col("pack")) & (F.col("leader.at") == F.col("at")))
     # a null id came as the largest long of all
     named = [F.when(c != F.lit((1 << 63) - 1), c) for c in (F.col("doc_id"), F.coalesce("leader.doc_id", "doc_id"))]

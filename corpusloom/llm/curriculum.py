@@ -21,10 +21,12 @@ of no consequence. An empty table gives an empty table. Columns other than doc_i
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import WORD, numbered, shuffle_width, written
+from corpusloom.llm.common import WORD, bucketed, numbered, shuffle_width, written
 
 #: How far the weights of sources of weight 1, 2, 3 lean to the end of training: the slope of their line, halved.
 LEANS = {1: -0.5, 2: 0.0, 3: 0.5}
@@ -72,9 +74,9 @@ def _moment(share: Column, lean: Column) -> Column:
     return F.when(lean == 0, share).otherwise((F.sqrt(flat * flat + F.lit(4.0) * lean * share) - flat) / (F.lit(2.0) * lean))
 
 
-def mix(docs: DataFrame, most: int = 3) -> DataFrame:
+def mix(docs: DataFrame, most: int = 3, keep: Sequence[str] = ()) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, copies, taken and ``positions``, the training
-    times (array<double>, ascending) of its copies."""
+    times (array<double>, ascending) of its copies; and the columns of keep, which also decide between rows alike in all else."""
     key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
     order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     sizes = written(
@@ -84,6 +86,7 @@ def mix(docs: DataFrame, most: int = 3) -> DataFrame:
             key.alias("key"),
             word_count(F.col("text")).alias("size"),
             order.alias("order"),
+            *keep,
         ).withColumn("range", F.conv(F.substring("order", 1, RANGE_DIGITS), 16, 10).cast("int"))
     )
     targets, n_sources = source_targets(sizes, most)
@@ -96,7 +99,7 @@ def mix(docs: DataFrame, most: int = 3) -> DataFrame:
         .drop("words")
         .join(small(targets), "key")
     )
-    inside = Window.partitionBy("key", "range").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("key", "range").orderBy("order", "doc_id", "size", *keep).rowsBetween(Window.unboundedPreceding, -1)
     width = shuffle_width(docs.sparkSession)
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     placed = written(
@@ -139,44 +142,27 @@ def mix(docs: DataFrame, most: int = 3) -> DataFrame:
                 ),
             ).otherwise(F.array().cast("array<double>")),
         )
-        .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "positions")
+        .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "positions", *keep)
     )
 
 
-def in_training_order(mixed: DataFrame) -> DataFrame:
-    """A row for each copy that is trained, range-sorted by its position."""
-    copies = mixed.withColumn("position", F.explode("positions")).drop("positions")
-    return copies.repartitionByRange(shuffle_width(mixed.sparkSession), "position", "doc_id").sortWithinPartitions("position", "doc_id")
-
-
 def training_rows(docs: DataFrame, most: int = 3) -> DataFrame:
     """docs with all its columns, each row as often as the mix takes it, range-sorted by training time.
 
-    Rows that repeat a doc_id, source and size are told apart by their text."""
-    key = ["_doc", "_source", "_size"]
-    rows = docs.withColumns(
-        {
-            "_doc": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-            "_source": F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null")),
-            "_size": word_count(F.col("text")),
-        }
-    ).withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy("text")))
-    times = (
-        mix(docs, most)
-        .filter("copies > 0")
-        .select(
-            F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_doc"),
-            F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null")).alias("_source"),
-            F.col("size").alias("_size"),
-            "positions",
-        )
-        .groupBy(*key)
-        .agg(F.sort_array(F.collect_list("positions")).alias("_lists"))
-    )
-    # numbered and joined by the same columns, so that texts move once for both
-    copies = rows.join(times, key).withColumn("_position", F.explode(F.try_element_at("_lists", F.col("_n"))))
+    Each row is a document of its own, whatever its doc_id. Rows are numbered where they are read and written once, a bucket for
+    each split of the input; their training times come back as one array for each split, so that texts move once, into their order."""
+    row = "_row" + "_" * sum(c.lower().startswith("_row") for c in docs.columns)
+    split = row + "_split"
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    table = bucketed(numbered.withColumn(split, F.shiftright(row, 33)), split)
+    inside = F.col(row).bitwiseAND(F.lit((1 << 33) - 1))
+    times = mix(table, most, [row]).select(F.shiftright(row, 33).alias(split), F.struct(inside.alias("at"), "positions").alias("_one"))
+    # as many rows as a split of the input holds, without their texts
+    lists = times.groupBy(split).agg(F.transform(F.sort_array(F.collect_list("_one")), lambda x: x["positions"]).alias("_lists"))
+    copies = table.join(lists, split).withColumn("_position", F.explode(F.element_at("_lists", (inside + 1).cast("int"))))
     width = shuffle_width(docs.sparkSession)
-    return copies.repartitionByRange(width, "_position", "_doc").sortWithinPartitions("_position", "_doc").select(*[F.col(f"`{c}`") for c in docs.columns])
+    order = [F.col("_position"), F.col(row)]
+    return copies.drop("_lists").repartitionByRange(width, *order).sortWithinPartitions(*order).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def taken(mixed: DataFrame) -> DataFrame:

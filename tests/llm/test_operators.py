@@ -154,9 +154,26 @@ def test_mix(spark, odd):
     assert all(list(p) == sorted(p) and all(0 <= x <= 1 for x in p) for p in mixed["positions"])
     rows = curriculum.training_rows(odd)
     assert rows.columns == odd.columns and rows.count() == mixed["copies"].sum()
+    assert curriculum.training_rows(empty(spark)).count() == 0
+    named = odd.withColumn("_row", F.lit("x")).withColumn("_row_split", F.lit(2))
+    assert curriculum.training_rows(named).columns == named.columns and curriculum.training_rows(named).filter("`_row` = 'x'").count() == rows.count()
     assert curriculum.taken(curriculum.mix(empty(spark))).count() == 0
 
 
+def test_training_rows_of_rows_without_names(spark):
+    """Null and repeated doc_ids: each row is taken as often as the mix says, in the order of its times."""
+    rows = [(None if i % 3 else 7, f"{'w ' * (i % 5)}t{i}", "ab"[i % 2]) for i in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3).cache()
+    mixed = curriculum.mix(table, keep=["text"]).toPandas()
+    want = [t for _, t in sorted((p, t) for t, ps in zip(mixed["text"], mixed["positions"], strict=True) for p in ps)]
+    got = [r["text"] for r in curriculum.training_rows(table).collect()]
+    assert Counter(want).total() == len(got) and set(Counter(got).values()) <= {1, 2, 3}
+    words = {t: len(t.split()) for t in set(got)}
+    for source in "ab":
+        target = mixed.loc[mixed["source"] == source, "target"].iloc[0]
+        assert abs(sum(words[t] for t in got if (int(t.split("t")[-1]) % 2 == 1) == (source == "b")) - target) <= 5
+
+
 # 4 ------------------------------------------------------------------------------------------------
 
 

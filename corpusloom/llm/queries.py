@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import covertree, curriculum, hilbert, jaccard, langid, mainhtml, orderhash, pieces, repeats, toxicity
+from corpusloom.llm import covertree, curriculum, hilbert, jaccard, langid, mainhtml, orderhash, pieces, repeats, toxicity, twins
 from corpusloom.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -68,4 +68,9 @@ QUERIES = {
     "op10_sentencepiece": op10_sentencepiece,
 }
 
-ORACLES: dict[str, str] = {"op3_curriculum_mix": curriculum.ORACLE}
+ORACLES: dict[str, str] = {
+    "op3_curriculum_mix": curriculum.ORACLE,
+    "op5_suffix_array_dedup": twins.REPEATS,
+    "op7_cover_tree_duplicates": twins.COVER_TREE,
+    "op8_ngram_jaccard_join": twins.JACCARD,
+}

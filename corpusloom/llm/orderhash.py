@@ -32,8 +32,9 @@ PLACES = 64
 TUPLE = 2
 _U = np.uint64
 _M1, _M2, _M3 = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
-#: Odd multipliers, one a function, from a fixed seed.
-_FUNCTIONS = np.random.default_rng(12).integers(0, 2**31, PLACES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+#: What each function adds to a k-mer's hash and multiplies it by (odd), from a fixed seed.
+_ADDED, _FACTORS = np.random.default_rng(12).integers(0, 2**31, (2, PLACES, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_LAST = np.uint32(0x2C1B3C6D)
 #: Hashes held at once.
 _BLOCK = 1 << 18
 
@@ -76,6 +77,14 @@ def numbered_kmers(text: str) -> np.ndarray:
     return _mixed(h, times)
 
 
+def order_of(short: np.ndarray, functions: slice) -> np.ndarray:
+    """The place of each k-mer's hash of 32 bits under some of the functions; each one is a permutation whose bits are well mixed."""
+    x = (short[None, :] + _ADDED[functions]) * _FACTORS[functions]
+    x ^= x >> np.uint32(15)
+    x *= _LAST
+    return x
+
+
 def fingerprint(text: str) -> np.ndarray:
     """PLACES hashes of 16 bits."""
     x = numbered_kmers(text)
@@ -84,7 +93,7 @@ def fingerprint(text: str) -> np.ndarray:
     out = np.empty(PLACES, dtype=np.uint64)
     step = max(1, _BLOCK // n)
     for at in range(0, PLACES, step):
-        hashes = short[None, :] * _FUNCTIONS[at : at + step, None]
+        hashes = order_of(short, slice(at, at + step))
         rows = np.arange(len(hashes))
         places = []
         for _ in range(min(TUPLE, n)):

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.operators.lineage import shared_folder
+
 #: Words as the contracts define them: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -16,25 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a folder of our own only where none is set (tests)."""
-    context = spark.sparkContext
-    found = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="spark-")
-        context.setCheckpointDir(found)
-    return found
-
-
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage with a copy in the shared folder, which outlives any executor."""
-    shared_dir(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def written(df: DataFrame) -> DataFrame:
     """Cut the lineage by writing df as a table in the shared folder."""
-    path = f"{shared_dir(df.sparkSession)}/corpusloom/{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/corpusloom/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -46,9 +37,23 @@ def bucketed(df: DataFrame, key: str, least: int = 1) -> DataFrame:
     name = f"corpusloom_{uuid.uuid4().hex}"
     width = max(shuffle_width(df.sparkSession), least)
     df.write.bucketBy(width, key).option("compression", "zstd").saveAsTable(name)
+    _TABLES.append(name)
     return df.sparkSession.table(name)
 
 
+#: Tables that this process has made.
+_TABLES: list[str] = []
+
+
+def drop_tables(spark: SparkSession) -> int:
+    """Drop the bucketed tables that this process has made, once the results that read them are written. How many they were."""
+    names = list(_TABLES)
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _TABLES.remove(name)
+    return len(names)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -30,8 +30,8 @@ from corpusloom.llm.components import components, local_roots
 
 #: Points of a tree; visitors are handled in batches of as many.
 PART = 3000
-#: Pivots, at most: what is broadcast is no more than these.
-PIVOTS = 8192
+#: Pivots, and their bytes, at most: what is broadcast is no more than these.
+PIVOTS, PIVOT_BYTES = 8192, 32 << 20
 RADII = (1.0, 0.5, 0.25, 0.125, 0.0625)
 #: The level at which visitors are told apart.
 NEAR_LEVEL = 2
@@ -233,7 +233,7 @@ def _linked_points(points: DataFrame, n: int, dim: int, threshold: float) -> Dat
     """(u, null, n): so much weight is linked to point u; (u, v, null): u and v are in one component."""
     spark = points.sparkSession
     limit = float(np.sqrt(2 - 2 * threshold))
-    many = int(min(PIVOTS, max(1, -(-n // PART))))
+    many = int(min(PIVOTS, max(1, PIVOT_BYTES // (8 * dim)), max(1, -(-n // PART))))
     pivots = _unit(pd.Series([r["embedding"] for r in points.orderBy(F.xxhash64("id"), "id").limit(many).collect()]))
 
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -135,6 +135,16 @@ def test_shards(spark, docs, odd):
     assert row["size"] == 16 and row["text_crc32"] is None
 
 
+def test_written_shards_are_pruned_by_their_columns(spark, docs, tmp_path):
+    hilbert.write_shards(docs, str(tmp_path / "shards"), 10)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    where = {r["doc_id"]: (r["shard"], r["slot"]) for r in hilbert.shards(docs, 10).collect()}
+    assert back.count() == docs.count() and {r["doc_id"]: (r["shard"], r["slot"]) for r in back.collect()} == where
+    # rows that are alike lie together: a source stands in few shards, so that most of them need not be read
+    spread = [r["n"] for r in back.groupBy("source").agg(F.countDistinct("shard").alias("n")).collect()]
+    assert sum(spread) / len(spread) < 4
+
+
 # 3 ------------------------------------------------------------------------------------------------
 
 
@@ -360,6 +370,16 @@ def test_cover_tree(spark, monkeypatch):
     assert covertree.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_cover_tree_on_odd_rows(spark):
+    """Repeated and null vec_ids, and columns whose names the operator uses inside."""
+    rows = [(1, [1.0, 0.0], "a", 5), (1, [1.0, 0.0], "b", 6), (2, [1.0, 0.01], "c", 7), (None, [1.0, 0.0], "d", 8), (3, [0.0, 1.0], "e", 9)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, id string, n_links int")
+    got = sorted((r["vec_id"] or 0, r["n_links"], r["component_id"] or 0) for r in covertree.near_duplicates(table).collect())
+    assert [g[0] for g in got] == [0, 1, 1, 2, 3] and [g[2] for g in got if g[0]] == [1, 1, 1, 3]
+    assert [g[1] for g in got if g[0]] == [2, 2, 2, 0]
+    assert covertree.near_duplicates(table).columns == ["vec_id", "n_links", "component_id", "kept"]
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(500 + i, 501 + i) for i in range(40)]
@@ -462,6 +482,39 @@ def test_order_minhash(spark, docs, odd):
     assert one["near_next"] == 1.0 and one["n_chars"] == 4
 
 
+def by_hand(text):
+    """A fingerprint place by place, from k-mers and their numbers."""
+    hashes = [int(h) for h in orderhash.numbered_kmers(text)]
+    out = []
+    for added, factor in zip(orderhash._ADDED.ravel().tolist(), orderhash._FACTORS.ravel().tolist(), strict=True):
+
+        def place(h, added=added, factor=factor):
+            x = ((h >> 32) + added) * factor & 0xFFFFFFFF
+            return (x ^ x >> 15) * int(orderhash._LAST) & 0xFFFFFFFF
+
+        rank = sorted(range(len(hashes)), key=lambda i: (place(hashes[i]), i))
+        chosen = sorted(rank[: orderhash.TUPLE])
+        value = np.array([min(orderhash.TUPLE, len(hashes))], dtype=np.uint64)
+        for i in chosen:
+            value = orderhash._mixed(value, np.array([hashes[i]], dtype=np.uint64))
+        out.append(int(value[0]) >> 48)
+    return out
+
+
+@pytest.mark.parametrize("text", ["", "a", "short", "the same words the same words the same words", "x" * 200, "".join(chr(97 + i * i % 23) for i in range(700))])
+def test_fingerprints_are_their_definition(text):
+    assert orderhash.fingerprint(text).tolist() == by_hand(text)
+
+
+def test_kmers_are_numbered_by_occurrence():
+    text = "abcabcabcabcabcabcabc" * 2 + "zzz"
+    found, names, seen = orderhash.numbered_kmers(text).tolist(), [], Counter()
+    for i in range(max(1, len(text) - orderhash.K + 1)):
+        names.append((text[i : i + orderhash.K], seen[text[i : i + orderhash.K]]))
+        seen[text[i : i + orderhash.K]] += 1
+    assert len(found) == len(names) and len(set(found)) == len(set(names)) and len(dict(zip(names, found, strict=True))) == len(names)
+
+
 def test_order_minhash_sees_order():
     a, b = "abcdefghijklmnopqrstuvwxyz0123456789" * 4, "ZYXWVUTSRQPONMLKJIHGFEDCBA9876543210" * 4
     same, swapped = orderhash.likeness(orderhash.fingerprint(a + b), orderhash.fingerprint(a + b)), orderhash.likeness(orderhash.fingerprint(a + b), orderhash.fingerprint(b + a))
@@ -547,6 +600,24 @@ def test_pipeline(spark, docs):
     assert len(kept) == len(set(kept))
 
 
+def test_pipeline_on_odd_and_empty_tables(spark, odd, tmp_path):
+    import corpus_pipeline
+
+    for name, table in (("odd", odd.select("doc_id", "text", "lang", "source", F.lit(1).alias("n_chars"))), ("empty", empty(spark))):
+        table.write.parquet(str(tmp_path / name / "documents.parquet"))
+        spark.createDataFrame([(4, 0, 0), (8, 0, 1), (None, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / name / "labels.parquet"))
+        rows = corpus_pipeline.run(spark, str(tmp_path / name)).collect()
+        assert (len(rows) > 0) == (name == "odd")
+        assert all(len(r["ids"]) == r["n_tokens"] for r in rows)
+
+
+def test_tables_are_dropped(spark, docs):
+    from corpusloom.llm import common
+
+    name = jaccard.linked_components(docs.limit(20)) and common._TABLES[-1]
+    assert spark.catalog.tableExists(name) and common.drop_tables(spark) > 0 and not spark.catalog.tableExists(name)
+
+
 def test_rows_without_words(spark):
     table = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string").withColumn("source", F.lit("a"))
     assert [r["taken"] for r in curriculum.mix(table).collect()] == [0, 0]

@@ -18,6 +18,7 @@ from corpusloom.functions import packing as P
 from corpusloom.functions import text as T
 from corpusloom.operators import gates, ledger, pages, similarity, translate
 from corpusloom.operators.lineage import shared_folder
+from corpusloom.streaming.overlay import overlay, record_stream, state
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -340,15 +341,14 @@ def bin_pack_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a stream of ledger records; the last state of each user when all have been read."""
-    from corpusloom.streaming.overlay import overlay, record_stream
-
     place = f"{shared_folder(spark)}/overlay-{uuid.uuid4().hex}"
     schema = _table(spark, sf_dir, "events").schema.simpleString()[len("struct<") : -1].replace(":", " ")
     stream = record_stream(spark, f"{sf_dir}/events*.parquet", schema)
-    query = overlay(stream.select("user_id", "ts", "event_id", "event_type"), f"{place}/state", f"{place}/checkpoint", ["user_id"], ["ts", "event_id"])
+    records = stream.select("user_id", "ts", "event_id", "event_type")
+    query = overlay(records, f"{place}/state", f"{place}/checkpoint", ["user_id"], ["ts", "event_id"])
     query.awaitTermination()
     last = query.lastProgress["batchId"] if query.lastProgress else 0
-    return spark.read.parquet(f"{place}/state/version={last}").select("user_id", "event_id", F.col("event_type").alias("status"))
+    return state(spark, f"{place}/state", last, records.schema).select("user_id", "event_id", F.col("event_type").alias("status"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

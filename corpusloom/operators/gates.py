@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -9,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import sha
+from corpusloom.functions.text import padded, sha, slug
 from corpusloom.operators.lineage import kept
 
 #: Stands for the group of rows whose group is null.
@@ -117,6 +119,31 @@ def part_sizes(packed: DataFrame, group: str, size: str) -> DataFrame:
     return packed.groupBy(group, "part").agg(F.count("*").alias("files"), F.sum(size).alias("size"))
 
 
+def archives(files: DataFrame, group: str, name: str = "name", content: str = "content") -> DataFrame:
+    """(group, part, asset, files, size, sha256, content): each part's files (group, part, name, content) as one stored ZIP file.
+
+    A part is no larger than the limit that ``parts`` packed it by, and is one task's."""
+    kinds = files.schema
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(name)
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
+            for n, c in zip(frame[name], frame[content], strict=True):
+                z.writestr(zipfile.ZipInfo(n, (2000, 1, 1, 0, 0, 0)), bytes(c))
+        first = frame.iloc[0]
+        return pd.DataFrame({group: [first[group]], "part": [first["part"]], "files": [len(frame)], "content": [out.getvalue()]})
+
+    packed = files.groupBy(group, "part").applyInPandas(run, f"`{group}` {kinds[group].dataType.simpleString()}, part {kinds['part'].dataType.simpleString()}, files int, content binary")
+    asset = F.concat(slug(F.col(group).cast("string")), F.lit("-part-"), padded(F.col("part"), 2), F.lit(".zip"))
+    return packed.select(group, "part", asset.alias("asset"), "files", F.length("content").cast("long").alias("size"), F.sha2("content", 256).alias("sha256"), "content")
+
+
+def truncated_map(entries: Column, n: int) -> Column:
+    """The first n entries of a map, by key, as evidence in a report."""
+    return F.map_from_entries(F.slice(F.array_sort(F.map_entries(entries)), 1, n))
+
+
 def public_domain(death_year: Column, before: int = 1956) -> Column:
     """Whether an author died long enough ago; unknown years don't count."""
     return F.coalesce(death_year < before, F.lit(False))

@@ -196,6 +196,12 @@ def crawled(titles: DataFrame, links: DataFrame, roots: DataFrame, most_depth: i
     return found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most_pages).select("root", "title", "depth", "place")
 
 
+def page_counts(pages: DataFrame) -> DataFrame:
+    """pages with n_blocks and n_chars of their blocks."""
+    chars = F.aggregate("blocks", F.lit(0).cast("long"), lambda n, b: n + F.length(b))
+    return pages.withColumn("n_blocks", F.size("blocks")).withColumn("n_chars", chars)
+
+
 def without_first_blocks(pages: DataFrame, n: int, order: str = "place") -> DataFrame:
     """pages whose first page (of place 1) has lost its first n blocks."""
     rest = F.slice("blocks", F.lit(n + 1), F.greatest(F.size("blocks") - n, F.lit(0)))

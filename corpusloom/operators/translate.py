@@ -5,7 +5,9 @@ A translator is a function of (texts, parameters) that gives as many texts, in o
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable, Iterator, Sequence
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -28,10 +30,49 @@ def echo(texts: Sequence[str], parameters: dict) -> Sequence[str]:
     return list(texts)
 
 
-def translated(units: DataFrame, key: Sequence[str], translators: Sequence[Translator], pieces: Column | None = None, parameters: dict | None = None, batch: int = 32) -> DataFrame:
+#: Tokens that a decoding may have, at least and at most, and per token of its source.
+DECODED = (96, 384, 2)
+
+
+def decode_limit(tokens: Column) -> Column:
+    """How many tokens a model may give for a source of so many."""
+    least, most, each = DECODED
+    return F.least(F.lit(most), F.greatest(F.lit(least), each * tokens))
+
+
+@cache
+def runtime(factory: str) -> Translator:
+    """The translator that ``module:function`` makes, made once in each worker that asks for it."""
+    module, _, name = factory.partition(":")
+    return getattr(importlib.import_module(module), name)()
+
+
+def by_runtime(factory: str) -> Translator:
+    """A translator that is made where it is used, as a model that can't travel must be."""
+    return lambda texts, parameters: runtime(factory)(texts, parameters)
+
+
+def batches(texts: Sequence[str], most: int, most_bytes: int | None = None) -> Iterator[list[str]]:
+    """texts in their order, so many at once and, if that is asked for, so many bytes; a longer text goes alone."""
+    now: list[str] = []
+    size = 0
+    for text in texts:
+        n = len(text.encode("utf-8", "surrogatepass"))
+        if now and (len(now) >= most or (most_bytes is not None and size + n > most_bytes)):
+            yield now
+            now, size = [], 0
+        now.append(text)
+        size += n
+    if now:
+        yield now
+
+
+def translated(
+    units: DataFrame, key: Sequence[str], translators: Sequence[Translator], pieces: Column | None = None, parameters: dict | None = None, batch: int = 32, batch_bytes: int | None = None
+) -> DataFrame:
     """units (key, source) with ``translation``: pieces of each source go through the chain of translators, in batches of like length.
 
-    A translator that gives another number of texts is an error."""
+    batch_bytes: the most bytes of a batch, for services that limit requests. A translator that gives another number of texts is an error."""
     cut = source_segments(known(F.col("source"))) if pieces is None else pieces
     rows = units.select(*key, F.posexplode(cut).alias("_at", "_piece")).withColumn("_length", F.length("_piece"))
     given = dict(parameters or {})
@@ -40,8 +81,7 @@ def translated(units: DataFrame, key: Sequence[str], translators: Sequence[Trans
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out: list[str] = []
-            for start in range(0, len(frame), batch):
-                texts = frame["_piece"].iloc[start : start + batch].tolist()
+            for texts in batches(frame["_piece"].tolist(), batch, batch_bytes):
                 for translate in translators:
                     n, texts = len(texts), list(translate(texts, given))
                     if len(texts) != n:
@@ -87,6 +127,14 @@ def repaired(units: DataFrame, key: Sequence[str], translators: Sequence[Transla
     return found
 
 
+def repaired_risky(units: DataFrame, key: Sequence[str], translators: Sequence[Translator], parameters: dict | None = None) -> DataFrame:
+    """units (key, source, translation, ...) in which risky ones are translated anew, where the new text is accepted; ``repaired`` says which."""
+    risky = D.translation_risk(F.col("source"), F.col("translation"))
+    again = translated(units.filter(risky).select(*key, "source"), key, translators, parameters=parameters).select(*key, F.col("translation").alias("_again"))
+    takes = F.coalesce(accepted(F.col("source"), F.col("translation"), F.col("_again")), F.lit(False)) & F.col("_again").isNotNull()
+    return units.join(again, list(key), "left").withColumn("repaired", takes).withColumn("translation", F.when(takes, F.col("_again")).otherwise(F.col("translation"))).drop("_again")
+
+
 def accepted(source: Column, before: Column, after: Column) -> Column:
     """Whether a repair is taken: it says something, and what it replaces was risky or is to grow by 6 % at least."""
     grows = F.length(known(after)) >= 1.06 * F.length(known(before))

@@ -8,8 +8,11 @@ from __future__ import annotations
 import importlib
 import json
 import time
+import urllib.error
+import urllib.request
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -39,6 +42,46 @@ def fetched(fetch: Fetch, url: str, tries: int = 4, sleep: Callable[[float], Non
     raise ValueError("tries must be one or more")
 
 
+def http(url: str, timeout: float = 60.0) -> tuple[int, dict, bytes]:
+    """A plain fetch over HTTP, for places with a network: (status, headers, body)."""
+    request = urllib.request.Request(url, headers={"User-Agent": "corpusloom"})
+    try:
+        with urllib.request.urlopen(request, timeout=timeout) as response:
+            return response.status, dict(response.headers), response.read()
+    except urllib.error.HTTPError as e:
+        return e.code, dict(e.headers), e.read()
+
+
+def recovered(ledger: DataFrame, fetch: str, key: str = "url", fallback: str | None = None, tries: int = 4) -> DataFrame:
+    """ledger with ``status`` (RECOVERED or FAILED), ``body``, ``sha256``, ``found_at`` and ``error`` of each row's page.
+
+    Rows are dealt out and fetched in their tasks; fetch is named as "module:function". A page that can't be had is looked for at
+    the row's ``fallback`` address, if that column is named. A row that fails doesn't stop the others."""
+    columns = ledger.columns
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        module, _, name = fetch.partition(":")
+        get = getattr(importlib.import_module(module), name)
+        for frame in frames:
+            out = []
+            for row in frame.to_dict("records"):
+                found = {"status": "FAILED", "body": None, "found_at": None, "error": None}
+                for url in [row[key], *([row[fallback]] if fallback else [])]:
+                    if not url:
+                        continue
+                    try:
+                        found |= {"status": "RECOVERED", "body": fetched(get, url, tries), "found_at": url}
+                        break
+                    except Exception as e:  # told in the row
+                        found["error"] = str(e)
+                out.append(found)
+            yield pd.concat([frame.reset_index(drop=True), pd.DataFrame(out, columns=["status", "body", "found_at", "error"], dtype=object)], axis=1)
+
+    kept = [c for c in columns if c not in ("status", "body", "found_at", "error", "sha256")]
+    schema = ", ".join(f"`{c}` {ledger.schema[c].dataType.simpleString()}" for c in kept) + ", status string, body binary, found_at string, error string"
+    return ledger.select(*kept).mapInPandas(run, schema).withColumn("sha256", F.sha2("body", 256))
+
+
 class _Page(InputPartition):
     def __init__(self, number: int):
         super().__init__(number)
@@ -50,19 +93,28 @@ class _Reader(DataSourceReader):
         module, _, name = options["fetch"].partition(":")
         self.module, self.name, self.url = module, name, options["url"]
         self.pages, self.tries = int(options.get("pages", 1)), int(options.get("tries", 4))
+        #: Items of a full page, if the listing is to be read until a page has fewer.
+        self.full = int(options.get("until_shorter_than", 0))
 
     def partitions(self) -> list[InputPartition]:
+        if self.full:  # how many pages there are is known only by reading them one after another
+            return [_Page(0)]
         return [_Page(i) for i in range(1, self.pages + 1)]
 
     def read(self, partition: _Page) -> Iterator[tuple]:
         fetch = getattr(importlib.import_module(self.module), self.name)
-        url = self.url.replace("{page}", str(partition.number))
-        for place, item in enumerate(json.loads(fetched(fetch, url, self.tries))):
-            yield partition.number, place, json.dumps(item, ensure_ascii=False, sort_keys=True)
+        number = partition.number or 1
+        while True:
+            items = json.loads(fetched(fetch, self.url.replace("{page}", str(number)), self.tries))
+            for place, item in enumerate(items):
+                yield number, place, json.dumps(item, ensure_ascii=False, sort_keys=True)
+            if partition.number or len(items) < self.full:
+                return
+            number += 1
 
 
 class Listing(DataSource):
-    """A paged listing of JSON items. Options: url with {page}, fetch, pages, tries."""
+    """A paged listing of JSON items. Options: url with {page}, fetch, tries; pages, or until_shorter_than."""
 
     @classmethod
     def name(cls) -> str:

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import detectors as D
 from corpusloom.functions import text as T
-from corpusloom.operators import gates, ledger, pages, selection, similarity
-from corpusloom.sources import epub, readers, writers
+from corpusloom.operators import gates, ledger, pages, selection, similarity, translate
+from corpusloom.sources import epub, readers, web, writers
 
 
 def test_forms(spark):
@@ -232,3 +232,44 @@ def test_no_folder_of_its_own_on_a_cluster(monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         lineage.shared_folder(Session())
+
+
+def test_recovery_with_a_fallback(spark):
+    rows = [("http://x/1", None), ("http://x/missing", "http://x/2"), ("http://x/missing", None), (None, None)]
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "rank int, url string, other string")
+    got = web.recovered(table, "tests.stub_fetch:recovery", fallback="other", tries=1).orderBy("rank").collect()
+    assert [(r["status"], r["found_at"], r["error"] is None) for r in got] == [("RECOVERED", "http://x/1", True), ("RECOVERED", "http://x/2", False), ("FAILED", None, False), ("FAILED", None, True)]
+    assert got[0]["sha256"] == hashlib.sha256(b"page http://x/1").hexdigest()
+
+
+def test_listing_until_a_short_page(spark):
+    spark.dataSource.register(web.Listing)
+    rows = spark.read.format("corpusloom_listing").option("url", "p{page}").option("fetch", "tests.stub_fetch:short_last").option("until_shorter_than", 3).load()
+    assert sorted((r["page"], r["place"], r["item"]) for r in rows.collect()) == [(1, 0, "10"), (1, 1, "11"), (1, 2, "12"), (2, 0, "20"), (2, 1, "21"), (2, 2, "22"), (3, 0, "30")]
+
+
+def test_batches_and_limits(spark):
+    assert list(translate.batches(["a", "b", "c"], 2)) == [["a", "b"], ["c"]]
+    assert list(translate.batches(["aaaa", "é", "bbb", "cccccccc"], 9, 5)) == [["aaaa"], ["é", "bbb"], ["cccccccc"]]
+    limits = spark.createDataFrame([(1,), (60,), (500,)], "n int").select(translate.decode_limit(F.col("n")).alias("m"))
+    assert [r["m"] for r in limits.collect()] == [96, 120, 384]
+    units = spark.createDataFrame([(1, "One. Two. " * 20, "Uno."), (2, "Short", "Corto")], "id int, source string, translation string")
+    got = translate.repaired_risky(units, ["id"], [translate.by_runtime("tests.stub_fetch:upper")]).orderBy("id").collect()
+    assert [(r["repaired"], r["translation"][:9]) for r in got] == [(True, "ONE. TWO."), (False, "Corto")]
+
+
+def test_archives_of_parts(spark):
+    files = spark.createDataFrame([("A b", i, f"f{i}.txt", bytearray(b"x" * 40)) for i in range(5)], "source string, n int, name string, content binary").withColumn("size", F.length("content"))
+    numbers = gates.parts(files, "source", "n", "size", 100).select("source", "n", "part")
+    rows = gates.archives(files.join(numbers, ["source", "n"]), "source").orderBy("part").collect()
+    assert [(r["asset"], r["files"]) for r in rows] == [("a-b-part-01.zip", 2), ("a-b-part-02.zip", 2), ("a-b-part-03.zip", 1)]
+    with zipfile.ZipFile(io.BytesIO(bytes(rows[1]["content"]))) as z:
+        assert z.namelist() == ["f2.txt", "f3.txt"] and z.read("f2.txt") == b"x" * 40
+    assert rows[0]["sha256"] == hashlib.sha256(bytes(rows[0]["content"])).hexdigest()
+    short = spark.range(1).select(gates.truncated_map(F.create_map(F.lit("b"), F.lit(1), F.lit("a"), F.lit(2), F.lit("c"), F.lit(3)), 2).alias("m")).first()["m"]
+    assert short == {"a": 2, "b": 1}
+
+
+def test_page_counts(spark):
+    rows = spark.createDataFrame([(1, ["ab", "c"]), (2, [])], "place int, blocks array<string>")
+    assert [(r["n_blocks"], r["n_chars"]) for r in pages.page_counts(rows).orderBy("place").collect()] == [(2, 3), (0, 0)]

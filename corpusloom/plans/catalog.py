@@ -268,6 +268,19 @@ def ngram_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.shared_grams(docs, items, "doc_id", "item_id")
 
 
+def _with_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their tokens, which are cut once for all that is asked of them."""
+    return _table(spark, sf_dir, "documents").select("doc_id", "text", T.tokens(_text()).alias("t"))
+
+
+def word_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_tokens(spark, sf_dir).select("doc_id", F.size("t").cast("long").alias("tokens"), F.size(F.array_distinct("t")).cast("long").alias("distinct_tokens"))
+
+
+def function_word_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_tokens(spark, sf_dir).select("doc_id", *[D.source_residue(_text(), F.col("t"), x).alias(x) for x in ("en", "fr", "de")])
+
+
 def link_scrape(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = pages.sources_of(F.col("html"), "href")
     return _table(spark, sf_dir, "pages").select("page_id", F.size(links).cast("long").alias("n_links"), F.array_join(links, ",").alias("links"))
@@ -358,15 +371,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         assemble_units, missing_units, overlay_corrections, override_violations, fallback_coalesce, longest_ledger, conflict_units, duplicate_keys,
         roster_partition, prefix_children, terminal_pages, natural_title_order, best_candidate, source_scoring, end_marker_skip, marker_groups,
         ledger_latest, retry_pending, ledger_digest, gate_rollup, ngram_copy, link_scrape, resume_check, shard_plan, shard_jobs, unchanged_similarity,
-        repeated_adjacent, collapse_repeats, segments, page_units, tfidf_align, translate_roundtrip, bin_pack_parts, incremental_overlay,
+        word_tokens, function_word_residue, repeated_adjacent, collapse_repeats, segments, page_units, tfidf_align, translate_roundtrip, bin_pack_parts, incremental_overlay,
     )
 } | {
     "normalized_key": _documents(lambda: T.sha(T.normalized(_text())).alias("key")),
-    "word_tokens": _documents(lambda: F.size(T.tokens(_text())).cast("long").alias("tokens"), lambda: F.size(F.array_distinct(T.tokens(_text()))).cast("long").alias("distinct_tokens")),
     "adjacent_repeat": _documents(lambda: D.adjacent_repeat(_text()).alias("repeats")),
     "halves_repeat": _documents(lambda: D.halves_repeat(_text()).alias("repeats")),
     "script_spillover": _documents(lambda: D.script_count(_text(), "ru").cast("long").alias("cyrillic"), lambda: D.script_count(_text(), "el").cast("long").alias("greek")),
-    "function_word_residue": _documents(*[lambda x=x: D.source_residue(_text(), T.tokens(_text()), x).alias(x) for x in ("en", "fr", "de")]),
     "boilerplate_cues": _documents(lambda: D.boilerplate(_text()).alias("cue")),
     "decoder_loop": _documents(lambda: D.decoder_loop(_text()).alias("loop"), lambda: D.word_five_times(_text()).alias("word_loop")),
     "modern_intrusion": _pairs(lambda: D.modern_intrusion(*_sides()).alias("modern")),

@@ -462,5 +462,4 @@ ORACLES: dict[str, str] = {
     "incremental_overlay": O.ORACLES["ledger_latest"],
     "tfidf_align": TFIDF_ALIGN,
     "segments": SEGMENTS,
-    "hard_flags_targeted": O.ORACLES["hard_flags_targeted"],
 }

@@ -585,6 +585,19 @@ def test_queries_give_a_row_a_document(spark, docs, name):
     assert sorted(r["doc_id"] for r in found.select("doc_id").collect()) == sorted(r["doc_id"] for r in docs.select("doc_id").collect())
 
 
+@pytest.mark.parametrize("name", ["op5_suffix_array_dedup", "op7_cover_tree_duplicates", "op8_ngram_jaccard_join"])
+def test_queries_are_their_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
+    want, got = con.execute(ORACLES[name]).df(), QUERIES[name](spark, SMALL).toPandas()
+    key = want.columns[0]
+    want, got = want.sort_values(key).reset_index(drop=True), got.sort_values(key).reset_index(drop=True)
+    assert sorted(got.columns) == sorted(want.columns) and len(got) == len(want)
+    for c in want.columns:
+        assert (got[c] == want[c]).all(), c
+
+
 def test_pipeline(spark, docs):
     import corpus_pipeline
 

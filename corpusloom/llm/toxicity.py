@@ -206,7 +206,15 @@ class Model:
         return sum(w in toxic for w in words) if toxic else 0
 
     def score(self, text: str | None) -> float:
-        return 1 / (1 + math.exp(-self.bias - self.slope * min(self.words(text), MOST_WORDS)))
+        return self._score(self.words(text))
+
+    def _score(self, words: int) -> float:
+        return 1 / (1 + math.exp(-self.bias - self.slope * min(words, MOST_WORDS)))
+
+    def rejects(self, text: str | None) -> bool:
+        """Whether text is predicted toxic for a word that it has, and not only because most labels are."""
+        words = self.words(text)
+        return words > 0 and self._score(words) >= THRESHOLD
 
 
 def _ratio(a: Column, b: Column, all_a: float, all_b: float) -> Column:
@@ -354,10 +362,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of docs, with all their columns, that aren't predicted toxic."""
+    """The rows of docs, with all their columns, but those that are predicted toxic. Texts without a toxic word stay in any case, as
+    where labels are too few to learn from, or mostly toxic, their share alone would reject every text."""
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series([model.score(t) for t in texts], dtype="float64")
+    @F.pandas_udf("boolean")
+    def rejected(texts: pd.Series) -> pd.Series:
+        return pd.Series([model.rejects(t) for t in texts], dtype="bool")
 
-    return docs.filter(scored(F.col("text")) < THRESHOLD)
+    return docs.filter(~rejected(F.col("text")))

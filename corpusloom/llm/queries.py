@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import covertree, curriculum, hilbert, jaccard, langid, mainhtml, orderhash, pieces, repeats, toxicity, twins
+from corpusloom.llm import covertree, curriculum, hilbert, interactions, jaccard, langid, mainhtml, orderhash, pieces, repeats, toxicity, twins
 from corpusloom.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -55,6 +55,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.encode(table(spark, sf_dir, "documents"), MODEL))
 
 
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_html_main_text": op1_html_main_text,
     "op2_hilbert_shards": op2_hilbert_shards,
@@ -66,6 +70,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_order_minhash": op9_order_minhash,
     "op10_sentencepiece": op10_sentencepiece,
+    "op13_filter_interactions": op13_filter_interactions,
 }
 
 ORACLES: dict[str, str] = {
@@ -73,4 +78,5 @@ ORACLES: dict[str, str] = {
     "op5_suffix_array_dedup": twins.REPEATS,
     "op7_cover_tree_duplicates": twins.COVER_TREE,
     "op8_ngram_jaccard_join": twins.JACCARD,
+    "op13_filter_interactions": interactions.ORACLE,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import covertree, curriculum, decontam, hilbert, interactions, jaccard, langid, mainhtml, orderhash, pieces, repeats, toxicity, twins
+from corpusloom.llm import covertree, curriculum, decontam, hilbert, interactions, jaccard, langid, mainhtml, orderhash, pieces, repeats, toxicity, turntrie, twins
 from corpusloom.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -55,6 +55,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.encode(table(spark, sf_dir, "documents"), MODEL))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turntrie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -74,6 +78,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_order_minhash": op9_order_minhash,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_suffix_array_decontamination": op12_suffix_array_decontamination,
     "op13_filter_interactions": op13_filter_interactions,
 }
@@ -83,6 +88,7 @@ ORACLES: dict[str, str] = {
     "op5_suffix_array_dedup": twins.REPEATS,
     "op7_cover_tree_duplicates": twins.COVER_TREE,
     "op8_ngram_jaccard_join": twins.JACCARD,
+    "op11_conversation_trie": turntrie.ORACLE,
     "op12_suffix_array_decontamination": decontam.ORACLE,
     "op13_filter_interactions": interactions.ORACLE,
 }

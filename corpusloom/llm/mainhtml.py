@@ -60,7 +60,7 @@ INTERRUPTS = 0.25
 
 def items(html: str) -> Iterator[tuple[str, str, str, str]]:
     """(kind, name, attributes, text) with kind text, start, end or skip, in one pass."""
-    at, size, tag, closed = 0, len(html), _TAG, dict.fromkeys((*RAW, *HIDDEN), True)
+    at, size, tag, closed = 0, len(html), _TAG, dict.fromkeys((*RAW, *HIDDEN, "!--"), True)
     while at < size:
         lt = html.find("<", at)
         if lt < 0:
@@ -72,8 +72,9 @@ def items(html: str) -> Iterator[tuple[str, str, str, str]]:
         at = lt
         if html.startswith(("<!", "<?"), lt):
             comment = html.startswith("<!--", lt)
-            end = html.find("-->", lt + 2) if comment else -1
-            # an unclosed comment, which would be searched for again and again, ends with its own bracket
+            end = html.find("-->", lt + 2) if comment and closed["!--"] else -1
+            # an unclosed comment ends with its own bracket; none that follows is closed, so no end is searched for again
+            closed["!--"] &= not comment or end >= 0
             at = end + 3 if end >= 0 else (html.find(">", lt) + 1 or size)
             yield "skip", "!", "", ""
             continue
@@ -122,6 +123,10 @@ def _own(name: str, attributes: str) -> tuple[str, ...]:
     return (name, *dict.fromkeys(parts))
 
 
+#: What a block that no element is around is in.
+OUTSIDE = (frozenset(), 0.0, "rest", 0.0)
+
+
 class Block:
     """Text between two tags that end a line."""
 
@@ -144,8 +149,9 @@ class Block:
 
 def blocks(html: str, weights: dict[str, float]) -> list[Block]:
     """The blocks of a page; what each is in comes as (names, sum of their weights, label, largest such sum of an element that holds blocks)."""
-    outside = (frozenset(), 0.0, "rest", 0.0)
     open_: list[tuple[str, tuple]] = []
+    #: How many elements of a name are open, so that an end tag without one costs nothing.
+    many: Counter[str] = Counter()
     found: list[Block] = []
     text: list[str] = []
     linked_chars, link, tags = 0, -1, 0
@@ -155,7 +161,7 @@ def blocks(html: str, weights: dict[str, float]) -> list[Block]:
         if text:
             joined = _SPACE.sub(" ", unescape("".join(text))).strip()
             if joined:
-                found.append(Block(joined, joined.count(" ") + 1, min(1.0, linked_chars / len(joined)), open_[-1][1] if open_ else outside, tags))
+                found.append(Block(joined, joined.count(" ") + 1, min(1.0, linked_chars / len(joined)), open_[-1][1] if open_ else OUTSIDE, tags))
                 tags = 0
             text.clear()
         linked_chars = 0
@@ -180,8 +186,8 @@ def blocks(html: str, weights: dict[str, float]) -> list[Block]:
             continue
         if kind == "start":
             if open_ and open_[-1][0] in ENDS_ITSELF and (open_[-1][0] == name or open_[-1][0] == "p"):
-                open_.pop()
-            names, total, label, most = open_[-1][1] if open_ else outside
+                many[open_.pop()[0]] -= 1
+            names, total, label, most = open_[-1][1] if open_ else OUTSIDE
             own = _own(name, attributes)
             new = [x for x in own if x not in names and x in weights]
             if new:
@@ -191,11 +197,12 @@ def blocks(html: str, weights: dict[str, float]) -> list[Block]:
             if name not in ENDS_ITSELF:
                 most = max(most, total)
             open_.append((name, (names, total, label, most)))
+            many[name] += 1
         else:
-            for i in range(len(open_) - 1, -1, -1):
-                if open_[i][0] == name:
-                    del open_[i:]
-                    break
+            last = "" if many[name] else name
+            while last != name:
+                last = open_.pop()[0]
+                many[last] -= 1
             if link > len(open_):
                 link = -1
     close()
@@ -232,6 +239,9 @@ class Model:
         if not html:
             return ""
         found = blocks(html, self.weights)
+        if all(b.inside is OUTSIDE for b in found) and not any(b.cost for b in found):
+            # words without a tag are the region
+            return "\n".join(b.text for b in found)
         return "\n".join(b.text for b in self.chosen(found, [self.odds(b) for b in found]))
 
 

@@ -89,12 +89,33 @@ def test_main_text(html, text):
     assert mainhtml.extract(html) == text
 
 
-@pytest.mark.parametrize("part", ["<a ", "<", '<a =">" ', "<a '", "<button>", "<svg><button>", "<!--", "<script>", "<title>", "</", "<p>x", "&amp;", '<div class="a b">'])
+PARTS = ["<a ", "<", '<a =">" ', "<a '", "<button>", "<svg><button>", "<!--", "<!--x>", "<!x", "<script>", "<title>", "</", "</x>", "</p>", "<p>x", "<div>", "&amp;", '<div class="a b">', "<br>", "-->", "x "]
+
+
+def seconds_of(html):
+    times = []
+    for _ in range(2):
+        began = time.process_time()
+        mainhtml.extract(html)
+        times.append(time.process_time() - began)
+    return min(times)
+
+
+@pytest.mark.parametrize("part", PARTS)
 def test_main_text_of_hostile_pages_takes_linear_time(part):
+    """Alone, after half a page of another part, and in turn with it: twice the page takes about twice the time."""
     mainhtml.fitted()
-    began = time.process_time()
-    mainhtml.extract(part * (1_000_000 // len(part)))
-    assert time.process_time() - began < 15
+    for other in PARTS:
+        pages = [part * (n // len(part)) + other * (n // len(other)) for n in (30_000, 60_000)]
+        pages += [(part + other) * (n // len(part + other)) for n in (60_000, 120_000)]
+        for small, large in (pages[:2], pages[2:]):
+            took = seconds_of(large)
+            assert took < 0.3 or took < 3 * seconds_of(small), (part, other, took)
+    assert seconds_of(part * (1_000_000 // len(part))) < 15
+
+
+def test_main_text_of_bare_text():
+    assert mainhtml.extract("only a few words\n and &lt; more") == "only a few words and < more"
 
 
 def test_main_text_of_odd_tables(spark):

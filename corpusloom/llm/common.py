@@ -13,6 +13,13 @@ from corpusloom.operators.lineage import shared_folder
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def unused(columns: list[str], base: str) -> str:
+    """A name that begins like base and that no column begins with, so that it and all that begin with it are free."""
+    while any(c.lower().startswith(base.lower()) for c in columns):
+        base += "_"
+    return base
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

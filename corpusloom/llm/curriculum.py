@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import WORD, bucketed, numbered, shuffle_width, written
+from corpusloom.llm.common import WORD, bucketed, numbered, shuffle_width, unused, written
 
 #: How far the weights of sources of weight 1, 2, 3 lean to the end of training: the slope of their line, halved.
 LEANS = {1: -0.5, 2: 0.0, 3: 0.5}
@@ -151,18 +151,18 @@ def training_rows(docs: DataFrame, most: int = 3) -> DataFrame:
 
     Each row is a document of its own, whatever its doc_id. Rows are numbered where they are read and written once, a bucket for
     each split of the input; their training times come back as one array for each split, so that texts move once, into their order."""
-    row = "_row" + "_" * sum(c.lower().startswith("_row") for c in docs.columns)
-    split = row + "_split"
+    row = unused(docs.columns, "_row")
+    split, one, lists_, time = (f"{row}_{x}" for x in ("split", "one", "lists", "time"))
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     table = bucketed(numbered.withColumn(split, F.shiftright(row, 33)), split)
     inside = F.col(row).bitwiseAND(F.lit((1 << 33) - 1))
-    times = mix(table, most, [row]).select(F.shiftright(row, 33).alias(split), F.struct(inside.alias("at"), "positions").alias("_one"))
+    times = mix(table, most, [row]).select(F.shiftright(row, 33).alias(split), F.struct(inside.alias("at"), "positions").alias(one))
     # as many rows as a split of the input holds, without their texts
-    lists = times.groupBy(split).agg(F.transform(F.sort_array(F.collect_list("_one")), lambda x: x["positions"]).alias("_lists"))
-    copies = table.join(lists, split).withColumn("_position", F.explode(F.element_at("_lists", (inside + 1).cast("int"))))
+    lists = times.groupBy(split).agg(F.transform(F.sort_array(F.collect_list(one)), lambda x: x["positions"]).alias(lists_))
+    copies = table.join(lists, split).withColumn(time, F.explode(F.element_at(lists_, (inside + 1).cast("int"))))
     width = shuffle_width(docs.sparkSession)
-    order = [F.col("_position"), F.col(row)]
-    return copies.drop("_lists").repartitionByRange(width, *order).sortWithinPartitions(*order).select(*[F.col(f"`{c}`") for c in docs.columns])
+    order = [F.col(time), F.col(row)]
+    return copies.drop(lists_).repartitionByRange(width, *order).sortWithinPartitions(*order).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def taken(mixed: DataFrame) -> DataFrame:

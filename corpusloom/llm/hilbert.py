@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from corpusloom.llm.common import numbered
+from corpusloom.llm.common import numbered, unused
 
 STEPS_BITS = 5
 
@@ -95,8 +95,14 @@ def shards(docs: DataFrame, count: int = 40) -> DataFrame:
     )
 
 
-def write_shards(docs: DataFrame, path: str, count: int = 40) -> None:
-    """Write docs as one folder for each shard, rows in the order of their slots. doc_id must be unique here."""
-    where = shards(docs, count).select("doc_id", "shard", "slot", "source_step", "lang_step", "size_step")
-    rows = docs.drop("shard", "slot", "source_step", "lang_step", "size_step").join(where, "doc_id")
-    rows.repartitionByRange(count, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, count: int = 40) -> str:
+    """Write docs with all their columns as one folder for each shard, rows in the order of their slots. doc_id must be unique here.
+
+    Gives the name of the column that the folders are of: shard, or where docs has columns of such a name, one with more at its end."""
+    taken = {c.lower() for c in docs.columns}
+    name = unused(docs.columns, "shard")
+    names = {c: f"{name}_{c}" if c in taken else c for c in ("slot", "source_step", "lang_step", "size_step")}
+    where = shards(docs, count).select(F.col("doc_id").alias(f"{name}_id"), F.col("shard").alias(name), *[F.col(c).alias(x) for c, x in names.items()])
+    rows = docs.join(where, F.col("doc_id") == F.col(f"{name}_id")).drop(f"{name}_id")
+    rows.repartitionByRange(count, name, names["slot"]).sortWithinPartitions(name, names["slot"]).write.partitionBy(name).parquet(path)
+    return name

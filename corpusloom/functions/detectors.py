@@ -163,6 +163,10 @@ def hard_flags_targeted(source: Column, target: Column, loops: bool = True) -> C
     )
 
 
+#: Likeness to the source from which a text counts as not translated, and the languages for which it does.
+ALIKE, LIKENESS_COUNTS = 0.72, ("en", "fr", "de")
+
+
 def score(source: Column, target: Column, kind: Column, language: str, similarity: Column | None = None, forms: Forms | None = None) -> Column:
     """A candidate's badness. similarity: to the source, 0 where that isn't asked for."""
     r = ratio(source, target)
@@ -170,7 +174,7 @@ def score(source: Column, target: Column, kind: Column, language: str, similarit
     value = (
         2500.0 * script_count(target, language)
         + F.when((kind != "heading") & translation_risk(source, target, forms), 1200.0).otherwise(0.0)
-        + F.when((F.lit(language).isin("en", "fr", "de")) & (like >= 0.72), 900.0 + 500.0 * like).otherwise(0.0)
+        + F.when((F.lit(language).isin(*LIKENESS_COUNTS)) & (like >= ALIKE), 900.0 + 500.0 * like).otherwise(0.0)
         + F.when(r < 0.48, (0.48 - r) * 1500.0).otherwise(0.0)
         + F.when(r > 1.85, (r - 1.85) * 900.0).otherwise(0.0)
     )

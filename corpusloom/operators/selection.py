@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import detectors as D
 from corpusloom.functions.text import known, words
-from corpusloom.operators.similarity import repeated_adjacent, unchanged_similarity
+from corpusloom.operators.similarity import repeated_adjacent, similarity_at_least
 
 #: Languages of sources in which an unchanged text is told by its likeness, and the likeness.
 LIKE_LANGUAGES, LIKE = ("en", "fr", "de"), 0.72
@@ -21,7 +21,7 @@ def repair_flags(source: Column, target: Column, kind: Column, language: str, fo
         ("source_script_spillover", D.script_count(target, language) > 0),
     ]
     if language in LIKE_LANGUAGES:
-        flags.append(("unchanged_source_language", unchanged_similarity(source, target, F.coalesce(kind, F.lit("paragraph"))) >= LIKE))
+        flags.append(("unchanged_source_language", similarity_at_least(source, target, F.coalesce(kind, F.lit("paragraph")), LIKE) >= LIKE))
     return D.named(*flags)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -13,6 +15,42 @@ from corpusloom.functions.text import bare, known, normalized, sentences, spaced
 from corpusloom.operators.lineage import kept
 
 
+def _common_subsequence(a: str, b: str) -> int:
+    """Length of the longest common subsequence, a bit for each character of a: one pass over b."""
+    places: dict[str, int] = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    left = full
+    for x in b:
+        if at := places.get(x):
+            both = left & at
+            left = (left + both | left - both) & full
+    return len(a) - left.bit_count()
+
+
+def _bag_bound(a: Counter, b: Counter, total: int) -> float:
+    return 2.0 * (a & b).total() / total
+
+
+def ratio_at_least(a: str, b: str, least: float) -> float | None:
+    """difflib's ratio of a and b if that is ``least`` or more, else none.
+
+    What difflib matches is a subsequence of both texts, so the ratio is at most what their lengths, the characters that they have in common
+    in any order, and their longest common subsequence allow, each of which costs much less than matching."""
+    total = len(a) + len(b)
+    if not total:
+        return 1.0
+    if a == b:
+        return 1.0
+    if 2.0 * min(len(a), len(b)) / total < least or _bag_bound(Counter(a), Counter(b), total) < least:
+        return None
+    if 2.0 * _common_subsequence(a, b) / total < least:
+        return None
+    found = SequenceMatcher(None, a, b).ratio()
+    return found if found >= least else None
+
+
 @F.pandas_udf(DoubleType())
 def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
@@ -26,12 +64,53 @@ def unchanged_similarity(source: Column, target: Column, kind: Column) -> Column
     return F.coalesce(_ratio(F.when(counts, a), F.when(counts, b)), F.lit(0.0))
 
 
+def similarity_at_least(source: Column, target: Column, kind: Column, least: float) -> Column:
+    """unchanged_similarity where it is ``least`` or more, else 0: most texts are told by bounds."""
+
+    @F.pandas_udf(DoubleType())
+    def bounded(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None or y is None else ratio_at_least(x, y, least) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+    a, b = normalized(known(source)), normalized(known(target))
+    counts = (kind != "heading") & (F.least(F.length(a), F.length(b)) >= 18)
+    return F.coalesce(bounded(F.when(counts, a), F.when(counts, b)), F.lit(0.0))
+
+
+#: Fixed value: how like two sentences must be to be one said again.
+NEAR = 0.93
+
+
+def near_repeat(parts: list[str], least: float = NEAR) -> bool:
+    """Whether a sentence is equal or nearly equal to one before it: a join of the sentences with themselves, filtered before it is verified.
+
+    Sentences in the order of their lengths: each is paired only with the longer ones that are short enough for the ratio. A pair is dropped where the bag of
+    characters, then the longest common subsequence forbids the ratio, and only then verified by difflib, the later sentence first."""
+    if len(set(parts)) < len(parts):
+        return True
+    order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
+    lengths = [len(parts[i]) for i in order]
+    bags: dict[int, Counter] = {}
+
+    def bag(i: int) -> Counter:
+        if i not in bags:
+            bags[i] = Counter(parts[i])
+        return bags[i]
+
+    for k, i in enumerate(order):
+        # of lengths n and m >= n, 2 n / (n + m) is the most; one character more, as the rest is checked exactly
+        stop = bisect_left(lengths, int(lengths[k] * (2.0 - least) / least) + 2, lo=k + 1)
+        for j in order[k + 1 : stop]:
+            total = len(parts[i]) + len(parts[j])
+            if 2.0 * len(parts[i]) / total >= least and _bag_bound(bag(i), bag(j), total) >= least:
+                first, second = (parts[i], parts[j]) if i < j else (parts[j], parts[i])
+                if ratio_at_least(second, first, least) is not None:
+                    return True
+    return False
+
+
 @F.pandas_udf(BooleanType())
 def _near_repeat(values: pd.Series) -> pd.Series:
-    def found(parts: list[str]) -> bool:
-        return any(a == b or SequenceMatcher(None, b, a).ratio() >= 0.93 for i, b in enumerate(parts) for a in parts[:i])
-
-    return pd.Series([v is not None and found(list(v)) for v in values])
+    return pd.Series([v is not None and near_repeat(list(v)) for v in values])
 
 
 def repeated_span(target: Column, norms: Column | None = None) -> Column:
@@ -90,7 +169,7 @@ def _stands_in_order(a: list[str], b: list[str]) -> bool:
 
 
 def _alike(a: str, b: str, most_words: int) -> bool:
-    return SequenceMatcher(None, a, b).ratio() >= (SHORT_LIKE if most_words <= SHORT_CLAUSE else LONG_LIKE)
+    return ratio_at_least(a, b, SHORT_LIKE if most_words <= SHORT_CLAUSE else LONG_LIKE) is not None
 
 
 def says_again(a: str, b: str) -> bool:

@@ -18,7 +18,7 @@ from corpusloom.functions.books import copied_heading
 from corpusloom.functions.packing import bounded_segments, source_segments
 from corpusloom.functions.text import known, stripped
 from corpusloom.operators.lineage import kept
-from corpusloom.operators.similarity import collapsed, repeated_span, unchanged_similarity
+from corpusloom.operators.similarity import collapsed, repeated_span, similarity_at_least
 
 Translator = Callable[[Sequence[str], dict], Sequence[str]]
 #: Length limits and parameters of the attempts after one another, for units that no attempt has cleared.
@@ -103,7 +103,8 @@ def best(candidates: DataFrame, key: Sequence[str], language: str) -> DataFrame:
     """Of candidates (key, source, kind, candidate, translation) the one without hard flags and with the least score, else the first."""
     s, t = F.col("source"), F.col("translation")
     formed, forms = D.prepared(candidates)
-    like = unchanged_similarity(s, t, F.col("kind"))
+    # the score asks only for likeness from there on, and only of these languages
+    like = similarity_at_least(s, t, F.col("kind"), D.ALIKE) if language in D.LIKENESS_COUNTS else None
     hard = D.hard_flags_repair(s, t, language, repeated_span(t, forms.target_norms))
     scored = formed.withColumn("score", D.score(s, t, F.col("kind"), language, like, forms)).withColumn("clear", F.size(hard) == 0)
     chosen = F.min(F.struct((~F.col("clear")).alias("bad"), "score", "candidate", "translation", "source", "kind")).alias("b")

@@ -129,28 +129,33 @@ def divided(page: _Page, expected: int, mark: re.Pattern[str], marks: tuple[str,
     if expected <= 1:
         return []
     held = next((i for i, x in enumerate(page.content) if x is not None), None)
-    titles: list[str] = []
+    counted = [
+        b for b in page.blocks if (held is None or b.content[held]) and not (b.tag == "p" and b.in_poem) and (b.tag in blocks or b.tag == "div")
+    ]
+    texts = {id(b): t for b in counted if (marks is None or b.tag in marks) and (t := page.text_of(b)) is not None and mark.fullmatch(t)}
+    # counted before anything is put together: so many parts, each of the page's size at most
+    if len(texts) != expected:
+        return []
+    for block in page.blocks:
+        block.group = -1
     groups: list[list[str]] = [[]]
+    part, at = 0, 0
     for block in page.blocks:
         # the nearest block around this one that is some part's content; what is around it was looked at before
-        block.group, block.outer = -1, block.inside
-        if block.inside is not None and block.inside.group < 0:
-            block.outer = block.inside.outer
-        if (held is not None and not block.content[held]) or (block.tag == "p" and block.in_poem) or (block.tag not in blocks and block.tag != "div"):
+        block.outer = block.inside if block.inside is None or block.inside.group >= 0 else block.inside.outer
+        if at == len(counted) or block is not counted[at]:
             continue
-        text = page.text_of(block) if marks is None or block.tag in marks else None
-        if text is not None and mark.fullmatch(text):
-            titles.append(text)
+        at += 1
+        if id(block) in texts:
+            part += 1
             groups.append([])
             continue
-        block.group = len(titles)
+        block.group = part
         # an outer block's markup holds this one
-        if block.outer is None or block.outer.group != block.group:
+        if block.outer is None or block.outer.group != part:
             groups[-1].append("".join(page.out[block.pieces[0] : block.pieces[1]]))
-    if len(titles) != expected:
-        return []
     groups[1][:0] = groups[0]
-    return list(zip(titles, ["".join(g) for g in groups[1:]], strict=True))
+    return list(zip(texts.values(), ["".join(g) for g in groups[1:]], strict=True))
 
 
 def by_acts(page: _Page, expected: int) -> list[tuple[str, str]]:

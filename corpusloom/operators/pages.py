@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import escape
 from html.parser import HTMLParser
@@ -32,29 +33,37 @@ class _Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, set[str], bool, list[str] | None]] = []  # tag, classes, noise, text of a block
+        #: Open elements of a name and poems, so that no element looks through all those around it.
+        self.many: Counter[str] = Counter()
         self.blocks: list[tuple[list[str], bool, int]] = []  # text, poem, how deep a root it is in
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID_TAGS:
             return
         classes = set((dict(attrs).get("class") or "").split())
-        if tag == "p" and any(o[0] == "p" for o in self.open):
+        if tag == "p" and self.many["p"]:
             self.handle_endtag("p")
         noise = tag in NOISE_TAGS or bool(classes & NOISE_CLASSES) or (tag == "sup" and "reference" in classes) or bool(self.open and self.open[-1][2])
         poem = tag == "div" and "poem" in classes
-        in_poem = any(o[0] == "div" and "poem" in o[1] for o in self.open)
+        in_poem = self.many["div.poem"] > 0
         text: list[str] | None = None
         if not noise and ((tag in BLOCK_TAGS and not (tag == "p" and in_poem)) or poem):
             text = []
-            depth = max((len(ROOTS) - ROOTS.index(c) for o in self.open for c in o[1] if c in ROOTS), default=0)
+            depth = max((len(ROOTS) - i for i, c in enumerate(ROOTS) if self.many[f".{c}"]), default=0)
             self.blocks.append((text, "poem" in classes, depth))
         self.open.append((tag, classes, noise, text))
+        self.many.update(self._names(tag, classes))
+
+    @staticmethod
+    def _names(tag: str, classes: set[str]) -> list[str]:
+        """What an open element is counted as."""
+        return [tag, *(["div.poem"] if tag == "div" and "poem" in classes else []), *(f".{c}" for c in ROOTS if c in classes)]
 
     def handle_endtag(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                del self.open[i:]
-                return
+        last = "" if self.many[tag] else tag
+        while last != tag:
+            last, classes, _, _ = self.open.pop()
+            self.many.subtract(self._names(last, classes))
 
     def handle_data(self, data: str) -> None:
         if data.strip() and not (self.open and self.open[-1][2]):
@@ -142,9 +151,14 @@ ORDINAL_WORDS = [
 ]
 
 
+def leaf_of(title: Column) -> Column:
+    """What stands after a title's last slash, by which it is sorted."""
+    return F.replace(F.lower(F.substring_index(title, "/", -1)), F.lit("ё"), F.lit("е"))
+
+
 def title_number(title: Column) -> Column:
     """The number in a title's leaf: by word, as a roman numeral, or its first digits; null if there is none."""
-    leaf = F.replace(F.lower(F.substring_index(title, "/", -1)), F.lit("ё"), F.lit("е"))
+    leaf = leaf_of(title)
     word = F.coalesce(*[F.when(F.regexp_like(leaf, F.lit(rf"(?U)(?<!\w){w}(?!\w)")), F.lit(v)) for w, v in ORDINAL_WORDS])
     digits = F.regexp_extract(leaf, r"\d+", 0)
     return F.coalesce(word, roman_value(leaf), F.when(digits != "", digits.try_cast("bigint")))
@@ -154,7 +168,7 @@ def in_title_order(titles: DataFrame, title: str = "title", group: str | None =
     """titles with ``place``: numbered ones by number and leaf, then the others by leaf; ``ties`` decide between equal titles.
 
     Without a group the table is range-sorted and numbered by the counts of its parts, not in one task."""
-    leaf = F.replace(F.lower(F.substring_index(F.col(title), "/", -1)), F.lit("ё"), F.lit("е"))
+    leaf = leaf_of(F.col(title))
     order = [title_number(F.col(title)).asc_nulls_last(), leaf.asc(), F.col(title).asc(), *[F.col(c).asc() for c in ties]]
     if group:
         return titles.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(*order)))

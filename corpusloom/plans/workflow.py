@@ -19,6 +19,7 @@ from corpusloom.functions import detectors as D
 from corpusloom.functions import text as T
 from corpusloom.functions.books import copied_heading
 from corpusloom.operators import gates, ledger, pages, selection
+from corpusloom.operators import page_sets as page_sets_
 from corpusloom.operators.lineage import shared_folder
 from corpusloom.plans import oracle as O
 from corpusloom.plans.catalog import _table, pairs
@@ -357,6 +358,60 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY root ORDER BY path) AS plac
 SELECT root, title, depth::INT AS depth, place FROM placed WHERE place <= 240"""
 
 
+def _landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Hosts as roots with the number of parts that is expected of them, what they and their index pages link to, and sections of pages.
+
+    Every other host (by its length) doesn't link to its index pages. Sections are the paragraphs of a page, of the second level every other one."""
+    rows = _table(spark, sf_dir, "pages").select(F.regexp_replace("url", "^https?://", "").alias("title"), "page_id", "html")
+    middle = rows.select("page_id", F.explode(pages.ancestors(F.col("title"))).alias("title"))
+    every = rows.select("title", "page_id").unionByName(middle.select("title", "page_id")).groupBy("title").agg(F.min("page_id").alias("position"))
+    every = every.join(middle.select("title").distinct().withColumn("index", F.lit(True)), "title", "left").withColumn("root", F.regexp_extract("title", "^[^/]+", 0))
+    linked = every.filter((F.col("title") != F.col("root")) & (F.col("index").isNull() | (F.length("root") % 2 == 1)))
+    own = every.withColumn("above", page_sets_.parent(F.col("title"))).filter("above <> '' and above <> root")
+    links = linked.select(F.col("root").alias("title"), F.col("title").alias("target"), "position").unionByName(own.select(F.col("above").alias("title"), F.col("title").alias("target"), "position"))
+    first = rows.withColumn("host", F.regexp_extract("title", "^[^/]+", 0))
+    of = lambda key: first.groupBy(key).agg(F.min_by("html", "page_id").alias("html")).select(F.col(key).alias("title"), F.size(F.regexp_extract_all("html", F.lit("<p>"), F.lit(0))).alias("n"))
+    counts = of("title").unionByName(of("host")).filter("n > 0")
+    sections = counts.select("title", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("index"))
+    sections = sections.select("title", "index", F.when(F.col("index") % 2 == 1, 2).otherwise(3).alias("level"), F.when(F.col("index") % 3 > 0, F.concat(F.lit("s"), F.col("index").cast("string"))).alias("line"))
+    sums = every.groupBy("root").agg(F.count_if(F.col("index").isNull()).alias("leaves"), F.count_if(page_sets_.parent(F.col("title")) == F.col("root")).alias("kids"))
+    level_two = sections.filter("level = 2").groupBy(F.col("title").alias("root")).agg(F.count("*").alias("cut"))
+    kind = F.length("root") % 6
+    expected = F.when(kind == 0, F.col("leaves")).when(kind == 1, F.greatest(F.col("kids") - 1, F.lit(1))).when(kind == 2, F.col("cut")).when(kind == 3, F.col("kids") + 1).when(kind == 4, F.lit(5))
+    return sums.join(level_two, "root", "left").select("root", expected.alias("expected")), links, sections
+
+
+def page_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which landed pages, or sections of them, are the parts of each host."""
+    return page_sets_.page_sets(*_landed(spark, sf_dir))
+
+
+PAGE_SETS = f"""WITH RECURSIVE t AS (SELECT regexp_replace(url, '^https?://', '') AS title, page_id, html FROM pages), cut AS (SELECT page_id, string_split(title, '/') AS p FROM t),
+middle AS (SELECT page_id, array_to_string(p[1:i], '/') AS title FROM cut, LATERAL (SELECT unnest(generate_series(1, len(p) - 1)) AS i) s),
+every AS (SELECT title, min(page_id) AS position, regexp_extract(title, '^[^/]+') AS root, title IN (SELECT title FROM middle) AS is_index, regexp_extract(title, '^(.*)/[^/]+$', 1) AS parent FROM (SELECT title, page_id FROM t UNION ALL SELECT title, page_id FROM middle) GROUP BY title),
+of_root AS (SELECT root, title, parent, position FROM every WHERE title <> root AND (NOT is_index OR length(root) % 2 = 1)),
+paragraphs AS (SELECT title, len(regexp_extract_all(arg_min(html, page_id), '<p>')) AS n FROM t GROUP BY title UNION ALL SELECT regexp_extract(title, '^[^/]+'), len(regexp_extract_all(arg_min(html, page_id), '<p>')) FROM t GROUP BY 1),
+sections AS (SELECT title, i, CASE WHEN i % 3 > 0 THEN 's' || i ELSE i::VARCHAR END AS line FROM (SELECT title, unnest(generate_series(1, n)) AS i FROM paragraphs) WHERE i % 2 = 1),
+twos AS (SELECT title, count(*) AS n FROM sections GROUP BY title),
+sums AS (SELECT root, count(*) FILTER (WHERE NOT is_index) AS leaves, count(*) FILTER (WHERE parent = root) AS kids FROM every GROUP BY root),
+roots AS (SELECT root, coalesce(CASE length(root) % 6 WHEN 0 THEN leaves WHEN 1 THEN greatest(kids - 1, 1) WHEN 2 THEN twos.n WHEN 3 THEN kids + 1 WHEN 4 THEN 5 END, 1) AS expected, coalesce(twos.n, 0) AS sections FROM sums LEFT JOIN twos ON twos.title = root),
+terminals AS (SELECT root, title, position FROM of_root o WHERE NOT EXISTS (SELECT 1 FROM of_root b WHERE b.root = o.root AND starts_with(b.title, o.title || '/'))),
+chosen AS (SELECT root, expected, CASE WHEN n_terminals = expected THEN 'terminals' WHEN n_kids > 0 AND n_kids >= expected THEN 'children' WHEN expected > 1 AND sections = expected THEN 'sections' WHEN n_kids > 0 THEN 'fewer children' ELSE 'page' END AS strategy
+  FROM (SELECT r.*, (SELECT count(*) FROM terminals x WHERE x.root = r.root) AS n_terminals, (SELECT count(*) FROM of_root x WHERE x.root = r.root AND x.parent = r.root) AS n_kids FROM roots r)),
+kids AS (SELECT root, parent, title, min(b) AS b, position FROM (SELECT root, parent, title, position, 1 AS b FROM of_root UNION ALL SELECT root, parent, title, position, 0 FROM every WHERE parent NOT IN ('', root)) WHERE parent <> '' GROUP BY root, parent, title, position),
+ranked AS (SELECT *, {O.number_of("lower(regexp_extract(title, '[^/]*$'))")} AS number, lower(regexp_extract(title, '[^/]*$')) AS leaf FROM kids),
+starts AS (SELECT t.root, t.title, [{{'u': true, 'n': 0::BIGINT, 'l': '', 'b': 0, 'p': t.position, 't': t.title}}] AS path FROM terminals t JOIN chosen c ON c.root = t.root AND strategy = 'terminals'
+  UNION ALL SELECT k.root, k.title, [{{'u': number IS NULL, 'n': coalesce(number, 0)::BIGINT, 'l': leaf, 'b': b, 'p': position, 't': title}}] FROM ranked k JOIN chosen c ON c.root = k.root AND strategy IN ('children', 'fewer children') WHERE parent = k.root),
+walk AS (SELECT root, title, 1 AS depth, path FROM starts UNION ALL
+  SELECT w.root, k.title, depth + 1, list_append(path, {{'u': number IS NULL, 'n': coalesce(number, 0)::BIGINT, 'l': leaf, 'b': b, 'p': position, 't': k.title}}) FROM walk w JOIN ranked k ON k.root = w.root AND k.parent = w.title WHERE depth < 4),
+visited AS (SELECT *, row_number() OVER (PARTITION BY root ORDER BY path) AS visit FROM walk),
+leaves AS (SELECT root, title, path FROM visited v WHERE visit <= 240 AND (depth = 4 OR NOT EXISTS (SELECT 1 FROM kids k WHERE k.root = v.root AND k.parent = v.title))),
+whole AS (SELECT l.*, strategy, expected FROM leaves l JOIN chosen USING (root) UNION ALL SELECT root, root, NULL, strategy, expected FROM chosen WHERE strategy = 'page'),
+parts AS (SELECT root, strategy, expected, path, w.title AS page, i AS section, w.title || '/' || line AS title FROM (SELECT w.* FROM whole w JOIN twos ON twos.title = w.title WHERE twos.n = expected AND strategy <> 'page' UNION ALL SELECT root, root, NULL, strategy, expected FROM chosen WHERE strategy = 'sections') w JOIN sections s ON s.title = w.title
+  UNION ALL SELECT root, strategy, expected, path, w.title, NULL, w.title FROM whole w LEFT JOIN twos ON twos.title = w.title WHERE strategy = 'page' OR twos.n IS NULL OR twos.n <> expected)
+SELECT root, strategy, expected::BIGINT AS expected, row_number() OVER (PARTITION BY root ORDER BY path, page, section) AS place, page, section, title FROM parts"""
+
+
 # ---------------------------------------------------------------- twins of queries in the catalog
 
 BIN_PACK = """WITH RECURSIVE f AS (SELECT source, doc_id, n_chars::BIGINT AS s, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents),
@@ -430,11 +485,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         repair_flags, candidate_reasons, composed_forms, text_forms, alignment_roundtrip, bundle_roundtrip, packed_json, correction_merge, shard_reports, prepared_jobs,
-        job_matrix, qa_report, seeded_headings, translation_progress, first_missing, numbered_files, expected_groups, placed_images, rank_scope, page_tree, archive_parts,
+        job_matrix, qa_report, seeded_headings, translation_progress, first_missing, numbered_files, expected_groups, placed_images, rank_scope, page_tree, page_sets, archive_parts,
     )
 }
 ORACLES: dict[str, str] = {
     "repair_flags": REPAIR_FLAGS,
+    "page_sets": PAGE_SETS,
     "candidate_reasons": CANDIDATE_REASONS,
     "composed_forms": COMPOSED_FORMS,
     "text_forms": TEXT_FORMS,

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +17,20 @@ from corpusloom.operators.lineage import shared_folder
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run for mapInPandas or mapInArrow, after which the worker, which outlives its task, gives the memory that it no longer uses back."""
+
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # another C library than glibc has no such call
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return task
+
+
 def unused(columns: list[str], base: str) -> str:
     """A name that begins like base and that no column begins with, so that it and all that begin with it are free."""
     while any(c.lower().startswith(base.lower()) for c in columns):

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import lean
+
 #: Bytes of packed tokens for each bucket, about.
 BUCKET_BYTES = 8 << 20
 
@@ -68,10 +70,10 @@ def token_counts(packs: DataFrame, buckets: int, tokens_of: Callable[[object], n
             yield out()
 
     counted = (
-        packs.mapInPandas(send, "bucket int, pack long, tokens binary")
+        packs.mapInPandas(lean(send), "bucket int, pack long, tokens binary")
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInPandas(count, "bucket int, pack long, counts binary")
+        .mapInPandas(lean(count), "bucket int, pack long, counts binary")
     )
     # one struct for each bucket of a pack, so at most ``buckets`` of them
     return counted.groupBy("pack").agg(F.collect_list(F.struct("bucket", "counts")).alias("back"))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import bucketed, checkpoint, shuffle_width, written
+from corpusloom.llm.common import bucketed, checkpoint, lean, shuffle_width, written
 from corpusloom.llm.components import components, local_roots
 from corpusloom.llm.exchange import bucket_of, buckets_for, placed, token_counts
 from corpusloom.llm.packs import known_column, longs, packed, texts_of
@@ -86,7 +86,7 @@ def first_of_each(docs: DataFrame, share: int = SHARE) -> DataFrame:
                 arrays = [text if c == "text" else rest.column(c).combine_chunks().take(pa.array(row.stay)) for c in columns]
                 yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    return packs.select("pack", "lengths", "texts", "rest").join(stay, "pack").mapInArrow(run, docs.schema)
+    return packs.select("pack", "lengths", "texts", "rest").join(stay, "pack").mapInArrow(lean(run), docs.schema)
 
 
 def _grouped(docs: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
@@ -112,7 +112,7 @@ def _grouped(docs: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
 
     counted = packs.select("pack", "lengths", "texts")
     counted = packs.select("pack", "ids", "lengths", "texts").join(token_counts(counted, parts, lambda row: np.concatenate(_in_part(row))), "pack", "left")
-    rows = written(counted.mapInPandas(may_link, "doc_id long, n long, a long, b long, may boolean, pack long, at int"))
+    rows = written(counted.mapInPandas(lean(may_link), "doc_id long, n long, a long, b long, may boolean, pack long, at int"))
 
     # 2. one document for each set
     first = F.min(F.struct("doc_id", "pack", "at")).alias("first")
@@ -129,7 +129,7 @@ def _grouped(docs: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
                 about = np.stack((at + (row.pack << AT_BITS), [len(x) for x in found], [c["weight"] for c in row.chosen])).astype("<i8")
                 yield pd.DataFrame({"pack": [row.pack], "about": [about.tobytes()], "tokens": [np.concatenate(found).tobytes()]})
 
-    sets = packs.select("pack", "lengths", "texts").join(chosen, "pack").mapInPandas(gather, "pack long, about binary, tokens binary")
+    sets = packs.select("pack", "lengths", "texts").join(chosen, "pack").mapInPandas(lean(gather), "pack long, about binary, tokens binary")
     sets = bucketed(sets, "pack")
 
     # 3. the first tokens under every order, of those that another document has, too
@@ -154,7 +154,7 @@ def _grouped(docs: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
                 marks[counts < 2] = 0
                 yield pd.DataFrame({"pack": [row.pack], "marks": [marks.tobytes()]})
 
-    marked = sets.join(bucketed(ranked.mapInPandas(mark, "pack long, marks binary"), "pack"), "pack")
+    marked = sets.join(bucketed(ranked.mapInPandas(lean(mark), "pack long, marks binary"), "pack"), "pack")
 
     def firsts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """(order, bucket, tokens, owners) of all first tokens."""
@@ -197,10 +197,10 @@ def _grouped(docs: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
             yield out()
 
     edges = written(
-        marked.mapInPandas(firsts, "order int, bucket int, tokens binary, owners binary")
+        marked.mapInPandas(lean(firsts), "order int, bucket int, tokens binary, owners binary")
         .repartition(len(ORDERS) * buckets, "order", "bucket")
         .sortWithinPartitions("order", "bucket")
-        .mapInPandas(stars, "order int, u long, v long")
+        .mapInPandas(lean(stars), "order int, u long, v long")
     )
     together = None
     for order in ORDERS:
@@ -232,10 +232,10 @@ def _grouped(docs: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
             yield from _links(rows, i == j, share)
 
     linked = written(
-        tiled.join(marked.mapInPandas(unpack, "node long, weight long, shingles binary, marks binary"), "node")
+        tiled.join(marked.mapInPandas(lean(unpack), "node long, weight long, shingles binary, marks binary"), "node")
         .repartition(max(shuffle_width(spark), buckets), "block", "i", "j")
         .sortWithinPartitions("block", "i", "j", "guest", "node")
-        .mapInPandas(verify, "u long, v long, n long")
+        .mapInPandas(lean(verify), "u long, v long, n long")
     )
     sums = linked.filter("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("others"))
     groups_of = components(linked.filter("v is not null").select("u", "v"))

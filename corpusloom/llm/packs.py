@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import bucketed
+from corpusloom.llm.common import bucketed, lean
 
 #: Bytes of a pack, and of a bucket of the table; and rows of a pack.
 PACK_BYTES, TABLE_BYTES, PACK_ROWS = 2 << 20, 24 << 20, 1 << 17
@@ -58,5 +58,5 @@ def packed(docs: DataFrame) -> tuple[DataFrame, int]:
                     yield pa.RecordBatch.from_pydict(row, schema=pa.schema([("pack", pa.int64()), *((c, pa.binary()) for c in ("ids", "lengths", "texts", "rest"))]))
                     number, start, size = number + 1, i + 1, 0
 
-    packs = ordered.mapInArrow(run, "pack long, ids binary, lengths binary, texts binary, rest binary")
+    packs = ordered.mapInArrow(lean(run), "pack long, ids binary, lengths binary, texts binary, rest binary")
     return bucketed(packs, "pack", -(-total // TABLE_BYTES)), total

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import lean
+
 BLANK = "▁"
 #: Words that a task remembers in each of two generations, the longest of them in characters, and pairs of pieces; some 70 MB in all.
 REMEMBERED, REMEMBERED_CHARS, PAIRS = 120_000, 48, 200_000
@@ -247,7 +249,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         coder.forget()
 
     narrow = docs.select(F.col(id_col), F.col(text_col))
-    return narrow.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
+    return narrow.mapInArrow(lean(run), f"`{id_col}` {kind}, ids array<int>, decoded string")
 
 
 def digests(encoded: DataFrame, id_col: str = "doc_id", more: Sequence[str] = ()) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import written
+from corpusloom.llm.common import lean, written
 from corpusloom.llm.exchange import buckets_for, placed, token_counts
 from corpusloom.llm.packs import longs, packed
 from corpusloom.llm.shingles import mixed
@@ -306,7 +306,7 @@ def _judged(docs: DataFrame) -> tuple[DataFrame, Callable[[object], np.ndarray]]
                     yield pd.DataFrame({"bucket": [b], "pack": [row.pack], "x": [x.tobytes()], "y": [np.stack([side[some] for side in sides]).tobytes()]})
 
     shape = "bucket int, pack long, x binary, y binary"
-    sent = written(own.join(counted, "pack", "left").mapInPandas(contexts, shape))
+    sent = written(own.join(counted, "pack", "left").mapInPandas(lean(contexts), shape))
 
     def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, rows in _by_key(frames, "bucket"):
@@ -339,7 +339,7 @@ def _judged(docs: DataFrame) -> tuple[DataFrame, Callable[[object], np.ndarray]]
                 at += n
 
     judged = written(
-        sent.filter("bucket >= 0").repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(judge, "bucket int, pack long, y binary, open long")
+        sent.filter("bucket >= 0").repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(lean(judge), "bucket int, pack long, y binary, open long")
     )
     many_open = judged.agg(F.coalesce(F.sum("open"), F.lit(0))).first()[0]
     shards = max(12, -(-many_open * 64 // (4 * SHARD_BYTES)))
@@ -408,10 +408,10 @@ def _judged(docs: DataFrame) -> tuple[DataFrame, Callable[[object], np.ndarray]]
 
     base = packs.select("pack", "texts").join(state, "pack").join(verdicts, "pack", "left")
     compared = (
-        base.mapInPandas(edges, "shard int, pack long, about binary, pieces binary")
+        base.mapInPandas(lean(edges), "shard int, pack long, about binary, pieces binary")
         .repartition(shards, "shard")
         .sortWithinPartitions("shard")
-        .mapInPandas(compare, "pack long, x binary")
+        .mapInPandas(lean(compare), "pack long, x binary")
     )
     hits = compared.groupBy("pack").agg(F.collect_list("x").alias("hits"))
 
@@ -451,7 +451,7 @@ def repeats(docs: DataFrame) -> DataFrame:
                     {"doc_id": pd.array(ids, dtype="Int64"), "n_bytes": length, "n_removed": removed, "n_spans": spans, "kept": kept}
                 ).assign(doc_id=lambda d, ids=ids: d["doc_id"].mask(ids == np.iinfo(np.int64).max))
 
-    return packs.mapInPandas(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return packs.mapInPandas(lean(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def _cut(row: object, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -482,4 +482,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 arrays = [text if c == "text" else rest.column(c).combine_chunks() for c in columns]
                 yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    return packs.mapInArrow(run, docs.schema)
+    return packs.mapInArrow(lean(run), docs.schema)

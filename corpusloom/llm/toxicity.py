@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import written
+from corpusloom.llm.common import lean, written
 
 #: Clean and toxic labelled rows that features are learned from.
 LABELLED = (24_000, 8_000)
@@ -107,7 +107,7 @@ def character_counts(docs: DataFrame) -> np.ndarray:
         if len(found := np.flatnonzero(total)):
             yield pd.DataFrame({"three": found, "n": total[found]})
 
-    sums = docs.select("text").mapInPandas(count, "three long, n long").groupBy("three").agg(F.sum("n").alias("n"))
+    sums = docs.select("text").mapInPandas(lean(count), "three long, n long").groupBy("three").agg(F.sum("n").alias("n"))
     counts = np.zeros(SIZE**3)
     for row in sums.collect():
         counts[row["three"]] = row["n"]
@@ -273,7 +273,7 @@ def _without_copies(known: DataFrame) -> tuple[set[int], dict[int, tuple[int, in
     kept = set()
     values: list[np.ndarray] = []
     places: dict[tuple[int, int, bytes], list[int]] = {}
-    rows = sorted(known.mapInPandas(least, "id long, toxic int, least binary").collect())
+    rows = sorted(known.mapInPandas(lean(least), "id long, toxic int, least binary").collect())
     for row in rows:
         own, width = bytes(row["least"]), 4 * BAND
         bands = [(row["toxic"], i, own[i : i + width]) for i in range(0, len(own), width)]
@@ -315,7 +315,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: tuple[int, int] = LABELLED
             if found:  # a frame without rows has columns without a kind
                 yield pd.DataFrame({"feature": list(found), "toxic": toxic, "n": list(found.values())})
 
-    by_class = known.mapInPandas(count, "feature string, toxic int, n long").groupBy("feature").agg(
+    by_class = known.mapInPandas(lean(count), "feature string, toxic int, n long").groupBy("feature").agg(
         F.coalesce(F.sum(F.when(F.col("toxic") == 1, F.col("n"))), F.lit(0)).cast("double").alias("a"),
         F.coalesce(F.sum(F.when(F.col("toxic") == 0, F.col("n"))), F.lit(0)).cast("double").alias("b"),
     )
@@ -343,7 +343,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: tuple[int, int] = LABELLED
         if seen:
             yield pd.DataFrame([(x, y, n) for (x, y), n in seen.items()], columns=["x", "y", "n"])
 
-    tallied = known.mapInPandas(tally, "x int, y int, n long").groupBy("x", "y").agg(F.sum("n").alias("n")).collect()
+    tallied = known.mapInPandas(lean(tally), "x int, y int, n long").groupBy("x", "y").agg(F.sum("n").alias("n")).collect()
     model.bias, model.slope = _logistic({(r["x"], r["y"]): r["n"] for r in tallied})
     return model
 
@@ -357,7 +357,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pd.DataFrame({"doc_id": frame["doc_id"], "held_out": frame["held_out"], "score": [model.score(t) for t in frame["text"]]})
 
     narrow = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    scored = narrow.mapInPandas(run, f"doc_id {kind}, held_out boolean, score double")
+    scored = narrow.mapInPandas(lean(run), f"doc_id {kind}, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 

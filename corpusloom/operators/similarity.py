@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterator, Sequence
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
@@ -198,47 +202,187 @@ def collapsed(source: Column, target: Column) -> Column:
     return spaced(_collapsed(chunks, F.transform(chunks, normalized), F.size(_chunks(known(source)))))
 
 
-def char_grams(x: Column, least: int = 3, most: int = 5) -> Column:
-    """Character n-grams inside blank-padded words; a word no longer than n is one gram, and has no longer ones."""
-    padded = F.transform(F.filter(F.split(bare(known(x)), r"\s+"), lambda w: w != ""), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
+#: Sizes of character n-grams.
+GRAM_SIZES = (3, 4, 5)
+#: What Spark's regular expressions take for white space.
+_BLANKS = re.compile(r"[ \t\n\x0b\f\r]+")
+#: Rows that are handed back at once.
+_ROWS = 200_000
+
+
+def word_grams(word: str) -> list[str]:
+    """Character n-grams of a word between blanks; a word no longer than n is one gram, and has no longer ones."""
+    padded = f" {word} "
+    return [padded[i : i + k] for k in GRAM_SIZES if k == GRAM_SIZES[0] or len(padded) >= k for i in range(max(1, len(padded) - k + 1))]
+
+
+def gram_counts(texts: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
+    """(keys, gram, tf): how often each character n-gram stands in a text. Each text is counted where it lies; no row is moved for it."""
+    kinds = ", ".join(f"`{k}` {texts.schema[k].dataType.simpleString()}" for k in keys)
+    rows = texts.select(*keys, bare(known(F.col(text))).alias("_bare"))
+    kind_of = [f for f in rows.schema if f.name in keys]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        types = [to_arrow_type(f.dataType) for f in kind_of]
+
+        def out(owners: list[int], sizes: list[int], grams: list[str], tf: list[int], batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows_ = pa.array(np.repeat(owners, sizes))
+            own = [batch.column(i).take(rows_).cast(t) for i, t in enumerate(types)]
+            return pa.RecordBatch.from_arrays([*own, pa.array(grams, pa.string()), pa.array(tf, pa.int32())], names=[*keys, "gram", "tf"])
+
+        for batch in batches:
+            owners, sizes, grams, tf = [], [], [], []
+            of: dict[str, list[str]] = {}
+            for i, said in enumerate(batch.column(len(keys)).to_pylist()):
+                counts: Counter[str] = Counter()
+                for word in _BLANKS.split(said or ""):
+                    if word:
+                        if word not in of:
+                            of[word] = word_grams(word)
+                        counts.update(of[word])
+                if counts:
+                    owners.append(i)
+                    sizes.append(len(counts))
+                    grams += counts.keys()
+                    tf += counts.values()
+                if len(grams) > _ROWS:
+                    yield out(owners, sizes, grams, tf, batch)
+                    owners, sizes, grams, tf = [], [], [], []
+                if len(of) > _ROWS:
+                    of = {}
+            if grams:
+                yield out(owners, sizes, grams, tf, batch)
+
+    return rows.mapInArrow(run, f"{kinds}, gram string, tf int")
+
+
+def _raw_weights(texts: DataFrame, group: str, keys: Sequence[str], text: str) -> DataFrame:
+    """(group, keys, gram, raw): term frequency times smoothed idf over the texts of a group, dealt out by group and gram. Grams
+    are known by 64 bits of hashes from here on."""
+    n = texts.groupBy(group).agg(F.count("*").alias("_n"))
+    counted = gram_counts(texts.join(n, group), [group, *keys, "_n"], text).withColumn("gram", F.xxhash64("gram"))
+    df = F.count("*").over(Window.partitionBy(group, "gram"))
+    idf = F.ln((F.lit(1) + F.col("_n")) / (F.lit(1) + df)) + 1
+    return counted.withColumn("raw", F.col("tf") * idf).drop("_n", "tf")
 
-    def grams(word: Column) -> Column:
-        n = F.length(word)
-        sizes = F.filter(F.sequence(F.lit(least), F.lit(most)), lambda k: (k == least) | (n >= k))
-        return F.flatten(
-            F.transform(sizes, lambda k: F.when(n <= k, F.array(word)).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.substring(word, i, k))))
-        )
 
-    return F.flatten(F.transform(padded, grams))
+def tfidf(texts: DataFrame, group: str, key: str, text: str) -> DataFrame:
+    """(group, key, gram, weight): smoothed idf over the texts of a group, vectors of length 1. gram is the hash of a character n-gram."""
+    raw = _raw_weights(texts, group, [key], text)
+    lengths = raw.groupBy(group, key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_length"))
+    return raw.join(lengths, [group, key]).select(group, key, "gram", (F.col("raw") / F.col("_length")).alias("weight"))
 
 
-def tfidf(texts: DataFrame, group: str, key: str, text: str) -> DataFrame:
-    """(group, key, gram, weight): smoothed idf over the texts of a group, vectors of length 1."""
-    grams = texts.select(group, key, F.explode(char_grams(F.col(text))).alias("gram"))
-    tf = grams.groupBy(group, key, "gram").agg(F.count("*").alias("tf"))
-    n = texts.groupBy(group).agg(F.count("*").alias("n"))
-    df = F.count("*").over(Window.partitionBy(group, "gram"))
-    idf = F.ln((F.lit(1) + F.col("n")) / (F.lit(1) + F.col("df"))) + 1
-    raw = tf.withColumn("df", df).join(n, group).withColumn("raw", F.col("tf") * idf)
-    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(group, key)))
-    return raw.select(group, key, "gram", (F.col("raw") / length).alias("weight"))
+#: Paragraphs up to which all those of a chapter that share a gram with an anchor are summed.
+FEW_PARAGRAPHS = 256
+#: Grams of an anchor whose lists are read to find what its best paragraphs score at least.
+SEED_GRAMS = 24
+#: Of what an anchor's best score at least, what its grams that make no pairs may give at most: a smaller share makes more pairs, and fewer of them stay.
+TAIL_SHARE = 0.4
+#: What sums in another order may differ by.
+SLACK = 1e-9
 
 
-def aligned(anchors: DataFrame, paragraphs: DataFrame, group: str = "chapter", top: int = 3, pull: float = 0.12) -> DataFrame:
+def aligned(anchors: DataFrame, paragraphs: DataFrame, group: str = "chapter", top: int = 3, pull: float = 0.12, few: int = FEW_PARAGRAPHS) -> DataFrame:
     """For each anchor (group, key, text, fraction) the best ``top`` paragraphs (group, key, text, fraction) of its group, by
-    the cosine of their n-grams less ``pull`` times how far apart they stand."""
-    both = anchors.select(group, F.concat(F.lit("a"), "key").alias("key"), "text").unionByName(paragraphs.select(group, F.concat(F.lit("p"), "key").alias("key"), "text"))
-    weights = kept(tfidf(both, group, "key", "text"))  # both sides of the join below read it
-    a = weights.filter(F.col("key").startswith("a")).select(group, F.substring("key", 2, 1 << 20).alias("anchor"), "gram", F.col("weight").alias("wa"))
-    p = weights.filter(F.col("key").startswith("p")).select(group, F.substring("key", 2, 1 << 20).alias("paragraph"), "gram", F.col("weight").alias("wp"))
-    cosine = a.join(p, [group, "gram"]).groupBy(group, "anchor", "paragraph").agg(F.sum(F.col("wa") * F.col("wp")).alias("similarity"))
-    near = (
-        cosine.join(anchors.select(group, F.col("key").alias("anchor"), F.col("fraction").alias("fa")), [group, "anchor"])
-        .join(paragraphs.select(group, F.col("key").alias("paragraph"), F.col("fraction").alias("fp")), [group, "paragraph"])
-        .withColumn("adjusted", F.col("similarity") - pull * F.abs(F.col("fp") - F.col("fa")))
+    the cosine of their n-grams less ``pull`` times how far apart they stand.
+
+    In a chapter of more than ``few`` paragraphs only those are summed up that may be among the best (``best_by_bounds``)."""
+    side = lambda rows, name: rows.select(group, F.lit(name).alias("side"), F.col("key").cast("string").alias("key"), "text", F.col("fraction").cast("double").alias("fraction"))
+    both = side(anchors, "a").unionByName(side(paragraphs, "p"))
+    sizes = paragraphs.groupBy(group).agg((F.count("*") > few).alias("large"))
+    both = both.join(sizes, group, "left").na.fill(False, ["large"])
+    raw = _raw_weights(both, group, ["side", "key", "large"], "text")
+    lengths = raw.groupBy(group, "side", "key").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
+    about = both.select(group, "side", "key", "fraction", "large").join(lengths, [group, "side", "key"])
+    own = lambda name, *columns: about.filter(F.col("side") == name[0]).select(group, F.col("key").alias(name), *columns)
+
+    # both sides lie dealt out by group and gram as they were weighed
+    of = lambda name: raw.filter((F.col("side") == name[0]) & ~F.col("large")).select(group, "gram", F.col("key").alias(name), F.col("raw").alias(f"raw_{name[0]}"))
+    dots = of("anchor").join(of("paragraph"), [group, "gram"]).groupBy(group, "anchor", "paragraph").agg(F.sum(F.col("raw_a") * F.col("raw_p")).alias("dot"))
+    scored = (
+        dots.join(own("anchor", F.col("fraction").alias("fa"), F.col("length").alias("la")), [group, "anchor"])
+        .join(own("paragraph", F.col("fraction").alias("fp"), F.col("length").alias("lp")), [group, "paragraph"])
+        .withColumn("similarity", F.col("dot") / (F.col("la") * F.col("lp")))
+        .select(group, "anchor", "paragraph", "similarity", "fa", "fp")
+    )
+    if not sizes.filter("large").isEmpty():
+        weights = kept(raw.filter("large").join(lengths, [group, "side", "key"]).select(group, "side", "key", "gram", (F.col("raw") / F.col("length")).alias("weight")))
+        a = weights.filter("side = 'a'").select(group, F.col("key").alias("anchor"), "gram", F.col("weight").alias("wa"))
+        p = weights.filter("side = 'p'").select(group, F.col("key").alias("paragraph"), "gram", F.col("weight").alias("wp"))
+        places = [kept(own(x, F.col("fraction").alias(f"f{x[0]}")).join(sizes.filter("large").select(group), group, "left_semi")) for x in ("anchor", "paragraph")]
+        scored = scored.unionByName(best_by_bounds(a, p, *places, group, top, pull))
+    adjusted = F.col("similarity") - pull * F.abs(F.col("fp") - F.col("fa"))
+    best = Window.partitionBy(group, "anchor").orderBy(F.round(-adjusted, 9), "fp")
+    return scored.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= top).select(group, "anchor", "paragraph", "similarity", "place")
+
+
+def _partial(grams: DataFrame, p: DataFrame, anchors: DataFrame, paragraphs: DataFrame, group: str, pull: float) -> DataFrame:
+    """Pairs that share one of these grams: their score by them, the length of the paragraph's part that was seen, and what their places cost."""
+    sums = grams.join(p, [group, "gram"]).groupBy(group, "anchor", "paragraph").agg(F.sum(F.col("wa") * F.col("wp")).alias("score"), F.sum(F.col("wp") * F.col("wp")).alias("seen"))
+    placed = sums.join(anchors, [group, "anchor"]).join(paragraphs, [group, "paragraph"])
+    return placed.withColumn("off", pull * F.abs(F.col("fp") - F.col("fa")))
+
+
+def _with_more(pairs: DataFrame, grams: DataFrame, p: DataFrame, group: str) -> DataFrame:
+    """pairs with the score that these grams of their anchors add."""
+    asked = p.join(pairs.select(group, "paragraph").distinct(), [group, "paragraph"], "left_semi")
+    more = (
+        pairs.select(group, "anchor", "paragraph").join(grams.select(group, "anchor", "gram", "wa"), [group, "anchor"])
+        .join(asked, [group, "paragraph", "gram"]).groupBy(group, "anchor", "paragraph").agg(F.sum(F.col("wa") * F.col("wp")).alias("more"))
+    )
+    return pairs.join(more, [group, "anchor", "paragraph"], "left").withColumn("score", F.col("score") + F.coalesce("more", F.lit(0.0))).drop("more")
+
+
+def in_impact_order(a: DataFrame, p: DataFrame, anchors: DataFrame, paragraphs: DataFrame, group: str, top: int, pull: float) -> DataFrame:
+    """a with n (a gram's place by impact), rest (what it and all after it give a paragraph at most), length (of their part of the vector), least
+    (what the anchor's top-th best paragraph scores at least), and makes_pairs."""
+    most = p.groupBy(group, "gram").agg(F.max("wp").alias("most"))
+    by_impact = Window.partitionBy(group, "anchor").orderBy(F.desc("impact"), "gram")
+    on = by_impact.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    ordered = kept(
+        a.join(most, [group, "gram"])
+        .withColumn("impact", F.col("wa") * F.col("most"))
+        .withColumn("n", F.row_number().over(by_impact))
+        .withColumn("length", F.sqrt(F.sum(F.col("wa") * F.col("wa")).over(on)))
+        .withColumn("rest", F.least(F.sum("impact").over(on), "length"))
+        .drop("most", "impact")
+    )
+
+    def nth(rows: DataFrame, most: int) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(group, "anchor").orderBy(F.desc(F.col("score") - F.col("off")), "paragraph"))
+        return rows.withColumn("nth", place).filter(F.col("nth") <= most)
+
+    # the best by few grams, scored wholly: the top-th best of all scores as much as the top-th best of these at least
+    seeds = kept(nth(_partial(ordered.filter(F.col("n") <= SEED_GRAMS), p, anchors, paragraphs, group, pull), 2 * top))
+    least = nth(_with_more(seeds, ordered.filter(F.col("n") > SEED_GRAMS), p, group), top).filter(F.col("nth") == top)
+    least = least.select(group, "anchor", (F.col("score") - F.col("off")).alias("least"))
+    makes = F.coalesce(F.col("rest") >= TAIL_SHARE * F.col("least") - SLACK, F.lit(True))
+    return ordered.join(least, [group, "anchor"], "left").withColumn("makes_pairs", makes)
+
+
+def best_by_bounds(a: DataFrame, p: DataFrame, anchors: DataFrame, paragraphs: DataFrame, group: str, top: int, pull: float) -> DataFrame:
+    """(group, anchor, paragraph, similarity, fa, fp) of all pairs that may be among an anchor's best ``top``, of a (group, anchor, gram, wa),
+    p (group, paragraph, gram, wp), and the places (fa, fp) of both.
+
+    An anchor's grams are ordered by impact: its weight times the largest one that any paragraph has. The lists of the first
+    few give partial scores; the best of these are scored wholly, and the top-th of them, less the pull of its place, is what the best ones score
+    at least. What grams at the end give a paragraph is at most the sum of their impacts, and at most the length of their part of the anchor's
+    vector, as vectors have length 1. Where that is TAIL_SHARE of the least, they can't lift a paragraph among the best alone, so their lists, the
+    longest ones, make no pairs; they are only added to the pairs that the other grams found, and that what is missing may still lift."""
+    known = kept(in_impact_order(a, p, anchors, paragraphs, group, top, pull))
+    tail = known.filter(~F.col("makes_pairs"))
+    bounds = known.groupBy(group, "anchor").agg(
+        F.max("least").alias("least"), F.max(F.when(~F.col("makes_pairs"), F.col("rest"))).alias("missing"), F.max(F.when(~F.col("makes_pairs"), F.col("length"))).alias("tail_length")
     )
-    best = Window.partitionBy(group, "anchor").orderBy(F.round(-F.col("adjusted"), 9), "fp")
-    return near.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= top).select(group, "anchor", "paragraph", "similarity", "place")
+    found = _partial(known.filter("makes_pairs").select(group, "anchor", "gram", "wa"), p, anchors, paragraphs, group, pull).join(bounds, [group, "anchor"])
+    unseen = F.sqrt(F.greatest(F.lit(0.0), 1.0 - F.col("seen") + SLACK)) * F.col("tail_length")
+    lift = F.coalesce(F.least("missing", unseen), F.lit(0.0))
+    can = F.coalesce(F.col("score") + lift - F.col("off") >= F.col("least") - SLACK, F.lit(True))
+    pairs = kept(found.filter(can).select(group, "anchor", "paragraph", "score", "fa", "fp"))
+    return _with_more(pairs, tail, p, group).select(group, "anchor", "paragraph", F.col("score").alias("similarity"), "fa", "fp")
 
 
 def token_grams(rows: DataFrame, key: str, tokens: Column, size: int) -> DataFrame:

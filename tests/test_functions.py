@@ -102,7 +102,10 @@ def test_similarity(spark):
 
 
 def test_char_grams(spark):
-    assert one(spark, similarity.char_grams(F.col("t")), t="ab c") == [" ab", "ab ", " ab ", " c "]
+    assert similarity.word_grams("ab") == [" ab", "ab ", " ab "] and similarity.word_grams("c") == [" c "]
+    table = spark.createDataFrame([(1, "x", "ab c\tAB"), (1, "y", None), (2, "x", "")], "g int, k string, t string")
+    rows = similarity.gram_counts(table, ["g", "k"], "t").collect()
+    assert sorted(map(tuple, rows)) == [(1, "x", " ab", 2), (1, "x", " ab ", 2), (1, "x", " c ", 1), (1, "x", "ab ", 2)]
 
 
 def test_ledger(spark):

@@ -23,7 +23,7 @@ from corpusloom.operators import page_sets as page_sets_
 from corpusloom.operators.lineage import shared_folder
 from corpusloom.plans import oracle as O
 from corpusloom.plans.catalog import _table, pairs
-from corpusloom.sources import readers, writers
+from corpusloom.sources import published, readers, writers
 
 S, TT = O.S, O.T
 
@@ -176,7 +176,7 @@ ALIGNMENT_ROUNDTRIP = O.pairs(f"rank::INT AS rank, {UNIT_ID} AS unit_id, kind, s
 def bundle_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = _place(spark, "bundles")
     writers.write_bundle_files(_units(spark, sf_dir), place)
-    found = readers.source_bundle(spark, f"{place}/*")
+    found = readers.source_bundle(spark, place)
     return found.select("rank", F.col("ordinal").cast("long").alias("place"), "unit_id", "chapter", "kind", T.sha(F.col("source")).alias("source_sha256"))
 
 
@@ -193,8 +193,8 @@ def packed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = _place(spark, "packed")
     items = _table(spark, sf_dir, "benchmark").select(packed(F.to_json(F.struct("item_id", "text"))).alias("value"))
     # the format has one document a file, so each row is one
-    items.repartition(64, "value").withColumn("_part", F.sha1("value")).write.partitionBy("_part").text(place)
-    found = readers.gzipped_base64_json(spark, f"{place}/*", "item_id LONG, text STRING")
+    published.publish(items.withColumn("name", F.concat(F.sha1("value"), F.lit(".txt"))), place, "name", "value", [])
+    found = readers.gzipped_base64_json(spark, published.folders_of(place), "item_id LONG, text STRING")
     return found.select("document.item_id", T.sha(F.col("document.text")).alias("text_sha256"))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators.ledger import conflicts
+from corpusloom.sources.published import folders_of
 
 # Fields of ledgers and configurations.
 ALIGNMENT = "unit_id STRING, chapter INT, kind STRING, source STRING, translation STRING, source_sha256 STRING, translation_sha256 STRING"
@@ -30,14 +31,14 @@ def configs(spark: SparkSession, path: str) -> DataFrame:
 
 def alignments(spark: SparkSession, path: str) -> DataFrame:
     """Ledgers below path, by the rank in their file names (``043_alignment.jsonl``), with ``path``."""
-    rows = spark.read.schema(ALIGNMENT).option("recursiveFileLookup", "true").option("pathGlobFilter", "*_alignment.jsonl").json(path)
+    rows = spark.read.schema(ALIGNMENT).option("recursiveFileLookup", "true").option("pathGlobFilter", "*_alignment.jsonl").json(folders_of(path))
     name = F.col("_metadata.file_path")
     return rows.select(F.regexp_extract(name, r"(?:^|/)(\d{3})_[^/]*alignment\.jsonl$", 1).try_cast("int").alias("rank"), name.alias("path"), "*").filter(F.col("rank").isNotNull())
 
 
 def source_bundle(spark: SparkSession, path: str) -> DataFrame:
     """Units of frozen books: rank, chapter_no, ordinal (from 0 in the book), unit_id, kind, source."""
-    books = spark.read.schema(f"rank INT, chapters {UNITS}").json(path, multiLine=True)
+    books = spark.read.schema(f"rank INT, chapters {UNITS}").json(folders_of(path), multiLine=True)
     numbered = books.select("rank", F.posexplode(F.flatten("chapters")).alias("ordinal", "u"))
     return numbered.select("rank", "ordinal", "u.unit_id", "u.chapter", "u.kind", "u.source")
 
@@ -47,7 +48,7 @@ def corrections(spark: SparkSession, path: str) -> DataFrame:
 
     Of units that stand in several files operators.ledger.last_corrections takes the last."""
     entry = "STRUCT<source_sha256: STRING, translation: STRING, translation_sha256: STRING>"
-    files = spark.read.schema(f"corrections MAP<STRING, MAP<STRING, {entry}>>").option("recursiveFileLookup", "true").option("pathGlobFilter", "corrections-*.json").json(path, multiLine=True)
+    files = spark.read.schema(f"corrections MAP<STRING, MAP<STRING, {entry}>>").option("recursiveFileLookup", "true").option("pathGlobFilter", "corrections-*.json").json(folders_of(path), multiLine=True)
     ranks = files.select(F.col("_metadata.file_path").alias("file"), F.explode("corrections").alias("rank", "units"))
     return ranks.select("file", F.col("rank").cast("int").alias("rank"), F.explode("units").alias("unit_id", "c")).select("file", "rank", "unit_id", "c.*")
 

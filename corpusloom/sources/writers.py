@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import padded
 from corpusloom.operators.ledger import bound
+from corpusloom.sources.published import publish
 
 
 def write_alignment(units: DataFrame, path: str) -> None:
@@ -18,36 +17,37 @@ def write_alignment(units: DataFrame, path: str) -> None:
 
 
 def write_alignment_files(units: DataFrame, path: str) -> None:
-    """One ledger for each rank, under the name that readers.alignments knows it by (``043_alignment.jsonl``), in a folder of its own.
+    """One ledger for each rank, under the name that readers.alignments knows it by (``043_alignment.jsonl``).
 
-    A rank is one file by its format; its lines are sorted by Spark, and only moved to their name afterwards."""
+    A rank is one file by its format: its task writes the sorted lines under that name, and the manifest publishes all of them."""
     rows = bound(units)
     columns = [c for c in ("unit_id", "chapter", "kind", "source", "translation", "source_sha256", "translation_sha256") if c in rows.columns]
-    lines = rows.select(padded(F.col("rank"), 3).alias("_rank"), "ordinal", F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
-    lines.repartition("_rank").sortWithinPartitions("_rank", "ordinal").select("_rank", "value").write.partitionBy("_rank").text(path)
-    _rename(units.sparkSession, path, "_rank=", lambda rank: f"{rank}_alignment.jsonl")
+    name = F.concat(padded(F.col("rank"), 3), F.lit("_alignment.jsonl"))
+    lines = rows.select(name.alias("name"), "ordinal", F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("line"))
+    publish(lines, path, "name", "line", [F.col("ordinal")])
 
 
 def correction_files(rows: DataFrame, path: str, name: str) -> None:
-    """Corrections (rank, unit_id, ...) as one JSON file ``name``.json of units by rank. As large as a release's corrections."""
-    fields = [c for c in rows.columns if c not in ("rank", "unit_id")]
-    ranks = rows.groupBy(F.col("rank").cast("string").alias("rank")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("unit_id", F.struct(*fields))))).alias("units"))
-    by_rank = F.array_sort(F.collect_list(F.struct("rank", "units")), lambda a, b: F.when(a["rank"] < b["rank"], -1).when(a["rank"] > b["rank"], 1).otherwise(0))
-    whole = ranks.agg(F.map_from_entries(by_rank).alias("corrections"))
-    whole.select(F.lit(name).alias("_name"), F.to_json(F.struct("corrections")).alias("value")).write.partitionBy("_name").text(path)
-    _rename(rows.sparkSession, path, "_name=", lambda n: f"{n}.json")
+    """Corrections (rank, unit_id, ...) as one JSON file ``name``.json of units by rank.
 
-
-def _rename(spark: SparkSession, path: str, prefix: str, named: Callable[[str], str]) -> None:
-    """Give the one file of each folder of a partition its name, by the file system that path is on."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for entry in files.listStatus(folder):
-        if entry.isDirectory() and entry.getPath().getName().startswith(prefix):
-            for part in files.listStatus(entry.getPath()):
-                if part.getPath().getName().startswith("part-"):
-                    value = entry.getPath().getName()[len(prefix) :]
-                    files.rename(part.getPath(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(entry.getPath(), named(value)))
+    The document is one stream of lines, a unit each, in the order of ranks (as texts) and units; what opens and closes it and its ranks
+    stands in the lines of the first and last units. So no rank, nor all of them, is ever one row."""
+    fields = [c for c in rows.columns if c not in ("rank", "unit_id")]
+    # of a unit that stands twice the last one by its fields counts, as in a map
+    kept = rows.groupBy(F.col("rank").cast("string").alias("rank"), F.col("unit_id").cast("string").alias("unit_id")).agg(F.max(F.struct(*fields)).alias("entry"))
+    ends = kept.groupBy("rank").agg(F.min("unit_id").alias("first"), F.max("unit_id").alias("last"))
+    # two ranks go to the driver
+    whole = ends.agg(F.min("rank").alias("least"), F.max("rank").alias("most")).first()
+    key = lambda c: F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2)
+    placed = kept.join(ends, "rank")
+    first, last = F.col("unit_id") == F.col("first"), F.col("unit_id") == F.col("last")
+    opens = F.concat(F.when(F.col("rank") == F.lit(whole["least"]), F.lit('{"corrections":{')).otherwise(F.lit(",")), key("rank"), F.lit(":{"))
+    closes = F.when(F.col("rank") == F.lit(whole["most"]), F.lit("}}}")).otherwise(F.lit("}"))
+    line = F.concat(F.when(first, opens).otherwise(F.lit(",")), key("unit_id"), F.lit(":"), F.to_json("entry"), F.when(last, closes).otherwise(F.lit("")))
+    lines = placed.select(F.lit(f"{name}.json").alias("name"), "rank", "unit_id", line.alias("line"))
+    if whole["least"] is None:
+        lines = rows.sparkSession.createDataFrame([(f"{name}.json", "", "", '{"corrections":{}}')], "name string, rank string, unit_id string, line string")
+    publish(lines, path, "name", "line", [F.col("rank"), F.col("unit_id")])
 
 
 def bundles(units: DataFrame) -> DataFrame:
@@ -59,10 +59,9 @@ def bundles(units: DataFrame) -> DataFrame:
 
 
 def write_bundle_files(units: DataFrame, path: str) -> None:
-    """One bundle for each rank (``043_source_bundle.json``), in a folder of its own."""
-    found = bundles(units).select(padded(F.col("rank"), 3).alias("_rank"), F.col("document").alias("value"))
-    found.repartition("_rank").write.partitionBy("_rank").text(path)
-    _rename(units.sparkSession, path, "_rank=", lambda rank: f"{rank}_source_bundle.json")
+    """One bundle for each rank (``043_source_bundle.json``), a document of one line."""
+    found = bundles(units).select(F.concat(padded(F.col("rank"), 3), F.lit("_source_bundle.json")).alias("name"), F.col("document").alias("line"))
+    publish(found, path, "name", "line", [])
 
 
 def corrections(rows: DataFrame) -> DataFrame:

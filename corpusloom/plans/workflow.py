@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import detectors as D
 from corpusloom.functions import text as T
 from corpusloom.functions.books import copied_heading
-from corpusloom.operators import gates, ledger, pages, selection
+from corpusloom.operators import admission, gates, ledger, pages, selection
 from corpusloom.operators import page_sets as page_sets_
 from corpusloom.operators.lineage import shared_folder
 from corpusloom.plans import oracle as O
@@ -358,6 +358,37 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY root ORDER BY path) AS plac
 SELECT root, title, depth::INT AS depth, place FROM placed WHERE place <= 240"""
 
 
+def quota_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as pending units of an account for each source; every third account's quota is used up half-way, others have no limit."""
+    docs = _table(spark, sf_dir, "documents").select("source", "doc_id", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("chars"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"))
+    sums = docs.groupBy("source").agg(F.sum("chars").alias("all"), F.count("*").alias("used"))
+    kind = F.length("source") + F.ascii(F.substring("source", -1, 1))
+    quotas = sums.filter(kind % 5 > 0).select("source", "used", F.when(kind % 3 == 0, F.floor(F.col("all") / 2)).alias("limit"))
+    sent = admission.admitted(docs, quotas, "source", ["doc_id"])
+    return sent.select("source", "doc_id", "state", "request.cell", "request.row", "request.alone")
+
+
+QUOTA_ADMISSION = """WITH d AS (SELECT source, doc_id, length(coalesce(text, ''))::BIGINT AS chars, strlen(coalesce(text, ''))::BIGINT AS bytes FROM documents),
+q AS (SELECT source, n AS used, CASE WHEN kind % 3 = 0 THEN all_ // 2 END AS lim FROM (SELECT source, sum(chars)::BIGINT AS all_, count(*) AS n, length(source) + ascii(right(source, 1)) AS kind FROM d GROUP BY source) WHERE kind % 5 > 0),
+c AS (SELECT *, bytes <= 131072 AS fits FROM d),
+s AS (SELECT *, coalesce(sum(CASE WHEN fits THEN chars ELSE 0 END) OVER w, 0) AS chars_, coalesce(sum(CASE WHEN fits THEN bytes ELSE 0 END) OVER w, 0) AS bytes_, coalesce(sum(fits::INT) OVER w, 0) AS n_ FROM c WINDOW w AS (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT s.*, CASE WHEN NOT fits THEN 'TOO_LARGE' WHEN used IS NULL THEN 'NO_ACCOUNT' WHEN lim IS NULL OR used + chars_ + chars <= lim THEN 'SENT' ELSE 'BLOCKED_QUOTA' END AS state FROM s LEFT JOIN q ON q.source IS NOT DISTINCT FROM s.source)
+SELECT source, doc_id, state, CASE WHEN state = 'SENT' THEN (bytes_ // 65536)::BIGINT END AS cell, CASE WHEN state = 'SENT' THEN (n_ // 20)::BIGINT END AS row, CASE WHEN state = 'SENT' THEN CASE WHEN bytes > 65536 THEN (n_ + 1)::BIGINT ELSE 0 END END AS alone FROM t"""
+
+
+def gated_release(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents' hashes in files of a thousand ids of a source each, published if the gates that are observed while they are written hold."""
+    docs = _table(spark, sf_dir, "documents")
+    block = F.floor(F.col("doc_id") / 1000).cast("string")
+    lines = docs.select(F.concat(F.coalesce("source", F.lit("none")), F.lit("-"), block, F.lit(".txt")).alias("name"), "doc_id", T.sha(T.known(F.col("text"))).alias("line"), "n_chars")
+    place = _place(spark, "release")
+    published.publish(lines, place, "name", "line", [F.col("doc_id"), F.col("line")], {"some": F.count("*") > 0, "whole": F.coalesce(F.min("n_chars"), F.lit(0)) >= 0, "named": F.count_if(F.col("name").isNull()) == 0})
+    return published.manifest(spark, place).select("name", "lines", "bytes", "sha256")
+
+
+GATED_RELEASE = "WITH d AS (SELECT coalesce(source, 'none') || '-' || (doc_id // 1000) || '.txt' AS name, doc_id, sha256(coalesce(text, '')) AS line FROM documents) SELECT name, count(*) AS lines, (65 * count(*))::BIGINT AS bytes, sha256(string_agg(line || chr(10), '' ORDER BY doc_id, line)) AS sha256 FROM d GROUP BY name"
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Hosts as roots with the number of parts that is expected of them, what they and their index pages link to, and sections of pages.
 
@@ -485,12 +516,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         repair_flags, candidate_reasons, composed_forms, text_forms, alignment_roundtrip, bundle_roundtrip, packed_json, correction_merge, shard_reports, prepared_jobs,
-        job_matrix, qa_report, seeded_headings, translation_progress, first_missing, numbered_files, expected_groups, placed_images, rank_scope, page_tree, page_sets, archive_parts,
+        job_matrix, qa_report, seeded_headings, translation_progress, first_missing, numbered_files, expected_groups, placed_images, rank_scope, page_tree, page_sets, quota_admission, gated_release, archive_parts,
     )
 }
 ORACLES: dict[str, str] = {
     "repair_flags": REPAIR_FLAGS,
     "page_sets": PAGE_SETS,
+    "quota_admission": QUOTA_ADMISSION,
+    "gated_release": GATED_RELEASE,
     "candidate_reasons": CANDIDATE_REASONS,
     "composed_forms": COMPOSED_FORMS,
     "text_forms": TEXT_FORMS,

@@ -25,7 +25,7 @@ from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMes
 MANIFEST = "name string, path string, lines long, bytes long, sha256 string"
 
 
-def _system(path: str) -> tuple[fs.FileSystem, str]:
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
     """The file system that path is on, and path there; a path without a scheme is one of this machine."""
     if "://" not in path and not path.startswith("file:"):
         return fs.LocalFileSystem(), path
@@ -50,7 +50,7 @@ class _Writer(DataSourceWriter):
         self.path, self.job = options["path"].rstrip("/"), options.get("job") or uuid.uuid4().hex
 
     def write(self, iterator: Iterator[Row]) -> _Written:
-        system, root = _system(self.path)
+        system, root = file_system(self.path)
         task = TaskContext.get()
         folder = f"{self.job}/{task.partitionId():06d}-{task.taskAttemptId()}" if task else f"{self.job}/{uuid.uuid4().hex}"
         place = f"{root}/_files/{folder}"
@@ -88,14 +88,14 @@ class _Writer(DataSourceWriter):
 
     def commit(self, messages: list[_Written | None]) -> None:
         """Name the folders of the tasks that count; one name a task, whatever it wrote."""
-        system, root = _system(self.path)
+        system, root = file_system(self.path)
         system.create_dir(f"{root}/_commits/{self.job}", recursive=True)
         folders = [m.folder for m in messages if m is not None and m.files]
         with system.open_output_stream(f"{root}/_commits/{self.job}/folders.json") as out:
             out.write(json.dumps({"folders": folders, "files": sum(m.files for m in messages if m is not None)}).encode())
 
     def abort(self, messages: list[_Written | None]) -> None:
-        system, root = _system(self.path)
+        system, root = file_system(self.path)
         for part in ("_files", "_commits"):
             _removed(system, f"{root}/{part}/{self.job}")
 
@@ -143,7 +143,7 @@ def publish(rows: DataFrame, path: str, name: str, line: str, order: list[Column
     sorted_ = lines.repartition("name").sortWithinPartitions("name", *[f"_order{i}" for i in range(len(keys))]).select("name", "line")
     sorted_.write.format("corpusloom_files").option("path", path).option("job", job).mode("append").save()
     observed = dict(watched.get) if watched is not None else {}
-    system, root = _system(path.rstrip("/"))
+    system, root = file_system(path.rstrip("/"))
     if failed := [k for k in gates or {} if observed.get(k) is not True]:
         for part in ("_files", "_commits"):
             _removed(system, f"{root}/{part}/{job}")
@@ -157,7 +157,7 @@ def publish(rows: DataFrame, path: str, name: str, line: str, order: list[Column
 
 def current(path: str) -> tuple[str | None, list[str]]:
     """The published commit and the folders that it names; none if nothing is published."""
-    system, root = _system(path.rstrip("/"))
+    system, root = file_system(path.rstrip("/"))
     if system.get_file_info(f"{root}/_commits/CURRENT").type != fs.FileType.File:
         return None, []
     with system.open_input_stream(f"{root}/_commits/CURRENT") as f:
@@ -189,14 +189,14 @@ def folders_of(path: str) -> list[str]:
         return [path]
     if found := at(path):
         return found
-    system, root = _system(path)
+    system, root = file_system(path)
     below = [e.base_name for e in system.get_file_info(fs.FileSelector(root, allow_not_found=True)) if e.type == fs.FileType.Directory and e.base_name[0] not in "._"]
     return [f for name in sorted(below) for f in at(f"{path}/{name}")] or [path]
 
 
 def sweep(path: str) -> int:
     """Remove all that the published commit doesn't name, once nobody reads an earlier one. How many folders that were."""
-    system, root = _system(path.rstrip("/"))
+    system, root = file_system(path.rstrip("/"))
     job, folders = current(path)
     gone = 0
     for entry in system.get_file_info(fs.FileSelector(f"{root}/_commits", allow_not_found=True)):

@@ -24,6 +24,7 @@ from corpusloom.operators.lineage import shared_folder
 from corpusloom.plans import oracle as O
 from corpusloom.plans.catalog import _table, pairs
 from corpusloom.sources import published, readers, writers
+from corpusloom.streaming import units as units_
 
 S, TT = O.S, O.T
 
@@ -358,6 +359,33 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY root ORDER BY path) AS plac
 SELECT root, title, depth::INT AS depth, place FROM placed WHERE place <= 240"""
 
 
+def unit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs as a stream of units, translations and corrections, some of another source: what each unit ends up with, and how many translations clashed."""
+    rows = pairs(spark, sf_dir).select(F.col("rank").cast("int").alias("rank"), T.unit_id(F.lit(1), F.col("ordinal")).alias("unit_id"), "ordinal", T.sha(F.col("source")).alias("source_sha256"), "translation")
+    other = F.when(F.col("ordinal") % 5 == 4, F.lit("another")).otherwise(F.col("source_sha256"))
+    record = lambda kind, source, text, seq: F.struct(F.lit(kind).alias("kind"), source.alias("source_sha256"), text.alias("translation"), F.lit(seq).cast("long").alias("seq"))
+    none, own = F.lit(None).cast("string"), F.col("source_sha256")
+    given = F.array(
+        record("unit", own, none, 0), record("translation", own, F.col("translation"), 1), record("translation", other, F.concat("translation", F.lit(".")), 2),
+        *[F.when(F.col("ordinal") % 3 == 0, record("correction", own, F.lit("corrected"), 3))],
+    )
+    records = rows.select("rank", "unit_id", "ordinal", F.explode(F.array_compact(given)).alias("r")).select("rank", "unit_id", "r.*", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("ordinal")).alias("at"))
+    place = _place(spark, "units")
+    records.repartition(4).write.json(f"{place}/in")
+    events = units_.unit_events(units_.record_files(spark, f"{place}/in", 2), 3600, "3650 days")
+    query = events.writeStream.format("parquet").option("path", f"{place}/out").option("checkpointLocation", f"{place}/check").trigger(availableNow=True).start()
+    query.awaitTermination()
+    rows = spark.read.schema(units_.OUT).parquet(f"{place}/out")
+    sums = rows.groupBy("rank", "unit_id").agg(F.count_if(F.col("event") == "CONFLICT").alias("conflicts"), F.count_if(F.col("event") == "STALE").alias("stale"))
+    return units_.settled(rows).join(sums, ["rank", "unit_id"]).select("rank", "unit_id", "seq", T.sha(F.col("translation")).alias("translation_sha256"), "conflicts", "stale")
+
+
+UNIT_STREAM = O.pairs(
+    f"""rank::INT AS rank, {UNIT_ID} AS unit_id, (CASE WHEN ordinal % 3 = 0 THEN 3 WHEN ordinal % 5 = 4 THEN 1 ELSE 2 END)::BIGINT AS seq,
+sha256(CASE WHEN ordinal % 3 = 0 THEN 'corrected' WHEN ordinal % 5 = 4 THEN translation ELSE translation || '.' END) AS translation_sha256, (ordinal % 5 <> 4)::BIGINT AS conflicts, (ordinal % 5 = 4)::BIGINT AS stale"""
+)
+
+
 def quota_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as pending units of an account for each source; every third account's quota is used up half-way, others have no limit."""
     docs = _table(spark, sf_dir, "documents").select("source", "doc_id", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("chars"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"))
@@ -516,13 +544,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         repair_flags, candidate_reasons, composed_forms, text_forms, alignment_roundtrip, bundle_roundtrip, packed_json, correction_merge, shard_reports, prepared_jobs,
-        job_matrix, qa_report, seeded_headings, translation_progress, first_missing, numbered_files, expected_groups, placed_images, rank_scope, page_tree, page_sets, quota_admission, gated_release, archive_parts,
+        job_matrix, qa_report, seeded_headings, translation_progress, first_missing, numbered_files, expected_groups, placed_images, rank_scope, page_tree, page_sets, quota_admission, gated_release, unit_stream, archive_parts,
     )
 }
 ORACLES: dict[str, str] = {
     "repair_flags": REPAIR_FLAGS,
     "page_sets": PAGE_SETS,
     "quota_admission": QUOTA_ADMISSION,
+    "unit_stream": UNIT_STREAM,
     "gated_release": GATED_RELEASE,
     "candidate_reasons": CANDIDATE_REASONS,
     "composed_forms": COMPOSED_FORMS,

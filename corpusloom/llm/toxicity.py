@@ -9,16 +9,16 @@ word. Signs without any letter between them or gaps are taken for numbers. The m
 
 Scoring. Features of a word are itself and its first 4, 5 and 6 letters. Over labelled rows, those are kept whose
 presence in toxic and clean documents differs beyond chance (log-likelihood ratio, below) and that clean documents
-hardly have, as one word may decide. A document's score is a logistic function of how many of its words have such a
-feature, fitted on the same rows. Labelled rows are a sample by hash of about ``LABELLED`` rows of a class at most; near copies
+hardly have, as one word may decide. Each feature
+weighs its shrunken log odds, so one that a few clean texts have, too, still counts. A document's score is a logistic function of the weights of
+its different words, fitted on the same rows. Labelled rows are a sample by hash of about ``LABELLED`` rows of a class at most; near copies
 in this sample, in which all words of one toxic text would look toxic, are left out: rows alike a kept row of their class
 and smaller id in ``ALIKE`` of their five-word shingles or more, as ``HASHES`` MinHash values tell. A model's ``rows`` says how many
 clean and toxic rows were sampled and how many of them stayed.
 
 The bounds above are counted in distinct pairs of doc_id and label, with one document each: labels with a null doc_id teach nothing,
-repeated ones count once, and of documents with one doc_id the one with the least hash of its text counts. What ``FEATURES`` leaves
-out (the features that tell least) and ``MOST_WORDS`` (more toxic words of a document than these add nothing) are limits of the
-classifier, not of what it reads.
+repeated ones count once, and of documents with one doc_id the one with the least hash of its text counts. All features that tell enough
+are kept, as few as the sample has, and all of a text's words count.
 
 Null and empty texts score as texts without toxic words. Without any toxic or any clean label, scores are the share of toxic
 labels (0 if there are none). Repeated rows are scored alike; an empty table gives an empty table. Columns other than
@@ -43,12 +43,14 @@ from corpusloom.llm.common import lean, written
 
 #: Clean and toxic labelled rows that features are learned from.
 LABELLED = (24_000, 8_000)
-#: Features: least documents, least log-likelihood ratio, largest share of clean documents, and the most that are kept.
-LEAST_DOCS, LEAST_RATIO, CLEAN_SHARE, FEATURES = 6, 30.0, 3e-4, 4_000
+#: Features: least documents, and least log-likelihood ratio.
+LEAST_DOCS, LEAST_RATIO = 3, 16.0
+#: Documents of each class that a feature is thought to stand in before any is seen, which draws the weights of rare ones to nothing.
+SHRINK = 0.5
+#: Steps of a text's weight in which the labelled texts are counted.
+STEPS = 4
 #: MinHash values by which the sample is rid of near copies, values that are looked up together, and the share of equal ones that makes a copy.
 HASHES, BAND, ALIKE = 128, 4, 0.8
-#: Toxic words of a document that count.
-MOST_WORDS = 8
 THRESHOLD = 0.3
 #: Texts whose characters are counted together; their codes take some 80 bytes a character.
 AT_ONCE = 200
@@ -189,8 +191,8 @@ def held_out(doc_id: Column) -> Column:
 class Model:
     """What scoring needs; of bounded size."""
 
-    def __init__(self, cost: np.ndarray, kept: list[str], bias: float, slope: float):
-        self.cost, self.kept, self.bias, self.slope = cost, frozenset(kept), bias, slope
+    def __init__(self, cost: np.ndarray, weights: dict[str, float], bias: float, slope: float):
+        self.cost, self.weights, self.bias, self.slope = cost, weights, bias, slope
         self.restorer: Restorer | None = None
         #: Per class: rows sampled, and those of them that are no near copies.
         self.rows: dict[int, tuple[int, int]] = {}
@@ -198,23 +200,25 @@ class Model:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"restorer": None}
 
-    def words(self, text: str | None) -> int:
-        """How many words of text, once restored, have a toxic feature."""
+    def weight(self, text: str | None) -> float:
+        """The weights of the different toxic words of text, once restored: of each the largest one of its features."""
         self.restorer = self.restorer or Restorer(self.cost)
-        words, kept = WORDS.findall(self.restorer.restored(text)), self.kept
-        toxic = {w for w in set(words) if w in kept or w[:4] + "*" in kept or w[:5] + "*" in kept or w[:6] + "*" in kept}
-        return sum(w in toxic for w in words) if toxic else 0
+        get = self.weights.get
+        total = 0.0
+        for w in sorted(set(WORDS.findall(self.restorer.restored(text)))):
+            total += max(get(w, 0.0), get(w[:4] + "*", 0.0), get(w[:5] + "*", 0.0), get(w[:6] + "*", 0.0))
+        return total
 
     def score(self, text: str | None) -> float:
-        return self._score(self.words(text))
+        return self._score(self.weight(text))
 
-    def _score(self, words: int) -> float:
-        return 1 / (1 + math.exp(-self.bias - self.slope * min(words, MOST_WORDS)))
+    def _score(self, weight: float) -> float:
+        return 1 / (1 + math.exp(-max(-700.0, min(700.0, self.bias + self.slope * weight))))
 
     def rejects(self, text: str | None) -> bool:
         """Whether text is predicted toxic for a word that it has, and not only because most labels are."""
-        words = self.words(text)
-        return words > 0 and self._score(words) >= THRESHOLD
+        weight = self.weight(text)
+        return weight > 0 and self._score(weight) >= THRESHOLD
 
 
 def _ratio(a: Column, b: Column, all_a: float, all_b: float) -> Column:
@@ -229,8 +233,8 @@ def _ratio(a: Column, b: Column, all_a: float, all_b: float) -> Column:
 
 
 def _logistic(counts: dict[tuple[int, int], int]) -> tuple[float, float]:
-    """Bias and slope by Newton steps, of (words, label) -> rows, with a weak pull towards nothing."""
-    x = np.array([[1.0, k[0]] for k in counts])
+    """Bias and slope by Newton steps, of (steps of weight, label) -> rows, with a weak pull towards nothing."""
+    x = np.array([[1.0, k[0] / STEPS] for k in counts])
     y, n = np.array([k[1] for k in counts], dtype=float), np.array(list(counts.values()), dtype=float)
     w, pull = np.zeros(2), np.diag([1e-3, 1e-1])
     for _ in range(50):
@@ -322,24 +326,19 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: tuple[int, int] = LABELLED
     all_a, all_b = float(sampled[1][1]), float(sampled[0][1])
     if not all_a or not all_b:
         share = all_a / max(1.0, all_a + all_b)
-        model = Model(cost, [], math.log(max(share, 1e-9) / max(1 - share, 1e-9)), 0.0)
+        model = Model(cost, {}, math.log(max(share, 1e-9) / max(1 - share, 1e-9)), 0.0)
         model.rows = sampled
         return model
-    best = (
-        by_class.filter((F.col("a") >= LEAST_DOCS) & (F.col("b") <= CLEAN_SHARE * all_b))
-        .withColumn("ratio", _ratio(F.col("a"), F.col("b"), all_a, all_b))
-        .filter(F.col("ratio") >= LEAST_RATIO)
-        .orderBy(F.desc("ratio"), "feature")
-        .limit(FEATURES)
-        .collect()
-    )
-    model = Model(cost, [r["feature"] for r in best], 0.0, 0.0)
+    odds = F.ln((F.col("a") + SHRINK) / (all_a + 2 * SHRINK)) - F.ln((F.col("b") + SHRINK) / (all_b + 2 * SHRINK))
+    # as bounded as the sample that they stand in
+    best = by_class.filter(F.col("a") >= LEAST_DOCS).filter(_ratio(F.col("a"), F.col("b"), all_a, all_b) >= LEAST_RATIO).select("feature", odds.alias("odds")).collect()
+    model = Model(cost, {r["feature"]: r["odds"] for r in best}, 0.0, 0.0)
     model.rows = sampled
 
     def tally(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
         for frame in frames:
-            seen.update((min(model.words(t), MOST_WORDS), y) for t, y in zip(frame["text"], frame["toxic"], strict=True))
+            seen.update((round(model.weight(t) * STEPS), y) for t, y in zip(frame["text"], frame["toxic"], strict=True))
         if seen:
             yield pd.DataFrame([(x, y, n) for (x, y), n in seen.items()], columns=["x", "y", "n"])
 

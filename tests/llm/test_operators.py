@@ -734,3 +734,25 @@ def test_viterbi_is_the_best_of_all_paths(stretch):
     least = min(total for total, _ in ways)
     got = min((total for total, out in ways if out == found.viterbi(stretch)), default=None)
     assert got == pytest.approx(least, abs=1e-4)
+
+
+def test_toxic_documents_of_every_language_are_found(spark):
+    """Held out: nine of ten toxic documents in each language, and hardly a clean one."""
+    large = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{large}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    marked = docs.join(labels.select("doc_id", "toxic"), "doc_id").select("doc_id", "text", "lang", "toxic")
+    found = toxicity.score(marked, model).filter("held_out").join(marked.select("doc_id", "lang", "toxic"), "doc_id").toPandas()
+    toxic = found[found["toxic"] == 1].groupby("lang")["predicted"].agg(["mean", "size"])
+    assert (toxic["mean"] >= 0.9).all() and toxic["size"].sum() > 100, toxic
+    assert found[found["toxic"] == 0]["predicted"].mean() < 0.01
+
+
+def test_score_is_the_sum_of_weights(spark, docs):
+    """By hand: of each different restored word the best of its features' weights, through the logistic function."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    model.weights = model.weights | {"stupid": 2.0, "stup*": 1.0, "idio*": 1.5, "idiot": 0.5}
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(spark.createDataFrame([(1, "stupid, a STUPID and an idiot"), (2, None), (3, "nothing")], "doc_id long, text string"), model).collect()}
+    of = lambda w: 1 / (1 + np.exp(-model.bias - model.slope * w))
+    rest = sum(max(model.weights.get(f, 0.0) for f in [w, w[:4] + "*", w[:5] + "*", w[:6] + "*"]) for w in ("a", "and", "an", "nothing"))
+    assert rest == 0 and got == pytest.approx({1: of(3.5), 2: of(0), 3: of(0)})

@@ -46,6 +46,31 @@ def partition_violations(everything: DataFrame, selected: DataFrame, excluded: D
     return both.unionByName(none).unionByName(alien)
 
 
+def id_bitmaps(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """(bucket, name): the different ids of rows as bitmaps, one for each bucket of some thousand ids; null ids are none."""
+    bit = F.bitmap_construct_agg(F.bitmap_bit_position(F.col(key))).alias(name)
+    return rows.filter(F.col(key).isNotNull()).groupBy(F.bitmap_bucket_number(F.col(key)).alias("bucket")).agg(bit)
+
+
+def partition_counts(everything: DataFrame, selected: DataFrame, excluded: DataFrame, key: str) -> DataFrame:
+    """Per bucket of ids: how many stand in both selected and excluded, in neither, and in one of them but not in everything.
+
+    Ids are whole numbers. Each table is one pass and one partial aggregation: what moves are bitmaps, not ids, and of each bucket the sizes of
+    bitmaps and of their unions say all."""
+    union = F.bitmap_or_agg("bits")
+    every, s, x = (id_bitmaps(t, key, "bits").withColumn("of", F.lit(n)) for t, n in ((everything, "e"), (selected, "s"), (excluded, "x")))
+    size = lambda *of: F.coalesce(F.bitmap_count(F.bitmap_or_agg(F.when(F.col("of").isin(*of), F.col("bits")))), F.lit(0))
+    sums = every.unionByName(s).unionByName(x).groupBy("bucket").agg(size("e").alias("e"), size("s").alias("s"), size("x").alias("x"), size("s", "x").alias("sx"), F.bitmap_count(union).alias("all"))
+    return sums.select("bucket", (F.col("s") + F.col("x") - F.col("sx")).alias("in_both"), (F.col("all") - F.col("sx")).alias("in_none"), (F.col("all") - F.col("e")).alias("unknown"))
+
+
+def partition_violations_by_bitmaps(everything: DataFrame, selected: DataFrame, excluded: DataFrame, key: str) -> DataFrame:
+    """The rows of partition_violations, for ids that are whole numbers: only buckets in which something is wrong are looked into."""
+    wrong = kept(partition_counts(everything, selected, excluded, key).filter("in_both + in_none + unknown > 0"))
+    of = lambda rows: rows.select(key).join(wrong.select("bucket"), F.bitmap_bucket_number(F.col(key)) == F.col("bucket"), "left_semi")
+    return partition_violations(of(everything), of(selected), of(excluded), key)
+
+
 def roster_violations(roster: DataFrame, manifest: DataFrame, order: str = "rank", identity: Sequence[str] = ("title", "author")) -> DataFrame:
     """Places, counted in order, at which roster and manifest name different works."""
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -200,10 +201,17 @@ def within_quota(chars: Column, used: Column, limit: Column) -> Column:
 def first_of(rows: DataFrame, group: Sequence[str], column: str, n: int) -> DataFrame:
     """Per group its rows counted, and the first ``n`` values of a column in order, as evidence of what a report is about.
 
-    No group is collected whole: a row's place is found before, and n are kept."""
+    Rows are counted by a partial aggregation; of the others only those that are among the first n where they lie move on, so a
+    group of any size is never one task's."""
     place = F.row_number().over(Window.partitionBy(*group).orderBy(column))
-    kept = rows.select(*group, column).withColumn("_place", place)
-    return kept.groupBy(*group).agg(F.count("*").alias("n"), F.sort_array(F.collect_list(F.when(F.col("_place") <= n, F.col(column)))).alias("first"))
+    # a limit on row numbers is applied before the shuffle, too
+    first = rows.select(*group, column).filter(F.col(column).isNotNull()).withColumn("_place", place).filter(F.col("_place") <= n)
+    listed = first.groupBy(*group).agg(F.sort_array(F.collect_list(column)).alias("first"))
+    counts = rows.groupBy(*group).agg(F.count("*").alias("n"))
+    same = reduce(lambda a, b: a & b, [F.col(f"c.{g}").eqNullSafe(F.col(f"f.{g}")) for g in group])
+    found = counts.alias("c").join(listed.alias("f"), same, "left")
+    none = F.array().cast(listed.schema["first"].dataType)
+    return found.select(*[F.col(f"c.{g}").alias(g) for g in group], F.col("c.n").alias("n"), F.coalesce(F.col("f.first"), none).alias("first"))
 
 
 def numbered_files(rows: DataFrame, order: Column, group: str = "rank") -> DataFrame:

@@ -167,22 +167,20 @@ def title_number(title: Column) -> Column:
 def in_title_order(titles: DataFrame, title: str = "title", group: str | None = None, ties: tuple[str, ...] = ()) -> DataFrame:
     """titles with ``place``: numbered ones by number and leaf, then the others by leaf; ``ties`` decide between equal titles.
 
-    Without a group the table is range-sorted and numbered by the counts of its parts, not in one task."""
-    leaf = leaf_of(F.col(title))
-    order = [title_number(F.col(title)).asc_nulls_last(), leaf.asc(), F.col(title).asc(), *[F.col(c).asc() for c in ties]]
-    if group:
-        return titles.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    names = [f"_order{i}" for i in range(len(order))]
-    keys = [title_number(F.col(title)), leaf, F.col(title), *[F.col(c) for c in ties]]
-    by = [F.col(names[0]).asc_nulls_last(), *[F.col(n).asc() for n in names[1:]]]
+    The table is range-sorted, by group first if there is one, and numbered by the counts of its parts, so that no group is one task's."""
+    keys = {"_number": title_number(F.col(title)), "_leaf": leaf_of(F.col(title)), "_title": F.col(title)} | {f"_tie{i}": F.col(c) for i, c in enumerate(ties)}
+    by = [*([F.col(group).asc()] if group else []), F.col("_number").asc_nulls_last(), *[F.col(n).asc() for n in keys if n != "_number"]]
     width = int(titles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = titles.withColumns(dict(zip(names, keys, strict=True)))
     # what is sorted is kept, as the counts of its parts must be those of the rows that are numbered
-    placed = kept(keyed.repartitionByRange(width, *by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()).drop(*names))
+    placed = kept(titles.withColumns(keys).repartitionByRange(width, *by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()).drop(*keys))
     counts = placed.groupBy(F.shiftright("_at", 33).alias("_part")).agg(F.count("*").alias("_n"))
     starts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     numbered = placed.withColumn("_part", F.shiftright("_at", 33)).join(F.broadcast(starts.drop("_n")), "_part")
-    return numbered.withColumn("place", F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_at", "_part", "_before")
+    numbered = numbered.withColumn("place", F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_at", "_part", "_before")
+    if group is None:
+        return numbered
+    first = numbered.groupBy(F.col(group).alias("_group")).agg(F.min("place").alias("_first"))
+    return numbered.join(first, F.col(group).eqNullSafe(F.col("_group"))).withColumn("place", F.col("place") - F.col("_first") + 1).drop("_group", "_first")
 
 
 def crawled(titles: DataFrame, links: DataFrame, roots: DataFrame, most_depth: int = 4, most_pages: int = 240) -> DataFrame:
@@ -228,6 +226,7 @@ class _Chapters(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[str] = []
+        self.many: Counter[str] = Counter()
         self.chapter_at: int | None = None
         self.chapters: list[dict] = []
         self.node: dict | None = None
@@ -250,12 +249,14 @@ class _Chapters(HTMLParser):
                 self.node["markup"].append(f"<{tag}{kept_}>")
         if tag not in VOID_TAGS:
             self.open.append(tag)
+            self.many[tag] += 1
 
     def handle_endtag(self, tag: str) -> None:
-        if tag not in self.open:
+        if not self.many[tag]:
             return
         while self.open:
             last = self.open.pop()
+            self.many[last] -= 1
             if self.node is not None:
                 self.node["markup"].append(f"</{last}>")
                 if len(self.open) == self.node["depth"]:

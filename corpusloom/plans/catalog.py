@@ -178,7 +178,7 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def roster_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
     selected, excluded = orders.filter("o_orderpriority like '1%'"), orders.filter("o_orderpriority like '5%'")
-    return gates.partition_violations(_table(spark, sf_dir, "customer"), selected, excluded, "c_custkey")
+    return gates.partition_violations_by_bitmaps(_table(spark, sf_dir, "customer"), selected, excluded, "c_custkey")
 
 
 def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:

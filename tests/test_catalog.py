@@ -5,10 +5,10 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from corpusloom.plans import catalog, oracle, workflow
+from corpusloom.plans import catalog, oracle, repair, workflow
 
-QUERIES = catalog.QUERIES | workflow.QUERIES
-ORACLES = oracle.ORACLES | workflow.ORACLES
+QUERIES = catalog.QUERIES | workflow.QUERIES | repair.QUERIES
+ORACLES = oracle.ORACLES | workflow.ORACLES | repair.ORACLES
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 

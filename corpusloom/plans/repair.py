@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from corpusloom.functions import books as B
 from corpusloom.functions import text as T
 from corpusloom.operators import gates, ledger, translate
+from corpusloom.operators.lineage import kept
 from corpusloom.plans import oracle as O
 from corpusloom.plans.catalog import _table, pairs
-from corpusloom.sources import readers
+from corpusloom.sources import books, readers
 
 # ---------------------------------------------------------------- whether a repair is taken
 
@@ -132,7 +133,35 @@ RETRIED_LEDGER = """WITH r AS (SELECT page_id, coalesce(url || '#', '') || page_
 SELECT url, CASE WHEN page_id % 4 > 1 OR page_id % 3 > 0 THEN 'RECOVERED' ELSE 'FAILED' END AS status, CASE WHEN page_id % 4 > 1 THEN sha WHEN page_id % 3 > 0 THEN sha256(sha || '2') END AS sha256 FROM r"""
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (repair_verdicts, book_cutting, marked_books, landed_files, evidence_claims, retried_ledger)}
+# ---------------------------------------------------------------- whole books
+
+
+def book_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as books of three turns a chapter, written as archives, most of them damaged in some way, opened again and judged."""
+    units = pairs(spark, sf_dir).withColumns({"chapter": F.floor(F.col("ordinal") / 3).cast("int") + 1, "ordinal": F.col("ordinal").cast("int")})
+    k = F.col("rank") % 7
+    sums = units.groupBy("rank").agg(F.countDistinct("chapter").alias("n"))
+    about = sums.select(
+        "rank", F.concat(F.lit("Book <"), F.col("rank").cast("string"), F.lit(">")).alias("title"), F.lit("N. N.").alias("author"), F.lit("en").alias("language"), F.lit("none").alias("rights"), F.lit("a & b").alias("citation"),
+        F.lit(None).cast("string").alias("author_note"), T.sha(F.col("rank").cast("string")).alias("source_sha256"), (F.col("n") + F.when(k == 4, 1).otherwise(0)).cast("int").alias("expected_chapters"),
+    )
+    rows = books.members(books.chapter_pages(units).unionByName(books.apparatus_pages(about)), about)
+    broken = F.concat("content", F.lit("<p>").cast("binary"))
+    rows = rows.withColumn("stored", F.col("stored") & (k != 1)).withColumn("content", F.when((k == 2) & F.endswith("path", F.lit("chapter-001.xhtml")), broken).otherwise(F.col("content")))
+    rows = rows.filter((k != 3) | ~F.endswith("path", F.lit("colophon.xhtml")))
+    # what is opened twice is written once
+    opened = kept(books.opened(books.archived(rows)))
+    found = books.book_qa(units, about, books.book_violations(opened))
+    return found.select("rank", "chapters", "units", "length_ratio", "risks", F.array_join("failures", ",").alias("failures"), "status")
+
+
+BOOK_ARCHIVES = f"""WITH {O.PAIRS}, g AS (SELECT rank, count(DISTINCT ordinal // 3) AS chapters, count(*) AS units, count(*) FILTER ({O.empty('translation')}) AS empty, count(*) FILTER (kind <> 'heading' AND {_risk('source', 'translation')}) AS risks,
+sum(length(coalesce(translation, '')))::DOUBLE / greatest(1, sum(length(coalesce(source, '')))) AS ratio FROM bound GROUP BY rank),
+f AS (SELECT *, list_filter([CASE WHEN rank % 7 = 4 THEN 'chapter_count' END, CASE WHEN empty > 0 THEN 'empty_translations' END, CASE WHEN NOT ratio BETWEEN 0.55::DOUBLE AND 1.65::DOUBLE THEN 'translation_length_ratio' END, CASE rank % 7 WHEN 1 THEN 'epub_mimetype_rule' WHEN 2 THEN 'xml:OEBPS/text/chapter-001.xhtml' WHEN 3 THEN 'missing:OEBPS/text/colophon.xhtml' END], lambda x: x IS NOT NULL) AS failures FROM g)
+SELECT rank, chapters, units, round(ratio, 6) AS length_ratio, risks, array_to_string(list_sort(failures), ',') AS failures, CASE WHEN len(failures) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM f"""
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (repair_verdicts, book_cutting, marked_books, landed_files, evidence_claims, retried_ledger, book_archives)}
 ORACLES: dict[str, str] = {
     "repair_verdicts": REPAIR_VERDICTS,
     "book_cutting": BOOK_CUTTING,
@@ -140,4 +169,5 @@ ORACLES: dict[str, str] = {
     "landed_files": LANDED_FILES,
     "evidence_claims": EVIDENCE_CLAIMS,
     "retried_ledger": RETRIED_LEDGER,
+    "book_archives": BOOK_ARCHIVES,
 }

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import detectors as D
 from corpusloom.functions import text as T
 from corpusloom.functions.books import copied_heading
-from corpusloom.operators import admission, gates, ledger, pages, selection
+from corpusloom.operators import admission, division, gates, ledger, pages, selection
 from corpusloom.operators import page_sets as page_sets_
 from corpusloom.operators.lineage import shared_folder
 from corpusloom.plans import oracle as O
@@ -471,6 +471,24 @@ parts AS (SELECT root, strategy, expected, path, w.title AS page, i AS section,
 SELECT root, strategy, expected::BIGINT AS expected, row_number() OVER (PARTITION BY root ORDER BY path, page, section) AS place, page, section, title FROM parts"""
 
 
+def page_division(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages cut at their short paragraphs, where these are as many as the page's number asks for: a title and the markup of each part."""
+    rows = _table(spark, sf_dir, "pages").select("page_id", division.divisions(F.col("html"), F.col("page_id") % 3 + 2, (SHORT, "p")).alias("parts"))
+    found = rows.select("page_id", F.posexplode("parts").alias("part", "d"))
+    return found.select("page_id", "part", F.col("d.title").alias("title"), F.length("d.html").alias("n_chars"), T.sha(F.col("d.html")).alias("html_sha256"))
+
+
+#: A paragraph of at most twelve words.
+SHORT = r"\S+(?: \S+){0,11}"
+_CUT = "list_transform(string_split(html, '<p>')[2:], lambda x: string_split_regex(x, '</p>|</article>')[1])"
+_SAID = "replace(replace(array_to_string(list_filter(list_transform(string_split_regex(x, '<[^>]*>'), lambda t: trim(t, ' ' || chr(10) || chr(9) || chr(13))), lambda t: t <> ''), ' '), '&quot;', chr(34)), '&amp;', '&')"
+PAGE_DIVISION = f"""WITH b AS (SELECT page_id, unnest({_CUT}) AS x, unnest(generate_series(1, len({_CUT}))) AS i FROM pages),
+t AS (SELECT page_id, i, regexp_replace({_SAID}, '\\s+', ' ', 'g') AS said, '<p>' || replace(x, '&quot;', chr(34)) || CASE WHEN contains(x, '<b>') THEN '</b>' ELSE '' END || '</p>' AS html FROM b),
+m AS (SELECT *, regexp_full_match(said, '{SHORT}') AS mark FROM t), n AS (SELECT *, sum(mark::INT) OVER (PARTITION BY page_id ORDER BY i) AS part, sum(mark::INT) OVER (PARTITION BY page_id) AS marks FROM m),
+g AS (SELECT page_id, greatest(part, 1)::INT - 1 AS part, string_agg(said, '' ORDER BY i) FILTER (WHERE mark) AS title, coalesce(string_agg(html, '' ORDER BY i) FILTER (WHERE NOT mark), '') AS html FROM n WHERE marks = page_id % 3 + 2 GROUP BY 1, 2)
+SELECT page_id, part, title, length(html)::INT AS n_chars, sha256(html) AS html_sha256 FROM g"""
+
+
 # ---------------------------------------------------------------- twins of queries in the catalog
 
 BIN_PACK = """WITH RECURSIVE f AS (SELECT source, doc_id, n_chars::BIGINT AS s, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents),
@@ -544,12 +562,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         repair_flags, candidate_reasons, composed_forms, text_forms, alignment_roundtrip, bundle_roundtrip, packed_json, correction_merge, shard_reports, prepared_jobs,
-        job_matrix, qa_report, seeded_headings, translation_progress, first_missing, numbered_files, expected_groups, placed_images, rank_scope, page_tree, page_sets, quota_admission, gated_release, unit_stream, archive_parts,
+        job_matrix, qa_report, seeded_headings, translation_progress, first_missing, numbered_files, expected_groups, placed_images, rank_scope, page_tree, page_sets, page_division, quota_admission, gated_release, unit_stream, archive_parts,
     )
 }
 ORACLES: dict[str, str] = {
     "repair_flags": REPAIR_FLAGS,
     "page_sets": PAGE_SETS,
+    "page_division": PAGE_DIVISION,
     "quota_admission": QUOTA_ADMISSION,
     "unit_stream": UNIT_STREAM,
     "gated_release": GATED_RELEASE,

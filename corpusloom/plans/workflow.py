@@ -393,7 +393,7 @@ def quota_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.length("source") + F.ascii(F.substring("source", -1, 1))
     quotas = sums.filter(kind % 5 > 0).select("source", "used", F.when(kind % 3 == 0, F.floor(F.col("all") / 2)).alias("limit"))
     sent = admission.admitted(docs, quotas, "source", ["doc_id"])
-    return sent.select("source", "doc_id", "state", "request.cell", "request.row", "request.alone")
+    return sent.select("source", "doc_id", "state", "request.cell", "request.row", "request.alone").na.fill(-1, ["cell", "row", "alone"])
 
 
 QUOTA_ADMISSION = """WITH d AS (SELECT source, doc_id, length(coalesce(text, ''))::BIGINT AS chars, strlen(coalesce(text, ''))::BIGINT AS bytes FROM documents),
@@ -401,7 +401,7 @@ q AS (SELECT source, n AS used, CASE WHEN kind % 3 = 0 THEN all_ // 2 END AS lim
 c AS (SELECT *, bytes <= 131072 AS fits FROM d),
 s AS (SELECT *, coalesce(sum(CASE WHEN fits THEN chars ELSE 0 END) OVER w, 0) AS chars_, coalesce(sum(CASE WHEN fits THEN bytes ELSE 0 END) OVER w, 0) AS bytes_, coalesce(sum(fits::INT) OVER w, 0) AS n_ FROM c WINDOW w AS (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (SELECT s.*, CASE WHEN NOT fits THEN 'TOO_LARGE' WHEN used IS NULL THEN 'NO_ACCOUNT' WHEN lim IS NULL OR used + chars_ + chars <= lim THEN 'SENT' ELSE 'BLOCKED_QUOTA' END AS state FROM s LEFT JOIN q ON q.source IS NOT DISTINCT FROM s.source)
-SELECT source, doc_id, state, CASE WHEN state = 'SENT' THEN (bytes_ // 65536)::BIGINT END AS cell, CASE WHEN state = 'SENT' THEN (n_ // 20)::BIGINT END AS row, CASE WHEN state = 'SENT' THEN CASE WHEN bytes > 65536 THEN (n_ + 1)::BIGINT ELSE 0 END END AS alone FROM t"""
+SELECT source, doc_id, state, CASE WHEN state = 'SENT' THEN (bytes_ // 65536)::BIGINT ELSE -1 END AS cell, CASE WHEN state = 'SENT' THEN (n_ // 20)::BIGINT ELSE -1 END AS row, CASE WHEN state <> 'SENT' THEN -1 WHEN bytes > 65536 THEN (n_ + 1)::BIGINT ELSE 0 END AS alone FROM t"""
 
 
 def gated_release(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -441,8 +441,8 @@ def _landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Dat
 
 
 def page_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which landed pages, or sections of them, are the parts of each host."""
-    return page_sets_.page_sets(*_landed(spark, sf_dir))
+    """Which landed pages, or sections of them, are the parts of each host; section 0 is a whole page."""
+    return page_sets_.page_sets(*_landed(spark, sf_dir)).na.fill(0, ["section"])
 
 
 PAGE_SETS = f"""WITH RECURSIVE t AS (SELECT regexp_replace(url, '^https?://', '') AS title, page_id, html FROM pages), cut AS (SELECT page_id, string_split(title, '/') AS p FROM t),
@@ -468,7 +468,7 @@ leaves AS (SELECT root, title, path FROM visited v WHERE visit <= 240 AND (depth
 whole AS (SELECT l.*, strategy, expected FROM leaves l JOIN chosen USING (root) UNION ALL SELECT root, root, NULL, strategy, expected FROM chosen WHERE strategy = 'page'),
 parts AS (SELECT root, strategy, expected, path, w.title AS page, i AS section, w.title || '/' || line AS title FROM (SELECT w.* FROM whole w JOIN twos ON twos.title = w.title WHERE twos.n = expected AND strategy <> 'page' UNION ALL SELECT root, root, NULL, strategy, expected FROM chosen WHERE strategy = 'sections') w JOIN sections s ON s.title = w.title
   UNION ALL SELECT root, strategy, expected, path, w.title, NULL, w.title FROM whole w LEFT JOIN twos ON twos.title = w.title WHERE strategy = 'page' OR twos.n IS NULL OR twos.n <> expected)
-SELECT root, strategy, expected::BIGINT AS expected, row_number() OVER (PARTITION BY root ORDER BY path, page, section) AS place, page, section, title FROM parts"""
+SELECT root, strategy, expected::BIGINT AS expected, row_number() OVER (PARTITION BY root ORDER BY path, page, section) AS place, page, coalesce(section, 0) AS section, title FROM parts"""
 
 
 def page_division(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -478,6 +478,12 @@ def page_division(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "part", F.col("d.title").alias("title"), F.length("d.html").alias("n_chars"), T.sha(F.col("d.html")).alias("html_sha256"))
 
 
+def page_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blocks of each page's prose: how many, how long, and what they say."""
+    rows = _table(spark, sf_dir, "pages").select("page_id", pages.clean_blocks(F.col("html")).alias("blocks"))
+    return pages.page_counts(rows).select("page_id", F.col("n_blocks").cast("long").alias("n_blocks"), "n_chars", T.sha(F.array_join("blocks", "\u0001")).alias("blocks_sha256"))
+
+
 #: A paragraph of at most twelve words.
 SHORT = r"\S+(?: \S+){0,11}"
 _CUT = "list_transform(string_split(html, '<p>')[2:], lambda x: string_split_regex(x, '</p>|</article>')[1])"
@@ -489,6 +495,14 @@ g AS (SELECT page_id, greatest(part, 1)::INT - 1 AS part, string_agg(said, '' OR
 SELECT page_id, part, title, length(html)::INT AS n_chars, sha256(html) AS html_sha256 FROM g"""
 
 
+#: Pages of the tables have paragraphs only.
+PAGE_BLOCKS = f"""WITH b AS (SELECT page_id, unnest({_CUT}) AS x, unnest(generate_series(1, len({_CUT}))) AS i FROM pages),
+t AS (SELECT page_id, i, trim(regexp_replace(regexp_replace({_SAID}, '[ \\t\\x{{00a0}}]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g')) AS said FROM b),
+d AS (SELECT page_id, said, min(i) AS i FROM t WHERE length(said) >= 2 AND NOT regexp_full_match(said, '(?i)[0-9ivxlcdm. –—-]+') GROUP BY page_id, said),
+g AS (SELECT page_id, count(*) AS n, sum(length(said))::BIGINT AS c, string_agg(said, chr(1) ORDER BY i) AS joined FROM d GROUP BY page_id)
+SELECT page_id, coalesce(n, 0) AS n_blocks, coalesce(c, 0) AS n_chars, sha256(coalesce(joined, '')) AS blocks_sha256 FROM pages LEFT JOIN g USING (page_id)"""
+
+
 # ---------------------------------------------------------------- twins of queries in the catalog
 
 BIN_PACK = """WITH RECURSIVE f AS (SELECT source, doc_id, n_chars::BIGINT AS s, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents),
@@ -562,13 +576,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         repair_flags, candidate_reasons, composed_forms, text_forms, alignment_roundtrip, bundle_roundtrip, packed_json, correction_merge, shard_reports, prepared_jobs,
-        job_matrix, qa_report, seeded_headings, translation_progress, first_missing, numbered_files, expected_groups, placed_images, rank_scope, page_tree, page_sets, page_division, quota_admission, gated_release, unit_stream, archive_parts,
+        job_matrix, qa_report, seeded_headings, translation_progress, first_missing, numbered_files, expected_groups, placed_images, rank_scope, page_tree, page_sets, page_division, page_blocks, quota_admission, gated_release, unit_stream, archive_parts,
     )
 }
 ORACLES: dict[str, str] = {
     "repair_flags": REPAIR_FLAGS,
     "page_sets": PAGE_SETS,
     "page_division": PAGE_DIVISION,
+    "page_blocks": PAGE_BLOCKS,
     "quota_admission": QUOTA_ADMISSION,
     "unit_stream": UNIT_STREAM,
     "gated_release": GATED_RELEASE,

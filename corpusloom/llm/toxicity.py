@@ -43,8 +43,8 @@ from corpusloom.llm.common import lean, written
 
 #: Clean and toxic labelled rows that features are learned from.
 LABELLED = (24_000, 8_000)
-#: Features: least documents, and least log-likelihood ratio.
-LEAST_DOCS, LEAST_RATIO = 3, 16.0
+#: Features: least documents, least log-likelihood ratio, and least log odds, as very many texts make small differences sure.
+LEAST_DOCS, LEAST_RATIO, LEAST_ODDS = 3, 16.0, 3.0
 #: Documents of each class that a feature is thought to stand in before any is seen, which draws the weights of rare ones to nothing.
 SHRINK = 0.5
 #: Steps of a text's weight in which the labelled texts are counted.
@@ -334,7 +334,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: tuple[int, int] = LABELLED
         return model
     odds = F.ln((F.col("a") + SHRINK) / (all_a + 2 * SHRINK)) - F.ln((F.col("b") + SHRINK) / (all_b + 2 * SHRINK))
     # as bounded as the sample that they stand in
-    best = by_class.filter(F.col("a") >= LEAST_DOCS).filter(_ratio(F.col("a"), F.col("b"), all_a, all_b) >= LEAST_RATIO).select("feature", odds.alias("odds")).collect()
+    best = by_class.filter(F.col("a") >= LEAST_DOCS).filter(_ratio(F.col("a"), F.col("b"), all_a, all_b) >= LEAST_RATIO).filter(odds >= LEAST_ODDS).select("feature", odds.alias("odds")).collect()
     model = Model(cost, {r["feature"]: r["odds"] for r in best}, 0.0, 0.0)
     model.rows = sampled
 

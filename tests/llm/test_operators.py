@@ -597,7 +597,7 @@ def test_pieces_of_tables(spark, library, odd):
 
 
 def test_each_operator_has_its_query():
-    assert Counter(int(n[2:].split("_")[0]) for n in QUERIES) == Counter(range(1, 11))
+    assert Counter(int(n[2:].split("_")[0]) for n in QUERIES) == Counter(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op2_hilbert_shards", "op4_nearest_centroid_language", "op5_suffix_array_dedup", "op6_toxicity", "op8_ngram_jaccard_join", "op9_order_minhash", "op10_sentencepiece"])

@@ -30,10 +30,10 @@ def configs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def alignments(spark: SparkSession, path: str) -> DataFrame:
-    """Ledgers below path, by the rank in their file names (``043_alignment.jsonl``), with ``path``."""
+    """Ledgers below path, by the rank in their file names (``043_alignment.jsonl``; ranks from 1000 on have more digits), with ``path``."""
     rows = spark.read.schema(ALIGNMENT).option("recursiveFileLookup", "true").option("pathGlobFilter", "*_alignment.jsonl").json(folders_of(path))
     name = F.col("_metadata.file_path")
-    return rows.select(F.regexp_extract(name, r"(?:^|/)(\d{3})_[^/]*alignment\.jsonl$", 1).try_cast("int").alias("rank"), name.alias("path"), "*").filter(F.col("rank").isNotNull())
+    return rows.select(F.regexp_extract(name, r"(?:^|/)(\d{3,})_[^/]*alignment\.jsonl$", 1).try_cast("int").alias("rank"), name.alias("path"), "*").filter(F.col("rank").isNotNull())
 
 
 def source_bundle(spark: SparkSession, path: str) -> DataFrame:

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import known, normalized, sentences, squeezed, stripped, tokens
+from corpusloom.functions.text import known, normalized, once, sentences, squeezed, stripped, tokens
 
 # Function words by language.
 FUNCTION_WORDS = {
@@ -95,9 +95,12 @@ def omission(source: Column, target: Column, forms: Forms | None = None) -> Colu
 
 def adjacent_repeat(target: Column, forms: Forms | None = None) -> Column:
     """A sentence of more than 35 characters that is the same as the one before it."""
-    norm = forms.target_norms if forms else F.transform(sentences(known(target)), normalized)
-    n = F.greatest(F.size(norm) - 1, F.lit(0))
-    return F.exists(F.zip_with(F.slice(norm, 1, n), F.slice(norm, 2, n), lambda a, b: (a == b) & (F.length(b) > 35)), lambda x: x)
+
+    def repeats(norm: Column) -> Column:
+        n = F.greatest(F.size(norm) - 1, F.lit(0))
+        return F.exists(F.zip_with(F.slice(norm, 1, n), F.slice(norm, 2, n), lambda a, b: (a == b) & (F.length(b) > 35)), lambda x: x)
+
+    return repeats(forms.target_norms) if forms else once(F.transform(sentences(known(target)), normalized), repeats)
 
 
 def halves_repeat(target: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from html import unescape
 
 import pandas as pd
@@ -26,6 +27,8 @@ TOKEN = r"[0-9A-Za-zÀ-ÖØ-öø-ÿĀ-žΑ-ωΆ-ώА-яЁё]+(?:['’][0-9A-Za-z
 PARAGRAPH_CLASSES = {"heading": "subhead", "continuation": "continued"}
 
 MASK = rf"(^|[^\p{{L}}])((?i:{'|'.join(ABBREVIATIONS)})|\p{{Lu}})\."
+#: MASK for Java's expressions: what no letters and a stop follow soon is passed at once, which changes no match.
+_MASK = MASK.replace("((?i:", rf"(?=\p{{L}}{{1,{max(map(len, ABBREVIATIONS))}}}\.)((?i:", 1)
 BOUNDARY = rf"([.!?…]+[{CLOSERS}]*){BLANK}+([{OPENERS}])"
 
 
@@ -34,6 +37,11 @@ def known(x: Column) -> Column:
     return F.coalesce(x, F.lit(""))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What ``use`` makes of value, which is worked out once however often it is asked for; expressions with functions of arrays aren't shared else."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def fold(x: Column) -> Column:
     """Lower case in which sharp s is ss and a final sigma a sigma."""
     return F.replace(F.replace(F.lower(x), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
@@ -55,7 +63,7 @@ def squeezed(x: Column) -> Column:
 
 def sentences(x: Column) -> Column:
     """Sentences of a text. The stops of abbreviations are masked (twice, as matches share their borders) and put back."""
-    masked = F.regexp_replace(F.regexp_replace(stripped(x), MASK, "$1$2\u0002"), MASK, "$1$2\u0002")
+    masked = F.regexp_replace(F.regexp_replace(stripped(x), _MASK, "$1$2\u0002"), _MASK, "$1$2\u0002")
     parts = F.split(F.regexp_replace(masked, BOUNDARY, "$1\u0001$2"), "\u0001")
     return F.filter(F.transform(parts, lambda s: stripped(F.replace(s, F.lit("\u0002"), F.lit(".")))), lambda s: s != "")
 

@@ -30,3 +30,17 @@ def conversations(*turns):
 def test_ranks_of_more_than_three_digits_are_read_again(spark, tmp_path):
     got, want = compared(spark, tmp_path, "alignment_roundtrip", conversations=conversations((7, ["a", "b"]), (1000, ["c", "d", "e"]), (123456, ["f", "g"])))
     assert got == want and len(got) == 4
+
+
+def test_sentences_are_cut_once_for_adjacent_repeats(spark):
+    text = spark.createDataFrame([("a",)], "text string").select(catalog.D.adjacent_repeat(catalog._text()).alias("r"))
+    plan = text._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("[.!?…]+") == 1
+
+
+def test_masked_stops_are_those_of_the_twin(spark, tmp_path):
+    rows = ["Mr. Signora. X. St.Mr. A b. Dr.A. Nosig. sig.sig. Ä. É.", "He met Mrs. Ab. And Prof. C. D. left! 1. Then etc. Vs. no more. (Mr.) Ok", None, "", " . Mr."]
+    docs = pd.DataFrame({"doc_id": range(5), "text": rows, "lang": list("abcde")})
+    for name in ("adjacent_repeat", "unit_extract"):
+        got, want = compared(spark, tmp_path, name, documents=docs)
+        assert got == want

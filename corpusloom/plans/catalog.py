@@ -330,11 +330,11 @@ def collapse_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = F.col("text")
-    return _table(spark, sf_dir, "documents").select(
+    x, found = F.col("text"), F.col("_sentences")
+    return _table(spark, sf_dir, "documents").withColumn("_sentences", T.sentences(x)).select(
         "doc_id",
-        F.size(P.split_long_block(x)).alias("blocks"),
-        F.size(P.atomic_segments(x)).alias("atoms"),
+        F.size(P.split_long_block(x, found=found)).alias("blocks"),
+        F.size(P.atomic_segments(x, found=found)).alias("atoms"),
         F.size(P.bounded_segments(x, 110)).alias("bounded"),
         F.size(P.source_segments(x)).alias("chunks"),
         F.size(P.source_segments_by_word(x)).alias("chunks_by_word"),

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import random
+import re
+
 import duckdb
 import pandas as pd
-import pytest
 
+from pyspark.sql import functions as F
+
+from corpusloom.functions import packing as P
 from corpusloom.plans import catalog, oracle, repair, workflow
 
 QUERIES = catalog.QUERIES | workflow.QUERIES | repair.QUERIES
@@ -44,3 +49,24 @@ def test_masked_stops_are_those_of_the_twin(spark, tmp_path):
     for name in ("adjacent_repeat", "unit_extract"):
         got, want = compared(spark, tmp_path, name, documents=docs)
         assert got == want
+
+
+def greedy(text, limit):
+    """Words and blanks packed to limit, written out."""
+    done, now = [], ""
+    for piece in re.findall(r"[ \t\n\x0b\f\r]+|[^ \t\n\x0b\f\r]+", text):
+        if now and len(now) + len(piece) > limit:
+            done.append(now)
+            now = piece
+        else:
+            now += piece
+    found = [p for p in (re.sub(r"^[ \t\n\x0b\f\r\xa0]+|[ \t\n\x0b\f\r\xa0]+$", "", d) for d in [*done, *([now] if now else [])]) if p]
+    return found or [text]
+
+
+def test_bounded_segments_are_greedy_and_take_one_expression(spark):
+    rng = random.Random(5)
+    texts = ["", " \n ", "x" * 300, "a" + " " * 150 + "b", "𝒜" * 109 + " b"] + ["".join(rng.choice(["ab", "é𝒜", "c" * rng.randint(1, 130), " ", "\n\t", "\xa0"]) for _ in range(rng.randint(1, 80))) for _ in range(200)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", P.bounded_segments(F.col("t"), 110).alias("p"))
+    assert {r["i"]: r["p"] for r in frame.collect()} == {i: greedy(t, 110) for i, t in enumerate(texts)}
+    assert "aggregate(" not in frame._jdf.queryExecution().executedPlan().toString()

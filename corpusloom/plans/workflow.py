@@ -371,8 +371,10 @@ def unit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     records = rows.select("rank", "unit_id", "ordinal", F.explode(F.array_compact(given)).alias("r")).select("rank", "unit_id", "r.*", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("ordinal")).alias("at"))
     place = _place(spark, "units")
-    records.repartition(4).write.json(f"{place}/in")
-    events = units_.unit_events(units_.record_files(spark, f"{place}/in", 2), 3600, "3650 days")
+    # two batches, each of a file for each core
+    n = spark.sparkContext.defaultParallelism
+    records.repartition(2 * n).write.json(f"{place}/in")
+    events = units_.unit_events(units_.record_files(spark, f"{place}/in", n), 3600, "3650 days")
     query = events.writeStream.format("parquet").option("path", f"{place}/out").option("checkpointLocation", f"{place}/check").trigger(availableNow=True).start()
     query.awaitTermination()
     rows = spark.read.schema(units_.OUT).parquet(f"{place}/out")

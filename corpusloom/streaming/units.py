@@ -17,8 +17,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -31,82 +30,81 @@ def sha(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
 
 
+#: All that is known of a unit, as one value: a record costs one reading and one writing. A unit has few translations, and few records come before its source does.
+_STATE = (
+    "source_sha256 string, due long, translation string, seq long, hashes array<string>, "
+    "early array<struct<kind: string, source_sha256: string, translation: string, seq: long, at: long>>"
+)
+_OUT_MS = OUT.replace("at timestamp", "at_ms long")
+_EVENT = Row(*[field.split(" ")[0] for field in _OUT_MS.split(", ")])
+
+
 class _Units(StatefulProcessor):
     def __init__(self, patience_ms: int):
         self.patience = patience_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.source = handle.getValueState("source", "source_sha256 string, due long")
-        self.best = handle.getValueState("best", "translation string, seq long")
-        # a unit has few translations, and few records come before its source does
-        self.hashes = handle.getListState("hashes", "sha256 string")
-        self.early = handle.getListState("early", "kind string, source_sha256 string, translation string, seq long, at long")
-
-    def _take(self, key: tuple, kind: str, source: str, translation: str, seq: int, at: int) -> Iterator[tuple]:
-        own = self.source.get()[0]
+        self.state = handle.getValueState("unit", _STATE)
+
+    def _known(self) -> dict:
+        names = ("source", "due", "translation", "seq", "hashes", "early")
+        held = self.state.get()
+        found = dict(zip(names, held if held is not None else [None] * len(names), strict=True))
+        return found | {"hashes": list(found["hashes"] or []), "early": [tuple(e) for e in found["early"] or []]}
+
+    @staticmethod
+    def _take(unit: dict, key: tuple, kind: str, source: str, translation: str, seq: int, at: int) -> Iterator[Row]:
+        own, held = unit["source"], unit["hashes"]
         if source != own:
-            yield (*key, "STALE", source, translation, seq, None, at)
+            yield _EVENT(*key, "STALE", source, translation, seq, None, at)
             return
-        held = [h[0] for h in self.hashes.get()]
         mark = sha(translation)
         if kind == "translation" and mark not in held:
-            self.hashes.appendValue((mark,))
             held.append(mark)
             if len(held) > 1:
-                yield (*key, "CONFLICT", own, translation, seq, len(held), at)
-        before = self.best.get() if self.best.exists() else None
-        if before is None or (seq, translation) > (before[1], before[0]):
-            self.best.update((translation, seq))
-            yield (*key, "UPDATED", own, translation, seq, len(held), at)
-
-    def _rows(self, key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-        for frame in frames:
-            order = frame.assign(_last=frame["kind"] != "unit").sort_values(["_last", "seq", "translation"], kind="stable")
-            for r in order.itertuples():
-                at = int(r.at.value // 1_000_000) if not pd.isna(r.at) else 0
-                seq = 0 if pd.isna(r.seq) else int(r.seq)
-                translation = r.translation if isinstance(r.translation, str) else ""
-                if r.kind == "unit":
-                    if self.source.exists():
-                        if self.source.get()[0] != r.source_sha256:
-                            yield (*key, "STALE", r.source_sha256, None, None, None, at)
-                        continue
-                    due = at + self.patience
-                    self.source.update((r.source_sha256, due))
-                    for e in list(self.early.get()) if self.early.exists() else []:
-                        yield from self._take(key, *e)
-                    self.early.clear()
-                    if not self.best.exists():
-                        self.handle.registerTimer(due)
-                elif self.source.exists():
-                    yield from self._take(key, r.kind, r.source_sha256, translation, seq, at)
-                else:
-                    self.early.appendValue((r.kind, r.source_sha256, translation, seq, at))
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
-        yield _frame(list(self._rows(key, rows)))
-
-    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
-        rows = []
-        if self.source.exists() and not self.best.exists():
-            source, due = self.source.get()
-            rows.append((*key, "TIMED_OUT", source, None, None, 0, due))
-        yield _frame(rows)
+                yield _EVENT(*key, "CONFLICT", own, translation, seq, len(held), at)
+        if unit["seq"] is None or (seq, translation) > (unit["seq"], unit["translation"]):
+            unit["translation"], unit["seq"] = translation, seq
+            yield _EVENT(*key, "UPDATED", own, translation, seq, len(held), at)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
+        unit = self._known()
+        order = sorted(rows, key=lambda r: (r["kind"] != "unit", r["seq"] is None, r["seq"] or 0, r["translation"] is None, r["translation"] or ""))
+        for r in order:
+            kind, source, at, seq, translation = r["kind"], r["source_sha256"], r["at_ms"] or 0, r["seq"] or 0, r["translation"] or ""
+            if kind == "unit":
+                if unit["due"] is not None:
+                    if unit["source"] != source:
+                        yield _EVENT(*key, "STALE", source, None, None, None, at)
+                    continue
+                unit["source"], unit["due"] = source, at + self.patience
+                for e in unit["early"]:
+                    yield from self._take(unit, key, *e)
+                unit["early"] = []
+                if unit["seq"] is None:
+                    self.handle.registerTimer(unit["due"])
+            elif unit["due"] is not None:
+                yield from self._take(unit, key, kind, source, translation, seq, at)
+            else:
+                unit["early"].append((kind, source, translation, seq, at))
+        self.state.update((unit["source"], unit["due"], unit["translation"], unit["seq"], unit["hashes"], unit["early"]))
+
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[Row]:
+        unit = self._known()
+        if unit["due"] is not None and unit["seq"] is None:
+            yield _EVENT(*key, "TIMED_OUT", unit["source"], None, None, 0, unit["due"])
 
     def close(self) -> None:
         pass
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=["rank", "unit_id", "event", "source_sha256", "translation", "seq", "n_translations", "at"])
-    return frame.astype({"rank": "int32", "seq": "Int64", "n_translations": "Int32"}).assign(at=pd.to_datetime(frame["at"], unit="ms"))
-
-
 def unit_events(records: DataFrame, patience: int, delay: str = "0 seconds") -> DataFrame:
     """The rows that the units of a stream of records give; patience in seconds, delay of the watermark."""
     records.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
-    return records.withWatermark("at", delay).groupBy("rank", "unit_id").transformWithStateInPandas(_Units(patience * 1000), OUT, "Append", "EventTime")
+    known = records.withWatermark("at", delay).withColumn("at_ms", F.unix_millis("at"))
+    events = known.groupBy("rank", "unit_id").transformWithState(_Units(patience * 1000), _OUT_MS, "Append", "EventTime")
+    return events.withColumn("at", F.timestamp_millis("at_ms")).drop("at_ms")
 
 
 def settled(events: DataFrame) -> DataFrame:

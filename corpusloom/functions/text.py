@@ -78,9 +78,16 @@ def _composed(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", unescape(t)))
 
 
+def _without_marks(text: str) -> str:
+    """text without combining signs; each different sign is looked up once."""
+    for mark in [c for c in set(text) if unicodedata.combining(c)]:
+        text = text.replace(mark, "")
+    return text
+
+
 @F.pandas_udf(StringType())
 def _bare(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t).casefold() if not unicodedata.combining(c)))
+    return texts.map(lambda t: None if t is None else _without_marks(unicodedata.normalize("NFKD", t).casefold()))
 
 
 def composed(x: Column) -> Column:
@@ -90,7 +97,10 @@ def composed(x: Column) -> Column:
     text = known(x)
     other = F.regexp_like(text, F.lit(r"[^\x00-\x7F]|&"))
     whole = F.coalesce(_composed(F.when(other, text)), text)
-    return F.trim(F.regexp_replace(F.translate(whole, "’‘“”", "''\"\""), r"(?U)\s+", " "))
+    quotes = (("’", "'"), ("‘", "'"), ("“", '"'), ("”", '"'))
+    for curly, straight in quotes:
+        whole = F.replace(whole, F.lit(curly), F.lit(straight))
+    return F.trim(F.regexp_replace(whole, r"(?U)\s+", " "))
 
 
 def bare(x: Column) -> Column:
@@ -104,6 +114,11 @@ def words(x: Column) -> Column:
     return tokens(composed(x))
 
 
+def n_words(x: Column) -> Column:
+    """How many words there are, without folding them."""
+    return F.regexp_count(composed(x), F.lit(TOKEN))
+
+
 def sha(x: Column) -> Column:
     return F.sha2(x, 256)
 

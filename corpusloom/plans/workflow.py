@@ -136,7 +136,7 @@ CANDIDATE_REASONS = f"WITH {O.PAIRS}, {repeats(TT, 'rt')}, {repeats(S, 'rs')}, k
 
 def composed_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = F.col("text")
-    return _table(spark, sf_dir, "documents").select("doc_id", T.sha(T.composed(x)).alias("composed"), T.sha(T.bare(x)).alias("bare"), F.size(T.words(x)).cast("long").alias("words"))
+    return _table(spark, sf_dir, "documents").select("doc_id", T.sha(T.composed(x)).alias("composed"), T.sha(T.bare(x)).alias("bare"), T.n_words(x).cast("long").alias("words"))
 
 
 COMPOSED = "trim(regexp_replace(translate(coalesce(text, ''), '’‘“”', '''''\"\"'), '[\\s\\x{00a0}]+', ' ', 'g'))"

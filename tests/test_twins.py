@@ -70,3 +70,13 @@ def test_bounded_segments_are_greedy_and_take_one_expression(spark):
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", P.bounded_segments(F.col("t"), 110).alias("p"))
     assert {r["i"]: r["p"] for r in frame.collect()} == {i: greedy(t, 110) for i, t in enumerate(texts)}
     assert "aggregate(" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_of_composed_forms_are_counted_without_being_folded(spark, tmp_path):
+    docs = pd.DataFrame({"doc_id": range(5), "text": ["“Don’t” Ångström Straße", "é ‘a’ b’c", "", "plain  WORDS\n1", "éạ̈ ok"]})
+    docs.to_parquet(f"{tmp_path}/documents.parquet")
+    frame = QUERIES["composed_forms"](spark, str(tmp_path))
+    made = spark.read.parquet(f"{tmp_path}/documents.parquet").select("doc_id", F.size(catalog.T.words(F.col("text"))).alias("words"))
+    assert {r["doc_id"]: r["words"] for r in frame.collect()} == {r["doc_id"]: r["words"] for r in made.collect()}
+    assert "lambda" not in frame._jdf.queryExecution().executedPlan().toString()
+    assert catalog.T._without_marks("éạ̈") == "ea"

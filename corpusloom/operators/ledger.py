@@ -89,8 +89,9 @@ def resumable(before: DataFrame, now: DataFrame, key: str = "id") -> DataFrame:
 
 
 def flag_counts(flagged: DataFrame, group: Sequence[str] = ("rank",)) -> DataFrame:
-    """How often each flag of the column flags stands in each group."""
-    return flagged.select(*group, F.explode("flags").alias("flag")).groupBy(*group, "flag").agg(F.count("*").alias("n"))
+    """How often each flag of the column flags stands in each group. With an inner explode Spark would filter by the flags below it, and work them out again for that."""
+    rows = flagged.select(*group, F.explode_outer("flags").alias("flag")).filter("flag is not null")
+    return rows.groupBy(*group, "flag").agg(F.count("*").alias("n"))
 
 
 def shard_plan(units: DataFrame, size: int, group: str = "rank") -> DataFrame:

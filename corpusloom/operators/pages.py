@@ -9,11 +9,13 @@ from html import escape
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from corpusloom.functions.packing import split_long_block
+from corpusloom.functions.rows import of_each
 from corpusloom.functions.text import normalized, roman_value, unit_id
 from corpusloom.operators.lineage import kept
 
@@ -86,10 +88,10 @@ def _clean(html: str | None) -> list[str]:
     return list(out)
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def clean_blocks(html: pd.Series) -> pd.Series:
+@F.arrow_udf(ArrayType(StringType()))
+def clean_blocks(html: pa.Array) -> pa.Array:
     """The blocks of a page's prose, each text once, without noise and bare numerals."""
-    return pd.Series([_clean(h) for h in html])
+    return of_each(_clean, pa.list_(pa.string()), html)
 
 
 def page_units(pages: DataFrame, group: str, order: str, least: int = 180, end_marker: str | None = None) -> DataFrame:
@@ -113,7 +115,11 @@ def page_units(pages: DataFrame, group: str, order: str, least: int = 180, end_m
             .withColumn("blocks", F.when(F.col("_at") > 0, F.slice("blocks", F.lit(1), F.col("_at").cast("int"))).otherwise(F.col("blocks")))
         )
     chars = F.aggregate("blocks", F.lit(0), lambda s, b: s + F.length(b))
-    chapters = found.filter(chars >= least).withColumn("chapter", F.row_number().over(Window.partitionBy(group).orderBy(order)))
+    # pages are numbered before the short ones go, as a filter below the window would work the blocks out a second time
+    so_far = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    long = F.coalesce(F.col("_chars") >= least, F.lit(False))
+    numbered = found.withColumn("_chars", chars).withColumn("blocks", F.when(long, F.col("blocks"))).withColumn("chapter", F.count_if(long).over(so_far).cast("int"))
+    chapters = numbered.filter(long)
     pieces = F.flatten(F.transform("blocks", lambda b: split_long_block(b)))
     return (
         chapters.select(group, "chapter", F.posexplode(F.concat(F.array("heading"), pieces)).alias("ordinal", "source"))

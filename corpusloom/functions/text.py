@@ -6,11 +6,13 @@ import unicodedata
 from collections.abc import Callable
 from html import unescape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from corpusloom.functions.rows import of_each
+
 # Abbreviations whose full stop ends no sentence. (Forms with an inner stop can't match and aren't listed.)
 ABBREVIATIONS = (
     "mr mrs ms dr rev prof capt col gen st ste jr sr no nos mme mlle mons herr fr hr dott sig sigg signor signora etc vs"
@@ -73,9 +75,9 @@ def tokens(x: Column) -> Column:
     return F.transform(F.regexp_extract_all(x, F.lit(TOKEN), F.lit(0)), lambda t: F.replace(fold(t), F.lit("’"), F.lit("'")))
 
 
-@F.pandas_udf(StringType())
-def _composed(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", unescape(t)))
+@F.arrow_udf(StringType())
+def _composed(texts: pa.Array) -> pa.Array:
+    return of_each(lambda t: None if t is None else unicodedata.normalize("NFKC", unescape(t)), pa.string(), texts)
 
 
 def _without_marks(text: str) -> str:
@@ -85,9 +87,9 @@ def _without_marks(text: str) -> str:
     return text
 
 
-@F.pandas_udf(StringType())
-def _bare(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else _without_marks(unicodedata.normalize("NFKD", t).casefold()))
+@F.arrow_udf(StringType())
+def _bare(texts: pa.Array) -> pa.Array:
+    return of_each(lambda t: None if t is None else _without_marks(unicodedata.normalize("NFKD", t).casefold()), pa.string(), texts)
 
 
 def composed(x: Column) -> Column:

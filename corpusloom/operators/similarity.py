@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
 
+from corpusloom.functions.rows import given_back
 from corpusloom.functions.text import bare, known, normalized, sentences, spaced, stripped
 from corpusloom.operators.lineage import kept
 
@@ -124,20 +125,36 @@ def repeated_span(target: Column, norms: Column | None = None) -> Column:
     return _near_repeat(F.when(F.size(long) > 1, long))
 
 
-@F.pandas_udf(StructType([StructField("size", IntegerType()), StructField("count", IntegerType()), StructField("score", IntegerType()), StructField("phrase", StringType())]))
-def _adjacent(values: pd.Series) -> pd.DataFrame:
-    rows = []
-    for v in values:
-        t, best = list(v) if v is not None else [], (0, 0, 0, None)
-        for size in range(1, min(32, len(t) // 2) + 1):
-            same = 0  # how many tokens up to here are equal to those ``size`` before
-            for i in range(len(t) - 1, size - 1, -1):
-                same = same + 1 if t[i] == t[i - size] else 0
-                count = same // size + 1
-                if count >= (3 if size == 1 else 2) and (size * count, size, count) >= best[:3]:
-                    best = (size * count, size, count, " ".join(t[i - size : i]))
-        rows.append((best[1], best[2], best[0], best[3]))
-    return pd.DataFrame(rows, columns=["size", "count", "score", "phrase"])
+#: Fixed value: tokens of a block that is said again at once, at most.
+MOST_SIZE = 32
+
+
+@F.arrow_udf(StructType([StructField("size", IntegerType()), StructField("count", IntegerType()), StructField("score", IntegerType()), StructField("phrase", StringType())]))
+def _adjacent(lists: pa.Array) -> pa.Array:
+    """All rows of a batch at once, over the numbers of their tokens: a block of some size is said again where tokens are equal to those as many before, in a run."""
+    n, tokens = len(lists), lists.flatten()
+    owner = np.repeat(np.arange(n), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    codes = tokens.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    best = {name: np.zeros(n, np.int32) for name in ("size", "count", "score")}
+    begin = np.zeros(n, np.int64)
+    for size in range(1, min(MOST_SIZE, len(codes) // 2) + 1):
+        at = np.flatnonzero((codes[size:] == codes[:-size]) & (owner[size:] == owner[:-size]))
+        first = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+        count = np.diff(first, append=len(at)) // size + 1
+        enough = count >= (3 if size == 1 else 2)
+        start, count = at[first[enough]], count[enough]
+        # the most often in each row, the first of these; a larger block of the same score is better
+        order = np.lexsort((start, -count, owner[start]))
+        rows, places = np.unique(owner[start[order]], return_index=True)
+        found = order[places]
+        better = size * count[found] >= best["score"][rows]
+        rows, found = rows[better], found[better]
+        best["size"][rows], best["count"][rows], best["score"][rows], begin[rows] = size, count[found], size * count[found], start[found]
+    phrases: list[str | None] = [None] * n
+    for i in np.flatnonzero(best["score"]):
+        phrases[i] = " ".join(tokens.slice(begin[i], best["size"][i]).to_pylist())
+    given_back()
+    return pa.StructArray.from_arrays([*map(pa.array, best.values()), pa.array(phrases, pa.string())], names=[*best, "phrase"])
 
 
 def repeated_adjacent(tokens: Column) -> Column:

@@ -147,7 +147,8 @@ def hard_flags_repair(source: Column, target: Column, language: str, repeated: C
 
 
 def word_five_times(target: Column) -> Column:
-    return F.regexp_like(known(target), F.lit(r"(?i)\b([a-zà-ÿ]{3,})(?:[\s,.;:!?—-]+\1){4,}\b"))
+    # a word and what stands between words have no sign in common, so neither is tried again shorter
+    return F.regexp_like(known(target), F.lit(r"(?i)\b([a-zà-ÿ]{3,}+)(?:[\s,.;:!?—-]++\1){4,}\b"))
 
 
 def hard_flags_targeted(source: Column, target: Column, loops: bool = True) -> Column:
@@ -195,12 +196,14 @@ def duplicate_half(source_tokens: Column, target_tokens: Column) -> Column:
 
 
 def decoder_loop(target: Column) -> Column:
-    """One sign six times, letters or a word four times over."""
+    """One sign six times, letters or a word four times over.
+
+    What eight letters don't follow is passed at once, and words aren't tried again shorter, as no sign between words is a letter."""
     t = known(target)
     return (
-        F.regexp_like(t, F.lit(r"([^\p{L}\p{N}_\s])\1{5,}"))
-        | F.regexp_like(t, F.lit(r"(?iu)([a-zà-öø-ÿ]{2,15})\1{3,}"))
-        | F.regexp_like(t, F.lit(r"(?iuU)\b([a-zà-öø-ÿ]{2,25})(?:[.\s_-]+\1){3,}\b"))
+        F.regexp_like(t, F.lit(r"([^\p{L}\p{N}_\s])\1{5}"))
+        | F.regexp_like(t, F.lit(r"(?iu)(?=\p{L}{8})([a-zà-öø-ÿ]{2,15})\1{3}"))
+        | F.regexp_like(t, F.lit(r"(?iuU)\b([a-zà-öø-ÿ]{2,25}+)(?:[.\s_-]++\1){3,}\b"))
     )
 
 

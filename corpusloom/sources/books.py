@@ -8,17 +8,22 @@ import zipfile
 from collections.abc import Iterator
 from xml.parsers import expat
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import detectors as D
+from corpusloom.functions.rows import given_back, of_each
 from corpusloom.functions.text import escaped, known, padded, paragraph_html
+from corpusloom.operators.lineage import kept
 from corpusloom.sources.epub import MIMETYPE, _CONTAINER, container_violations, identifier, page
 
 XHTML, CSS = "application/xhtml+xml", "text/css"
 STYLE = "html{font-size:100%}body{line-height:1.5;margin:5%}p{margin:.35em 0;text-indent:1.2em;text-align:justify}h1,h2{text-align:center;break-after:avoid}figure{text-align:center;break-inside:avoid}figure img{max-width:100%}"
 MEMBER = "path string, position int, stored boolean, content binary"
+MEMBER_TYPES = {"path": pa.string(), "position": pa.int32(), "stored": pa.bool_(), "content": pa.binary()}
+#: Members, and bytes of them, that are handed back at once.
+MEMBER_ROWS, MEMBER_BYTES = 4096, 8 << 20
 #: The whole length ratio of translations and sources that a book may have.
 LEAST_RATIO, MOST_RATIO = 0.55, 1.65
 
@@ -101,16 +106,17 @@ def members(pages: DataFrame, books: DataFrame, images: DataFrame | None = None)
 def archived(rows: DataFrame) -> DataFrame:
     """(rank, content): one archive of each book's members, in their order; the same members are the same bytes. A book is one file by its format."""
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
+    def run(book: pa.Table) -> pa.Table:
         out = io.BytesIO()
         with zipfile.ZipFile(out, "w") as z:
-            for r in frame.sort_values(["position", "path"]).itertuples():
-                info = zipfile.ZipInfo(r.path, (2000, 1, 1, 0, 0, 0))
-                info.compress_type = zipfile.ZIP_STORED if r.stored else zipfile.ZIP_DEFLATED
-                z.writestr(info, bytes(r.content))
-        return pd.DataFrame({"rank": [frame["rank"].iloc[0]], "content": [out.getvalue()]})
+            places = sorted(zip(book["position"].to_pylist(), book["path"].to_pylist(), range(len(book)), strict=True))
+            for _, path, i in places:
+                info = zipfile.ZipInfo(path, (2000, 1, 1, 0, 0, 0))
+                info.compress_type = zipfile.ZIP_STORED if book["stored"][i].as_py() else zipfile.ZIP_DEFLATED
+                z.writestr(info, book["content"][i].as_py())
+        return pa.table({"rank": book["rank"].slice(0, 1), "content": pa.array([out.getvalue()], pa.binary())})
 
-    return rows.groupBy("rank").applyInPandas(run, f"rank {rows.schema['rank'].dataType.simpleString()}, content binary")
+    return rows.select("rank", "path", "position", "stored", "content").groupBy("rank").applyInArrow(run, f"rank {rows.schema['rank'].dataType.simpleString()}, content binary")
 
 
 # ---------------------------------------------------------------- checking
@@ -120,14 +126,32 @@ def opened(archives: DataFrame, key: str = "rank") -> DataFrame:
     """(key, path, position, stored, content) of archives (key, content): each member is a row, and all that follows is by member."""
     kind = archives.schema[key].dataType.simpleString()
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for own, content in zip(frame[key], frame["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owners: list[int] = []
+            found: dict[str, list] = {name: [] for name in MEMBER_TYPES}
+            held = 0
+
+            def out() -> pa.RecordBatch:
+                own = batch.column(0).take(pa.array(owners, pa.int64()))  # noqa: B023
+                return pa.RecordBatch.from_arrays([own, *[pa.array(found[n], t) for n, t in MEMBER_TYPES.items()]], names=[key, *MEMBER_TYPES])  # noqa: B023
+
+            for at in range(len(batch)):
+                with zipfile.ZipFile(io.BytesIO(batch.column(1)[at].as_py())) as z:
                     for i, info in enumerate(z.infolist()):
-                        yield pd.DataFrame({key: [own], "path": [info.filename], "position": [i], "stored": [info.compress_type == zipfile.ZIP_STORED], "content": [z.read(info)]})
+                        content = z.read(info)
+                        owners.append(at)
+                        for name, value in zip(MEMBER_TYPES, (info.filename, i, info.compress_type == zipfile.ZIP_STORED, content), strict=True):
+                            found[name].append(value)
+                        held += len(content)
+                        if held > MEMBER_BYTES or len(owners) >= MEMBER_ROWS:
+                            yield out()
+                            owners, found, held = [], {name: [] for name in MEMBER_TYPES}, 0
+            if owners:
+                yield out()
+        given_back()
 
-    return archives.select(key, "content").mapInPandas(run, f"{key} {kind}, {MEMBER}")
+    return archives.select(key, "content").mapInArrow(run, f"{key} {kind}, {MEMBER}")
 
 
 def _read(content: bytes, path: str) -> tuple[str | None, list[tuple[str, str, str | None]]]:
@@ -164,10 +188,16 @@ def _read(content: bytes, path: str) -> tuple[str | None, list[tuple[str, str, s
 def markup(rows: DataFrame, key: str = "rank") -> DataFrame:
     """(key, path, error, refs) of the members (key, path, content) that are markup: the first error, null if there is none, and what is referred to."""
 
-    @F.pandas_udf("error string, refs array<struct<kind:string,target:string,id:string>>")
-    def checked(content: pd.Series, path: pd.Series) -> pd.DataFrame:
-        found = [_read(bytes(c), p) for c, p in zip(content, path, strict=True)]
-        return pd.DataFrame({"error": [e for e, _ in found], "refs": [[{"kind": k, "target": t, "id": i} for k, t, i in r] for _, r in found]})
+    ref = pa.struct([("kind", pa.string()), ("target", pa.string()), ("id", pa.string())])
+    kind = pa.struct([("error", pa.string()), ("refs", pa.list_(ref))])
+
+    def read(content: bytes, path: str) -> dict:
+        error, refs = _read(content, path)
+        return {"error": error, "refs": [{"kind": k, "target": t, "id": i} for k, t, i in refs]}
+
+    @F.arrow_udf("error string, refs array<struct<kind:string,target:string,id:string>>")
+    def checked(content: pa.Array, path: pa.Array) -> pa.Array:
+        return of_each(read, kind, content, path)
 
     return rows.filter(F.regexp_like("path", F.lit(r"\.(?:xhtml|opf|xml)$"))).select(key, "path", checked("content", "path").alias("c")).select(key, "path", "c.*")
 
@@ -179,7 +209,8 @@ def book_violations(rows: DataFrame, key: str = "rank") -> DataFrame:
     * xml: a member's markup isn't well-formed;
     * missing: what a package lists, a container names or a page links to isn't there; unlisted: a page that no package lists;
     * no_item: a spine names what isn't listed; unreachable: a page of the spine that the navigation doesn't link to."""
-    marked = markup(rows, key)
+    # each member's markup is read once for all that is asked of it
+    marked = kept(markup(rows, key))
     container = container_violations(rows.withColumnRenamed(key, "asset").withColumn("safe", ~F.regexp_like("path", F.lit(r"(?:^/|\\|(?:^|/)\.\.?(?:/|$))")))).withColumnRenamed("asset", key)
     rule = F.when(F.startswith("violation", F.lit("not mimetype")), "epub_mimetype_rule").otherwise(F.col("violation"))
     out = container.select(key, F.lit("").alias("path"), rule.alias("violation")).distinct()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.operators import ledger, pages
+from corpusloom.sources import books
 
 
 def plan(df):
@@ -27,3 +28,10 @@ def test_page_units_read_each_page_once(spark):
     got = sorted((r["chapter"], r["ordinal"], r["kind"], r["source"]) for r in units.collect())
     assert [g[:3] for g in got] == [(1, 0, "heading"), *[(1, i, "paragraph") for i in range(1, 10)], (2, 0, "heading"), (2, 1, "paragraph")]
     assert [got[0][3], got[1][3], got[10][3]] == ["One", "A sentence of some length.", "Four"]
+
+
+def test_markup_of_a_book_is_read_once(spark):
+    rows = spark.createDataFrame([(1, "mimetype", 0, True, b"application/epub+zip"), (1, "OEBPS/a.xhtml", 1, False, b"<p>")], f"rank int, {books.MEMBER}")
+    violations = books.book_violations(rows)
+    # what follows reads what was kept, not the markup again
+    assert "checked(" not in plan(violations)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
 
-from corpusloom.functions.rows import given_back
-from corpusloom.functions.text import bare, known, normalized, sentences, spaced, stripped
+from corpusloom.functions.rows import given_back, of_each
+from corpusloom.functions.text import bare, known, normalized, once, sentences, spaced, stripped
 from corpusloom.operators.lineage import kept
 
 
@@ -34,6 +34,101 @@ def _common_subsequence(a: str, b: str) -> int:
     return len(a) - left.bit_count()
 
 
+#: Fixed values of difflib: characters of the second text from which frequent ones begin no match, and of how many of its characters one is frequent.
+POPULAR_FROM, POPULAR_SHARE = 200, 100
+#: Characters of the first text up to which it is laid out in bits, some 25 bytes each.
+MOST_LAID_OUT = 100_000
+
+_Block = tuple[int, int, int]
+
+
+def _longest_by_bits(a: str, b: str) -> Callable[[int, int, int, int], _Block]:
+    """Finds the longest block that a[alo:ahi] and b[blo:bhi] have in common, the first in a, then in b: (begin in a, begin in b, length).
+
+    Each character of a is a row of bits, one for each equal character of b, and all rows are one number; moved by a row and a bit and laid
+    over itself, it keeps the begins of blocks of two, of these those of four, and so on."""
+    places: dict[str, int] = {}
+    for j, x in enumerate(b):
+        places[x] = places.get(x, 0) | 1 << j
+
+    def longest(alo: int, ahi: int, blo: int, bhi: int) -> _Block:
+        if ahi - alo == 1:
+            j = b.find(a[alo], blo, bhi)
+            return alo, max(j, blo), int(j >= 0)
+        if bhi - blo == 1:
+            i = a.find(b[blo], alo, ahi)
+            return max(i, alo), blo, int(i >= 0)
+        part, width = a[alo:ahi], bhi - blo
+        size, full = (width >> 3) + 1, (1 << width) - 1
+        rows = {x: (places.get(x, 0) >> blo & full).to_bytes(size, "little") for x in set(part)}
+        begins = int.from_bytes(b"".join([rows[x] for x in part]), "little")
+        if not begins:
+            return alo, blo, 0
+        step, n, shorter = 8 * size + 1, 1, []
+        while twice := begins & begins >> step * n:
+            shorter.append((n, begins))
+            begins, n = twice, 2 * n
+        for more, at in reversed(shorter):
+            if longer := begins & at >> step * n:
+                begins, n = longer, n + more
+        i, j = divmod((begins & -begins).bit_length() - 1, 8 * size)
+        return alo + i, blo + j, n
+
+    return longest
+
+
+def _longest_by_rare(a: str, b: str) -> Callable[[int, int, int, int], _Block]:
+    """The same where frequent characters of b begin no match, but lengthen what others found: only the places of the others are looked at."""
+    places: dict[str, list[int]] = {}
+    for j, x in enumerate(b):
+        places.setdefault(x, []).append(j)
+    rare = {x: at for x, at in places.items() if len(at) <= len(b) // POPULAR_SHARE + 1}
+    known_places = [i for i, x in enumerate(a) if x in rare]
+
+    def longest(alo: int, ahi: int, blo: int, bhi: int) -> _Block:
+        i0, j0, n = alo, blo, 0
+        last, before = -2, {}
+        for k in range(bisect_left(known_places, alo), bisect_left(known_places, ahi)):
+            i = known_places[k]
+            if i != last + 1:
+                before = {}
+            here = {}
+            for j in rare[a[i]]:
+                if j >= bhi:
+                    break
+                if j >= blo:
+                    long = here[j] = before.get(j - 1, 0) + 1
+                    if long > n:
+                        i0, j0, n = i - long + 1, j - long + 1, long
+            last, before = i, here
+        while i0 > alo and j0 > blo and a[i0 - 1] == b[j0 - 1]:
+            i0, j0, n = i0 - 1, j0 - 1, n + 1
+        while i0 + n < ahi and j0 + n < bhi and a[i0 + n] == b[j0 + n]:
+            n += 1
+        return i0, j0, n
+
+    return longest
+
+
+def exact_ratio(a: str, b: str) -> float:
+    """difflib's ratio of two texts, which takes the longest common block and then those before and after it, by faster ways to find that block."""
+    if a == b:
+        return 1.0
+    if len(b) < POPULAR_FROM and len(a) > MOST_LAID_OUT:
+        return SequenceMatcher(None, a, b).ratio()
+    longest = (_longest_by_bits if len(b) < POPULAR_FROM else _longest_by_rare)(a, b)
+    matched, left = 0, [(0, len(a), 0, len(b))]
+    while left:
+        alo, ahi, blo, bhi = left.pop()
+        i, j, n = longest(alo, ahi, blo, bhi)
+        matched += n
+        if n and alo < i and blo < j:
+            left.append((alo, i, blo, j))
+        if n and i + n < ahi and j + n < bhi:
+            left.append((i + n, ahi, j + n, bhi))
+    return 2.0 * matched / (len(a) + len(b))
+
+
 def _bag_bound(a: Counter, b: Counter, total: int) -> float:
     return 2.0 * (a & b).total() / total
 
@@ -52,21 +147,24 @@ def ratio_at_least(a: str, b: str, least: float) -> float | None:
         return None
     if 2.0 * _common_subsequence(a, b) / total < least:
         return None
-    found = SequenceMatcher(None, a, b).ratio()
+    found = exact_ratio(a, b)
     return found if found >= least else None
 
 
-@F.pandas_udf(DoubleType())
-def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+#: Fixed value: characters from which texts are compared.
+LEAST_COMPARED = 18
+
+
+@F.arrow_udf(DoubleType())
+def _ratio(a: pa.Array, b: pa.Array) -> pa.Array:
+    return of_each(lambda x, y: None if x is None or y is None or min(len(x), len(y)) < LEAST_COMPARED else exact_ratio(x, y), pa.float64(), a, b)
 
 
 def unchanged_similarity(source: Column, target: Column, kind: Column) -> Column:
     """How like its source a translation is: 0 for headings and where one of them has under 18 characters."""
-    a, b = normalized(known(source)), normalized(known(target))
-    counts = (kind != "heading") & (F.least(F.length(a), F.length(b)) >= 18)
-    # the UDF sees nulls, and does nothing, where the guard doesn't hold
-    return F.coalesce(_ratio(F.when(counts, a), F.when(counts, b)), F.lit(0.0))
+    # the UDF sees nulls, and does nothing, for headings; it measures the texts, so that they are folded once
+    folded = lambda x: F.when(kind != "heading", normalized(known(x)))
+    return F.coalesce(_ratio(folded(source), folded(target)), F.lit(0.0))
 
 
 def similarity_at_least(source: Column, target: Column, kind: Column, least: float) -> Column:
@@ -122,7 +220,7 @@ def repeated_span(target: Column, norms: Column | None = None) -> Column:
     """A sentence of 35 characters or more that is equal or nearly equal to one before it. norms: the target's folded sentences, if known."""
     found = F.transform(sentences(known(target)), normalized) if norms is None else norms
     long = F.filter(found, lambda s: F.length(s) >= 35)
-    return _near_repeat(F.when(F.size(long) > 1, long))
+    return _near_repeat(once(long, lambda parts: F.when(F.size(parts) > 1, parts)))
 
 
 #: Fixed value: tokens of a block that is said again at once, at most.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from difflib import SequenceMatcher
 
 import pytest
@@ -86,3 +87,35 @@ def test_flags_of_english_sources_are_their_definition(spark):
         want = r["kind"] != "heading" and min(len(r["a"]), len(r["b"])) >= 18 and SequenceMatcher(None, r["a"], r["b"]).ratio() >= 0.72
         assert got[r["rank"], r["ordinal"]] == want
     assert any(got.values()) and not all(got.values())
+
+
+def test_exact_ratio_is_difflibs():
+    rng = random.Random(11)
+    for _ in range(1500):
+        a, b = some(rng)
+        a, b = (a, b) if rng.random() < 0.5 else (a, some(rng)[0])
+        assert similarity.exact_ratio(a, b) == SequenceMatcher(None, a, b).ratio(), (a, b)
+    a, b = "ab " * (similarity.MOST_LAID_OUT // 3 + 1), "ba"
+    assert similarity.exact_ratio(a, b) == SequenceMatcher(None, a, b).ratio()
+
+
+@pytest.mark.parametrize("n", [190, 900])
+def test_exact_ratio_takes_less_time_than_difflib(n):
+    rng = random.Random(n)
+    words = ["".join(rng.choice("etaoinsrhldcumfpgwybvk") for _ in range(rng.randint(2, 9))) for _ in range(200)]
+    texts = [(" ".join(rng.choices(words, k=n))[: 2 * n], " ".join(rng.choices(words, k=n))[:n]) for _ in range(15)]
+
+    def seconds(use):
+        began = time.process_time()
+        for a, b in texts:
+            use(a, b)
+        return time.process_time() - began
+
+    assert 1.5 * min(seconds(similarity.exact_ratio) for _ in range(3)) < min(seconds(lambda a, b: SequenceMatcher(None, a, b).ratio()) for _ in range(3))
+
+
+def test_unchanged_similarity_counts_as_before(spark):
+    rows = [("paragraph", "x" * 18, "x" * 18), ("paragraph", "x" * 17, "x" * 18), ("heading", "x" * 18, "x" * 18), (None, "x" * 18, "x" * 18), ("paragraph", None, "x" * 18), ("paragraph", "日本 " * 9, "日本 é" * 9)]
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, kind string, s string, t string")
+    found = [r.v for r in table.select("i", similarity.unchanged_similarity(F.col("s"), F.col("t"), F.col("kind")).alias("v")).orderBy("i").collect()]
+    assert found == [1.0, 0.0, 0.0, 0.0, 0.0, SequenceMatcher(None, "日本 " * 8 + "日本", "日本 é" * 9).ratio()]

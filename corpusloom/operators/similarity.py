@@ -7,6 +7,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from difflib import SequenceMatcher
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -390,44 +391,140 @@ def tfidf(texts: DataFrame, group: str, key: str, text: str) -> DataFrame:
     return raw.join(lengths, [group, key]).select(group, key, "gram", (F.col("raw") / F.col("_length")).alias("weight"))
 
 
-#: Paragraphs up to which all those of a chapter that share a gram with an anchor are summed.
-FEW_PARAGRAPHS = 256
+#: Paragraphs up to which all those of a chapter that share a gram with an anchor are summed, in one place unless the chapter has more
+#: characters or rows than these.
+FEW_PARAGRAPHS, FEW_CHARS, FEW_ROWS = 2560, 3_000_000, 5120
 #: Grams of an anchor whose lists are read to find what its best paragraphs score at least.
 SEED_GRAMS = 24
 #: Of what an anchor's best score at least, what its grams that make no pairs may give at most: a smaller share makes more pairs, and fewer of them stay.
 TAIL_SHARE = 0.4
 #: What sums in another order may differ by.
 SLACK = 1e-9
+#: Weights of a chapter that lie in one matrix at once, and grams that are known by numbers at once.
+_CELLS, _NUMBERED = 1 << 20, 500_000
+
+
+class _Grams:
+    """Character n-grams of texts as numbers; each different word is cut once."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.of: dict[str, np.ndarray] = {}
+
+    def _word(self, word: str) -> np.ndarray:
+        if word not in self.of:
+            self.of[word] = np.array([self.numbers.setdefault(g, len(self.numbers)) for g in word_grams(word)])
+        return self.of[word]
+
+    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """(n-grams, how often each stands in the text)."""
+        found = [self._word(w) for w in _BLANKS.split(text) if w]
+        return np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _cosines(counts: list[tuple[np.ndarray, np.ndarray]], anchors: np.ndarray, paragraphs: np.ndarray, n_texts: int) -> np.ndarray:
+    """Cosines of anchors and paragraphs (places in counts) of one chapter of n_texts texts; 0 where they share no n-gram."""
+    sizes = [len(grams) for grams, _ in counts]
+    owner, tf = np.repeat(np.arange(len(counts)), sizes), np.concatenate([n for _, n in counts])
+    _, gram, df = np.unique(np.concatenate([g for g, _ in counts]), return_inverse=True, return_counts=True)
+    raw = tf * (np.log((1 + n_texts) / (1 + df)) + 1)[gram]
+    lengths = np.sqrt(np.bincount(owner, raw * raw, minlength=len(counts)))
+    dots, width = np.zeros((len(anchors), len(paragraphs))), max(1, _CELLS // len(counts))
+    if len(df) > width:
+        order = np.argsort(gram, kind="stable")
+        owner, gram, raw = owner[order], gram[order], raw[order]
+    for begin in range(0, len(df), width):
+        end = min(begin + width, len(df))
+        here = slice(*np.searchsorted(gram, (begin, end))) if len(df) > width else slice(None)
+        weights = np.zeros((len(counts), end - begin))
+        weights[owner[here], gram[here] - begin] = raw[here]
+        dots += weights[anchors] @ weights[paragraphs].T
+    return np.divide(dots, np.outer(lengths[anchors], lengths[paragraphs]), out=dots, where=dots > 0)
+
+
+def _best_of_chapter(rows: dict[str, list], fractions: np.ndarray, grams: _Grams, top: int, pull: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, paragraph, cosine), rows by their places, of the pairs of one chapter that may be among an anchor's best; rows without a key only count."""
+    texts: dict[tuple[str, str | None], str] = {}
+    for side, key, text in zip(rows["side"], rows["key"], rows["text"], strict=True):
+        texts[side, key] = f"{texts[side, key]} {text}" if (side, key) in texts else text
+    counts_of = {text: grams.counts(text) for text in set(texts.values())}
+    place = {name: i for i, name in enumerate(texts)}
+    at = np.array([place[name] for name in zip(rows["side"], rows["key"], strict=True)])
+    own = [np.array([i for i, name in enumerate(zip(rows["side"], rows["key"], strict=True)) if name[0] == side and name[1] is not None], np.int64) for side in "ap"]
+    if not len(own[0]) or not len(own[1]):
+        return own[0][:0], own[1][:0], np.zeros(0)
+    cosines = _cosines([counts_of[text] for text in texts.values()], at[own[0]], at[own[1]], len(at))
+    score = cosines - pull * np.abs(fractions[own[0]][:, None] - fractions[own[1]][None, :])
+    score[(cosines > 0) & np.isnan(score)] = np.inf  # a place that isn't known is first
+    score[cosines == 0] = -np.inf
+    n = min(top, len(own[1]))
+    # what is equal but for rounding stays: Spark orders it
+    a, p = np.nonzero((score >= np.partition(score, -n, axis=1)[:, [-n]] - 4 * SLACK) & (cosines > 0))
+    return own[0][a], own[1][p], cosines[a, p]
+
+
+def _best_in_place(both: DataFrame, group: str, top: int, pull: float) -> DataFrame:
+    """(group, anchor, paragraph, similarity, fa, fp) of pairs that may be among an anchor's best, of (group, side, key, text, fraction). Rows are
+    dealt out by chapter, and a chapter's texts are counted and compared where they meet."""
+    rows = both.filter(F.col(group).isNotNull()).select(F.col(group).alias("group"), "side", "key", bare(known(F.col("text"))).alias("text"), "fraction")
+    shape = StructType(
+        [StructField(group, both.schema[group].dataType), *(StructField(x, StringType()) for x in ("anchor", "paragraph")), *(StructField(x, DoubleType()) for x in ("similarity", "fa", "fp"))]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = _Grams()
+
+        def chapters(table: pa.Table, ends: list[int]) -> Iterator[pa.RecordBatch]:
+            nonlocal grams
+            found = []
+            for begin, end in pairwise(ends):
+                if len(grams.numbers) > _NUMBERED or len(grams.of) > _NUMBERED:
+                    grams = _Grams()
+                part = table.slice(begin, end - begin)
+                a, p, cosine = _best_of_chapter(part.select(["side", "key", "text"]).to_pydict(), part["fraction"].to_numpy().astype(float), grams, top, pull)
+                found.append((a + begin, p + begin, cosine))
+            if found:
+                a, p, cosine = (np.concatenate(x) for x in zip(*found, strict=True))
+                out = [table["group"].take(a), table["key"].take(a), table["key"].take(p), pa.array(cosine), table["fraction"].take(a), table["fraction"].take(p)]
+                yield from pa.table(out, names=shape.names).combine_chunks().to_batches()
+
+        # the last chapter of a batch may go on in the next one
+        left: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if left is None else pa.concat_tables([left, table])
+            names = table["group"].to_pylist()
+            ends = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1])]
+            yield from chapters(table, ends)
+            left = table.slice(ends[-1]).combine_chunks()
+        if left is not None:
+            yield from chapters(left, [0, len(left)])
+        given_back()
+
+    return rows.repartition("group").sortWithinPartitions("group").mapInArrow(run, shape)
 
 
 def aligned(anchors: DataFrame, paragraphs: DataFrame, group: str = "chapter", top: int = 3, pull: float = 0.12, few: int = FEW_PARAGRAPHS) -> DataFrame:
     """For each anchor (group, key, text, fraction) the best ``top`` paragraphs (group, key, text, fraction) of its group, by
     the cosine of their n-grams less ``pull`` times how far apart they stand.
 
-    In a chapter of more than ``few`` paragraphs only those are summed up that may be among the best (``best_by_bounds``)."""
+    A chapter of at most ``few`` paragraphs is scored in one place. Those of larger ones (or of very many characters) are dealt out by
+    n-gram, and only those are summed up that may be among the best (``best_by_bounds``)."""
     side = lambda rows, name: rows.select(group, F.lit(name).alias("side"), F.col("key").cast("string").alias("key"), "text", F.col("fraction").cast("double").alias("fraction"))
     both = side(anchors, "a").unionByName(side(paragraphs, "p"))
-    sizes = paragraphs.groupBy(group).agg((F.count("*") > few).alias("large"))
-    both = both.join(sizes, group, "left").na.fill(False, ["large"])
-    raw = _raw_weights(both, group, ["side", "key", "large"], "text")
-    lengths = raw.groupBy(group, "side", "key").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
-    about = both.select(group, "side", "key", "fraction", "large").join(lengths, [group, "side", "key"])
-    own = lambda name, *columns: about.filter(F.col("side") == name[0]).select(group, F.col("key").alias(name), *columns)
-
-    # both sides lie dealt out by group and gram as they were weighed
-    of = lambda name: raw.filter((F.col("side") == name[0]) & ~F.col("large")).select(group, "gram", F.col("key").alias(name), F.col("raw").alias(f"raw_{name[0]}"))
-    dots = of("anchor").join(of("paragraph"), [group, "gram"]).groupBy(group, "anchor", "paragraph").agg(F.sum(F.col("raw_a") * F.col("raw_p")).alias("dot"))
-    scored = (
-        dots.join(own("anchor", F.col("fraction").alias("fa"), F.col("length").alias("la")), [group, "anchor"])
-        .join(own("paragraph", F.col("fraction").alias("fp"), F.col("length").alias("lp")), [group, "paragraph"])
-        .withColumn("similarity", F.col("dot") / (F.col("la") * F.col("lp")))
-        .select(group, "anchor", "paragraph", "similarity", "fa", "fp")
-    )
-    if not sizes.filter("large").isEmpty():
-        weights = kept(raw.filter("large").join(lengths, [group, "side", "key"]).select(group, "side", "key", "gram", (F.col("raw") / F.col("length")).alias("weight")))
+    sizes = both.groupBy(group).agg(F.count_if(F.col("side") == "p").alias("n"), F.sum(F.length("text")).alias("chars"), F.count("*").alias("rows"))
+    large = kept(sizes.filter((F.col("n") > few) | (F.col("chars") > FEW_CHARS) | (F.col("rows") > FEW_ROWS)).select(group))
+    if large.isEmpty():
+        scored = _best_in_place(both, group, top, pull)
+    else:
+        scored = _best_in_place(both.join(large, group, "left_anti"), group, top, pull)
+        both = both.join(large, group, "left_semi")
+        raw = _raw_weights(both, group, ["side", "key"], "text")
+        lengths = raw.groupBy(group, "side", "key").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
+        weights = kept(raw.join(lengths, [group, "side", "key"]).select(group, "side", "key", "gram", (F.col("raw") / F.col("length")).alias("weight")))
         a = weights.filter("side = 'a'").select(group, F.col("key").alias("anchor"), "gram", F.col("weight").alias("wa"))
         p = weights.filter("side = 'p'").select(group, F.col("key").alias("paragraph"), "gram", F.col("weight").alias("wp"))
-        places = [kept(own(x, F.col("fraction").alias(f"f{x[0]}")).join(sizes.filter("large").select(group), group, "left_semi")) for x in ("anchor", "paragraph")]
+        places = [kept(both.filter(F.col("side") == x[0]).select(group, F.col("key").alias(x), F.col("fraction").alias(f"f{x[0]}"))) for x in ("anchor", "paragraph")]
         scored = scored.unionByName(best_by_bounds(a, p, *places, group, top, pull))
     adjusted = F.col("similarity") - pull * F.abs(F.col("fp") - F.col("fa"))
     best = Window.partitionBy(group, "anchor").orderBy(F.round(-adjusted, 9), "fp")

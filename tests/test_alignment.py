@@ -91,3 +91,26 @@ def test_bounds_leave_out_most_pairs(spark):
     assert every > 40_000 and kept < every / 20, (every, kept)
     full, cut = (similarity.aligned(a, p, few=few).select("anchor", "place", "paragraph").collect() for few in (10_000, 1000))
     assert sorted(full) == sorted(cut)
+
+
+def test_chapters_are_scored_in_place(spark):
+    """No n-gram is moved for a chapter of some hundred paragraphs; chapters go on over batches; rows without a key only count."""
+    rng = random.Random(23)
+    chapters = [chapter(rng, f"c{i}", 5, n) for i, n in enumerate((1, 3, 300, 7))]
+    anchors, paragraphs = ([r for c in chapters for r in c[k]] for k in (0, 1))
+    shape = "chapter string, key string, text string, fraction double"
+    a, p = spark.createDataFrame(anchors, shape), spark.createDataFrame(paragraphs, shape)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        found = similarity.aligned(a, p)
+        assert "xxhash64" not in found._jdf.queryExecution().toString()
+        got = sorted((r["chapter"], r["anchor"], r["paragraph"], r["place"], round(r["similarity"], 6)) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == by_definition(anchors, paragraphs, 3, 0.12)
+    odd = similarity.aligned(
+        spark.createDataFrame([("c", "1", "ab cd", 0.5), ("c", None, "ab", 0.1), (None, "2", "ab", 0.1), ("d", "3", "ab", 0.1)], shape),
+        spark.createDataFrame([("c", "1", "ab", 0.5), ("c", "2", "AB  cd", None), ("c", "3", None, 0.5), ("c", None, "cd", 0.5)], shape),
+    )
+    assert sorted((r["chapter"], r["anchor"], r["paragraph"], r["place"], round(r["similarity"], 6)) for r in odd.collect()) == [("c", "1", "1", 2, 0.650696), ("c", "1", "2", 1, 1.0)]

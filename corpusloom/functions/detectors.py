@@ -207,6 +207,10 @@ def decoder_loop(target: Column) -> Column:
     )
 
 
+#: Cyrillic and Greek letters; what lies outside of both is passed at once.
+_ALIEN = r"[\x{386}-\x{451}&&[А-Яа-яЁёΑ-ωΆ-ώ]]"
+
+
 def source_residue(target: Column, target_tokens: Column, language: str, into: str = "it") -> Column:
     """Cyrillic or Greek letters, or four or more function words of the source language, and more of them than of the target's."""
     own, other = function_words(into), function_words(language)
@@ -214,7 +218,7 @@ def source_residue(target: Column, target_tokens: Column, language: str, into: s
     # membership of literals, which is looked up in a hash set
     ours = F.size(F.filter(target_tokens, lambda w: w.isin(*own)))
     theirs = F.size(F.filter(target_tokens, lambda w: w.isin(*alien)))
-    return F.regexp_like(known(target), F.lit("[А-Яа-яЁёΑ-ωΆ-ώ]")) | ((theirs >= 4) & (theirs > ours))
+    return F.regexp_like(known(target), F.lit(_ALIEN)) | ((theirs >= 4) & (theirs > ours))
 
 
 #: Tokens of a copied phrase, at least and at most, and function words of the source's language in it, at least.

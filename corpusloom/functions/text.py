@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from html import unescape
 
 import pyarrow as pa
@@ -25,6 +26,19 @@ NOT_WORD = r"[^\p{L}\p{N}_]+"
 #: Letters and digits of a token, with an inner apostrophe.
 TOKEN = r"[0-9A-Za-zÀ-ÖØ-öø-ÿĀ-žΑ-ωΆ-ώА-яЁё]+(?:['’][0-9A-Za-zÀ-ÖØ-öø-ÿĀ-žΑ-ωΆ-ώА-яЁё]+)?"
 
+
+def _quick(signs: str) -> str:
+    """A class of single signs and ranges for Java's expressions: those below 256 one by one, which are a table there, and others looked at only from 256 on."""
+    found = re.findall(r"(.)-(.)|(.)", signs)
+    codes = [range(ord(a or c), ord(b or c) + 1) for a, b, c in found]
+    low = "".join(rf"\x{{{i:x}}}" for r in codes for i in r if i < 256)
+    high = "".join(rf"\x{{{max(r[0], 256):x}}}-\x{{{r[-1]:x}}}" for r in codes if r[-1] >= 256)
+    return rf"[[{low}][\x{{100}}-\x{{10ffff}}&&[{high}]]]"
+
+
+#: TOKEN for Java's expressions, which tries each range of a class in turn.
+_TOKEN = re.sub(r"\[([^\]'’]+)\]", lambda m: _quick(m[1]), TOKEN)
+
 #: Classes of paragraphs by the kind of a unit.
 PARAGRAPH_CLASSES = {"heading": "subhead", "continuation": "continued"}
 
@@ -70,9 +84,19 @@ def sentences(x: Column) -> Column:
     return F.filter(F.transform(parts, lambda s: stripped(F.replace(s, F.lit("\u0002"), F.lit(".")))), lambda s: s != "")
 
 
+def _folded(token: Column) -> Column:
+    return F.replace(fold(token), F.lit("’"), F.lit("'"))
+
+
 def tokens(x: Column) -> Column:
     """Folded tokens; a curly apostrophe is a straight one."""
-    return F.transform(F.regexp_extract_all(x, F.lit(TOKEN), F.lit(0)), lambda t: F.replace(fold(t), F.lit("’"), F.lit("'")))
+    return F.transform(F.regexp_extract_all(x, F.lit(_TOKEN), F.lit(0)), _folded)
+
+
+def tokens_among(x: Column, words: Iterable[str]) -> Column:
+    """The folded tokens that are among these words, which hold neither sigmas nor apostrophes; no others are folded."""
+    forms = {sign.join(w.split("ss")) for w in words for sign in ("ss", "ß")}
+    return F.transform(F.filter(F.regexp_extract_all(x, F.lit(_TOKEN), F.lit(0)), lambda t: F.lower(t).isin(*sorted(forms))), _folded)
 
 
 @F.arrow_udf(StringType())
@@ -118,7 +142,7 @@ def words(x: Column) -> Column:
 
 def n_words(x: Column) -> Column:
     """How many words there are, without folding them."""
-    return F.regexp_count(composed(x), F.lit(TOKEN))
+    return F.regexp_count(composed(x), F.lit(_TOKEN))
 
 
 def sha(x: Column) -> Column:

@@ -278,7 +278,11 @@ def word_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def function_word_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_tokens(spark, sf_dir).select("doc_id", *[D.source_residue(_text(), F.col("t"), x).alias(x) for x in ("en", "fr", "de")])
+    languages = ("en", "fr", "de")
+    # nothing but function words is counted, so only they are folded and gone through for each language
+    words = {w for x in ("it", *languages) for w in D.function_words(x)}
+    rows = _table(spark, sf_dir, "documents").select("doc_id", "text", T.tokens_among(_text(), words).alias("t"))
+    return rows.select("doc_id", *[D.source_residue(_text(), F.col("t"), x).alias(x) for x in languages])
 
 
 def link_scrape(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,13 +1,15 @@
 """All pairs of vectors with a cosine of at least a threshold, by traversing pairs of cover trees.
 
 Vectors of length 1 are points; a cosine of t is a distance of sqrt(2 - 2t). Equal vectors are one point with a weight.
-The top nodes of the tree are pivots, a sample of the points by hash; each point belongs to its nearest pivot, and a
-task holds the points of one pivot, or one part of them, as a tree of nested levels with halving radii. Points of other
-pivots visit a task if they can lie within the threshold of one of its points by the triangle inequality: by the pivot's
-covering radius, and as their own pivot is the nearest to them. Each pair of pivots meets in one of its two places, chosen so
-that no place is visited by all. Visitors come in batches, each a tree of its own. Two trees are traversed together, level by
-level: a pair of nodes is left if their centres are farther apart than the threshold and both covering radii, counted
-as a whole if all of one must be linked with all of the other, and else replaced by the pairs of their children.
+The top nodes of the tree are pivots, a sample of the points by hash; each point belongs to its nearest pivot, and the points
+of one pivot, or one part of them, are a block: one row of a table, and a tree of nested levels with halving radii. Blocks meet
+each other in a product of the table with itself, whose tasks read it where it lies: points that visit a block aren't
+copied to disk for that, however many blocks they visit. Points of another block count as visitors if they can lie within the
+threshold of one of the block's points by the triangle inequality: by the pivot's covering radius, and as their own pivot is the
+nearest to them. Each pair of pivots meets in one of its two places, chosen so that no place is visited by all. Visitors
+come in batches, each a tree of its own. Two trees are traversed together, level by level: a pair of nodes is left if
+their centres are farther apart than the threshold and both covering radii, counted as a whole if all of one must be linked
+with all of the other, and else replaced by the pairs of their children.
 
 A task returns sums of links and a spanning forest of its links, no more than a row or two for each point that it saw.
 
@@ -24,15 +26,20 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpusloom.llm.common import shuffle_width, written
+from corpusloom.llm.common import lean, shuffle_width, written
 from corpusloom.llm.components import components, local_roots
 
 #: Points of a tree; visitors are handled in batches of as many.
 PART = 3000
 #: Pivots, and their bytes, at most: what is broadcast is no more than these.
 PIVOTS, PIVOT_BYTES = 8192, 32 << 20
+#: Bytes of blocks that a task holds at most, to go through them once for each block that they visit.
+GUEST_BYTES = 48 << 20
 RADII = (1.0, 0.5, 0.25, 0.125, 0.0625)
+#: What a block's row holds of its points.
+PACKED = ("ids", "weights", "offs", "x")
 #: The level at which visitors are told apart.
 NEAR_LEVEL = 2
 #: Distances carry rounding errors, so bounds give way by so much; pairs in between are decided by their cosine.
@@ -189,7 +196,10 @@ def linked(a: Tree, b: Tree, threshold: float) -> tuple[np.ndarray, np.ndarray,
 
 
 def _unit(vectors: pd.Series) -> np.ndarray:
-    x = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+    return _scaled(np.stack([np.asarray(v, dtype=np.float64) for v in vectors]))
+
+
+def _scaled(x: np.ndarray) -> np.ndarray:
     x /= np.abs(x).max(axis=1, keepdims=True)  # so that no square is lost or endless
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -236,46 +246,65 @@ def _linked_points(points: DataFrame, n: int, dim: int, threshold: float) -> Dat
     many = int(min(PIVOTS, max(1, PIVOT_BYTES // (8 * dim)), max(1, -(-n // PART))))
     pivots = _unit(pd.Series([r["embedding"] for r in points.orderBy(F.xxhash64("id"), "id").limit(many).collect()]))
 
-    def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kind = "<f4" if isinstance(points.schema["embedding"].dataType.elementType, T.FloatType) else "<f8"
+
+    def nearest(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+        """The cell of each vector, and how far its pivot is."""
+        apart = _apart(_unit(vectors), pivots)
+        cell = apart.argmin(1)
+        return cell, apart[np.arange(len(cell)), cell]
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                cell, n = np.unique(nearest(frame["embedding"])[0], return_counts=True)
+                yield pd.DataFrame({"cell": cell, "n": n})
+
+    parts = np.ones(many, dtype=np.int64)
+    for r in points.select("embedding").mapInPandas(lean(count), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        parts[r["cell"]] = -(-r["n"] // PART)
+
+    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(frame):
-                x = _unit(frame["embedding"])
-                apart = _apart(x, pivots)
-                cell = apart.argmin(1)
-                yield pd.DataFrame({"id": frame["id"], "weight": frame["weight"], "x": [v.tobytes() for v in x], "cell": cell, "off": apart[np.arange(len(x)), cell]})
-
-    assigned = written(points.select("id", "weight", "embedding").mapInPandas(assign, "id long, weight long, x binary, cell int, off double"))
-    cells = assigned.groupBy("cell").agg(F.count("*").alias("n"), F.max("off").alias("reach")).collect()
-    parts, reach = np.zeros(many, dtype=np.int64), np.full(many, -10.0)
-    for r in cells:
-        parts[r["cell"]], reach[r["cell"]] = -(-r["n"] // PART), r["reach"]
-    half = (np.arange(many)[None, :] - np.arange(many)[:, None]) % many  # how far cell b is round from cell a
-
-    def visit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                cell, off = nearest(frame["embedding"])
+                x = np.stack([np.asarray(v, dtype=kind) for v in frame["embedding"]])
+                ids, weight = frame["id"].to_numpy(), frame["weight"].to_numpy()
+                part = (ids * 0x9E3779B1 & 0x7FFFFFFF) % parts[cell]
+                order = np.lexsort((part, cell))
+                cell, part = cell[order], part[order]
+                cut = np.concatenate(([0], np.flatnonzero((cell[1:] != cell[:-1]) | (part[1:] != part[:-1])) + 1, [len(cell)]))
+                packed = [[v[order[i:j]].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)] for v in (ids, weight, off, x)]
+                yield pd.DataFrame({"cell": cell[cut[:-1]], "part": part[cut[:-1]], **dict(zip(PACKED, packed, strict=True))})
+
+    def gather(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """One row for each block, of rows sorted by block."""
+        place, held = None, []
+
+        def block() -> pd.DataFrame:
+            return pd.DataFrame({"cell": [place[0]], "part": [place[1]], **{c: [b"".join(getattr(r, c) for r in held)] for c in PACKED}})
+
         for frame in frames:
-            for at in range(0, len(frame), 512):
-                some = frame.iloc[at : at + 512]
-                x = np.frombuffer(b"".join(some["x"]), dtype=np.float64).reshape(len(some), dim)
-                own, off = some["cell"].to_numpy(), some["off"].to_numpy()
-                mine = (some["id"].to_numpy() * 0x9E3779B1 & 0x7FFFFFFF) % parts[own]
-                apart = _apart(x, pivots)
-                round_ = half[own]
-                hosts = (round_ * 2 < many) & (round_ > 0) | (round_ * 2 == many) & (own[:, None] < np.arange(many)[None, :])
-                hosts &= (apart <= reach[None, :] + limit + SLIP) & (apart <= off[:, None] + 2 * limit + SLIP)
-                i, b = np.nonzero(hosts)
-                i, b = np.concatenate((i, np.arange(len(x)))), np.concatenate((b, own))
-                # all parts of another cell; of its own cell the parts from its own one on
-                home = b == own[i]
-                first = np.where(home, mine[i], 0)
-                count = parts[b] - first
-                row = np.repeat(np.arange(len(i)), count)
-                part = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-                guest = ~(home[row] & (part == mine[i][row]))
-                chosen = some.iloc[i[row]]
-                yield pd.DataFrame({"cell": b[row], "part": part, "guest": guest, "id": chosen["id"].to_numpy(), "weight": chosen["weight"].to_numpy(), "x": chosen["x"].to_numpy()})
+            for row in frame.itertuples():
+                if (row.cell, row.part) != place and held:
+                    yield block()
+                    held = []
+                place = row.cell, row.part
+                held.append(row)
+        if held:
+            yield block()
+
+    shape = "cell int, part long, ids binary, weights binary, offs binary, x binary"
+    blocks = written(
+        points.select("id", "weight", "embedding")
+        .mapInPandas(lean(deal), shape)
+        .repartition(max(shuffle_width(spark), min(int(parts.sum()), 4096)), "cell", "part")
+        .sortWithinPartitions("cell", "part")
+        .mapInPandas(lean(gather), shape)
+    )
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        place, ids, home, held = None, None, None, []
+        place, home, ids, held = None, None, None, []
 
         def result(ids_: np.ndarray, links: np.ndarray, u: np.ndarray, v: np.ndarray) -> pd.DataFrame:
             roots = local_roots(len(ids_), u, v)
@@ -289,49 +318,48 @@ def _linked_points(points: DataFrame, n: int, dim: int, threshold: float) -> Dat
                 }
             ).assign(v=lambda d: d["v"].mask(np.arange(len(d)) < len(some)), n=lambda d: d["n"].mask(np.arange(len(d)) >= len(some)))
 
-        def points_of(rows: pd.DataFrame) -> np.ndarray:
-            return np.frombuffer(b"".join(rows["x"]), dtype=np.float64).reshape(len(rows), dim)
+        def unit(x: bytes) -> np.ndarray:
+            return _scaled(np.frombuffer(x, dtype=kind).reshape(-1, dim).astype(np.float64))
 
-        def settle() -> pd.DataFrame | None:
-            nonlocal home, ids
-            if not held:
-                return None
-            rows = pd.concat(held)
+        def visited() -> pd.DataFrame:
+            """Links between the block and the visitors held."""
+            guests, weight, x = (np.concatenate(some) for some in zip(*held, strict=True))
             held.clear()
-            ids = rows["id"].to_numpy()
-            home = Tree(points_of(rows), rows["weight"].to_numpy())
-            links, _, u, v = linked(home, home, threshold)
-            return result(ids, links, u, v)
+            links, more, u, v = linked(home, Tree(x, weight), threshold)
+            return result(np.concatenate((ids, guests)), np.concatenate((links, more)), u, v)
 
         for frame in frames:
-            for where, rows in frame.groupby(["cell", "part"], sort=False):
-                if where != place:
-                    if (out := settle()) is not None:
-                        yield out
-                    place, home = where, None
-                residents, guests = rows[~rows["guest"]], rows[rows["guest"]]
-                if len(residents):
-                    held.append(residents)
-                if len(guests):
-                    if (out := settle()) is not None:
-                        yield out
-                    if home is None:
+            for row in frame.itertuples():
+                if (row.cell, row.part) != place:
+                    if held:
+                        yield visited()
+                    place, home = (row.cell, row.part), None
+                    reach = np.frombuffer(row.offs, dtype=np.float64).max()
+                own = (row.guest_cell, row.guest_part) == place
+                if not own:
+                    x, off = unit(row.guest_x), np.frombuffer(row.guest_offs, dtype=np.float64)
+                    apart = _apart(x, pivots[row.cell : row.cell + 1])[:, 0]
+                    near = np.flatnonzero((apart <= reach + limit + SLIP) & (apart <= off + 2 * limit + SLIP))
+                    if not len(near):
                         continue
-                    for at in range(0, len(guests), PART):
-                        some = guests.iloc[at : at + PART]
-                        # most guests are far from all top nodes of the tree, and need no tree of their own
-                        some = some[home.near(points_of(some), limit)]
-                        if not len(some):
-                            continue
-                        tree = Tree(points_of(some), some["weight"].to_numpy())
-                        links, more, u, v = linked(home, tree, threshold)
-                        yield result(np.concatenate((ids, some["id"].to_numpy())), np.concatenate((links, more)), u, v)
-        if (out := settle()) is not None:
-            yield out
-
-    visits = assigned.mapInPandas(visit, "cell int, part int, guest boolean, id long, weight long, x binary")
-    return (
-        visits.repartition(max(shuffle_width(spark), min(4 * many, 4096)), "cell", "part")
-        .sortWithinPartitions("cell", "part", "guest", "id")
-        .mapInPandas(compare, "u long, v long, n long")
-    )
+                if home is None:
+                    ids, home = np.frombuffer(row.ids, dtype=np.int64), Tree(unit(row.x), np.frombuffer(row.weights, dtype=np.int64))
+                if own:
+                    links, _, u, v = linked(home, home, threshold)
+                    yield result(ids, links, u, v)
+                    continue
+                # most guests are far from all top nodes of the tree, and need no tree of their own
+                near = near[home.near(x[near], limit)]
+                for at in range(0, len(near), PART):
+                    some = near[at : at + PART]
+                    if sum(len(g) for g, _, _ in held) + len(some) > PART:
+                        yield visited()
+                    held.append((np.frombuffer(row.guest_ids, dtype=np.int64)[some], np.frombuffer(row.guest_weights, dtype=np.int64)[some], x[some]))
+        if held:
+            yield visited()
+
+    guests = blocks.select(*[F.col(c).alias(f"guest_{c}") for c in blocks.columns]).coalesce(max(1, -(-n * (dim * np.dtype(kind).itemsize + 24) // GUEST_BYTES)))
+    # how far the block's cell is round from the guest's
+    turn, circle = F.pmod(F.col("cell") - F.col("guest_cell"), F.lit(many)) * 2, F.lit(many)
+    meets = F.when(turn == 0, F.col("guest_part") <= F.col("part")).otherwise((turn < circle) | ((turn == circle) & (F.col("guest_cell") < F.col("cell"))))
+    return blocks.hint("shuffle_replicate_nl").join(guests, meets).mapInPandas(lean(compare), "u long, v long, n long")
